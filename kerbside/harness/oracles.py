@@ -1,7 +1,8 @@
 """The registered queries as plain SQL, written as the joins and groupings they stand for.
 
 Deliberately naive: models and views are real row joins here, while the library multiplies
-pre-aggregated counts. Each query is a chain of the CTEs it needs.
+pre-aggregated counts. Each query is a chain of the CTEs it needs. Averages are moved off rounding
+ties by 1e-9, as in registry.py: engines add doubles in different orders.
 """
 
 from __future__ import annotations
@@ -388,9 +389,9 @@ def oracle_sql() -> dict[str, str]:
         ),
         "band_stats": _sql(
             """
-            SELECT round(avg(speed), 6) AS mean_speed, round(stddev_samp(speed), 6) AS stddev_speed,
-              round(avg(travel_time), 6) AS mean_travel_time,
-              round(stddev_samp(travel_time), 6) AS stddev_travel_time
+            SELECT round(avg(speed) + 1e-9, 6) AS mean_speed, round(stddev_samp(speed) + 1e-9, 6) AS stddev_speed,
+              round(avg(travel_time) + 1e-9, 6) AS mean_travel_time,
+              round(stddev_samp(travel_time) + 1e-9, 6) AS stddev_travel_time
             FROM traffic_raw""",
             "traffic_raw",
         ),
@@ -518,8 +519,8 @@ def oracle_sql() -> dict[str, str]:
         "traffic_weather": _sql(
             """
             SELECT borough, crash_timestamp, count(*) AS view_rows,
-              round(avg(temperature_2m), 6) AS average_temperature,
-              round(avg(relative_humidity_2m), 6) AS average_humidity
+              round(avg(temperature_2m) + 1e-9, 6) AS average_temperature,
+              round(avg(relative_humidity_2m) + 1e-9, 6) AS average_humidity
             FROM traffic_weather GROUP BY 1, 2""",
             "traffic_weather",
         ),
@@ -527,12 +528,12 @@ def oracle_sql() -> dict[str, str]:
         "q01": _sql(
             f"""
             SELECT burrough, {_YEAR.format('weather_timestamp')} AS weather_year,
-              round(sum(rain), 4) AS total_rainfall, round(sum(snowfall), 4) AS total_snowfall,
-              max(snow_depth) AS max_snow_depth, round(avg(wind_gusts_10m), 4) AS avg_wind_gusts,
-              round(avg(wind_speed_10m), 6) AS avg_wind_speed,
-              round(avg(pressure_msl), 6) AS avg_pressure_msl,
-              round(avg(dew_point_2m), 6) AS avg_dew_point,
-              round(avg(relative_humidity_2m), 6) AS avg_rel_humidity
+              round(sum(rain) + 1e-9, 4) AS total_rainfall, round(sum(snowfall) + 1e-9, 4) AS total_snowfall,
+              max(snow_depth) AS max_snow_depth, round(avg(wind_gusts_10m) + 1e-9, 6) AS avg_wind_gusts,
+              round(avg(wind_speed_10m) + 1e-9, 6) AS avg_wind_speed,
+              round(avg(pressure_msl) + 1e-9, 6) AS avg_pressure_msl,
+              round(avg(dew_point_2m) + 1e-9, 6) AS avg_dew_point,
+              round(avg(relative_humidity_2m) + 1e-9, 6) AS avg_rel_humidity
             FROM weather GROUP BY 1, 2""",
             "weather",
         ),
@@ -618,7 +619,7 @@ def oracle_sql() -> dict[str, str]:
         "q12": _sql(
             """
             SELECT crash_timestamp - CAST(dayofweek(crash_timestamp) AS INTEGER) AS week_start,
-              week_part, speed_band, round(avg(speed), 6) AS avg_speed
+              week_part, speed_band, round(avg(speed) + 1e-9, 6) AS avg_speed
             FROM traffic GROUP BY 1, 2, 3""",
             "traffic",
         ),
@@ -647,15 +648,15 @@ def oracle_sql() -> dict[str, str]:
         "p1": _sql(
             """
             SELECT borough, crash_date, count(collision_id) AS total_crashes,
-              round(avg(temperature_2m), 6) AS average_temperature,
-              round(avg(wind_speed_10m), 6) AS average_wind_speed
+              round(avg(temperature_2m) + 1e-9, 6) AS average_temperature,
+              round(avg(wind_speed_10m) + 1e-9, 6) AS average_wind_speed
             FROM crash_weather GROUP BY 1, 2""",
             "crash_weather",
         ),
         "p2": _sql(
             """
             SELECT crash_date, count(collision_id) AS total_crashes,
-              round(avg(speed), 6) AS average_speed
+              round(avg(speed) + 1e-9, 6) AS average_speed
             FROM crash_traffic GROUP BY 1""",
             "crash_traffic",
         ),
@@ -683,21 +684,21 @@ def oracle_sql() -> dict[str, str]:
               FROM (SELECT collision_id, crash_date, borough, number_of_persons_injured,
                   number_of_persons_killed, temperature_2m, wind_speed_10m FROM crash_weather) m
                 JOIN vehicles v ON m.collision_id = v.collision_id AND m.crash_date = v.crash_date)
-            SELECT borough, vehicle_type, round(avg(vehicle_age), 6) AS average_vehicle_age,
-              round(avg(CASE WHEN number_of_persons_injured >= 3 THEN vehicle_age END), 6)
+            SELECT borough, vehicle_type, round(avg(vehicle_age) + 1e-9, 6) AS average_vehicle_age,
+              round(avg(CASE WHEN number_of_persons_injured >= 3 THEN vehicle_age END) + 1e-9, 6)
                 AS average_vehicle_age_high_impact,
-              round(avg(vehicle_age), 6) AS average_vehicle_age_by_type,
-              round(avg(CASE WHEN number_of_persons_killed > 0 THEN vehicle_age END), 6)
+              round(avg(vehicle_age) + 1e-9, 6) AS average_vehicle_age_by_type,
+              round(avg(CASE WHEN number_of_persons_killed > 0 THEN vehicle_age END) + 1e-9, 6)
                 AS average_vehicle_age_with_fatalities,
-              round(avg(temperature_2m), 6) AS average_temperature,
-              round(avg(wind_speed_10m), 6) AS average_wind_speed
+              round(avg(temperature_2m) + 1e-9, 6) AS average_temperature,
+              round(avg(wind_speed_10m) + 1e-9, 6) AS average_wind_speed
             FROM ages GROUP BY 1, 2""",
             "crash_weather",
         ),
         "factor_share": _sql(
             """
             SELECT borough, vehicle_contributing_factor, total_crashes,
-              round(total_crashes / sum(total_crashes) OVER (PARTITION BY borough), 6) AS share
+              round(total_crashes / sum(total_crashes) OVER (PARTITION BY borough) + 1e-9, 6) AS share
             FROM (SELECT borough, vehicle_contributing_factor, count(*) AS total_crashes
               FROM model GROUP BY 1, 2)""",
             "model",
