@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -32,6 +32,22 @@ def in_year(col: Column, year: int) -> Column:
     return date_range(col, dt.date(year, 1, 1), dt.date(year + 1, 1, 1))
 
 
+def dated(df: DataFrame, col: str, start: str | dt.date, end: str | dt.date) -> Column:
+    """`date_range` on a table's date column that also prunes its year partitions.
+
+    Prod tables are laid out by the year of that date, which the date predicate alone cannot use.
+    """
+    rows = date_range(F.col(col), start, end)
+    if "year" not in df.columns:
+        return rows
+    last_day = _day(end) - dt.timedelta(days=1)
+    return F.col("year").between(_day(start).year, last_day.year) & rows
+
+
+def dated_in_year(df: DataFrame, col: str, year: int) -> Column:
+    return dated(df, col, dt.date(year, 1, 1), dt.date(year + 1, 1, 1))
+
+
 def like(col: Column, pattern: str) -> Column:
     return col.like(pattern)
 
@@ -46,5 +62,9 @@ def ntz(value: dt.datetime) -> Column:
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+def _day(value: str | dt.date) -> dt.date:
+    return dt.date.fromisoformat(value) if isinstance(value, str) else value
+
+
 def _date(value: str | dt.date) -> Column:
-    return F.lit(dt.date.fromisoformat(value) if isinstance(value, str) else value)
+    return F.lit(_day(value))

@@ -2,50 +2,44 @@
 
 The star schema has no nulls, no text to parse and no aliases, so the adapters put some in, by rules
 over the row's own values. Order dates move forward 22 years into the range the reports ask for, and
-event times move back by up to 2,400 days so that readings fall on crash days.
+event times move back by 183 to 2,582 days so that readings fall on crash days.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import LOCATION_SCHEMA, LOCATIONS
 
-DAYS_BACK, DAYS_SPREAD = 183, 2400
-
-# The borough a region stands for: canonical name, and the alias some rows use instead.
-REGION_BOROUGHS = {
-    "AFRICA": ("Brooklyn", "Kings"),
-    "AMERICA": ("Manhattan", "New York"),
-    "ASIA": ("Queens", "queens"),
-    "EUROPE": ("Bronx", "bx"),
-    "MIDDLE EAST": ("Staten Island", "Richmond County"),
+# The test tables' columns. Given, they save a footer scan per table and query.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
 }
-BOROUGHS = [name for name, _ in REGION_BOROUGHS.values()]
-
-
-def _case(key: Column, mapping: dict, default: object = None) -> Column:
-    chain = F
-    for value, result in mapping.items():
-        chain = chain.when(key == value, F.lit(result))
-    return chain.otherwise(F.lit(default))
-
 
-def _null_if(cond: Column, col: Column) -> Column:
-    return F.when(~cond, col)
+CANONICAL = """CASE r_name WHEN 'AFRICA' THEN 'Brooklyn' WHEN 'AMERICA' THEN 'Manhattan'
+    WHEN 'ASIA' THEN 'Queens' WHEN 'EUROPE' THEN 'Bronx' ELSE 'Staten Island' END"""
+ALIAS = """CASE r_name WHEN 'AFRICA' THEN 'Kings' WHEN 'AMERICA' THEN 'New York'
+    WHEN 'ASIA' THEN 'queens' WHEN 'EUROPE' THEN 'bx' ELSE 'Richmond County' END"""
+CRASH_DAY = "string(date(o_orderdate + interval 22 years))"
 
 
-def _forward(col: Column) -> Column:
-    return col + F.expr("interval 22 years")
-
-
-def _clock(hours: Column, minutes: Column) -> Column:
-    return F.concat(
-        (hours % 24).cast("string"), F.lit(":"), F.lpad((minutes % 60).cast("string"), 2, "0")
-    )
+def _clock(hours: str, minutes: str) -> str:
+    return f"concat({hours} % 24, ':', lpad({minutes} % 60, 2, '0'))"
 
 
 @dataclass(frozen=True)
@@ -56,239 +50,174 @@ class Feeds:
     sf_dir: str
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
     def locations(self) -> DataFrame:
         return self.spark.createDataFrame(list(LOCATIONS), LOCATION_SCHEMA)
 
-    def _regions(self) -> DataFrame:
-        return self.table("nation").join(
-            self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")
-        )
+    def _join(self, left: DataFrame, right: str, left_key: str, right_key: str) -> DataFrame:
+        other = self.table(right)
+        return left.join(other, left[left_key] == other[right_key])
+
+    def _regions_of(self, df: DataFrame, nation_key: str) -> DataFrame:
+        nations = self._join(df, "nation", nation_key, "n_nationkey")
+        return self._join(nations, "region", "n_regionkey", "r_regionkey")
 
     def crashes(self) -> DataFrame:
-        key, status = F.col("o_orderkey"), F.col("o_orderstatus")
-        canonical = _case(F.col("r_name"), {r: c for r, (c, _) in REGION_BOROUGHS.items()})
-        alias = _case(F.col("r_name"), {r: a for r, (_, a) in REGION_BOROUGHS.items()})
-        orders = self.table("orders").join(
-            self.table("customer"), F.col("o_custkey") == F.col("c_custkey")
-        )
-        located = orders.join(self._regions(), F.col("c_nationkey") == F.col("n_nationkey"))
-        return located.select(
-            _forward(F.col("o_orderdate")).alias("crash_date"),
-            _clock(F.col("o_custkey"), key).alias("crash_time"),
-            F.when((status == "P") & (F.col("o_orderpriority") == "5-LOW"), F.lit(None))
-            .when(status == "F", alias)
-            .otherwise(canonical)
-            .alias("borough"),
-            (F.col("o_custkey") % 300 + 10000).cast("int").alias("zip_code"),
-            ((F.col("o_custkey") % 1000) / 1000.0 + 40.5).alias("latitude"),
-            ((F.col("o_custkey") % 1000) / 1000.0 - 74.5).alias("longitude"),
-            (key % 5).cast("int").alias("number_of_persons_injured"),
-            F.when(key % 10 == 3, F.lit(None))
-            .otherwise((key % 50 == 0).cast("int"))
-            .alias("number_of_persons_killed"),
-            (key % 2).cast("int").alias("number_of_pedestrians_injured"),
-            F.lit(0).alias("number_of_pedestrians_killed"),
-            (key % 3).cast("int").alias("number_of_cyclist_injured"),
-            F.lit(0).alias("number_of_cyclist_killed"),
-            (key % 4).cast("int").alias("number_of_motorist_injured"),
-            F.lit(0).alias("number_of_motorist_killed"),
-            _null_if(status == "P", F.col("o_orderpriority")).alias(
-                "contributing_factor_vehicle_1"
-            ),
-            _null_if(F.col("o_orderpriority") == "1-URGENT", F.lit("Sedan")).alias(
-                "vehicle_type_code1"
-            ),
-            F.when(status == "O", F.lit("Taxi")).alias("vehicle_type_code2"),
-            key.alias("collision_id"),
+        orders = self._join(self.table("orders"), "customer", "o_custkey", "c_custkey")
+        return self._regions_of(orders, "c_nationkey").selectExpr(
+            "o_orderdate + interval 22 years AS crash_date",
+            f"{_clock('o_custkey', 'o_orderkey')} AS crash_time",
+            f"""CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN NULL
+                WHEN o_orderstatus = 'F' THEN {ALIAS} ELSE {CANONICAL} END AS borough""",
+            "int(o_custkey % 300 + 10000) AS zip_code",
+            "double(o_custkey % 1000) / 1000 + 40.5D AS latitude",
+            "double(o_custkey % 1000) / 1000 - 74.5D AS longitude",
+            "int(o_orderkey % 5) AS number_of_persons_injured",
+            """CASE WHEN o_orderkey % 10 = 3 THEN NULL WHEN o_orderkey % 50 = 0 THEN 1 ELSE 0 END
+                AS number_of_persons_killed""",
+            "int(o_orderkey % 2) AS number_of_pedestrians_injured",
+            "0 AS number_of_pedestrians_killed",
+            "int(o_orderkey % 3) AS number_of_cyclist_injured",
+            "0 AS number_of_cyclist_killed",
+            "int(o_orderkey % 4) AS number_of_motorist_injured",
+            "0 AS number_of_motorist_killed",
+            "CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS contributing_factor_vehicle_1",
+            "CASE WHEN o_orderpriority <> '1-URGENT' THEN 'Sedan' END AS vehicle_type_code1",
+            "CASE WHEN o_orderstatus = 'O' THEN 'Taxi' END AS vehicle_type_code2",
+            "o_orderkey AS collision_id",
         )
 
     def _lines(self) -> DataFrame:
-        return self.table("lineitem").join(
-            self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey")
-        )
+        return self._join(self.table("lineitem"), "orders", "l_orderkey", "o_orderkey")
 
     def vehicles(self) -> DataFrame:
-        line = F.col("l_linenumber")
-        day = _forward(F.col("o_orderdate")).cast("date").cast("string")
-        parts = self._lines().join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
-        registered = parts.join(
-            self.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey")
-        ).join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        date_text = (
-            F.when(line % 3 == 0, day)
-            .when(line % 3 == 1, F.concat(day, F.lit("T00:00:00")))
-            .otherwise(F.concat(day, F.lit("T00:00:00.000")))
-        )
-        return registered.select(
-            F.col("l_orderkey").alias("collision_id"),
-            _null_if((line == 7) & (F.col("l_returnflag") == "N"), date_text).alias("crash_date"),
-            _null_if(line == 6, _clock(F.col("l_partkey"), F.col("l_suppkey"))).alias("crash_time"),
-            _null_if(line == 5, F.col("n_name")).alias("state_registration"),
-            _null_if(line == 4, F.col("p_size") + 1985).alias("vehicle_year"),
-            F.col("p_type").alias("vehicle_type"),
-            _case(
-                F.col("l_returnflag"),
-                {"R": "Making Left Turn", "A": "Going Straight Ahead", "N": "Making U Turn"},
-            ).alias("pre_crash"),
-            F.when(F.col("p_brand") == "Brand#1", "Lost Consciousness")
-            .when(F.col("p_brand") == "Brand#2", "Driver Inattention/Distraction")
-            .when(F.col("p_brand") == "Brand#3", F.lit(None))
-            .otherwise(F.col("p_brand"))
-            .alias("contributing_factor_1"),
-            F.when(line == 1, "No Damage")
-            .when(line == 2, "Other")
-            .when(line == 3, F.lit(None))
-            .when(F.col("l_linestatus") == "O", "Center Front End")
-            .otherwise("Left Rear Quarter Panel")
-            .alias("vehicle_damage"),
+        parts = self._join(self._lines(), "part", "l_partkey", "p_partkey")
+        suppliers = self._join(parts, "supplier", "l_suppkey", "s_suppkey")
+        return self._join(suppliers, "nation", "s_nationkey", "n_nationkey").selectExpr(
+            "l_orderkey AS collision_id",
+            f"""CASE WHEN l_linenumber = 7 AND l_returnflag = 'N' THEN NULL
+                WHEN l_linenumber % 3 = 0 THEN {CRASH_DAY}
+                WHEN l_linenumber % 3 = 1 THEN concat({CRASH_DAY}, 'T00:00:00')
+                ELSE concat({CRASH_DAY}, 'T00:00:00.000') END AS crash_date""",
+            f"CASE WHEN l_linenumber <> 6 THEN {_clock('l_partkey', 'l_suppkey')} END AS crash_time",
+            "CASE WHEN l_linenumber <> 5 THEN n_name END AS state_registration",
+            "CASE WHEN l_linenumber <> 4 THEN p_size + 1985 END AS vehicle_year",
+            "p_type AS vehicle_type",
+            """CASE l_returnflag WHEN 'R' THEN 'Making Left Turn'
+                WHEN 'A' THEN 'Going Straight Ahead' WHEN 'N' THEN 'Making U Turn' END
+                AS pre_crash""",
+            """CASE p_brand WHEN 'Brand#1' THEN 'Lost Consciousness'
+                WHEN 'Brand#2' THEN 'Driver Inattention/Distraction' WHEN 'Brand#3' THEN NULL
+                ELSE p_brand END AS contributing_factor_1""",
+            """CASE WHEN l_linenumber = 1 THEN 'No Damage' WHEN l_linenumber = 2 THEN 'Other'
+                WHEN l_linenumber = 3 THEN NULL WHEN l_linestatus = 'O' THEN 'Center Front End'
+                ELSE 'Left Rear Quarter Panel' END AS vehicle_damage""",
         )
 
     def persons(self) -> DataFrame:
-        line = F.col("l_linenumber")
-        day = _forward(F.col("o_orderdate")).cast("date").cast("string")
-        return self._lines().select(
-            F.col("l_orderkey").alias("collision_id"),
-            F.concat(day, F.lit(" 00:00:00.000000 UTC")).alias("crash_date"),
-            _clock(F.col("l_orderkey"), F.col("l_suppkey")).alias("crash_time"),
-            _case(
-                F.col("l_returnflag"), {"R": "Occupant", "A": "Pedestrian", "N": "Bicyclist"}
-            ).alias("person_type"),
-            _case(
-                line,
-                {1: "Killed", 2: "Injured", 3: "Unspecified", 4: None, 5: "Not Injured"},
-                "Injured",
-            ).alias("person_injury"),
-            F.col("l_partkey").alias("vehicle_id"),
-            _null_if(line == 7, F.col("l_quantity").cast("int") + 10).alias("person_age"),
-            _case(F.col("l_linestatus"), {"O": "Not Ejected"}, "Ejected").alias("ejection"),
-            _case(line % 4, {0: "Conscious", 1: "Shock", 2: "Unconscious"}).alias(
-                "emotional_status"
-            ),
-            F.when(F.col("o_orderpriority") == "1-URGENT", "Does Not Apply")
-            .when(F.col("o_orderpriority") == "2-HIGH", F.lit(None))
-            .otherwise(F.col("o_orderpriority"))
-            .alias("bodily_injury"),
-            _case(line, {1: "Driver"}, "Passenger").alias("position_in_vehicle"),
-            _null_if(line == 2, F.lit("Lap Belt")).alias("safety_equipment"),
-            _case(
-                F.col("l_suppkey") % 5,
-                {
-                    0: "Unspecified",
-                    1: None,
-                    2: "Driver Inexperience",
-                    3: "Unsafe Speed",
-                    4: "Pedestrian/Bicyclist/Other Pedestrian Error/Confusion",
-                },
-            ).alias("contributing_factor_1"),
-            F.concat(F.lit("Factor "), (F.col("l_suppkey") % 3).cast("string")).alias(
-                "contributing_factor_2"
-            ),
-            _case(F.col("l_linestatus"), {"O": "M"}, "F").alias("person_sex"),
+        return self._lines().selectExpr(
+            "l_orderkey AS collision_id",
+            f"concat({CRASH_DAY}, ' 00:00:00.000000 UTC') AS crash_date",
+            f"{_clock('l_orderkey', 'l_suppkey')} AS crash_time",
+            """CASE l_returnflag WHEN 'R' THEN 'Occupant' WHEN 'A' THEN 'Pedestrian'
+                WHEN 'N' THEN 'Bicyclist' END AS person_type""",
+            """CASE l_linenumber WHEN 1 THEN 'Killed' WHEN 2 THEN 'Injured' WHEN 3 THEN 'Unspecified'
+                WHEN 4 THEN NULL WHEN 5 THEN 'Not Injured' ELSE 'Injured' END AS person_injury""",
+            "l_partkey AS vehicle_id",
+            "CASE WHEN l_linenumber <> 7 THEN int(l_quantity) + 10 END AS person_age",
+            "CASE l_linestatus WHEN 'O' THEN 'Not Ejected' ELSE 'Ejected' END AS ejection",
+            """CASE l_linenumber % 4 WHEN 0 THEN 'Conscious' WHEN 1 THEN 'Shock'
+                WHEN 2 THEN 'Unconscious' END AS emotional_status""",
+            """CASE o_orderpriority WHEN '1-URGENT' THEN 'Does Not Apply' WHEN '2-HIGH' THEN NULL
+                ELSE o_orderpriority END AS bodily_injury""",
+            "CASE WHEN l_linenumber = 1 THEN 'Driver' ELSE 'Passenger' END AS position_in_vehicle",
+            "CASE WHEN l_linenumber <> 2 THEN 'Lap Belt' END AS safety_equipment",
+            """CASE l_suppkey % 5 WHEN 0 THEN 'Unspecified' WHEN 2 THEN 'Driver Inexperience'
+                WHEN 3 THEN 'Unsafe Speed'
+                WHEN 4 THEN 'Pedestrian/Bicyclist/Other Pedestrian Error/Confusion' END
+                AS contributing_factor_1""",
+            "concat('Factor ', l_suppkey % 3) AS contributing_factor_2",
+            "CASE l_linestatus WHEN 'O' THEN 'M' ELSE 'F' END AS person_sex",
         )
 
     def weather(self) -> DataFrame:
-        line, quantity = F.col("l_linenumber"), F.col("l_quantity")
-        located = (
-            self.table("lineitem")
-            .join(self.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-            .join(self._regions(), F.col("s_nationkey") == F.col("n_nationkey"))
-        )
-        hour = F.make_dt_interval(hours=(F.col("l_partkey") % 24).cast("int"))
-        stamp = (_forward(F.col("l_shipdate")) + hour).cast("string")
-        missing_date = (line == 7) & (F.col("l_linestatus") == "F")
-        return located.select(
-            _null_if(missing_date, F.concat(stamp, F.lit("+00:00"))).alias("date"),
-            F.when(line == 6, "n/a")
-            .otherwise(F.concat(quantity.cast("int").cast("string"), F.lit(".0 m asl")))
-            .alias("elevation"),
-            _case(F.col("r_name"), {r: c for r, (c, _) in REGION_BOROUGHS.items()}).alias(
-                "burrough"
-            ),
-            (F.col("l_suppkey") * 0.0002 + 40.71003).alias("lattitude"),
-            (F.col("l_suppkey") * 0.0002 - 74.00003).alias("longitude"),
-            _null_if(line == 5, quantity - 20.123).alias("temperature_2m"),
-            _null_if(line == 4, quantity * 2).alias("relative_humidity_2m"),
-            (quantity - 25).alias("dew_point_2m"),
-            (quantity - 22).alias("apparent_temperature"),
-            (F.col("l_discount") + F.col("l_tax")).alias("precipitation"),
-            (F.col("l_discount") + 0.0).alias("rain"),
-            (F.col("l_tax") + 0.0).alias("snowfall"),
-            (F.col("l_tax") * 10 + 0.0).alias("snow_depth"),
-            line.cast("double").alias("weather_code"),
-            _null_if(line == 3, quantity + 988).alias("pressure_msl"),
-            (quantity + 980).alias("surface_pressure"),
-            (quantity * 2).alias("cloud_cover"),
-            (quantity / 2).alias("wind_speed_10m"),
-            F.col("l_extendedprice").alias("wind_gusts_10m"),
-            (F.col("l_partkey") % 2).cast("double").alias("is_day"),
-            (quantity * 60).alias("sunshine_duration"),
+        lines = self._join(self.table("lineitem"), "supplier", "l_suppkey", "s_suppkey")
+        stamp = "l_shipdate + interval 22 years + (l_partkey % 24) * interval 1 hour"
+        return self._regions_of(lines, "s_nationkey").selectExpr(
+            f"""CASE WHEN l_linenumber = 7 AND l_linestatus = 'F' THEN NULL
+                ELSE concat(string({stamp}), '+00:00') END AS date""",
+            """CASE WHEN l_linenumber = 6 THEN 'n/a'
+                ELSE concat(int(l_quantity), '.0 m asl') END AS elevation""",
+            f"{CANONICAL} AS burrough",
+            "l_suppkey * 0.0002D + 40.71003D AS lattitude",
+            "l_suppkey * 0.0002D - 74.00003D AS longitude",
+            "CASE WHEN l_linenumber <> 5 THEN l_quantity - 20.123D END AS temperature_2m",
+            "CASE WHEN l_linenumber <> 4 THEN l_quantity * 2 END AS relative_humidity_2m",
+            "l_quantity - 25 AS dew_point_2m",
+            "l_quantity - 22 AS apparent_temperature",
+            "l_discount + l_tax AS precipitation",
+            "l_discount + 0.0D AS rain",
+            "l_tax + 0.0D AS snowfall",
+            "l_tax * 10 + 0.0D AS snow_depth",
+            "double(l_linenumber) AS weather_code",
+            "CASE WHEN l_linenumber <> 3 THEN l_quantity + 988 END AS pressure_msl",
+            "l_quantity + 980 AS surface_pressure",
+            "l_quantity * 2 AS cloud_cover",
+            "l_quantity / 2 AS wind_speed_10m",
+            "l_extendedprice AS wind_gusts_10m",
+            "double(l_partkey % 2) AS is_day",
+            "l_quantity * 60 AS sunshine_duration",
         )
 
     def traffic(self) -> DataFrame:
-        back = F.make_dt_interval(
-            days=(F.col("event_id") % DAYS_SPREAD + DAYS_BACK).cast("int")
-        )
-        stamp = F.translate((F.col("ts") - back).cast("string"), " ", "T")
-        unreadable = (F.col("event_type") == "signup") & (F.col("user_id") % 7 == 0)
-        absent = F.lit(None).cast("string")
-        return self.table("events").select(
-            F.col("event_id").cast("int").alias("id"),
-            F.col("value").alias("speed"),
-            F.floor(F.col("value") * 10).cast("int").alias("travel_time"),
-            (F.col("user_id") % 2).cast("int").alias("status"),
-            F.when(unreadable, "n/a").otherwise(stamp).alias("data_as_of"),
-            F.col("user_id").cast("string").alias("link_id"),
-            absent.alias("link_points"),
-            absent.alias("encoded_poly_line"),
-            absent.alias("encoded_poly_line_lvls"),
-            _null_if(F.col("event_type") == "view", F.lit("NYC_DOT")).alias("owner"),
-            absent.alias("transcom_id"),
-            _case(F.col("user_id") % 5, dict(enumerate(BOROUGHS))).alias("borough"),
-            F.col("event_type").alias("link_name"),
+        stamp = "ts - (event_id % 2400 + 183) * interval 1 day"
+        return self.table("events").selectExpr(
+            "int(event_id) AS id",
+            "value AS speed",
+            "int(floor(value * 10)) AS travel_time",
+            "int(user_id % 2) AS status",
+            f"""CASE WHEN event_type = 'signup' AND user_id % 7 = 0 THEN 'n/a'
+                ELSE translate(string({stamp}), ' ', 'T') END AS data_as_of""",
+            "string(user_id) AS link_id",
+            "string(NULL) AS link_points",
+            "string(NULL) AS encoded_poly_line",
+            "string(NULL) AS encoded_poly_line_lvls",
+            "CASE WHEN event_type <> 'view' THEN 'NYC_DOT' END AS owner",
+            "string(NULL) AS transcom_id",
+            """CASE user_id % 5 WHEN 0 THEN 'Brooklyn' WHEN 1 THEN 'Manhattan' WHEN 2 THEN 'Queens'
+                WHEN 3 THEN 'Bronx' ELSE 'Staten Island' END AS borough""",
+            "event_type AS link_name",
         )
 
     def taxi(self) -> DataFrame:
-        line = F.col("l_linenumber")
-
-        def plus_seconds(day: Column, key: Column, step: int) -> Column:
-            return day + F.make_dt_interval(secs=key * step % 86400)
-
-        return self._lines().select(
-            (line % 3 + 1).alias("VendorID"),
-            plus_seconds(F.col("o_orderdate"), F.col("l_suppkey"), 37).alias(
-                "tpep_pickup_datetime"
-            ),
-            plus_seconds(F.col("l_shipdate"), F.col("l_partkey"), 53).alias(
-                "tpep_dropoff_datetime"
-            ),
-            line.alias("passenger_count"),
-            F.col("l_quantity").alias("trip_distance"),
-            _null_if((line == 2) & (F.col("l_returnflag") == "A"), line).alias("RatecodeID"),
-            _null_if(line == 3, _case(F.col("l_linestatus"), {"O": "Y"}, "N")).alias(
-                "store_and_fwd_flag"
-            ),
-            (F.col("l_suppkey") % 265).cast("int").alias("PULocationID"),
-            (F.col("l_partkey") % 265).cast("int").alias("DOLocationID"),
-            (line % 7).alias("payment_type"),
-            F.col("l_extendedprice").alias("fare_amount"),
-            (F.col("l_discount") + 0.0).alias("extra"),
-            (F.col("l_tax") + 0.0).alias("mta_tax"),
-            (F.col("l_quantity") / 4).alias("tip_amount"),
-            (F.col("l_quantity") / 8).alias("tolls_amount"),
-            F.lit(0.5).alias("improvement_surcharge"),
-            F.col("o_totalprice").alias("total_amount"),
-            F.lit(2.5).alias("congestion_surcharge"),
-            F.lit(1.25).alias("airport_fee"),
+        return self._lines().selectExpr(
+            "l_linenumber % 3 + 1 AS VendorID",
+            "o_orderdate + (l_suppkey * 37 % 86400) * interval 1 second AS tpep_pickup_datetime",
+            "l_shipdate + (l_partkey * 53 % 86400) * interval 1 second AS tpep_dropoff_datetime",
+            "l_linenumber AS passenger_count",
+            "l_quantity AS trip_distance",
+            "CASE WHEN l_linenumber = 2 AND l_returnflag = 'A' THEN NULL ELSE l_linenumber END AS RatecodeID",
+            """CASE WHEN l_linenumber = 3 THEN NULL WHEN l_linestatus = 'O' THEN 'Y' ELSE 'N' END
+                AS store_and_fwd_flag""",
+            "int(l_suppkey % 265) AS PULocationID",
+            "int(l_partkey % 265) AS DOLocationID",
+            "l_linenumber % 7 AS payment_type",
+            "l_extendedprice AS fare_amount",
+            "l_discount + 0.0D AS extra",
+            "l_tax + 0.0D AS mta_tax",
+            "l_quantity / 4 AS tip_amount",
+            "l_quantity / 8 AS tolls_amount",
+            "0.5D AS improvement_surcharge",
+            "o_totalprice AS total_amount",
+            "2.5D AS congestion_surcharge",
+            "1.25D AS airport_fee",
         )
 
     def run_log(self) -> DataFrame:
-        return self.table("events").select(
-            F.col("event_type").alias("process_name"),
-            F.when(F.col("user_id") % 3 != 0, "Success").otherwise("Failure").alias(
-                "process_status"
-            ),
-            F.col("ts").alias("insert_ts"),
-            _null_if(F.col("user_id") % 11 == 0, F.col("ts")).alias("last_timestamp_loaded"),
+        return self.table("events").selectExpr(
+            "event_type AS process_name",
+            "CASE WHEN user_id % 3 <> 0 THEN 'Success' ELSE 'Failure' END AS process_status",
+            "ts AS insert_ts",
+            "CASE WHEN user_id % 11 <> 0 THEN ts END AS last_timestamp_loaded",
         )

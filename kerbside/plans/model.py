@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.derive import canonicalize
-from ..functions.predicates import in_year
+from ..functions.predicates import dated_in_year, in_year
 from ..operators.eager import counted, measured
 from ..operators.joins import CELL, hot_keys, split_join, spread
 
@@ -188,7 +188,10 @@ class DayView:
         )
 
     def _side(self, *columns: str) -> DataFrame:
-        return self.side.select(
+        side = self.side
+        if self.year is not None:
+            side = side.filter(dated_in_year(side, self.side_day, self.year))
+        return side.select(
             F.col(self.side_place).alias("_place"),
             F.col(self.side_day).cast("date").alias("_day"),
             *columns,

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.predicates import date_range, in_list, known, not_in
+from ..functions.predicates import date_range, dated, in_list, known, not_in
 from ..operators.eager import counted, pair_average, weighted_average
 from ..operators.grouping import by_period, share_of, top_k_per_group
 from .model import ROWS, DayView, Model
@@ -207,7 +207,7 @@ def q14(vehicles: DataFrame, dates: tuple[str, str] = DAMAGE_RANGE) -> DataFrame
     """Pre-crash action against vehicle damage."""
     return (
         vehicles.filter(
-            date_range(F.col("crash_date"), *dates)
+            dated(vehicles, "crash_date", *dates)
             & not_in(F.col("vehicle_damage"), UNTOLD_DAMAGE)
         )
         .groupBy("pre_crash", "vehicle_damage")
@@ -220,7 +220,7 @@ def q15(vehicles: DataFrame, dates: tuple[str, str] = STATE_RANGE) -> DataFrame:
     return (
         vehicles.filter(
             not_in(F.col("state_registration"), ["Unknown"])
-            & date_range(F.col("crash_date"), *dates)
+            & dated(vehicles, "crash_date", *dates)
             & in_list(F.col("high_impact_crash"), ["Yes"])
         )
         .groupBy("state_registration")
