@@ -1,73 +1,105 @@
-"""Row-level joins that stay balanced when a few keys hold much of the data."""
+"""Row-level joins that stay balanced when a few keys hold much of the data.
+
+Keys with more rows than one task should take are hot. Cold keys join as usual. A hot key gets a grid
+of cells, `_rows` by `_columns`, sized from its exact row counts on the two sides: the left rows are
+dealt over the rows of the grid and repeated along its columns, the right rows the other way round,
+so every pair meets in exactly one cell. Everything depends on row values and counts alone, never on
+row order, so work redone after a lost executor lands where it was.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key above this share of its side counts as hot. At most 1/HOT_SHARE keys can qualify, which is
-# what bounds the list handed to the executors.
-HOT_SHARE = 0.001
-GRID = 8
-CELL = ("_cell_row", "_cell_column")
+# Rows of one key that one task may hold. A side of n rows has at most n / HOT_ROWS hot keys, which
+# is the bound on what the joins below broadcast.
+HOT_ROWS = 1_000_000
+# Copies of one and the same row are dealt in packs of this many.
+PACK = 1_000
 
+ROWS, COLUMNS = "_rows", "_columns"
+ROW, COLUMN = "_row", "_column"
 
-def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> Column:
-    """Hashes of the heavy keys, as a one-row scalar subquery.
 
-    A mergeable heavy-hitter sketch over the key columns only: one pruned scan, no shuffle by key.
-    The sketch is approximate, and may be: the list decides how rows are spread, never which match.
-    """
-    limit = int(1 / share)
-    sketch = df.agg(
-        F.expr(f"approx_top_k(xxhash64({', '.join(f'`{c}`' for c in on)}), {limit}, {limit * 10})")
-        .alias("top"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    heavy = F.filter("top", lambda item: item["count"] > F.col("n") * F.lit(share))
-    return sketch.select(F.transform(heavy, lambda item: item["item"]).alias("hot")).scalar()
+def key_counts(df: DataFrame, on: Sequence[str]) -> DataFrame:
+    return df.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
 
 
-def spread(
-    df: DataFrame, on: Sequence[str], hot: Sequence[Column], role: str, grid: int = GRID
+def hot_grid(
+    left_counts: DataFrame, right_counts: DataFrame, on: Sequence[str], rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Give every row its place in a grid of cells per hot key; other keys have the one cell (0, 0).
+    """The hot keys of either side with the size of their grid."""
 
-    role="rows" deals the hot rows over the grid's rows and repeats them along its columns,
-    role="columns" the other way round, role="all" repeats them in every cell. Frames joined on the
-    key plus `CELL` then meet exactly once per pair. Dealing hashes the row's own values, so a task
-    rerun after a lost executor deals the same way.
-    """
-    key = F.xxhash64(*[F.col(c) for c in on])
-    is_hot = reduce(lambda a, b: a | b, [F.array_contains(h, key) for h in hot])
-    one = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(grid)).cast("int")
-    every = F.sequence(F.lit(0), F.lit(grid - 1))
-    none = F.array(F.lit(0))
-    row, column = [
-        F.explode(F.when(is_hot, F.array(one) if role == dealt else every).otherwise(none))
-        for dealt in ("rows", "columns")
-    ]
-    return df.withColumn(CELL[0], row).withColumn(CELL[1], column)
+    def hot(counts: DataFrame, axis: str, other: str) -> DataFrame:
+        cells = F.ceil(F.col("n") / F.lit(rows)).cast("int")
+        return counts.filter(F.col("n") > rows).select(
+            *on, cells.alias(axis), F.lit(1).alias(other)
+        )
+
+    either = hot(left_counts, ROWS, COLUMNS).unionByName(hot(right_counts, COLUMNS, ROWS))
+    return either.groupBy(*on).agg(F.max(ROWS).alias(ROWS), F.max(COLUMNS).alias(COLUMNS))
+
+
+def cold(df: DataFrame, grid: DataFrame, on: Sequence[str]) -> DataFrame:
+    """The rows of the other keys."""
+    return df.join(F.broadcast(grid.select(*on)), list(on), "left_anti")
+
+
+def deal(df: DataFrame, grid: DataFrame, on: Sequence[str], axis: str, copies: str) -> DataFrame:
+    """The hot rows, each in one cell along `axis`; equal rows travel as packs counted in `copies`."""
+    packs = (
+        df.join(F.broadcast(grid), list(on))
+        .groupBy(*df.columns, ROWS, COLUMNS)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_pack", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / PACK))))
+        .withColumn(copies, F.least(F.lit(PACK), F.col("_n") - F.col("_pack") * PACK))
+    )
+    cell = F.pmod(F.xxhash64(*df.columns, "_pack"), F.col(axis)).cast("int")
+    return packs.withColumn(ROW if axis == ROWS else COLUMN, cell).drop("_n", "_pack")
+
+
+def repeat(df: DataFrame, axis: str) -> DataFrame:
+    """Every row once per cell along `axis`."""
+    cells = F.sequence(F.lit(0), F.col(axis) - 1)
+    return df.withColumn(ROW if axis == ROWS else COLUMN, F.explode(cells))
+
+
+def unpack(df: DataFrame, *copies: str) -> DataFrame:
+    """One row per combination of the packed copies."""
+    total = F.lit(1).cast("bigint")
+    for c in copies:
+        total = total * F.col(c)
+    spare = [*copies, ROWS, COLUMNS, ROW, COLUMN]
+    return df.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), total))).drop(
+        "_copy", *spare
+    )
 
 
 def split_join(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[str],
-    hot: Sequence[Column] | None = None,
-    grid: int = GRID,
-    share: float = HOT_SHARE,
+    left_counts: DataFrame | None = None,
+    right_counts: DataFrame | None = None,
+    rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Inner equi-join, same rows as `left.join(right, on)`, with each hot key spread over a grid.
+    """Inner equi-join, same rows as `left.join(right, on)`.
 
-    `hot` are hot-key lists made by `hot_keys`; by default both sides are sketched.
+    The counts (key columns and `n`) may be given where they can be had cheaper than by counting.
+    Without hot keys the second branch is empty, which AQE sees before it starts it.
     """
-    hot = hot or [hot_keys(left, on, share), hot_keys(right, on, share)]
-    return (
-        spread(left, on, hot, "rows", grid)
-        .join(spread(right, on, hot, "columns", grid), [*on, *CELL])
-        .drop(*CELL)
+    on = list(on)
+    grid = hot_grid(
+        key_counts(left, on) if left_counts is None else left_counts,
+        key_counts(right, on) if right_counts is None else right_counts,
+        on,
+        rows,
     )
+    usual = cold(left, grid, on).join(cold(right, grid, on), on)
+    spread_left = repeat(deal(left, grid, on, ROWS, "_left_copies"), COLUMNS)
+    spread_right = repeat(deal(right, grid, on, COLUMNS, "_right_copies"), ROWS).drop(ROWS, COLUMNS)
+    hot = spread_left.join(spread_right, [*on, ROW, COLUMN])
+    return usual.unionByName(unpack(hot, "_left_copies", "_right_copies"))

@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 from ..functions.derive import canonicalize
 from ..functions.predicates import dated_in_year, in_year
 from ..operators.eager import counted, measured
-from ..operators.joins import CELL, hot_keys, split_join, spread
+from ..operators.joins import COLUMN, HOT_ROWS, ROW, cold, deal, hot_grid, key_counts, repeat
+from ..operators.joins import COLUMNS as COLUMNS_AXIS
+from ..operators.joins import ROWS as ROWS_AXIS
+from ..operators.joins import split_join, unpack
 
 # Lower-case aliases of the borough names.
 BOROUGH_ALIASES = {
@@ -80,24 +83,27 @@ class CrashModel:
     crashes: DataFrame
     vehicles: DataFrame
     persons: DataFrame
+    hot_rows: int = HOT_ROWS
 
     def rows(self) -> DataFrame:
         crashes = standardize_boroughs(self.crashes)
         vehicles = _renamed(self.vehicles, VEHICLE_SIDE, list(VEHICLE_SIDE))
         persons = _renamed(self.persons, PERSON_SIDE, list(PERSON_SIDE))
         key = ["collision_id"]
-        hot = [hot_keys(vehicles, key), hot_keys(persons, key)]
-        on = [*key, *CELL]
-        return (
-            spread(crashes, key, hot, "all")
-            .join(spread(vehicles, key, hot, "rows"), on)
-            .join(spread(persons, key, hot, "columns"), on)
-            .select(*crashes.columns, *VEHICLE_SIDE, *PERSON_SIDE)
+        grid = hot_grid(key_counts(vehicles, key), key_counts(persons, key), key, self.hot_rows)
+        usual = (
+            cold(crashes, grid, key)
+            .join(cold(vehicles, grid, key), key)
+            .join(cold(persons, grid, key), key)
         )
-
-    def day_keys(self) -> DataFrame:
-        """A cheap frame whose heavy (borough, day) keys are the model's."""
-        return standardize_boroughs(self.crashes)
+        # Hot collisions: the crash goes wherever its vehicles are dealt, then both meet the persons.
+        placed = repeat(crashes.join(F.broadcast(grid), key), ROWS_AXIS).drop(ROWS_AXIS, COLUMNS_AXIS)
+        dealt = deal(vehicles, grid, key, ROWS_AXIS, "_v_copies")
+        left = repeat(placed.join(dealt, [*key, ROW]), COLUMNS_AXIS)
+        right = repeat(deal(persons, grid, key, COLUMNS_AXIS, "_p_copies"), ROWS_AXIS)
+        hot = left.join(right.drop(ROWS_AXIS, COLUMNS_AXIS), [*key, ROW, COLUMN])
+        joined = usual.unionByName(unpack(hot, "_v_copies", "_p_copies"))
+        return joined.select(*crashes.columns, *VEHICLE_SIDE, *PERSON_SIDE)
 
     def counted(self, *columns: str) -> DataFrame:
         """The wanted columns and how many model rows stand behind each combination.
@@ -129,9 +135,6 @@ class ModelTable:
     def rows(self) -> DataFrame:
         return self.table
 
-    def day_keys(self) -> DataFrame:
-        return self.table
-
     def counted(self, *columns: str) -> DataFrame:
         return counted(self.table, columns, ROWS)
 
@@ -150,13 +153,19 @@ class DayView:
     side_columns: tuple[str, ...]
     year: int | None = None
     place: str = "standardized_borough"
+    hot_rows: int = HOT_ROWS
 
     def rows(self) -> DataFrame:
         rows = self.model.rows()
         if self.year is not None:
             rows = rows.filter(in_year(F.col("crash_date"), self.year))
-        hot = [hot_keys(self._keyed(self.model.day_keys()), DAY), hot_keys(self._side(), DAY)]
-        joined = split_join(self._keyed(rows), self._side(*self.side_columns), DAY, hot)
+        joined = split_join(
+            self._keyed(rows),
+            self._side(*self.side_columns),
+            DAY,
+            left_counts=self.days().withColumnRenamed("_model", "n"),
+            rows=self.hot_rows,
+        )
         return joined.select(*rows.columns, *self.side_columns)
 
     def counted(self, *columns: str) -> DataFrame:
@@ -219,8 +228,6 @@ class TrafficTable:
     def rows(self) -> DataFrame:
         return self.traffic.withColumn("crash_date", F.col("crash_timestamp"))
 
-    day_keys = rows
-
     def counted(self, *columns: str) -> DataFrame:
         return counted(self.rows(), columns, ROWS)
 

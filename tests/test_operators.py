@@ -147,32 +147,39 @@ def test_by_period_refuses_the_source_name(spark):
 
 
 def skewed(spark, n, seed):
-    """A third of the rows on one key, some null keys, some exact copies."""
+    """A third of the rows on one key, some null keys, many exact copies."""
     key = F.when(F.col("id") % 3 == 0, F.lit(1)).when(F.col("id") % 50 == 1, F.lit(None)).otherwise(F.col("id") % 40)
     return spark.range(n).select(key.alias("k"), (F.col("id") * seed % 17).alias(f"v{seed}"))
 
 
-@pytest.mark.parametrize("share", [0.0001, 0.01, 0.2, 0.9])
-def test_split_join_is_the_plain_join(spark, share):
+@pytest.mark.parametrize("rows", [1, 7, 50, 150, 10_000])
+def test_split_join_is_the_plain_join(spark, monkeypatch, rows):
+    monkeypatch.setattr(joins, "PACK", 3)
     left, right = skewed(spark, 600, 5), skewed(spark, 300, 7)
     want = Counter(map(tuple, left.join(right, ["k"]).collect()))
-    got = Counter(map(tuple, joins.split_join(left, right, ["k"], grid=4, share=share).collect()))
+    got = Counter(map(tuple, joins.split_join(left, right, ["k"], rows=rows).collect()))
     assert got == want and sum(want.values()) > 0
 
 
-def test_hot_key_spreads_over_the_grid(spark):
-    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"), "id")
-    hot = joins.hot_keys(df, ["k"])
-    dealt = joins.spread(df, ["k"], [hot], "rows")
-    cells = dealt.filter("k = 1 and id % 3 = 0").groupBy(*joins.CELL).count().collect()
-    assert len(cells) == joins.GRID**2
-    assert max(r["count"] for r in cells) < 1000 / joins.GRID * 2
-    assert dealt.filter("k <> 1").count() == df.filter("k <> 1").count()
-
-
-def test_hot_keys_of_even_data_is_empty(spark):
-    even = spark.range(100_000).withColumnRenamed("id", "k")
-    assert even.limit(1).select(joins.hot_keys(even, ["k"])).first()[0] == []
+def test_hot_key_is_dealt_evenly(spark):
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"), "id")
+    other = spark.range(10).withColumnRenamed("id", "k")
+    grid = joins.hot_grid(joins.key_counts(df, ["k"]), joins.key_counts(other, ["k"]), ["k"], 1000)
+    # Key 1 holds 10,001 rows: eleven rows of cells, one column. The number of hot keys is bounded.
+    assert grid.collect() == [(1, 11, 1)]
+    cells = joins.deal(df, grid, ["k"], joins.ROWS, "copies").groupBy(joins.ROW).count().collect()
+    assert len(cells) == 11 and max(r["count"] for r in cells) < 1300
+    assert joins.cold(df, grid, ["k"]).count() == 30_000 - 10_001
+
+
+def test_copies_of_one_row_are_dealt_evenly(spark, monkeypatch):
+    monkeypatch.setattr(joins, "PACK", 10)
+    df = spark.range(5000).select(F.lit(1).alias("k"), F.lit("same").alias("v"))
+    grid = joins.hot_grid(joins.key_counts(df, ["k"]), joins.key_counts(df, ["k"]), ["k"], 1000)
+    dealt = joins.deal(df, grid, ["k"], joins.ROWS, "copies")
+    per_cell = dealt.groupBy(joins.ROW).agg(F.sum("copies").alias("n")).collect()
+    assert len(per_cell) == 5 and sum(r["n"] for r in per_cell) == 5000
+    assert max(r["n"] for r in per_cell) < 1500
 
 
 def test_sample_deviation_is_used(spark):
