@@ -714,9 +714,12 @@ def oracle_sql() -> dict[str, str]:
             "traffic_raw",
         ),
         "run_metrics": """
-            SELECT concat('ingest-', event_type) AS process_name, 'Success' AS process_status,
-              count(*) AS processed_rows, max(ts) AS last_timestamp_loaded
-            FROM events GROUP BY event_type""",
+            SELECT 'load-orders' AS process_name, 'Success' AS process_status,
+              count(*) AS processed_rows, max(o_orderdate) AS last_timestamp_loaded FROM orders
+            UNION ALL
+            SELECT 'load-lineitem', 'Success', count(*), max(l_shipdate) FROM lineitem
+            UNION ALL
+            SELECT 'load-events', 'Success', count(*), max(ts) FROM events""",
         "incremental_load": """
             SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS readings,
               round(sum(value), 6) AS total

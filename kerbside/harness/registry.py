@@ -329,12 +329,12 @@ def _lake(f: Feeds, label: str) -> Lake:
 
 
 def file_stream_load(f: Feeds) -> DataFrame:
-    """Readings land as JSON files, a stream drains them in byte-bounded batches, a rerun adds none."""
+    """Readings land as JSON files, a stream drains them in byte-bounded batches; a rerun adds none."""
     lake = _lake(f, "stream")
     landing, checkpoint = f"{lake.root}/landing", f"{lake.root}/checkpoint"
-    f.traffic().repartition(6, "id").write.json(landing)
+    f.traffic().write.json(landing)
     for _ in range(2):
-        load_stream(lake, "traffic", "json", landing, checkpoint, max_bytes=512 * 1024**2)
+        load_stream(lake, "traffic", "json", landing, checkpoint)
     return lake.read_table("raw", "traffic").select(
         "id", "speed", "travel_time", "status",
         F.substring("data_as_of", 1, 19).alias("data_as_of"), "owner", "borough", "link_name",
@@ -342,17 +342,12 @@ def file_stream_load(f: Feeds) -> DataFrame:
 
 
 def run_metrics(f: Feeds) -> DataFrame:
-    """One logged load per event type; the figures come from the writes themselves."""
+    """One logged load per table; the figures come from the writes themselves."""
     lake = _lake(f, "runlog")
-    events = f.table("events").select("event_type", "ts", "value")
-    for (kind,) in events.select("event_type").distinct().collect():
-        with logged_run(lake, f"ingest-{kind}") as run:
-            metrics = lake.append(
-                events.filter(F.col("event_type") == kind),
-                "raw",
-                "events",
-                metrics=[F.max("ts").alias("newest")],
-            )
+    for name, ts in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"), ("events", "ts")):
+        with logged_run(lake, f"load-{name}") as run:
+            newest = F.max(ts).alias("newest")
+            metrics = lake.append(f.table(name), "raw", name, metrics=[newest])
             run.rows, run.last_timestamp = metrics["rows"], metrics["newest"]
     return read_log(lake).select(
         "process_name", "process_status", "processed_rows", "last_timestamp_loaded"
