@@ -18,7 +18,7 @@ from ..session import scratch_dir
 from ..sources import readers
 from ..sources.runlog import logged_run, read_log
 from ..sources.tables import Lake
-from ..streaming.load import load_stream
+from ..streaming.load import LAYER, load_stream
 from .adapters import Feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -335,7 +335,7 @@ def file_stream_load(f: Feeds) -> DataFrame:
     f.traffic().write.json(landing)
     for _ in range(2):
         load_stream(lake, "traffic", "json", landing, checkpoint)
-    return lake.read_table("raw", "traffic").select(
+    return lake.read_table(LAYER, "traffic").select(
         "id", "speed", "travel_time", "status",
         F.substring("data_as_of", 1, 19).alias("data_as_of"), "owner", "borough", "link_name",
     )
@@ -397,7 +397,7 @@ def _batch(f: Feeds, dataset: str, fmt: str, **options: bool) -> DataFrame:
     writer.format(fmt).save(folder)
     paths = readers.landing_glob(lake.root, dataset, "part-")
     loads.load_batch(lake, dataset, fmt, paths, day, **options)
-    return lake.read_table("raw", dataset)
+    return lake.read_table("raw", dataset).drop("load_batch")
 
 
 def batch_load_weather(f: Feeds) -> DataFrame:

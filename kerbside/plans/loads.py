@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.clean import bad_value_counts, conform
@@ -20,12 +20,19 @@ WINDOW_DAYS = {"crashes": 60, "vehicles": 60, "persons": 60, "weather": 60, "tra
 
 
 def load_batch(
-    lake: Lake, dataset: str, fmt: str, paths: Paths, day: str | None = None, **options: bool
+    lake: Lake,
+    dataset: str,
+    fmt: str,
+    paths: Paths,
+    day: str | None = None,
+    batch: str | None = None,
+    **options: bool,
 ) -> dict:
     """Landing files to the raw table, with a typed parquet archive of the batch.
 
-    The text is parsed once, into the archive; the raw table is appended from that columnar copy.
-    Returns the row count, the unreadable values per column and the columns the files lack.
+    The text is parsed once, into the archive; the raw table takes that columnar copy, as a partition
+    named after the batch. Name the batch (by default it is the start time) and a repeated load
+    replaces it. Returns the row count, the unreadable values per column and the missing columns.
     """
     types = CASTS[dataset]
     with logged_run(lake, f"load-{dataset}") as run:
@@ -35,9 +42,9 @@ def load_batch(
             quality, F.count(F.lit(1)).alias("landed"), *bad_value_counts(landed, types)
         )
         typed, missing = conform(checked, types)
-        batch_id = run.start.strftime("%Y_%m_%d_%H_%M_%S_%f")
-        batch, _ = lake.archive(typed, dataset, day or now().date().isoformat(), batch_id)
-        run.rows = lake.append(batch, "raw", dataset)["rows"]
+        name = batch or run.start.strftime("b%Y_%m_%d_%H_%M_%S_%f")
+        copy, _ = lake.archive(typed, dataset, day or now().date().isoformat(), name)
+        run.rows = _replace(lake, copy, dataset, "load_batch", F.lit(name))
     return {"rows": run.rows, "missing": missing, **quality.get}
 
 
@@ -58,7 +65,7 @@ def load_increment(
         start = resume_from(lake, run.process, default_start)
         run.last_timestamp = slice_end(start, days or WINDOW_DAYS[name])
         window = time_slice(source, ts, start, days or WINDOW_DAYS[name], closed)
-        run.rows = _replace_window(lake, window, name, start)
+        run.rows = _replace(lake, window, name, "window_start", F.lit(start.date()))
     return run
 
 
@@ -69,7 +76,8 @@ def load_month(
     with logged_run(lake, f"ingest-{name}") as run:
         start, after = month_bounds(resume_from(lake, run.process, default_start))
         run.last_timestamp = after
-        run.rows = _replace_window(lake, month_slice(source, ts, start), name, start)
+        month = month_slice(source, ts, start)
+        run.rows = _replace(lake, month, name, "window_start", F.lit(start.date()))
     return run
 
 
@@ -86,18 +94,19 @@ def run_transform(
     dataset: str,
     transform: Callable[[DataFrame], DataFrame],
     partition_by: Sequence[str] = (),
+    layer: str = "raw",
 ) -> dict:
-    """Raw table to prod table in one write, counted by that write and logged."""
+    """Raw table (or another layer's) to prod table in one write, counted by it and logged."""
     with logged_run(lake, f"transform-{dataset}") as run:
-        prod = transform(lake.read_table("raw", dataset))
+        prod = transform(lake.read_table(layer, dataset))
         metrics = lake.overwrite(prod, "prod", dataset, partition_by)
         run.rows = metrics["rows"]
     return metrics
 
 
-def _replace_window(lake: Lake, window: DataFrame, name: str, start: dt.datetime) -> int:
-    """Write a window as its own partition: a run repeated after a crash replaces, never doubles."""
-    tagged = window.withColumn("window_start", F.lit(start.date()))
-    return lake.overwrite(
-        tagged, "raw", name, ["window_start"], partitions_only=True
-    )["rows"]
+def _replace(lake: Lake, rows: DataFrame, name: str, column: str, value: Column) -> int:
+    """Add rows to a raw table as the partition of their load; a repeated load replaces it."""
+    tagged = rows.withColumn(column, value)
+    return lake.overwrite(tagged, "raw", name, [column], partitions_only=True, rebalance=False)[
+        "rows"
+    ]

@@ -8,6 +8,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 from decimal import Decimal
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 
 from ..operators.slices import resume_point
@@ -36,12 +37,12 @@ def now() -> dt.datetime:
 
 def read_log(lake: Lake) -> DataFrame:
     """All logged runs; empty before the first one."""
-    path = lake.path("catalog", LOG_TABLE)
-    jvm_path = lake.spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(lake.spark._jsc.hadoopConfiguration())
-    if not fs.exists(jvm_path):
+    try:
+        return lake.spark.read.schema(RUN_LOG).parquet(lake.path("catalog", LOG_TABLE))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return lake.spark.createDataFrame([], RUN_LOG)
-    return lake.spark.read.schema(RUN_LOG).parquet(path)
 
 
 def log_run(lake: Lake, run: Run, end: dt.datetime | None = None) -> None:

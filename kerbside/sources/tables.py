@@ -41,11 +41,15 @@ class Lake:
         partition_by: Sequence[str] = (),
         metrics: Sequence[Column] = (),
         partitions_only: bool = False,
+        rebalance: bool = True,
     ) -> dict:
-        """Replace the table, or with `partitions_only` just the partitions present in `df`."""
+        """Replace the table, or with `partitions_only` just the partitions present in `df`.
+
+        `rebalance=False` saves the shuffle where all rows go to one partition anyway.
+        """
         return self._write(
             df, layer, name, "overwrite", partition_by, metrics,
-            "dynamic" if partitions_only else "static",
+            "dynamic" if partitions_only else "static", rebalance,
         )
 
     def archive(
@@ -67,9 +71,9 @@ class Lake:
         return stored
 
     def _write(
-        self, df, layer, name, mode, partition_by, metrics, overwrite_mode="static"
+        self, df, layer, name, mode, partition_by, metrics, overwrite_mode="static", rebalance=True
     ) -> dict:
-        if partition_by:
+        if partition_by and rebalance:
             # Rebalancing gathers each partition's rows into few files and lets AQE split a hot one.
             df = df.hint("rebalance", *partition_by)
         observation = Observation()

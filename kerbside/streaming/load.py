@@ -18,6 +18,9 @@ GIB = 1024**3
 BATCH_BYTES = 2 * GIB
 
 CHECKS = "checks"
+# Readers of a streamed table see only the files its stream logged, so it is kept apart from the
+# tables that batch loads write.
+LAYER = "raw_stream"
 
 
 @dataclass(frozen=True)
@@ -63,7 +66,7 @@ def load_stream(
     pattern: str | None = None,
     multiline: bool = False,
 ) -> Loaded:
-    """Append every landing file not loaded before to the raw table, exactly once, then stop.
+    """Append every landing file not loaded before to the streamed raw table, once each, then stop.
 
     The checkpoint remembers the files, so they are neither moved nor deleted, and a run that dies
     half-way is picked up by the next one. Keep one checkpoint per raw table, on shared storage.
@@ -79,7 +82,7 @@ def load_stream(
             typed.writeStream.format("parquet")
             .outputMode("append")
             .option("checkpointLocation", checkpoint)
-            .option("path", lake.path("raw", dataset))
+            .option("path", lake.path(LAYER, dataset))
             .trigger(availableNow=True)
             .start()
         )

@@ -12,7 +12,7 @@ from kerbside.schemas import RUN_LOG, text_schema
 from kerbside.session import scratch_dir
 from kerbside.sources import readers
 from kerbside.sources.runlog import logged_run, read_log
-from kerbside.streaming.load import load_stream
+from kerbside.streaming.load import LAYER, load_stream
 
 READINGS = [
     {"id": str(i), "speed": "x" if i == 3 else f"{i}.5", "travel_time": str(i), "data_as_of": "2024-01-05T00:00:00.000",
@@ -72,6 +72,14 @@ def test_batch_load_logs_and_archives(lake, tmp_path):
     assert [f.dataType for f in log.schema] == [f.dataType for f in RUN_LOG]
 
 
+def test_repeated_batch_replaces_itself(lake, tmp_path):
+    land_json(tmp_path / "in", "a.json", READINGS)
+    for batch in ("first", "first", "second"):
+        loads.load_batch(lake, "traffic", "json", str(tmp_path / "in"), batch=batch, multiline=True)
+    raw = lake.read_table("raw", "traffic").groupBy("load_batch").count()
+    assert sorted(map(tuple, raw.collect())) == [("first", 6), ("second", 6)]
+
+
 def test_parquet_batch_reports_missing_columns(lake, spark, tmp_path):
     spark.createDataFrame([(1, "7.5")], "VendorID int, fare_amount string").write.parquet(str(tmp_path / "in"))
     found = loads.load_batch(lake, "taxi", "parquet", str(tmp_path / "in"))
@@ -169,7 +177,7 @@ def test_stream_loads_each_file_once(lake, tmp_path):
     assert run().rows == 0
     land_json(landing / "2024-01-04", "part-3.json", READINGS[:1])
     assert run().rows == 1
-    stored = lake.read_table("raw", "traffic")
+    stored = lake.read_table(LAYER, "traffic")
     assert stored.count() == 7 and dict(stored.dtypes)["speed"] == "double"
     assert [r["processed_rows"] for r in read_log(lake).orderBy("insert_ts").collect()] == [6, 0, 1]
 
@@ -186,7 +194,7 @@ def test_stream_of_parquet_trips(lake, spark, sf_dir, tmp_path):
     trips = Feeds(spark, sf_dir).taxi()
     trips.repartition(4).write.parquet(str(tmp_path / "landing"))
     loaded = load_stream(lake, "taxi", "parquet", str(tmp_path / "landing"), str(tmp_path / "cp"))
-    assert loaded.rows == trips.count() == lake.read_table("raw", "taxi").count()
+    assert loaded.rows == trips.count() == lake.read_table(LAYER, "taxi").count()
 
 
 class Session:
