@@ -8,7 +8,6 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 from decimal import Decimal
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 
 from ..operators.slices import resume_point
@@ -36,13 +35,10 @@ def now() -> dt.datetime:
 
 
 def read_log(lake: Lake) -> DataFrame:
-    """All logged runs; empty before the first one."""
-    try:
-        return lake.spark.read.schema(RUN_LOG).parquet(lake.path("catalog", LOG_TABLE))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return lake.spark.createDataFrame([], RUN_LOG)
+    """All logged runs; the table is created, empty, before the first one."""
+    path = lake.path("catalog", LOG_TABLE)
+    lake.spark.createDataFrame([], RUN_LOG).write.mode("ignore").parquet(path)
+    return lake.spark.read.schema(RUN_LOG).parquet(path)
 
 
 def log_run(lake: Lake, run: Run, end: dt.datetime | None = None) -> None:
