@@ -46,8 +46,11 @@ def build_prod(lake: Lake, feeds: Feeds) -> dict[str, float]:
 
 
 def plans(lake: Lake, by_rows: bool) -> dict:
-    def prod(name):
-        return lake.read_table("prod", name)
+    tables = {
+        name: lake.read_table("prod", name)
+        for name in ("crashes", "vehicles", "persons", "weather", "traffic")
+    }
+    prod = tables.__getitem__
 
     def crash_model():
         if by_rows:

@@ -66,11 +66,16 @@ ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
 ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 MICROS_WITH_ZONE = "yyyy-MM-dd HH:mm:ss.SSSSSS z"
 PLAIN_DATE = "yyyy-MM-dd"
-CLOCK = "H:mm"
 
 DATE_PATTERNS = (ISO_SECONDS, ISO_MILLIS, MICROS_WITH_ZONE, PLAIN_DATE)
 
 
+# A time of day at the end of the text, its hour captured: seconds, fraction and zone are optional.
+TIME_OF_DAY = (
+    r"(?:^|[ T])([01]?\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d+)?)?(?: ?(?:Z|UTC|[+-]\d\d:?\d\d))?$"
+)
+
+
 def parse_timestamp(col: Column, patterns: Iterable[str] = ()) -> Column:
     """Wall-clock timestamp from ISO-like text (a zone suffix is dropped), else from `patterns`.
 
@@ -86,12 +91,11 @@ def parse_date(col: Column, patterns: Iterable[str] = ()) -> Column:
 
 
 def clock_hour(col: Column) -> Column:
-    """Hour of a time of day: "9:05", "13:45:10" or a full timestamp; anything else is null."""
-    text = col.cast("string")
-    clock = F.coalesce(
-        F.try_to_timestamp(text, F.lit(CLOCK)), F.try_to_timestamp(text, F.lit(CLOCK + ":ss"))
-    )
-    return F.coalesce(F.hour(clock), F.hour(text.try_cast("timestamp_ntz")))
+    """Hour of a time of day: "9:05", "13:45:10" or a full timestamp; anything else is null.
+
+    One pattern instead of date parsing, which costs several times as much per row.
+    """
+    return F.regexp_extract(col.cast("string"), TIME_OF_DAY, 1).try_cast("int")
 
 
 def first_number(col: Column) -> Column:

@@ -239,8 +239,14 @@ def traffic_weather(traffic: DataFrame, weather: DataFrame, year: int | None = N
     )
 
 
-def register_views(model: Model, weather: DataFrame, traffic: DataFrame, year: int) -> None:
-    """The three views of one year as temporary views, for SQL users."""
+def register_views(
+    model: Model, weather: DataFrame, traffic: DataFrame, year: int | None = None
+) -> None:
+    """The three views, of one year or all, as temporary views for SQL users.
+
+    With all years, put the year in the query: spark.sql(text, args={"year": 2020}) and a range of
+    make_date(:year, 1, 1) on crash_date.
+    """
     crash_weather(model, weather, year).rows().createOrReplaceTempView("view_crashes_weather")
     crash_traffic(model, traffic, year).rows().createOrReplaceTempView("view_crashes_traffic")
     traffic_weather(traffic, weather, year).rows().drop("crash_date").createOrReplaceTempView(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import (
@@ -185,7 +185,8 @@ def transform_persons(raw: DataFrame, partition_unit: str = "month") -> DataFram
         .filter(F.col("crash_date").isNotNull())
         .withColumn("crash_date", parse_date(F.col("crash_date")))
     )
-    enriched = date_parts(dated, "crash_date", {"year": "year", "month": "month"}).withColumns(
+    parts = date_parts(_with_hour(dated), "crash_date", {"year": "year", "month": "month"})
+    enriched = parts.withColumns(
         {
             "part_of_day": _day_part(),
             "weekday_weekend": weekend_flag(F.col("crash_date"), "Weekend", "Weekday"),
@@ -196,7 +197,7 @@ def transform_persons(raw: DataFrame, partition_unit: str = "month") -> DataFram
             "year_month_ts": period(F.col("crash_date"), partition_unit),
         }
     )
-    return fill_unknown(enriched)
+    return fill_unknown(enriched.drop("_hour"))
 
 
 def transform_vehicles(
@@ -209,8 +210,9 @@ def transform_vehicles(
         .withColumn("crash_date", parse_date(F.col("crash_date")))
     )
     age = age_in_years(as_of, F.col("vehicle_year"))
+    parts = {"year": "year", "month": "month", "day": "day"}
     enriched = (
-        date_parts(dated, "crash_date", {"year": "year", "month": "month", "day": "day"})
+        date_parts(_with_hour(dated), "crash_date", parts)
         .withColumns(
             {
                 "part_of_day": _day_part(),
@@ -224,7 +226,7 @@ def transform_vehicles(
         )
         .withColumnRenamed("contributing_factor_1", "contributing_factor")
     )
-    return fill_unknown(enriched)
+    return fill_unknown(enriched.drop("_hour"))
 
 
 def transform_traffic(raw: DataFrame) -> DataFrame:
@@ -271,13 +273,13 @@ def transform_weather(raw: DataFrame, partition_unit: str = "month") -> DataFram
         "weather_timestamp",
         {"year": "year", "month": "month", "day": "day", "hour_of_day": "hour"},
     )
-    temperature = rounded(F.col("temperature_2m"), 2)
+    parts = parts.withColumn("temperature_2m", rounded(F.col("temperature_2m"), 2))
+    temperature = F.col("temperature_2m")
     enriched = add_bands(parts, WEATHER_BANDS).withColumns(
         {
             "lattitude": rounded(F.col("lattitude"), 4),
             "longitude": rounded(F.col("longitude"), 4),
             "elevation_m": first_number(F.col("elevation")),
-            "temperature_2m": temperature,
             "temperature_category": F.when(temperature < FREEZING, "Below Freezing").otherwise(
                 "Above Freezing"
             ),
@@ -329,5 +331,10 @@ def transform_taxi(raw: DataFrame) -> DataFrame:
     )
 
 
-def _day_part():
-    return bucketize(clock_hour(F.col("crash_time")), DAY_PART_LIMITS, DAY_PART_DEFAULT)
+def _with_hour(df: DataFrame) -> DataFrame:
+    """The crash hour as a column of its own, so that the day part's limits share one parse."""
+    return df.withColumn("_hour", clock_hour(F.col("crash_time")))
+
+
+def _day_part() -> Column:
+    return bucketize(F.col("_hour"), DAY_PART_LIMITS, DAY_PART_DEFAULT)
