@@ -1,4 +1,4 @@
-"""Times the pipeline and the reports; prints one JSON line.
+"""Times the table builds and the reports; prints one JSON line.
 
 First the six feeds are transformed and written as prod tables (timed as build_*), as the layered
 design has it; then every report reads the stored tables. BENCH_SF_DIR names the test tables and

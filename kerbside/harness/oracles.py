@@ -756,7 +756,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS year,
               CAST(month(o_orderdate) AS INTEGER) AS month
             FROM orders""",
-        "prod_pipeline": _sql(
+        "prod_tables": _sql(
             """
             SELECT year, month, high_impact_crash, part_of_day, count(*) AS vehicles
             FROM vehicles GROUP BY 1, 2, 3, 4""",

@@ -448,9 +448,9 @@ def parquet_partitioned(f: Feeds) -> DataFrame:
     return lake.read_table("prod", "orders")
 
 
-def prod_pipeline(f: Feeds) -> DataFrame:
+def prod_tables(f: Feeds) -> DataFrame:
     """Landing to raw to prod for one dataset, then a question asked of the prod table in SQL."""
-    lake = _lake(f, "pipeline")
+    lake = _lake(f, "prod")
     lake.append(f.vehicles(), "raw", "vehicles")
     loads.run_transform(
         lake,
@@ -539,7 +539,7 @@ _QUERIES: dict[str, Callable[[Feeds], DataFrame]] = {
     "csv_roundtrip": csv_roundtrip,
     "json_roundtrip": json_roundtrip,
     "parquet_partitioned": parquet_partitioned,
-    "prod_pipeline": prod_pipeline,
+    "prod_tables": prod_tables,
 }
 
 

@@ -78,7 +78,11 @@ def _renamed(df: DataFrame, names: dict[str, str], wanted: Sequence[str]) -> Dat
 
 @dataclass(frozen=True)
 class CrashModel:
-    """Crashes joined with their vehicles and persons on the collision: N x M rows each."""
+    """Crashes joined with their vehicles and persons on the collision: N x M rows each.
+
+    The crash table has one row per collision; vehicles and persons may pile up on one. Counts of rows
+    are 64-bit, as COUNT itself is, and overflow is an error, not a wrong number.
+    """
 
     crashes: DataFrame
     vehicles: DataFrame

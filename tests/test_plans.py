@@ -12,7 +12,7 @@ from kerbside.plans import model, reports, transforms
 from pyspark.sql import functions as F
 
 # Queries whose callable only builds a plan; the load queries also write files.
-LAZY = [n for n in driver.queries() if not re.search(r"load|run_metrics|runs|roundtrip|partitioned|pipeline", n)]
+LAZY = [n for n in driver.queries() if not re.search(r"load|run_metrics|runs|roundtrip|partitioned|prod_tables", n)]
 
 
 def plan(df):
