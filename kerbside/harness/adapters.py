@@ -183,7 +183,7 @@ class Feeds:
             "string(NULL) AS link_points",
             "string(NULL) AS encoded_poly_line",
             "string(NULL) AS encoded_poly_line_lvls",
-            "CASE WHEN event_type <> 'view' THEN 'NYC_DOT' END AS owner",
+            "CASE WHEN event_type <> 'view' THEN 'City' END AS owner",
             "string(NULL) AS transcom_id",
             """CASE user_id % 5 WHEN 0 THEN 'Brooklyn' WHEN 1 THEN 'Manhattan' WHEN 2 THEN 'Queens'
                 WHEN 3 THEN 'Bronx' ELSE 'Staten Island' END AS borough""",

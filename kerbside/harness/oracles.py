@@ -221,7 +221,7 @@ _CTES = {
           CASE WHEN event_type = 'signup' AND user_id % 7 = 0 THEN NULL
             ELSE ts - to_days(CAST(event_id % 2400 + 183 AS INTEGER)) END AS data_as_of,
           CAST(user_id AS VARCHAR) AS link_id,
-          CASE WHEN event_type <> 'view' THEN 'NYC_DOT' END AS owner,
+          CASE WHEN event_type <> 'view' THEN 'City' END AS owner,
           CASE user_id % 5 WHEN 0 THEN 'Brooklyn' WHEN 1 THEN 'Manhattan' WHEN 2 THEN 'Queens'
             WHEN 3 THEN 'Bronx' ELSE 'Staten Island' END AS borough,
           event_type AS link_name
