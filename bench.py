@@ -16,7 +16,7 @@ import time
 from kerbside.harness import naive, registry
 from kerbside.harness.adapters import Feeds
 from kerbside.plans import model, reports, transforms
-from kerbside.session import build_session, scratch_dir
+from kerbside.session import build_session, local_scratch, scratch_dir
 from kerbside.sources.tables import Lake
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -101,6 +101,7 @@ def main() -> None:
         spark__driver__memory="16g",
     )
     spark.sparkContext.setLogLevel("ERROR")
+    local_scratch(spark)
     lake = Lake(spark, scratch_dir(spark, "bench"))
     seconds = build_prod(lake, Feeds(spark, SF_DIR))
     for name, make in sorted(plans(lake, by_rows).items()):

@@ -14,7 +14,7 @@ from ..operators import bands, grouping, slices
 from ..operators.eager import pair_average
 from ..plans import loads, model, reports, transforms
 from ..schemas import TRAFFIC
-from ..session import scratch_dir
+from ..session import local_scratch, scratch_dir
 from ..sources import readers
 from ..sources.runlog import logged_run, read_log
 from ..sources.tables import Lake
@@ -545,11 +545,16 @@ _QUERIES: dict[str, Callable[[Feeds], DataFrame]] = {
 
 def queries() -> dict[str, Query]:
     return {
-        name: (lambda spark, sf_dir, _run=run: _run(Feeds(spark, sf_dir)))
+        name: (lambda spark, sf_dir, _run=run: _run(_feeds(spark, sf_dir)))
         for name, run in _QUERIES.items()
     }
 
 
+def _feeds(spark: SparkSession, sf_dir: str) -> Feeds:
+    local_scratch(spark)
+    return Feeds(spark, sf_dir)
+
+
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The top factors per borough: three feeds cleaned, joined, counted, ranked."""
     return reports.p3(_model(Feeds(spark, sf_dir)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -30,15 +32,26 @@ def build_session(app: str = "kerbside", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the shared folder the cluster names in `spark.checkpoint.dir`.
+def local_scratch(spark: SparkSession) -> None:
+    """Give a local-mode session without a scratch folder one that goes when the process ends.
 
-    Only a local-mode session may fall back to a machine-local folder; on a cluster executors and a
-    restarted driver could not see it, so there the setting is required.
+    For tests, benches and trial runs on one machine. A session whose `spark.checkpoint.dir` is set, or
+    that runs on a cluster, is left as it is.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    if scratch_root(spark) is None and spark.sparkContext.master.startswith("local["):
+        folder = tempfile.mkdtemp(prefix="kerbside-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        spark.sparkContext.setCheckpointDir(folder)
+
+
+def scratch_root(spark: SparkSession) -> str | None:
+    """The shared folder of this session: `spark.checkpoint.dir`, else what setCheckpointDir was given."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A fresh folder below the shared folder that all executors and a restarted driver can see."""
+    root = scratch_root(spark)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="kerbside-")
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return f"{root.rstrip('/')}/kerbside/{label}-{uuid.uuid4().hex}"

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from kerbside.harness.adapters import Feeds
 from kerbside.plans import loads, transforms
 from kerbside.schemas import RUN_LOG, text_schema
-from kerbside.session import scratch_dir
+from kerbside.session import local_scratch, scratch_dir
 from kerbside.sources import readers
 from kerbside.sources.runlog import logged_run, read_log
 from kerbside.streaming.load import LAYER, load_stream
@@ -202,12 +202,18 @@ class Session:
 
     def __init__(self, folder, master):
         self.conf, self.sparkContext = self, self
-        self.folder, self.master = folder, master
+        self.folder, self.master, self.given = folder, master, None
 
     def get(self, key, default):
         assert key == "spark.checkpoint.dir"
         return self.folder or default
 
+    def getCheckpointDir(self):
+        return self.given
+
+    def setCheckpointDir(self, folder):
+        self.given = folder
+
 
 def test_scratch_dir_is_below_the_shared_folder():
     session = Session("hdfs://shared/cp/", "yarn")
@@ -215,7 +221,18 @@ def test_scratch_dir_is_below_the_shared_folder():
     assert a.startswith("hdfs://shared/cp/kerbside/x-") and a != b
 
 
-def test_only_local_mode_may_use_a_local_folder():
-    with pytest.raises(ValueError):
-        scratch_dir(Session(None, "yarn"), "x")
-    assert "kerbside-" in scratch_dir(Session(None, "local[2]"), "x")
+def test_a_scratch_folder_must_be_named():
+    for master in ("yarn", "local[2]"):
+        with pytest.raises(ValueError):
+            scratch_dir(Session(None, master), "x")
+
+
+def test_only_a_local_session_without_one_is_given_a_folder():
+    cluster, local = Session(None, "yarn"), Session(None, "local[2]")
+    local_scratch(cluster)
+    local_scratch(local)
+    assert cluster.given is None
+    assert scratch_dir(local, "x").startswith(local.given)
+    named = Session("hdfs://shared/cp", "local[2]")
+    local_scratch(named)
+    assert named.given is None

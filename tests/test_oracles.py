@@ -6,10 +6,11 @@ import pytest
 
 import __spark_entry__ as driver
 from compare import connect, difference
+from kerbside.harness import oracles, registry
 
 SF_DIR = os.environ.get("KERBSIDE_TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = driver.queries()
-ORACLES = driver.oracle_sql()
+QUERIES = registry.queries()
+ORACLES = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +22,7 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))

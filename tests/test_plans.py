@@ -5,14 +5,13 @@ import re
 
 import pytest
 
-import __spark_entry__ as driver
 from kerbside.harness import registry
 from kerbside.operators.grouping import top_k_per_group
 from kerbside.plans import model, reports, transforms
 from pyspark.sql import functions as F
 
 # Queries whose callable only builds a plan; the load queries also write files.
-LAZY = [n for n in driver.queries() if not re.search(r"load|run_metrics|runs|roundtrip|partitioned|prod_tables", n)]
+LAZY = [n for n in registry.queries() if not re.search(r"load|run_metrics|runs|roundtrip|partitioned|prod_tables", n)]
 
 
 def plan(df):
@@ -21,7 +20,7 @@ def plan(df):
 
 @pytest.mark.parametrize("name", LAZY)
 def test_no_python_and_no_cross_join(spark, sf_dir, name):
-    text = plan(driver.queries()[name](spark, sf_dir))
+    text = plan(registry.queries()[name](spark, sf_dir))
     for node in ("PythonUDF", "ArrowEvalPython", "BatchEvalPython", "MapInPandas", "CartesianProduct",
                  "BroadcastNestedLoopJoin"):
         assert node not in text, node
