@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.llm import mixing, packing, quality, secrets
+from kerbside.llm import jaccard, mixing, packing, quality, secrets
 from kerbside.llm.common import read_table, written
 from kerbside.llm.queries import tokenizer_file
 from kerbside.session import local_scratch
@@ -19,6 +19,11 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.kept_rows(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by a similarity of 0.8 over five-word shingles, the one with the least id stays."""
+    return jaccard.one_of_each(docs, k=5, num=80, den=100)
+
+
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret gives way to its kind in brackets; n_chars follows."""
     return secrets.redact(docs)
@@ -36,6 +41,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES = [
     ("quality_rules", keep_good),
+    ("jaccard_join", drop_near_copies),
     ("secret_scan", hide_secrets),
     ("source_mix", mix_sources),
     ("packing", pack_sequences),

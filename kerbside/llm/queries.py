@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import local_scratch
-from . import mixing, packing, quality, secrets, token_counts
+from . import extraction, jaccard, langid, mixing, packing, quality, repeats, secrets, token_counts, topk
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,24 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    return extraction.main_text(pages, extraction.trained(pages))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = langid.learn(docs.where(~langid.held_out("doc_id")))
+    return langid.identify(docs, model).select(
+        "doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score",
+        F.size("spans").alias("n_spans"),
+    )
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of each line of each document, from encodings of whole documents."""
     import public_tokenizers
@@ -31,6 +49,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return jaccard.near_copies(docs, k=3, num=90, den=100)
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(read_table(spark, sf_dir, "documents"))
     base = [r.kind for r in secrets.BASE_RULES]
@@ -63,13 +86,20 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer_file("word_bpe_49k.json"))
 
 
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"))
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
 
 _QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op4_token_counts, op6_secret_scan, op7_quality_rules, op8_packing, op10_source_mix)
+    for f in (
+        op1_html_extraction, op2_language_id, op3_substring_dedup, op4_token_counts, op5_jaccard_join,
+        op6_secret_scan, op7_quality_rules, op8_packing, op9_top_k, op10_source_mix,
+    )
 }
 
 
@@ -89,4 +119,75 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
-_SQL: dict[str, str] = {}
+# Words as in `common.WORD`. Windows are compared as text: words hold no white space, so joining them by a
+# space tells all word sequences apart.
+_SQL: dict[str, str] = {
+    "op3_substring_dedup": r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), starts AS (
+  SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM w WHERE len(words) >= 50
+), windows AS (
+  SELECT doc_id, i, md5(array_to_string(words[i:i + 49], ' ')) AS h FROM starts
+), firsts AS (
+  SELECT h, min(doc_id) AS d FROM windows GROUP BY h
+), gone AS (
+  SELECT DISTINCT doc_id, i + unnest(range(0, 50)) AS p
+  FROM windows JOIN firsts USING (h) WHERE doc_id > d
+), listed AS (
+  SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id
+), marked AS (
+  SELECT doc_id, words, coalesce(ps, []) AS ps FROM w LEFT JOIN listed USING (doc_id)
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, len(ps)::BIGINT AS n_removed,
+       sha256(array_to_string(
+         [words[j] FOR j IN range(1, len(words) + 1) IF NOT list_contains(ps, j)], ' ')) AS kept_sha256
+FROM marked
+""",
+    "op5_jaccard_join": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN []
+    WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct([array_to_string(words[i:i + 2], ' ') FOR i IN range(1, len(words) - 1)]) END AS set
+  FROM w
+), e AS (
+  SELECT doc_id, len(set) AS n, unnest(set) AS x FROM s
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c
+  FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id
+    AND 10 * a.n >= 9 * b.n AND 10 * b.n >= 9 * a.n
+  GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM common WHERE 100 * c >= 90 * (na + nb - c)
+), both_ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT doc_id AS node, doc_id AS seen FROM documents
+  UNION
+  SELECT reach.node, both_ways.b FROM reach JOIN both_ways ON reach.seen = both_ways.a
+)
+SELECT s.doc_id, len(s.set)::BIGINT AS n_shingles, min(reach.seen) AS component_id
+FROM s JOIN reach ON s.doc_id = reach.node GROUP BY s.doc_id, s.set
+""",
+    "op9_top_k": """
+WITH v AS (
+  SELECT vec_id, [floor(64 * x::DOUBLE)::BIGINT FOR x IN embedding] AS x
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len([y FOR y IN embedding IF y IS NULL OR NOT isfinite(y)]) = 0
+), scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_inner_product(q.x::DOUBLE[], c.x::DOUBLE[])::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT query_id, vec_id, score,
+         row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank
+  FROM scores
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+""",
+}
