@@ -93,49 +93,51 @@ def _walk(items) -> tuple[set[str] | None, object]:
     """The strings a sequence can match, if few (else None), and what its matches must hold besides."""
     current, asked, whole = {""}, [], True
     for op, value in items:
-        strings, more = _item(op, value)
+        strings, more, goes_on = _item(op, value)
         asked.append(more)
         if strings is not None and len(current) * len(strings) <= MOST_STRINGS:
             current = {a + b for a in current for b in strings}
-            continue
-        asked.append(trigrams(current))
-        whole, current = False, {""}
-        if strings is not None:
-            current = strings
+        else:
+            asked.append(trigrams(current))
+            whole, current = False, strings or {""}
+        if goes_on:
+            asked.append(trigrams(current))
+            whole, current = False, {""}
     if not whole:
         asked.append(trigrams(current))
     return (current if whole else None), conjunction(asked)
 
 
-def _item(op, value) -> tuple[set[str] | None, object]:
+def _item(op, value) -> tuple[set[str] | None, object, bool]:
+    """The strings an item begins with, if few, what it must hold besides, and whether more may follow."""
     if op is sre.LITERAL and value < 128:
-        return {chr(value).lower()}, True
+        return {chr(value).lower()}, True, False
     if op is sre.AT:
-        return {""}, True
+        return {""}, True, False
     if op is sre.IN and all(kind is sre.LITERAL and v < 128 for kind, v in value):
         chars = {chr(v).lower() for _, v in value}
-        return (chars if len(chars) <= MOST_CLASS else None), True
+        return (chars if len(chars) <= MOST_CLASS else None), True, False
     if op is sre.SUBPATTERN:
-        return _walk(value[-1])
+        return *_walk(value[-1]), False
     if op is sre.BRANCH:
         ways = [_walk(way) for way in value[1]]
         if all(strings is not None for strings, _ in ways):
-            return set().union(*(strings for strings, _ in ways)), True
+            return set().union(*(strings for strings, _ in ways)), True, False
         return None, disjunction(
             conjunction([asked, trigrams(strings)] if strings else [asked])
             for strings, asked in ways
-        )
+        ), False
     if op in (sre.MAX_REPEAT, sre.MIN_REPEAT):
         least, most, body = value
         strings, asked = _walk(body)
-        if strings is not None and (least, most) == (0, 1):
-            return strings | {""}, True
         if least == 0:
-            return None, True
-        if strings is not None and least == most and len(strings) == 1:
-            return {next(iter(strings)) * least}, True
-        return None, conjunction([asked, trigrams(strings)] if strings else [asked])
-    return None, True
+            return (strings | {""} if strings is not None and most == 1 else None), True, False
+        if strings is not None and len(strings) == 1:
+            return {next(iter(strings)) * min(least, 32)}, True, most > min(least, 32)
+        if strings is not None:
+            return strings, True, most > 1
+        return None, asked, False
+    return None, True, False
 
 
 def asked_trigrams(query: object) -> set[str]:
