@@ -4,16 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import clean, derive
 from ..operators import bands, grouping, slices
 from ..operators.eager import pair_average
 from ..plans import loads, model, reports, transforms
-from ..schemas import TRAFFIC
 from ..session import local_scratch, scratch_dir
 from ..sources import readers
 from ..sources.runlog import logged_run, read_log
@@ -202,20 +200,15 @@ def band_stats(f: Feeds) -> DataFrame:
 
 
 def _year_slices(f: Feeds, closed: str) -> DataFrame:
-    """Seven back-to-back 365-day windows, which together hold every order."""
+    """Back-to-back 365-day windows from the first day of 1995, which together hold every order."""
     orders = f.table("orders").select("o_orderkey", "o_orderdate")
-    windows = [
-        slices.time_slice(
-            orders, "o_orderdate", ORDERS_START + dt.timedelta(days=365 * w), 365, closed
-        ).select(F.lit(w).alias("window_number"), "*")
-        for w in range(7)
-    ]
-    return reduce(DataFrame.union, windows)
+    return slices.time_slices(orders, "o_orderdate", ORDERS_START, 365, "window_number", closed)
 
 
 def month_slice(f: Feeds) -> DataFrame:
-    events = f.table("events").select("event_id", "ts")
-    return slices.month_slice(events, "ts", dt.datetime(2024, 1, 15))
+    """The orders of one month out of several years."""
+    orders = f.table("orders").select("o_orderkey", "o_orderdate")
+    return slices.month_slice(orders, "o_orderdate", dt.datetime(1997, 3, 15))
 
 
 def resume_point(f: Feeds) -> DataFrame:
@@ -227,22 +220,20 @@ def latest_run(f: Feeds) -> DataFrame:
 
 
 def hourly_series(f: Feeds) -> DataFrame:
-    """Each order as a short series: 30 minutes plus up to four hours, with four and two values."""
-    span = F.make_dt_interval(
-        hours=(F.col("o_orderkey") % 5).cast("int"), mins=F.lit(30)
-    )
-    price = F.col("o_totalprice")
+    """Each order as a short series: 30 minutes plus up to four hours, a price and a count per hour."""
+    hours = (F.col("o_orderkey") % 5).cast("int")
+    steps = F.sequence(F.lit(0), hours)
     packed = f.table("orders").select(
         "o_orderkey",
         (F.col("o_custkey") % 5).cast("int").alias("site"),
         F.col("o_orderdate").alias("start"),
-        (F.col("o_orderdate") + span).alias("end"),
+        (F.col("o_orderdate") + F.make_dt_interval(hours=hours, mins=F.lit(30))).alias("end"),
         F.lit(3600).alias("step"),
-        F.array(*[price + i for i in range(4)]).alias("temperature"),
-        F.array(F.lit(0).cast("bigint"), F.lit(1).cast("bigint")).alias("short_series"),
+        F.transform(steps, lambda i: F.col("o_totalprice") + i).alias("temperature"),
+        F.when(hours != 2, F.transform(steps, lambda i: i.cast("bigint"))).alias("sparse_series"),
     )
     return slices.expand_series(
-        packed, "start", "end", "step", ["temperature", "short_series"], "reading_time"
+        packed, "start", "end", "step", ["temperature", "sparse_series"], "reading_time"
     )
 
 
@@ -290,6 +281,36 @@ def traffic_weather(f: Feeds) -> DataFrame:
     return _rounded(answer, {n: 6 for n in names})
 
 
+def model_rows(f: Feeds) -> DataFrame:
+    return _model(f).rows()
+
+
+def _registered(f: Feeds, text: str) -> DataFrame:
+    """A question put to the registered views in SQL; one year keeps the rows few."""
+    model.register_views(_model(f), _weather(f), _traffic(f))
+    return f.spark.sql(text, args={"year": 2020})
+
+
+_OF_YEAR = "crash_date >= make_date(:year, 1, 1) AND crash_date < make_date(:year + 1, 1, 1)"
+
+
+def crash_weather_rows(f: Feeds) -> DataFrame:
+    return _registered(
+        f, f"SELECT * FROM view_crashes_weather WHERE {_OF_YEAR} AND month(crash_date) = 3"
+    )
+
+
+def crash_traffic_rows(f: Feeds) -> DataFrame:
+    return _registered(f, f"SELECT * FROM view_crashes_traffic WHERE {_OF_YEAR}")
+
+
+def traffic_weather_rows(f: Feeds) -> DataFrame:
+    return _registered(
+        f, "SELECT * FROM view_traffic_weather WHERE year(crash_timestamp) = :year "
+        "AND month(crash_timestamp) = 3"
+    )
+
+
 def factor_share(f: Feeds) -> DataFrame:
     keys = ["borough", "vehicle_contributing_factor"]
     counts = _model(f).counted(*keys).groupBy(*keys).agg(F.sum(model.ROWS).alias("total_crashes"))
@@ -329,16 +350,38 @@ def _lake(f: Feeds, label: str) -> Lake:
 
 
 def file_stream_load(f: Feeds) -> DataFrame:
-    """Readings land as JSON files, a stream drains them in byte-bounded batches; a rerun adds none."""
+    """Readings land as eight JSON files, a stream drains them in batches; a rerun adds none."""
     lake = _lake(f, "stream")
     landing, checkpoint = f"{lake.root}/landing", f"{lake.root}/checkpoint"
-    f.traffic().write.json(landing)
-    for _ in range(2):
-        load_stream(lake, "traffic", "json", landing, checkpoint)
-    return lake.read_table(LAYER, "traffic").select(
-        "id", "speed", "travel_time", "status",
-        F.substring("data_as_of", 1, 19).alias("data_as_of"), "owner", "borough", "link_name",
-    )
+    f.traffic().repartition(8, "id").write.json(landing)
+    first = load_stream(lake, "traffic", "json", landing, checkpoint, max_bytes=256 * 1024)
+    again = load_stream(lake, "traffic", "json", landing, checkpoint)
+    if first.batches < 2 and first.rows > 5000 or again.rows:
+        raise AssertionError("the landing folder was not drained in several batches, once")
+    return _traffic_day(lake.read_table(LAYER, "traffic"))
+
+
+def _traffic_day(raw: DataFrame) -> DataFrame:
+    return raw.withColumn("data_as_of", F.substring("data_as_of", 1, 19))
+
+
+def corrupt_records(f: Feeds) -> DataFrame:
+    """Events as JSON lines, every seventh cut off: what batch and stream loads count as unreadable."""
+    lake = _lake(f, "corrupt")
+    event = F.to_json(F.struct(
+        F.col("event_id").alias("id"), F.col("value").alias("speed"), F.col("event_type").alias("owner")
+    ))
+    lines = F.when(F.col("event_id") % 7 == 0, F.substring(event, 1, 12)).otherwise(event)
+    landing = f"{lake.root}/landing"
+    f.table("events").select(lines.alias("value")).write.text(landing)
+    batch = loads.load_batch(lake, "traffic", "json", landing)
+    stream = load_stream(lake, "traffic", "json", landing, f"{lake.root}/checkpoint")
+    found = [("batch", batch["landed"], batch["corrupt"]),
+             ("stream", stream.rows, stream.bad_values["corrupt"])]
+    kept = lake.read_table("raw", "traffic").agg(F.count("id").alias("readable"))
+    return f.spark.createDataFrame(
+        found, "load string, landed bigint, corrupt bigint"
+    ).join(kept)
 
 
 def run_metrics(f: Feeds) -> DataFrame:
@@ -355,72 +398,78 @@ def run_metrics(f: Feeds) -> DataFrame:
 
 
 def _caught_up(f: Feeds) -> Lake:
-    """Fifteen-day windows from the default start until every event is in the raw table."""
+    """Fifteen-day windows from the default start until every event is in the raw table, in one job."""
     lake = _lake(f, "increments")
-    events = f.table("events").select("event_id", "ts", "event_type", "value")
-    loads.catch_up(
-        lambda: loads.load_increment(lake, events, "traffic", "ts", EVENTS_START),
-        until=dt.datetime(2024, 1, 30, 23, 59),
-    )
+    loads.catch_up(lake, f.table("events"), "traffic", "ts", EVENTS_START)
     return lake
 
 
 def incremental_load(f: Feeds) -> DataFrame:
-    loaded = _caught_up(f).read_table("raw", "traffic")
-    return loaded.groupBy("event_type", F.col("ts").cast("date").alias("day")).agg(
-        F.count(F.lit(1)).alias("readings"), F.round(F.sum("value"), 6).alias("total")
-    )
+    return _caught_up(f).read_table("raw", "traffic").drop("window_start")
 
 
 def incremental_runs(f: Feeds) -> DataFrame:
     log = read_log(_caught_up(f))
-    run = F.timestamp_diff("DAY", F.lit(EVENTS_START), "last_timestamp_loaded") / 15
-    return log.select(run.cast("int").alias("run"), "last_timestamp_loaded", "processed_rows")
+    nth = F.row_number().over(Window.orderBy("insert_ts"))  # one row per window
+    return log.select(nth.alias("run"), "last_timestamp_loaded", "processed_rows")
+
+
+def incremental_late_rows(f: Feeds) -> DataFrame:
+    """A source loaded twice, the second time with rows that came late inside the open window."""
+    lake = _lake(f, "late")
+    events = f.table("events")
+    early = events.where((F.col("ts") < F.lit(dt.datetime(2024, 1, 12))) & (F.col("event_id") % 3 != 0))
+    loads.load_increment(lake, early, "traffic", "ts", EVENTS_START)
+    for _ in range(2):
+        loads.load_increment(lake, events, "traffic", "ts", EVENTS_START)
+    return lake.read_table("raw", "traffic").drop("window_start")
 
 
 def monthly_load(f: Feeds) -> DataFrame:
+    """The first two months of the orders, each loaded as a month."""
     lake = _lake(f, "months")
-    events = f.table("events").select("event_id", "ts", "event_type")
-    loads.load_month(lake, events, "taxi", "ts", EVENTS_START)
+    orders = f.table("orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
+    for _ in range(2):
+        loads.load_month(lake, orders, "taxi", "o_orderdate", ORDERS_START)
     return lake.read_table("raw", "taxi").drop("window_start")
 
 
-def _batch(f: Feeds, dataset: str, fmt: str, **options: bool) -> DataFrame:
-    """Land a feed as files of a format, load them, and read the raw table back."""
+def _batch(f: Feeds, dataset: str, fmt: str) -> DataFrame:
+    """Land a feed as files of a format, load them, and read the raw table back.
+
+    CSV files land as the feeds write them: an unnamed row number first, the columns in another order
+    than the schema's, and a column more.
+    """
     lake = _lake(f, f"batch-{dataset}")
     feed = getattr(f, dataset)()
-    if options.get("leading_index"):
-        feed = feed.select(F.monotonically_increasing_id().cast("string").alias("index"), "*")
     day = AS_OF.isoformat()
     folder = f"{lake.root}/data/pre-processed/{dataset}/{day}"
-    writer = feed.write.option("header", True) if fmt == "csv" else feed.write
+    writer = feed.write
+    if fmt == "csv":
+        mixed_up = [*feed.columns[1::2], *feed.columns[::2]]
+        number = F.monotonically_increasing_id().cast("string").alias("")
+        writer = feed.select(number, *mixed_up, F.lit("x").alias("unique_id")).write.option("header", True)
     writer.format(fmt).save(folder)
     paths = readers.landing_glob(lake.root, dataset, "part-")
-    loads.load_batch(lake, dataset, fmt, paths, day, **options)
+    found = loads.load_batch(lake, dataset, fmt, paths, day)
+    if found["missing"] or found.get("corrupt"):
+        raise AssertionError(f"columns or records were not read: {found}")
     return lake.read_table("raw", dataset).drop("load_batch")
 
 
 def batch_load_weather(f: Feeds) -> DataFrame:
-    raw = _batch(f, "weather", "csv", leading_index=True)
-    columns = [
-        "elevation", "burrough", "lattitude", "longitude", "temperature_2m", "rain", "snowfall",
-        "pressure_msl", "sunshine_duration",
-    ]
-    return raw.select(_stamp().alias("stamp"), *columns)
+    return _batch(f, "weather", "csv").select(_stamp().alias("stamp"), "*").drop("date")
 
 
 def batch_load_traffic(f: Feeds) -> DataFrame:
-    raw = _batch(f, "traffic", "json")
-    columns = ["id", "speed", "travel_time", "status", "link_id", "owner", "borough", "link_name"]
-    assert set(raw.columns) == set(TRAFFIC)
-    return raw.select(*columns)
+    return _traffic_day(_batch(f, "traffic", "json"))
 
 
 def csv_roundtrip(f: Feeds) -> DataFrame:
     path = f"{scratch_dir(f.spark, 'csv')}/customer"
     source = f.table("customer")
     source.write.option("header", True).csv(path)
-    return readers.read_csv(f.spark, path, source._jdf.schema().toDDL())
+    return clean.cast_columns(readers.read_csv(f.spark, path), dict(source.dtypes))[0].drop(readers.CORRUPT)
 
 
 def json_roundtrip(f: Feeds) -> DataFrame:
@@ -431,7 +480,7 @@ def json_roundtrip(f: Feeds) -> DataFrame:
     text = readers.read_json(
         f.spark, path, "event_id bigint, ts string, user_id bigint, event_type string, value double"
     )
-    return text.withColumn("ts", clean.parse_timestamp(F.col("ts")))
+    return text.withColumn("ts", clean.parse_timestamp(F.col("ts"))).drop(readers.CORRUPT)
 
 
 def parquet_partitioned(f: Feeds) -> DataFrame:
@@ -494,6 +543,10 @@ _QUERIES: dict[str, Callable[[Feeds], DataFrame]] = {
     "located_windows": located_windows,
     "location_tags": location_tags,
     "unified_model": unified_model,
+    "model_rows": model_rows,
+    "crash_weather_rows": crash_weather_rows,
+    "crash_traffic_rows": crash_traffic_rows,
+    "traffic_weather_rows": traffic_weather_rows,
     "crash_weather": lambda f: _view_rows(
         _crash_weather(f),
         "standardized_borough", "crash_date", "rainfall_category", "snowfall_category",
@@ -529,10 +582,12 @@ _QUERIES: dict[str, Callable[[Feeds], DataFrame]] = {
     "run_metrics": run_metrics,
     "incremental_load": incremental_load,
     "incremental_runs": incremental_runs,
+    "incremental_late_rows": incremental_late_rows,
     "monthly_load": monthly_load,
+    "corrupt_records": corrupt_records,
     "batch_load_crashes": lambda f: _batch(f, "crashes", "csv"),
     "batch_load_persons": lambda f: _batch(f, "persons", "csv"),
-    "batch_load_vehicles": lambda f: _batch(f, "vehicles", "csv", leading_index=True),
+    "batch_load_vehicles": lambda f: _batch(f, "vehicles", "csv"),
     "batch_load_taxi": lambda f: _batch(f, "taxi", "parquet"),
     "batch_load_weather": batch_load_weather,
     "batch_load_traffic": batch_load_traffic,

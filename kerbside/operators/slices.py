@@ -27,23 +27,38 @@ def time_slice(
     start: dt.datetime,
     days: int,
     closed: str = "both",
-    limit: int | None = None,
 ) -> DataFrame:
     """Rows of the window of `days` from `start`.
 
     closed="both" keeps rows at either bound, so back-to-back windows repeat the boundary rows;
-    closed="left" tiles. `limit` is the request cap of the source being mirrored, off by default; it
-    takes the earliest rows.
+    closed="left" tiles.
     """
     end = slice_end(start, days)
     col = F.col(ts)
     if closed == "both":
-        rows = df.filter((col >= ntz(start)) & (col <= ntz(end)))
-    elif closed == "left":
-        rows = df.filter((col >= ntz(start)) & (col < ntz(end)))
-    else:
+        return df.filter((col >= ntz(start)) & (col <= ntz(end)))
+    if closed == "left":
+        return df.filter((col >= ntz(start)) & (col < ntz(end)))
+    raise ValueError(f"closed must be 'both' or 'left', not {closed!r}")
+
+
+def time_slices(
+    df: DataFrame, ts: str, start: dt.datetime, days: int, output: str, closed: str = "both"
+) -> DataFrame:
+    """Rows from `start` on, tagged with the number of their window of `days`, in one pass.
+
+    closed="both": a row exactly on a later bound belongs to the two windows that meet there.
+    """
+    if closed not in ("both", "left"):
         raise ValueError(f"closed must be 'both' or 'left', not {closed!r}")
-    return rows if limit is None else rows.orderBy(ts).limit(limit)
+    micros = F.timestamp_diff("MICROSECOND", ntz(start), F.col(ts))
+    length = F.lit(days * 24 * 3600 * 1_000_000)
+    number = F.floor(micros / length).cast("int")
+    windows = F.array(number)
+    if closed == "both":
+        on_bound = (micros % length == 0) & (number > 0)
+        windows = F.when(on_bound, F.array(number - 1, number)).otherwise(windows)
+    return df.filter(F.col(ts) >= ntz(start)).select(F.explode(windows).alias(output), "*")
 
 
 def month_slice(df: DataFrame, ts: str, start: dt.datetime) -> DataFrame:
@@ -92,8 +107,9 @@ def expand_series(
 ) -> DataFrame:
     """One row per step of [start, end), taking element i of every array for step i.
 
-    Other columns repeat. The explode is row-local: no shuffle. Arrays shorter than the span give
-    nulls; longer ones are cut at the last step. An empty span gives no row.
+    Other columns repeat. The explode is row-local: no shuffle. An array that has not exactly one value
+    per step is an error, as neither the missing nor the spare values have a time; a null array counts
+    as all nulls. An empty span gives no row and needs empty arrays.
     """
     step = F.make_dt_interval(secs=F.col(step_seconds))
     last_instant = F.col(end) - F.expr("interval 1 microsecond")
@@ -101,8 +117,20 @@ def expand_series(
         F.col(start) < F.col(end), F.sequence(F.col(start), last_instant, step)
     )
     keep = [c for c in df.columns if c not in {start, end, step_seconds, *arrays}]
-    zipped = F.inline(F.arrays_zip(steps, *arrays)).alias(output, *arrays)
-    return df.select(*keep, zipped).filter(F.col(output).isNotNull())
+    wanted = F.coalesce(F.size(steps), F.lit(0))
+    wrong = F.lit(False)
+    for a in arrays:
+        wrong = wrong | (F.col(a).isNotNull() & (F.size(a) != wanted))
+    message = F.concat(F.lit("series with other than "), wanted.cast("string"), F.lit(" values"))
+    checked = F.when(wrong, F.raise_error(message).cast("array<timestamp_ntz>")).otherwise(steps)
+    zipped = F.inline(F.arrays_zip(checked, *[F.coalesce(F.col(a), _nulls(df, a, steps)) for a in arrays]))
+    return df.select(*keep, zipped.alias(output, *arrays)).filter(F.col(output).isNotNull())
+
+
+def _nulls(df: DataFrame, array: str, steps: Column) -> Column:
+    """As many nulls as there are steps, in the array's type."""
+    element = df.schema[array].dataType.elementType
+    return F.transform(steps, lambda _: F.lit(None).cast(element))
 
 
 def window_per_location(dim: DataFrame, start: dt.datetime, days: int) -> DataFrame:

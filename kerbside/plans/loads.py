@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.clean import bad_value_counts, conform
-from ..operators.slices import month_bounds, month_slice, slice_end, time_slice
+from ..operators.slices import month_bounds, month_slice, slice_end, time_slice, time_slices
 from ..schemas import CASTS
-from ..sources.readers import Paths, read_landing
-from ..sources.runlog import Run, logged_run, now, resume_from
+from ..sources.readers import Paths, corrupt_count, read_landing
+from ..sources.runlog import SUCCESS, Run, log_runs, logged_run, now, resume_from
 from ..sources.tables import Lake
 
 # The window, in days, that one run of each process asks for.
@@ -31,23 +32,36 @@ def load_batch(
     """Landing files to the raw table, with a typed parquet archive of the batch.
 
     The text is parsed once, into the archive; the raw table takes that columnar copy, as a partition
-    named after the batch. Name the batch (by default it is the start time) and a repeated load
-    replaces it. Returns the row count, the unreadable values per column and the missing columns.
+    named after the batch. By default the name comes from the input files, so that a repeated load
+    of the same files replaces the first. Returns the row count, the unreadable records, the
+    unreadable values per column and the missing columns.
     """
     types = CASTS[dataset]
     with logged_run(lake, f"load-{dataset}") as run:
         landed = read_landing(lake.spark, dataset, fmt, paths, **options)
         quality = Observation()
         checked = landed.observe(
-            quality, F.count(F.lit(1)).alias("landed"), *bad_value_counts(landed, types)
+            quality,
+            F.count(F.lit(1)).alias("landed"),
+            *corrupt_count(landed),
+            *bad_value_counts(landed, types),
         )
         typed, missing = conform(checked, types)
-        name = batch or run.start.strftime("b%Y_%m_%d_%H_%M_%S_%f")
+        name = batch or _named_after(landed.inputFiles())
         copy, _ = lake.archive(typed, dataset, day or now().date().isoformat(), name)
         run.rows = _replace(lake, copy, dataset, "load_batch", F.lit(name))
     return {"rows": run.rows, "missing": missing, **quality.get}
 
 
+def _named_after(files: Sequence[str]) -> str:
+    return "b" + hashlib.sha256("\n".join(sorted(files)).encode()).hexdigest()[:24]
+
+
+def high_water(source: DataFrame, ts: str) -> dt.datetime | None:
+    """The newest time a source has delivered: one value, null for an empty source."""
+    return source.agg(F.max(ts).alias("newest")).first()["newest"]
+
+
 def load_increment(
     lake: Lake,
     source: DataFrame,
@@ -56,36 +70,87 @@ def load_increment(
     default_start: dt.datetime,
     days: int | None = None,
     closed: str = "left",
+    delivered: dt.datetime | None = None,
 ) -> Run:
-    """Append the next window of a source, from where the last successful run stopped.
+    """Load the next window of a source, from where the last successful run stopped.
 
-    An empty window counts as a success, so the process moves on instead of asking for it for ever.
+    `delivered` is the time up to which the source is known to be complete; by default that is the
+    newest time it holds. A window that ends by then is closed and the process moves on, empty or not.
+    A window that reaches beyond stays open: its rows so far are loaded, the process stays at its start,
+    and the next run replaces them together with whatever came late.
     """
     with logged_run(lake, f"ingest-{name}") as run:
+        length = days or WINDOW_DAYS[name]
         start = resume_from(lake, run.process, default_start)
-        run.last_timestamp = slice_end(start, days or WINDOW_DAYS[name])
-        window = time_slice(source, ts, start, days or WINDOW_DAYS[name], closed)
+        window = time_slice(source, ts, start, length, closed)
         run.rows = _replace(lake, window, name, "window_start", F.lit(start.date()))
+        run.last_timestamp = _next_start(
+            start, slice_end(start, length), delivered or high_water(source, ts)
+        )
     return run
 
 
 def load_month(
-    lake: Lake, source: DataFrame, name: str, ts: str, default_start: dt.datetime
+    lake: Lake,
+    source: DataFrame,
+    name: str,
+    ts: str,
+    default_start: dt.datetime,
+    delivered: dt.datetime | None = None,
 ) -> Run:
     """As `load_increment`, for a source delivered in calendar months."""
     with logged_run(lake, f"ingest-{name}") as run:
         start, after = month_bounds(resume_from(lake, run.process, default_start))
-        run.last_timestamp = after
         month = month_slice(source, ts, start)
         run.rows = _replace(lake, month, name, "window_start", F.lit(start.date()))
+        run.last_timestamp = _next_start(start, after, delivered or high_water(source, ts))
     return run
 
 
-def catch_up(load: Callable[[], Run], until: dt.datetime) -> list[Run]:
-    """Repeat an incremental load until its windows pass `until`."""
-    runs = [load()]
-    while runs[-1].last_timestamp <= until:
-        runs.append(load())
+def _next_start(start: dt.datetime, end: dt.datetime, delivered: dt.datetime | None) -> dt.datetime:
+    return end if delivered is not None and end <= delivered else start
+
+
+def catch_up(
+    lake: Lake,
+    source: DataFrame,
+    name: str,
+    ts: str,
+    default_start: dt.datetime,
+    days: int | None = None,
+    delivered: dt.datetime | None = None,
+) -> list[Run]:
+    """All windows from the resume point to the newest row, written in one job.
+
+    The same table as repeated `load_increment`s, and one logged run per window; the resume point stops at
+    the first window that the source is not complete for.
+    """
+    process, length = f"ingest-{name}", days or WINDOW_DAYS[name]
+    first = Run(process, now())
+    try:
+        start = resume_from(lake, process, default_start)
+        newest = high_water(source, ts)
+        complete = delivered or newest
+        runs, at, point = [], start, start
+        while newest is not None and at <= max(newest, complete):
+            end = slice_end(at, length)
+            if point == at:  # only up to the first open window
+                point = _next_start(at, end, complete)
+            runs.append(Run(process, first.start, 0, point))
+            at = end
+        tagged = time_slices(source, ts, start, length, "_window", "left")
+        day = F.date_add(F.lit(start.date()), F.col("_window") * length)
+        rows = tagged.withColumn("window_start", day).drop("_window")
+        lake.overwrite(rows, "raw", name, ["window_start"], partitions_only=True)
+        counts = lake.read_table("raw", name).where(F.col("window_start") >= F.lit(start.date()))
+        for r in counts.groupBy("window_start").count().collect():
+            runs[(r["window_start"] - start.date()).days // length].rows = r["count"]
+    except Exception:
+        log_runs(lake, [first])
+        raise
+    for run in runs:
+        run.status = SUCCESS
+    log_runs(lake, runs)
     return runs
 
 

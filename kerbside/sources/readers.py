@@ -1,10 +1,12 @@
-"""Batch scans of landing files. Schemas are given, never inferred: inference is a second pass."""
+"""Batch scans of landing files. Types are given, never inferred: inference is a second pass."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.clean import cast_columns
 from ..schemas import text_schema
@@ -18,13 +20,38 @@ def landing_glob(root: str, process: str, prefix: str | None = None, suffix: str
     return f"{root.rstrip('/')}/data/pre-processed/{process}/*/{start}*{suffix}"
 
 
-def read_csv(
-    spark: SparkSession, paths: Paths, schema: str, header: bool = True, leading_index: bool = False
-) -> DataFrame:
-    """CSV files by position. `leading_index` skips the unnamed row number some exporters write."""
-    full = f"`_index` string, {schema}" if leading_index else schema
-    df = spark.read.schema(full).option("header", header).csv(paths)
-    return df.drop("_index")
+# Holds a record that could not be read as its format; null for all others.
+CORRUPT = "_corrupt_record"
+
+
+def csv_names(reader: DataFrameReader, paths: Paths) -> list[str]:
+    """The column names in a file's header, in its order; an unnamed column has an empty name."""
+    found = reader.option("header", True).option("inferSchema", False).csv(paths).columns
+    return ["" if name == f"_c{i}" else name for i, name in enumerate(found)]
+
+
+def csv_schema(names: Sequence[str]) -> StructType:
+    return StructType([StructField(n, StringType()) for n in [*names, CORRUPT]])
+
+
+def read_csv(spark: SparkSession, paths: Paths, names: Sequence[str] | None = None) -> DataFrame:
+    """CSV files as text columns named by their header, plus the corrupt record.
+
+    Files of one read must agree on the header: another order or other names raise instead of shifting
+    values. A record with fewer or more fields than the header is kept with what was read and shows
+    up in the corrupt record. `names` is for files without a header, which go by position.
+    """
+    given = list(names) if names is not None else csv_names(spark.read, paths)
+    reader = (
+        spark.read.schema(csv_schema(given))
+        .option("header", names is None)
+        .option("enforceSchema", False)
+        .option("columnPruning", False)
+        .option("columnNameOfCorruptRecord", CORRUPT)
+    )
+    df = reader.csv(paths)
+    named = [f"`{n}`" for n in given if n]
+    return df.select(*named, CORRUPT)
 
 
 def read_json(
@@ -32,9 +59,13 @@ def read_json(
 ) -> DataFrame:
     """JSON lines, or with `multiline` whole-file documents; an array of objects gives a row each.
 
-    Lines split across tasks; a multi-line document is parsed by one task, so keep those files small.
+    A record that is no JSON object has nulls and shows up in the corrupt record. Lines split across
+    tasks; a multi-line document is parsed by one task, so keep those files small.
     """
-    return spark.read.schema(schema).option("multiLine", multiline).json(paths)
+    reader = spark.read.schema(f"{schema}, `{CORRUPT}` string")
+    return (
+        reader.option("multiLine", multiline).option("columnNameOfCorruptRecord", CORRUPT).json(paths)
+    )
 
 
 def read_parquet(spark: SparkSession, paths: Paths, casts: dict[str, str] | None = None) -> DataFrame:
@@ -46,11 +77,19 @@ def read_parquet(spark: SparkSession, paths: Paths, casts: dict[str, str] | None
 def read_landing(
     spark: SparkSession, dataset: str, fmt: str, paths: Paths, **options: bool
 ) -> DataFrame:
-    """A dataset's landing files in any of the three formats, before casting."""
+    """A dataset's landing files in any of the three formats, before casting.
+
+    CSV files bring the columns their header names, in any order, with whatever more they hold.
+    """
     if fmt == "csv":
-        return read_csv(spark, paths, text_schema(dataset), **options)
+        return read_csv(spark, paths)
     if fmt == "json":
         return read_json(spark, paths, text_schema(dataset), **options)
     if fmt == "parquet":
         return read_parquet(spark, paths)
     raise ValueError(f"unknown landing format {fmt!r}")
+
+
+def corrupt_count(df: DataFrame) -> list[Column]:
+    """The number of records that could not be read, where the format can have such."""
+    return [F.count(CORRUPT).alias("corrupt")] if CORRUPT in df.columns else []

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from decimal import Decimal
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 
 from ..operators.slices import resume_point
@@ -35,20 +36,28 @@ def now() -> dt.datetime:
 
 
 def read_log(lake: Lake) -> DataFrame:
-    """All logged runs; the table is created, empty, before the first one."""
-    path = lake.path("catalog", LOG_TABLE)
-    lake.spark.createDataFrame([], RUN_LOG).write.mode("ignore").parquet(path)
-    return lake.spark.read.schema(RUN_LOG).parquet(path)
-
-
-def log_run(lake: Lake, run: Run, end: dt.datetime | None = None) -> None:
-    end = end or now()
-    seconds = Decimal(str(round((end - run.start).total_seconds(), 3)))
-    row = (
-        run.process, run.status, run.start, end, seconds, None, run.last_timestamp, run.rows, now(),
-    )
-    # One row, one task: the session's default parallelism would write a folder of empty files.
-    lake.spark.createDataFrame([row], RUN_LOG).coalesce(1).write.mode("append").parquet(
+    """All logged runs; none before the first one has been logged."""
+    try:
+        return lake.spark.read.schema(RUN_LOG).parquet(lake.path("catalog", LOG_TABLE))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return lake.spark.createDataFrame([], RUN_LOG)
+
+
+def log_runs(lake: Lake, runs: Sequence[Run]) -> None:
+    """Add runs to the log, in order: the last one counts as the newest."""
+    end = now()
+    rows = [
+        (
+            run.process, run.status, run.start, end,
+            Decimal(str(round((end - run.start).total_seconds(), 3))), None, run.last_timestamp,
+            run.rows, now() + dt.timedelta(microseconds=i),
+        )
+        for i, run in enumerate(runs)
+    ]
+    # A few rows, one task: the session's default parallelism would write a folder of empty files.
+    lake.spark.createDataFrame(rows, RUN_LOG).coalesce(1).write.mode("append").parquet(
         lake.path("catalog", LOG_TABLE)
     )
 
@@ -61,7 +70,7 @@ def logged_run(lake: Lake, process: str) -> Iterator[Run]:
         yield run
         run.status = SUCCESS
     finally:
-        log_run(lake, run)
+        log_runs(lake, [run])
 
 
 def resume_from(lake: Lake, process: str, default: dt.datetime) -> dt.datetime:

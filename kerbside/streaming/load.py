@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 
 from ..functions.clean import bad_value_counts, conform
 from ..schemas import CASTS, text_schema, typed_schema
+from ..sources.readers import CORRUPT, corrupt_count, csv_names, csv_schema
 from ..sources.runlog import logged_run
 from ..sources.tables import Lake
 
-GIB = 1024**3
-# Fixed value: bytes of landing files one batch may hold; a larger file is a batch of its own.
-BATCH_BYTES = 2 * GIB
+# Bytes of landing files that one core reads in one batch, by default; a batch holds that for every
+# core there is, so that large clusters drain large backlogs in few batches.
+BYTES_PER_CORE = 16 * 128 * 1024**2
 
 CHECKS = "checks"
 # Readers of a streamed table see only the files its stream logged, so it is kept apart from the
@@ -35,12 +36,24 @@ def read_landing_stream(
     dataset: str,
     fmt: str,
     folder: str,
-    max_bytes: int = BATCH_BYTES,
+    max_bytes: int | None = None,
     pattern: str | None = None,
     multiline: bool = False,
 ) -> DataFrame:
-    """A dataset's landing folder as a stream. `pattern` selects file names, as a glob."""
-    schema = typed_schema(dataset) if fmt == "parquet" else text_schema(dataset)
+    """A dataset's landing folder as a stream. `pattern` selects file names, as a glob.
+
+    The columns of CSV files are those of the header found now; a file with another header fails the
+    load rather than shift values. `max_bytes` bounds a batch; a larger file is a batch of its own.
+    """
+    if max_bytes is None:
+        max_bytes = BYTES_PER_CORE * spark.sparkContext.defaultParallelism
+    if fmt == "csv":
+        files = spark.read.option("recursiveFileLookup", True)
+        schema = csv_schema(csv_names(files.option("pathGlobFilter", pattern) if pattern else files, folder))
+    elif fmt == "json":
+        schema = f"{text_schema(dataset)}, `{CORRUPT}` string"
+    else:
+        schema = typed_schema(dataset)
     reader = (
         spark.readStream.format(fmt)
         .schema(schema)
@@ -49,8 +62,10 @@ def read_landing_stream(
     )
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
+    if fmt != "parquet":
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = reader.option("header", True).option("enforceSchema", False).option("columnPruning", False)
     if fmt == "json":
         reader = reader.option("multiLine", multiline)
     return reader.load(folder)
@@ -62,7 +77,7 @@ def load_stream(
     fmt: str,
     folder: str,
     checkpoint: str,
-    max_bytes: int = BATCH_BYTES,
+    max_bytes: int | None = None,
     pattern: str | None = None,
     multiline: bool = False,
 ) -> Loaded:
@@ -75,7 +90,7 @@ def load_stream(
     landed = read_landing_stream(lake.spark, dataset, fmt, folder, max_bytes, pattern, multiline)
     checks = [F.count(F.lit(1)).alias("rows")]
     if fmt != "parquet":
-        checks += bad_value_counts(landed, types)
+        checks += [*corrupt_count(landed), *bad_value_counts(landed, types)]
     typed, _ = conform(landed.observe(CHECKS, *checks), types)
     with logged_run(lake, f"load-{dataset}") as run:
         query = (

@@ -32,15 +32,39 @@ def test_json_array_of_objects_gives_a_row_each(spark, tmp_path):
     assert sorted(r["id"] for r in df.collect()) == ["0", "1"]
 
 
-def test_csv_with_and_without_index_column(spark, tmp_path):
+def test_csv_goes_by_the_header(spark, tmp_path):
     (tmp_path / "plain.csv").write_text("a,b\n1,x\n2,y\n")
     (tmp_path / "indexed.csv").write_text(",a,b\n0,1,x\n1,2,y\n")
+    (tmp_path / "other.csv").write_text("b,more,a\nx,?,1\ny,?,2\n")
+    for name in ("plain", "indexed", "other"):
+        df = readers.read_csv(spark, str(tmp_path / f"{name}.csv")).select("a", "b")
+        assert sorted(map(tuple, df.collect())) == [("1", "x"), ("2", "y")]
     (tmp_path / "bare.csv").write_text("1,x\n2,y\n")
-    schema = "a int, b string"
-    want = [(1, "x"), (2, "y")]
-    for name, options in (("plain", {}), ("indexed", {"leading_index": True}), ("bare", {"header": False})):
-        df = readers.read_csv(spark, str(tmp_path / f"{name}.csv"), schema, **options)
-        assert sorted(map(tuple, df.collect())) == want
+    bare = readers.read_csv(spark, str(tmp_path / "bare.csv"), ["a", "b"])
+    assert sorted((r["a"], r["b"]) for r in bare.collect()) == [("1", "x"), ("2", "y")]
+
+
+def test_csv_files_must_agree_on_the_header(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.csv").write_text("a,b\n1,x\n")
+    (tmp_path / "in" / "2.csv").write_text("b,a\ny,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_csv(spark, str(tmp_path / "in")).collect()
+
+
+def test_unreadable_records_are_counted(lake, tmp_path):
+    names = ",".join(text_schema("traffic").replace("`", "").replace(" string", "").split(", "))
+    (tmp_path / "in").mkdir()
+    good = ",".join(["1"] * len(names.split(",")))
+    (tmp_path / "in" / "a.csv").write_text(f"{names}\n{good}\n{good},spare\n{good}\n1,2\n")
+    found = loads.load_batch(lake, "traffic", "csv", str(tmp_path / "in"))
+    assert (found["landed"], found["corrupt"], found["missing"]) == (4, 2, [])
+    loaded = load_stream(lake, "traffic", "csv", str(tmp_path / "in"), str(tmp_path / "cp"))
+    assert (loaded.rows, loaded.bad_values["corrupt"]) == (4, 2)
+    (tmp_path / "json").mkdir()
+    (tmp_path / "json" / "a.json").write_text('{"id": "1"}\n{"id": \n{"id": "3"}\n')
+    found = loads.load_batch(lake, "traffic", "json", str(tmp_path / "json"))
+    assert (found["landed"], found["corrupt"]) == (3, 1)
 
 
 def test_landing_glob(spark, tmp_path):
@@ -60,7 +84,12 @@ def test_batch_load_logs_and_archives(lake, tmp_path):
     folder = tmp_path / "data" / "pre-processed" / "traffic" / "2024-01-05"
     land_json(folder, "a.json", READINGS)
     path = readers.landing_glob(str(tmp_path), "traffic", None, ".json")
-    for n in (1, 2):  # a second batch appends
+    for n in (1, 2):  # a batch of other files appends
+        land_json(folder, "a.json", READINGS)
+        path = readers.landing_glob(str(tmp_path), "traffic", None, ".json")
+        if n == 2:
+            land_json(folder, "b.json", READINGS)
+            path = readers.landing_glob(str(tmp_path), "traffic", "b", ".json")
         found = loads.load_batch(lake, "traffic", "json", path, "2024-01-05", multiline=True)
         assert found["rows"] == found["landed"] == 6 and found["bad_speed"] == 1 and found["bad_id"] == 0
         assert lake.read_table("raw", "traffic").count() == 6 * n
@@ -74,10 +103,10 @@ def test_batch_load_logs_and_archives(lake, tmp_path):
 
 def test_repeated_batch_replaces_itself(lake, tmp_path):
     land_json(tmp_path / "in", "a.json", READINGS)
-    for batch in ("first", "first", "second"):
+    for batch in ("first", "first", "second", None, None):
         loads.load_batch(lake, "traffic", "json", str(tmp_path / "in"), batch=batch, multiline=True)
-    raw = lake.read_table("raw", "traffic").groupBy("load_batch").count()
-    assert sorted(map(tuple, raw.collect())) == [("first", 6), ("second", 6)]
+    raw = lake.read_table("raw", "traffic").groupBy("load_batch").count().collect()
+    assert sorted(r["count"] for r in raw) == [6, 6, 6]
 
 
 def test_parquet_batch_reports_missing_columns(lake, spark, tmp_path):
@@ -101,14 +130,55 @@ def source(spark, days):
     return spark.createDataFrame([(START + dt.timedelta(days=d), d) for d in days], "ts timestamp_ntz, n int")
 
 
+def after(days):
+    return START + dt.timedelta(days=days)
+
+
+def loaded_numbers(lake, name="traffic"):
+    return sorted(r["n"] for r in lake.read_table("raw", name).collect())
+
+
 def test_windows_move_on_over_an_empty_one(lake, spark):
     df = source(spark, [0, 1, 15, 50])
-    runs = loads.catch_up(lambda: loads.load_increment(lake, df, "traffic", "ts", START), START + dt.timedelta(days=50))
+    runs = loads.catch_up(lake, df, "traffic", "ts", START)
     assert [r.rows for r in runs] == [2, 1, 0, 1]
-    assert sorted(r["n"] for r in lake.read_table("raw", "traffic").collect()) == [0, 1, 15, 50]
+    assert [r.last_timestamp for r in runs] == [after(15), after(30), after(45), after(45)]
+    assert loaded_numbers(lake) == [0, 1, 15, 50]
     assert {r["process_status"] for r in read_log(lake).collect()} == {"Success"}
 
 
+def test_one_job_equals_window_by_window(lake, spark):
+    df = source(spark, [0, 1, 15, 50])
+    runs = [loads.load_increment(lake, df, "traffic", "ts", START) for _ in range(5)]
+    assert [(r.rows, r.last_timestamp) for r in runs] == [
+        (2, after(15)), (1, after(30)), (0, after(45)), (1, after(45)), (1, after(45))]
+    assert loaded_numbers(lake) == [0, 1, 15, 50]
+
+
+def test_late_rows_of_an_open_window_are_loaded(lake, spark):
+    loads.load_increment(lake, source(spark, [0, 1, 2]), "traffic", "ts", START)
+    run = loads.load_increment(lake, source(spark, [0, 1, 2, 3, 4, 5]), "traffic", "ts", START)
+    assert (run.rows, run.last_timestamp) == (6, START)
+    assert loaded_numbers(lake) == [0, 1, 2, 3, 4, 5]
+
+
+def test_windows_past_the_high_water_mark_stay_open(lake, spark):
+    nothing = loads.load_increment(lake, source(spark, []), "traffic", "ts", START, delivered=after(3))
+    assert (nothing.rows, nothing.last_timestamp) == (0, START)
+    known = loads.load_increment(lake, source(spark, [0]), "traffic", "ts", START, delivered=after(15))
+    assert (known.rows, known.last_timestamp) == (1, after(15))
+    runs = loads.catch_up(lake, source(spark, [0, 20, 70]), "traffic", "ts", START, delivered=after(40))
+    assert [r.last_timestamp for r in runs] == [after(30)] * 4
+    assert loaded_numbers(lake) == [0, 20, 70]
+
+
+def test_late_rows_of_an_open_month_are_loaded(lake, spark):
+    loads.load_month(lake, source(spark, [0, 5]), "taxi", "ts", START)
+    run = loads.load_month(lake, source(spark, [0, 5, 9]), "taxi", "ts", START)
+    assert (run.rows, run.last_timestamp) == (3, START)
+    assert loaded_numbers(lake, "taxi") == [0, 5, 9]
+
+
 def test_repeated_window_replaces_its_rows(lake, spark):
     df = source(spark, [0, 1])
     loads.load_increment(lake, df, "traffic", "ts", START)
@@ -123,7 +193,7 @@ def test_failed_run_does_not_move_the_resume_point(lake, spark):
         with logged_run(lake, "ingest-traffic") as run:
             run.last_timestamp = START + dt.timedelta(days=99)
             raise RuntimeError("source down")
-    run = loads.load_increment(lake, source(spark, [0]), "traffic", "ts", START)
+    run = loads.load_increment(lake, source(spark, [0, 16]), "traffic", "ts", START)
     assert run.last_timestamp == START + dt.timedelta(days=15)
 
 
@@ -131,7 +201,8 @@ def test_month_load_tags_the_file_month(lake, spark):
     df = source(spark, [0, 30, 31])
     first = loads.load_month(lake, df, "taxi", "ts", START)
     second = loads.load_month(lake, df, "taxi", "ts", START)
-    assert (first.rows, second.rows, second.last_timestamp) == (2, 1, dt.datetime(2024, 3, 1))
+    assert (first.rows, first.last_timestamp) == (2, dt.datetime(2024, 2, 1))
+    assert (second.rows, second.last_timestamp) == (1, dt.datetime(2024, 2, 1))
     months = lake.read_table("raw", "taxi").groupBy("data_file_month").count().collect()
     assert sorted(map(tuple, months)) == [(1, 2), (2, 1)]
 

@@ -59,7 +59,12 @@ def test_time_slice_bounds(spark):
 
     assert kept() == stamps[:3]
     assert kept(closed="left") == stamps[:2]
-    assert kept(limit=1) == stamps[:1]
+    both = slices.time_slices(df, "ts", DAY, 7, "w").collect()
+    assert sorted((r["w"], r["ts"]) for r in both) == [
+        (0, stamps[0]), (0, stamps[1]), (0, stamps[2]), (1, stamps[2]), (1, stamps[3])]
+    left = slices.time_slices(df, "ts", DAY, 7, "w", "left").collect()
+    assert sorted((r["w"], r["ts"]) for r in left) == [
+        (0, stamps[0]), (0, stamps[1]), (1, stamps[2]), (1, stamps[3])]
     with pytest.raises(ValueError):
         slices.time_slice(df, "ts", DAY, 7, closed="right")
 
@@ -105,21 +110,23 @@ def test_resume_point(spark, runs, want):
         assert points["p"] == (at(want) or default)
 
 
+SERIES = "site string, start timestamp_ntz, end timestamp_ntz, step int, a array<double>, b array<int>"
+
+
 def test_expand_series(spark):
-    schema = "site string, start timestamp_ntz, end timestamp_ntz, step int, a array<double>, b array<int>"
     df = spark.createDataFrame(
         [
-            ("x", DAY, DAY + dt.timedelta(hours=3), 3600, [1.0, 2.0, 3.0, 4.0], [7]),
+            ("x", DAY, DAY + dt.timedelta(hours=3), 3600, [1.0, 2.0, 3.0], None),
             ("half", DAY, DAY + dt.timedelta(minutes=90), 3600, [1.0, 2.0], [1, 2]),
-            ("empty", DAY, DAY, 3600, [1.0], [1]),
-            ("null", None, DAY, 3600, [1.0], [1]),
+            ("empty", DAY, DAY, 3600, [], []),
+            ("null", None, DAY, 3600, [], None),
         ],
-        schema,
+        SERIES,
     )
     rows = slices.expand_series(df, "start", "end", "step", ["a", "b"], "ts").collect()
     got = {(r["site"], r["ts"]): (r["a"], r["b"]) for r in rows}
     assert got == {
-        ("x", DAY): (1.0, 7),
+        ("x", DAY): (1.0, None),
         ("x", DAY + dt.timedelta(hours=1)): (2.0, None),
         ("x", DAY + dt.timedelta(hours=2)): (3.0, None),
         ("half", DAY): (1.0, 1),
@@ -127,6 +134,13 @@ def test_expand_series(spark):
     }
 
 
+@pytest.mark.parametrize("values", [[1.0], [1.0, 2.0, 3.0], []])
+def test_series_of_another_length_is_an_error(spark, values):
+    df = spark.createDataFrame([("x", DAY, DAY + dt.timedelta(hours=2), 3600, values, [1, 2])], SERIES)
+    with pytest.raises(Exception, match="series with other than 2 values"):
+        slices.expand_series(df, "start", "end", "step", ["a", "b"], "ts").collect()
+
+
 def test_top_k_breaks_ties_by_name(spark):
     df = spark.createDataFrame([("a", f, 5) for f in "zyx"] + [("b", "w", 1)], "g string, f string, n int")
     top = grouping.top_k_per_group(df, ["g"], [F.desc("n"), F.asc("f")], 2)
