@@ -1,7 +1,8 @@
 """Row-level joins that stay balanced when a few keys hold much of the data.
 
-Keys with more rows than one task should take are hot. Cold keys join as usual. A hot key gets a grid
-of cells, `_rows` by `_columns`, sized from its exact row counts on the two sides: the left rows are
+A key is hot when the pairs it makes, its rows on one side times those on the other, are more than one
+task should write. Cold keys join as usual; AQE splits a key with many rows on one side only. A hot
+key gets a grid of cells, `_rows` by `_columns`, each with at most that many pairs: the left rows are
 dealt over the rows of the grid and repeated along its columns, the right rows the other way round,
 so every pair meets in exactly one cell. Everything depends on row values and counts alone, never on
 row order, so work redone after a lost executor lands where it was.
@@ -14,9 +15,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of one key that one task may hold. A side of n rows has at most n / HOT_ROWS hot keys, which
-# is the bound on what the joins below broadcast.
-HOT_ROWS = 1_000_000
+# Rows that a cell takes from either side, if both have that many: a cell makes at most its square
+# of pairs.
+HOT_ROWS = 10_000
 # Copies of one and the same row are dealt in packs of this many.
 PACK = 1_000
 
@@ -31,29 +32,54 @@ def key_counts(df: DataFrame, on: Sequence[str]) -> DataFrame:
 def hot_grid(
     left_counts: DataFrame, right_counts: DataFrame, on: Sequence[str], rows: int = HOT_ROWS
 ) -> DataFrame:
-    """The hot keys of either side with the size of their grid."""
+    """The keys with more than `rows` squared pairs, with the size of their grid.
 
-    def hot(counts: DataFrame, axis: str, other: str) -> DataFrame:
-        cells = F.ceil(F.col("n") / F.lit(rows)).cast("int")
-        return counts.filter(F.col("n") > rows).select(
-            *on, cells.alias(axis), F.lit(1).alias(other)
-        )
-
-    either = hot(left_counts, ROWS, COLUMNS).unionByName(hot(right_counts, COLUMNS, ROWS))
-    return either.groupBy(*on).agg(F.max(ROWS).alias(ROWS), F.max(COLUMNS).alias(COLUMNS))
+    One row per hot key. Its size is left to the planner to judge: it broadcasts a small one.
+    """
+    both = left_counts.join(right_counts.withColumnRenamed("n", "m"), list(on))
+    n, m = F.col("n").cast("double"), F.col("m").cast("double")
+    pairs = n * m / (rows * rows)
+    return both.filter(pairs > 1).select(
+        *on,
+        F.ceil(F.when(m < rows, pairs).when(n < rows, 1.0).otherwise(n / rows)).cast("int").alias(ROWS),
+        F.ceil(F.when(n < rows, pairs).when(m < rows, 1.0).otherwise(m / rows)).cast("int").alias(COLUMNS),
+    )
 
 
 def cold(df: DataFrame, grid: DataFrame, on: Sequence[str]) -> DataFrame:
     """The rows of the other keys."""
-    return df.join(F.broadcast(grid.select(*on)), list(on), "left_anti")
+    return df.join(grid.select(*on), list(on), "left_anti")
+
+
+def _reals(df: DataFrame) -> list[str]:
+    """The floating columns; a column that cannot be grouped without changing it is an error.
+
+    Grouping makes 0.0 of -0.0, which `deal` undoes for plain columns only.
+    """
+    found = []
+    for f in df.schema.fields:
+        kind = f.dataType.simpleString()
+        if kind in ("float", "double"):
+            found.append(f.name)
+        elif any(part in kind for part in ("map<", "float", "double", "variant")):
+            raise ValueError(f"column {f.name} of type {kind} cannot be dealt")
+    return found
 
 
 def deal(df: DataFrame, grid: DataFrame, on: Sequence[str], axis: str, copies: str) -> DataFrame:
     """The hot rows, each in one cell along `axis`; equal rows travel as packs counted in `copies`."""
+    reals = _reals(df)
+    signs = {f"_minus_{c}": F.coalesce(F.col(c).cast("string") == "-0.0", F.lit(False)) for c in reals}
     packs = (
-        df.join(F.broadcast(grid), list(on))
-        .groupBy(*df.columns, ROWS, COLUMNS)
+        df.join(grid, list(on))
+        .withColumns(signs)
+        .groupBy(*df.columns, *signs, ROWS, COLUMNS)
         .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumns(
+            {c: F.when(F.col(f"_minus_{c}"), F.lit(-0.0).cast(df.schema[c].dataType)).otherwise(F.col(c))
+             for c in reals}
+        )
+        .drop(*signs)
         .withColumn("_pack", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / PACK))))
         .withColumn(copies, F.least(F.lit(PACK), F.col("_n") - F.col("_pack") * PACK))
     )

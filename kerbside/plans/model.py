@@ -101,7 +101,7 @@ class CrashModel:
             .join(cold(persons, grid, key), key)
         )
         # Hot collisions: the crash goes wherever its vehicles are dealt, then both meet the persons.
-        placed = repeat(crashes.join(F.broadcast(grid), key), ROWS_AXIS).drop(ROWS_AXIS, COLUMNS_AXIS)
+        placed = repeat(crashes.join(grid, key), ROWS_AXIS).drop(ROWS_AXIS, COLUMNS_AXIS)
         dealt = deal(vehicles, grid, key, ROWS_AXIS, "_v_copies")
         left = repeat(placed.join(dealt, [*key, ROW]), COLUMNS_AXIS)
         right = repeat(deal(persons, grid, key, COLUMNS_AXIS, "_p_copies"), ROWS_AXIS)

@@ -177,15 +177,48 @@ def test_split_join_is_the_plain_join(spark, monkeypatch, rows):
 
 def test_hot_key_is_dealt_evenly(spark):
     df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"), "id")
-    other = spark.range(10).withColumnRenamed("id", "k")
+    other = spark.range(3_010).select(F.when(F.col("id") < 10, F.col("id")).otherwise(1).alias("k"))
     grid = joins.hot_grid(joins.key_counts(df, ["k"]), joins.key_counts(other, ["k"]), ["k"], 1000)
-    # Key 1 holds 10,001 rows: eleven rows of cells, one column. The number of hot keys is bounded.
-    assert grid.collect() == [(1, 11, 1)]
+    # Key 1 holds 10,001 and 3,001 rows: eleven rows and four columns of cells.
+    assert grid.collect() == [(1, 11, 4)]
     cells = joins.deal(df, grid, ["k"], joins.ROWS, "copies").groupBy(joins.ROW).count().collect()
     assert len(cells) == 11 and max(r["count"] for r in cells) < 1300
     assert joins.cold(df, grid, ["k"]).count() == 30_000 - 10_001
 
 
+def test_hotness_is_judged_on_pairs(spark):
+    counts = {"a": (10, 10), "b": (11, 10), "c": (1000, 1), "d": (1, 101), "e": (30, 40), "f": (5, 0)}
+    left = spark.createDataFrame([(k, n) for k, (n, _) in counts.items()], "k string, n bigint")
+    right = spark.createDataFrame([(k, m) for k, (_, m) in counts.items() if m], "k string, n bigint")
+    grid = {r["k"]: (r[joins.ROWS], r[joins.COLUMNS]) for r in joins.hot_grid(left, right, ["k"], 10).collect()}
+    assert grid == {"b": (2, 1), "c": (10, 1), "d": (1, 2), "e": (3, 4)}
+
+
+@pytest.mark.parametrize("rows", [2, 1000])
+def test_both_paths_keep_every_bit(spark, rows):
+    import math
+    import struct
+
+    values = [0.0, -0.0, -0.0, math.nan, math.inf, -math.inf, None, 1.5, 1.5]
+    left = spark.createDataFrame([("k", v) for v in values] * 3, "k string, a double")
+    right = spark.createDataFrame([("k", v) for v in values], "k string, b float")
+
+    def bits(v):
+        return v if v is None or v != v else struct.pack("d", v)
+
+    got = Counter((bits(r["a"]) if r["a"] == r["a"] else "nan", bits(r["b"]) if r["b"] == r["b"] else "nan")
+                  for r in joins.split_join(left, right, ["k"], rows=rows).collect())
+    one = Counter("nan" if v is not None and v != v else bits(v) for v in values)
+    assert got == Counter({(x, y): 3 * n * m for x, n in one.items() for y, m in one.items()})
+
+
+def test_columns_that_cannot_be_dealt_are_refused_at_any_size(spark):
+    odd = spark.createDataFrame([("k", {"x": 1})], "k string, m map<string,int>")
+    for rows in (1, 1000):
+        with pytest.raises(ValueError):
+            joins.split_join(odd, odd.select("k"), ["k"], rows=rows)
+
+
 def test_copies_of_one_row_are_dealt_evenly(spark, monkeypatch):
     monkeypatch.setattr(joins, "PACK", 10)
     df = spark.range(5000).select(F.lit(1).alias("k"), F.lit("same").alias("v"))
