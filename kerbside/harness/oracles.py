@@ -709,6 +709,79 @@ def oracle_sql() -> dict[str, str]:
             GROUP BY 1""",
             "vehicles",
         ),
+        # ---- reports over collisions instead of model rows
+        "q02_distinct": _sql(
+            f"""
+            SELECT {month} AS crash_month, borough, was_fatal, count(DISTINCT collision_id) AS collisions
+            FROM model WHERE high_impact_crash = 'Yes' AND crash_date >= DATE '2016-01-01'
+              AND crash_date < DATE '2024-05-12' GROUP BY ALL""",
+            "model",
+        ),
+        "q07_distinct": _sql(
+            f"""
+            SELECT {year} AS crash_year, borough,
+              CAST(sum(number_of_persons_killed) AS BIGINT) AS persons_killed
+            FROM crashes WHERE collision_id IN (SELECT collision_id FROM model) GROUP BY ALL""",
+            "model",
+        ),
+        "q08_distinct": _sql(
+            f"""
+            SELECT {month} AS crash_month, count(DISTINCT collision_id) AS collisions FROM model
+            WHERE high_impact_crash = 'Yes' AND crash_date >= DATE '2016-05-01'
+              AND crash_date < DATE '2024-05-13' GROUP BY ALL""",
+            "model",
+        ),
+        "q09_distinct": _sql(
+            f"""
+            SELECT {month} AS crash_month,
+              CAST(sum(number_of_persons_injured) AS BIGINT) AS persons_injured
+            FROM crashes WHERE collision_id IN (SELECT collision_id FROM model)
+              AND crash_date >= DATE '2012-01-01' AND crash_date < DATE '2024-05-01' GROUP BY ALL""",
+            "model",
+        ),
+        "q13_distinct": _sql(
+            f"""
+            SELECT {year} AS crash_year, borough,
+              count(DISTINCT collision_id) FILTER (high_impact_crash IS NOT NULL) AS flagged
+            FROM model GROUP BY ALL""",
+            "model",
+        ),
+        "p1_distinct": _sql(
+            """
+            , once AS (SELECT DISTINCT collision_id, borough, standardized_borough, crash_date FROM model)
+            SELECT borough, crash_date, count(DISTINCT collision_id) AS total_crashes,
+              round(avg(temperature_2m) + 1e-9, 6) AS average_temperature,
+              round(avg(wind_speed_10m) + 1e-9, 6) AS average_wind_speed
+            FROM once JOIN weather ON standardized_borough = burrough AND crash_date = date
+            GROUP BY borough, crash_date""",
+            "model",
+            "weather",
+        ),
+        "p2_distinct": _sql(
+            """
+            , once AS (SELECT DISTINCT collision_id, standardized_borough, crash_date FROM model)
+            SELECT crash_date, count(DISTINCT collision_id) AS total_crashes,
+              round(avg(speed) + 1e-9, 6) AS average_speed
+            FROM once JOIN traffic t ON standardized_borough = t.borough AND crash_date = crash_timestamp
+            GROUP BY crash_date""",
+            "model",
+            "traffic",
+        ),
+        "p3_distinct": _sql(
+            """
+            , per_factor AS (
+              SELECT borough, vehicle_contributing_factor AS factor,
+                count(DISTINCT collision_id) AS crashes FROM model GROUP BY ALL),
+            per_borough AS (SELECT borough, sum(crashes) AS crashes FROM per_factor GROUP BY ALL)
+            SELECT f.borough, f.factor AS vehicle_contributing_factor, f.crashes AS total_crashes,
+              round(f.crashes::DOUBLE / b.crashes * 100, 2) AS percentage_of_total,
+              CAST(1 + count(o.factor) AS INTEGER) AS rank
+            FROM per_factor f JOIN per_borough b ON b.borough = f.borough
+              LEFT JOIN per_factor o ON o.borough = f.borough
+                AND (o.crashes > f.crashes OR o.crashes = f.crashes AND o.factor < f.factor)
+            GROUP BY f.borough, f.factor, f.crashes, b.crashes HAVING count(o.factor) < 5""",
+            "model",
+        ),
         "p1": _sql(
             """
             SELECT borough, crash_date, count(collision_id) AS total_crashes,

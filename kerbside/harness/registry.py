@@ -327,14 +327,14 @@ def q12(f: Feeds) -> DataFrame:
     return _rounded(reports.q12(_traffic(f)), {"avg_speed": 6})
 
 
-def p1(f: Feeds) -> DataFrame:
+def p1(f: Feeds, distinct: bool = False) -> DataFrame:
     return _rounded(
-        reports.p1(_crash_weather(f)), {"average_temperature": 6, "average_wind_speed": 6}
+        reports.p1(_crash_weather(f), distinct), {"average_temperature": 6, "average_wind_speed": 6}
     )
 
 
-def p2(f: Feeds) -> DataFrame:
-    return _rounded(reports.p2(_crash_traffic(f)), {"average_speed": 6})
+def p2(f: Feeds, distinct: bool = False) -> DataFrame:
+    return _rounded(reports.p2(_crash_traffic(f), distinct), {"average_speed": 6})
 
 
 def p4(f: Feeds) -> DataFrame:
@@ -573,6 +573,14 @@ _QUERIES: dict[str, Callable[[Feeds], DataFrame]] = {
     "q13": lambda f: reports.q13(_model(f)),
     "q14": lambda f: reports.q14(_vehicles(f)),
     "q15": lambda f: reports.q15(_vehicles(f)),
+    "q02_distinct": lambda f: reports.q02(_model(f), distinct=True),
+    "q07_distinct": lambda f: reports.q07(_model(f), distinct=True),
+    "q08_distinct": lambda f: reports.q08(_model(f), distinct=True),
+    "q09_distinct": lambda f: reports.q09(_model(f), distinct=True),
+    "q13_distinct": lambda f: reports.q13(_model(f), distinct=True),
+    "p1_distinct": lambda f: p1(f, distinct=True),
+    "p2_distinct": lambda f: p2(f, distinct=True),
+    "p3_distinct": lambda f: reports.p3(_model(f), distinct=True),
     "p1": p1,
     "p2": p2,
     "p3": lambda f: reports.p3(_model(f)),

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.derive import canonicalize
@@ -109,25 +109,37 @@ class CrashModel:
         joined = usual.unionByName(unpack(hot, "_v_copies", "_p_copies"))
         return joined.select(*crashes.columns, *VEHICLE_SIDE, *PERSON_SIDE)
 
-    def counted(self, *columns: str) -> DataFrame:
+    def counted(
+        self,
+        *columns: str,
+        distinct: bool = False,
+        vehicles_where: Column | None = None,
+        vehicles_when: Column | None = None,
+    ) -> DataFrame:
         """The wanted columns and how many model rows stand behind each combination.
 
         Combinations may repeat: sum `model_rows`. Only the needed columns of each side are read,
         vehicles and persons are combined map-side before they meet, and filters put on the result
         are pushed down to the sides.
+
+        A condition on vehicles that asks for fixed values need not become a wanted column, which
+        would shuffle the vehicles twice: `vehicles_where` drops the others, `vehicles_when` counts the
+        matching ones only, perhaps none. `distinct` counts each collision (and combination of wanted
+        vehicle and person columns) once instead of once per vehicle and person.
         """
         vehicle = [c for c in columns if c in VEHICLE_SIDE]
         person = [c for c in columns if c in PERSON_SIDE]
         crash = [c for c in columns if c not in VEHICLE_SIDE and c not in PERSON_SIDE]
         key = ["collision_id"]
         crashes = standardize_boroughs(self.crashes).select(*dict.fromkeys(key + crash))
-        vehicles = counted(_renamed(self.vehicles, VEHICLE_SIDE, vehicle), key + vehicle, "_v")
+        asked = _renamed(self.vehicles, VEHICLE_SIDE, list(VEHICLE_SIDE))
+        if vehicles_where is not None:
+            asked = asked.filter(vehicles_where)
+        matching = F.lit(1) if vehicles_when is None else F.when(vehicles_when, 1)
+        vehicles = asked.groupBy(*key, *vehicle).agg(F.count(matching).alias("_v"))
         persons = counted(_renamed(self.persons, PERSON_SIDE, person), key + person, "_p")
-        return (
-            crashes.join(vehicles, key)
-            .join(persons, key)
-            .select(*columns, (F.col("_v") * F.col("_p")).alias(ROWS))
-        )
+        rows = F.least(F.col("_v"), F.lit(1)) if distinct else F.col("_v") * F.col("_p")
+        return crashes.join(vehicles, key).join(persons, key).select(*columns, rows.alias(ROWS))
 
 
 @dataclass(frozen=True)
@@ -139,8 +151,22 @@ class ModelTable:
     def rows(self) -> DataFrame:
         return self.table
 
-    def counted(self, *columns: str) -> DataFrame:
-        return counted(self.table, columns, ROWS)
+    def counted(
+        self,
+        *columns: str,
+        distinct: bool = False,
+        vehicles_where: Column | None = None,
+        vehicles_when: Column | None = None,
+    ) -> DataFrame:
+        """As `CrashModel.counted`."""
+        table = self.table if vehicles_where is None else self.table.filter(vehicles_where)
+        matching = F.lit(True) if vehicles_when is None else vehicles_when
+        if not distinct:
+            return table.groupBy(*columns).agg(F.count(F.when(matching, 1)).alias(ROWS))
+        once = table.groupBy(*dict.fromkeys(["collision_id", *columns])).agg(
+            F.max(F.when(matching, 1).otherwise(0)).cast("bigint").alias(ROWS)
+        )
+        return once.select(*columns, ROWS)
 
 
 Model = CrashModel | ModelTable
@@ -180,17 +206,20 @@ class DayView:
         pairs = F.col("_model") * F.col("_side")
         return self.days(*own).join(side, DAY).select(*columns, pairs.alias(ROWS))
 
-    def paired(self, columns: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    def paired(
+        self, columns: Sequence[str], measures: Sequence[str], distinct: bool = False
+    ) -> DataFrame:
         """Model columns and rows per (place, day), next to that day's measure sums and counts.
 
-        Columns: the wanted ones, `_model` (model rows), `_side` (side rows), sum_/count_<measure>.
+        Columns: the wanted ones, `_model` (model rows, or with `distinct` collisions), `_side` (side
+        rows), sum_/count_<measure>.
         """
         side = measured(self._side(*measures), DAY, measures, "_side")
-        return self.days(*columns).join(side, DAY)
+        return self.days(*columns, **({"distinct": True} if distinct else {})).join(side, DAY)
 
-    def days(self, *columns: str) -> DataFrame:
+    def days(self, *columns: str, **options) -> DataFrame:
         """Model rows per (place, day) and wanted columns, as `_model`."""
-        counts = self.model.counted(*dict.fromkeys([*columns, self.place, "crash_date"]))
+        counts = self.model.counted(*dict.fromkeys([*columns, self.place, "crash_date"]), **options)
         if self.year is not None:
             counts = counts.filter(in_year(F.col("crash_date"), self.year))
         return self._keyed(counts).groupBy(*DAY, *columns).agg(F.sum(ROWS).alias("_model"))

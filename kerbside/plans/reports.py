@@ -70,11 +70,17 @@ def q01(weather: DataFrame) -> DataFrame:
     ).orderBy(F.desc("weather_year"), "burrough")
 
 
-def q02(model: Model, dates: tuple[str, str] = FATALITY_RANGE) -> DataFrame:
-    """High-impact crashes per month, borough and fatality."""
-    rows = model.counted("crash_date", "borough", "was_fatal", "high_impact_crash").filter(
-        in_list(F.col("high_impact_crash"), ["Yes"]) & date_range(F.col("crash_date"), *dates)
-    )
+def q02(
+    model: Model, dates: tuple[str, str] = FATALITY_RANGE, distinct: bool = False
+) -> DataFrame:
+    """High-impact crashes per month, borough and fatality.
+
+    Here and below, `distinct` counts every collision once, not once per vehicle and person.
+    """
+    rows = model.counted(
+        "crash_date", "borough", "was_fatal",
+        vehicles_where=in_list(F.col("high_impact_crash"), ["Yes"]), distinct=distinct,
+    ).filter(date_range(F.col("crash_date"), *dates))
     return by_period(
         rows, "crash_date", "month", ["borough", "was_fatal"], [_total("collisions")], "crash_month"
     ).orderBy(F.desc("collisions"))
@@ -124,11 +130,11 @@ def q06(view: DayView) -> DataFrame:
     )
 
 
-def q07(model: Model) -> DataFrame:
+def q07(model: Model, distinct: bool = False) -> DataFrame:
     """Persons killed per year and borough."""
     killed = "number_of_persons_killed"
     return by_period(
-        model.counted("crash_date", "borough", killed),
+        model.counted("crash_date", "borough", killed, distinct=distinct),
         "crash_date",
         "year",
         ["borough"],
@@ -137,30 +143,33 @@ def q07(model: Model) -> DataFrame:
     ).orderBy(F.desc("persons_killed"))
 
 
-def q08(model: Model, dates: tuple[str, str] = HIGH_IMPACT_RANGE) -> DataFrame:
+def q08(
+    model: Model, dates: tuple[str, str] = HIGH_IMPACT_RANGE, distinct: bool = False
+) -> DataFrame:
     """High-impact crashes per month."""
-    rows = model.counted("crash_date", "high_impact_crash").filter(
-        in_list(F.col("high_impact_crash"), ["Yes"]) & date_range(F.col("crash_date"), *dates)
-    )
+    rows = model.counted(
+        "crash_date", vehicles_where=in_list(F.col("high_impact_crash"), ["Yes"]), distinct=distinct
+    ).filter(date_range(F.col("crash_date"), *dates))
     return by_period(rows, "crash_date", "month", [], [_total("collisions")], "crash_month")
 
 
-def q09(model: Model, dates: tuple[str, str] = INJURY_RANGE) -> DataFrame:
+def q09(
+    model: Model, dates: tuple[str, str] = INJURY_RANGE, distinct: bool = False
+) -> DataFrame:
     """Persons injured per month."""
     injured = "number_of_persons_injured"
-    rows = model.counted("crash_date", injured).filter(date_range(F.col("crash_date"), *dates))
+    rows = model.counted("crash_date", injured, distinct=distinct).filter(
+        date_range(F.col("crash_date"), *dates)
+    )
     total = F.sum(F.col(injured) * F.col(ROWS)).alias("persons_injured")
     return by_period(rows, "crash_date", "month", [], [total], "crash_month")
 
 
 def q10(model: Model) -> DataFrame:
     """Distinct high-impact collisions while turning: one row, zero when there are none."""
-    return (
-        model.counted("collision_id", "high_impact_crash", "pre_crash")
-        .filter(
-            in_list(F.col("high_impact_crash"), ["Yes"]) & in_list(F.col("pre_crash"), TURNING)
-        )
-        .agg(F.count_distinct("collision_id").alias("distinct_collisions"))
+    turning = in_list(F.col("high_impact_crash"), ["Yes"]) & in_list(F.col("pre_crash"), TURNING)
+    return model.counted("collision_id", vehicles_where=turning).agg(
+        F.count_distinct("collision_id").alias("distinct_collisions")
     )
 
 
@@ -186,7 +195,7 @@ def q12(traffic: DataFrame) -> DataFrame:
     ).orderBy(F.desc("avg_speed"))
 
 
-def q13(model: Model, only_yes: bool = False) -> DataFrame:
+def q13(model: Model, only_yes: bool = False, distinct: bool = False) -> DataFrame:
     """Crash rows per year and borough that carry a high-impact flag, be it Yes or No.
 
     `only_yes` counts the high-impact ones alone.
@@ -194,11 +203,11 @@ def q13(model: Model, only_yes: bool = False) -> DataFrame:
     flag = F.col("high_impact_crash")
     counts = (flag == "Yes") if only_yes else flag.isNotNull()
     return by_period(
-        model.counted("crash_date", "borough", "high_impact_crash"),
+        model.counted("crash_date", "borough", vehicles_when=counts, distinct=distinct),
         "crash_date",
         "year",
         ["borough"],
-        [F.sum(F.when(counts, F.col(ROWS)).otherwise(0)).alias("flagged")],
+        [_total("flagged")],
         "crash_year",
     ).orderBy(F.desc("flagged"))
 
@@ -228,34 +237,36 @@ def q15(vehicles: DataFrame, dates: tuple[str, str] = STATE_RANGE) -> DataFrame:
     )
 
 
-def p1(view: DayView) -> DataFrame:
+def p1(view: DayView, distinct: bool = False) -> DataFrame:
     """Crash rows, temperature and wind per borough (as written) and crash date."""
-    days = view.paired(["borough", "crash_date"], ["temperature_2m", "wind_speed_10m"])
+    days = view.paired(["borough", "crash_date"], ["temperature_2m", "wind_speed_10m"], distinct)
     return days.groupBy("borough", "crash_date").agg(
-        _pairs("total_crashes"),
+        _crashes("total_crashes", distinct),
         pair_average(F.col("_model"), "temperature_2m").alias("average_temperature"),
         pair_average(F.col("_model"), "wind_speed_10m").alias("average_wind_speed"),
     )
 
 
-def p2(view: DayView) -> DataFrame:
+def p2(view: DayView, distinct: bool = False) -> DataFrame:
     """Crash rows and traffic speed per crash date."""
     return (
-        view.paired(["crash_date"], ["speed"])
+        view.paired(["crash_date"], ["speed"], distinct)
         .groupBy("crash_date")
         .agg(
-            _pairs("total_crashes"),
+            _crashes("total_crashes", distinct),
             pair_average(F.col("_model"), "speed").alias("average_speed"),
         )
     )
 
 
-def p3(model: Model, k: int = TOP_FACTORS) -> DataFrame:
-    """The k most frequent vehicle factors per borough, with their percentage of the borough."""
+def p3(model: Model, k: int = TOP_FACTORS, distinct: bool = False) -> DataFrame:
+    """The k most frequent vehicle factors per borough, with their percentage of the borough.
+
+    With `distinct` a collision counts once for each factor its vehicles name.
+    """
     factor = "vehicle_contributing_factor"
-    counts = (
-        model.counted("borough", factor).groupBy("borough", factor).agg(_total("total_crashes"))
-    )
+    rows = model.counted("borough", factor, distinct=distinct)
+    counts = rows.groupBy("borough", factor).agg(_total("total_crashes"))
     top = top_k_per_group(counts, ["borough"], [F.desc("total_crashes"), F.asc(factor)], k)
     return (
         share_of(top, "total_crashes", ["borough"], of=counts)
@@ -336,5 +347,6 @@ def _total(name: str):
     return F.sum(ROWS).alias(name)
 
 
-def _pairs(name: str):
-    return F.sum(F.col("_model") * F.col("_side")).alias(name)
+def _crashes(name: str, distinct: bool):
+    """Joined rows, or the collisions that have any."""
+    return F.sum(F.col("_model") if distinct else F.col("_model") * F.col("_side")).alias(name)

@@ -58,6 +58,24 @@ def test_flag_filter_reaches_the_vehicle_table(feeds):
     assert "Lost Consciousness" in text[counting:]
 
 
+@pytest.mark.parametrize("name, most", [("q02", 5), ("q08", 4), ("q10", 4), ("q13", 5)])
+def test_fixed_vehicle_values_cost_one_shuffle_per_side(spark, lake, feeds, name, most):
+    """Vehicles and persons are shuffled once each, by the collision, and joined where they lie."""
+    tables = {}
+    for table in ("crashes", "vehicles", "persons"):
+        lake.overwrite(getattr(registry, f"_{table}")(feeds), "prod", table)
+        tables[table] = lake.read_table("prod", table)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan(getattr(reports, name)(model.CrashModel(*tables.values())))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(re.findall(r"Exchange (?:hash|range|Single)", text)) <= most, text
+
+
 def test_top_k_limits_before_the_shuffle(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("g"), "id")
     text = plan(top_k_per_group(df, ["g"], [F.desc("id")], 2))
