@@ -33,7 +33,7 @@ STRETCHES = 12
 FEW = 8
 
 
-def blocks(vectors: DataFrame, id_col: str, vector_col: str, rows: int = BLOCK_ROWS) -> DataFrame:
+def blocks(vectors: DataFrame, id_col: str, vector_col: str, rows: int) -> DataFrame:
     """(block, dims, ids, values): up to `rows` vectors of one length, as bytes of int64, in input order.
 
     Components become floor(64 x) of the double x. Vectors that are null, empty, or hold a null or a
@@ -129,6 +129,7 @@ def top_k(
     every: int = 20,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """For each row whose id is divisible by `every`, its k best other rows: query_id, rank, vec_id, score.
 
@@ -137,7 +138,7 @@ def top_k(
     Vectors are compared with those of the same length. With fewer candidates than k all are returned.
     Other columns are ignored; an empty table gives no rows.
     """
-    held = written(blocks(vectors, id_col, vector_col), "blocks")
+    held = written(blocks(vectors, id_col, vector_col, block_rows), "blocks")
     # Blocks are numbered from 1 within their length: one small row per block in this sort.
     number = F.row_number().over(Window.partitionBy("dims").orderBy("block"))
     numbers = written(held.select("block", "dims").withColumn("number", number), "block_numbers")
