@@ -277,11 +277,12 @@ def laid_out(seed: int) -> tuple[list[Block], list[int]]:
                 lambda: f"<blockquote>{sentences(2)}</blockquote>", lambda: f"<pre>{words(8)}</pre>",
                 lambda: f"<table><tr><td>{words(2)}</td><td>{words(1)}</td></tr></table>",
             ])())
-        kept = "".join(f'<div data-keep="yes">{p}</div>' if draw.random() < 0.2 else
-                       re.sub(r"^<(\w+)", r'<\1 data-keep="yes"', p) for p in parts)
-        inner = kept
-        if draw.random() < 0.4:
-            inner = pick([advert(), side(), form(), ""]) + kept + pick([advert(), side(), talk(), ""])
+        marked = [f'<div data-keep="yes">{p}</div>' if draw.random() < 0.2 else
+                  re.sub(r"^<(\w+)", r'<\1 data-keep="yes"', p) for p in parts]
+        # Adverts and the like also stand inside the article, between its paragraphs.
+        for maker in draw.sample([advert, side, form, notice, menu, talk], draw.choice([0, 0, 1, 1, 2, 3])):
+            marked.insert(draw.randint(0, len(marked)), maker())
+        inner = "".join(marked)
         wrap = pick([
             ("<article>", "</article>"), ("<article>", "</article>"), ("<main>", "</main>"),
             ('<div class="content">', "</div>"), ('<div class="post-body entry">', "</div>"),

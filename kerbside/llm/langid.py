@@ -29,6 +29,10 @@ from pyspark.sql.types import (
 from .common import split_words, written
 
 SWITCH = 10.0
+# One word speaks against a language of its script by no more than this: less than two switches, so a
+# single odd word inside a span does not break it.
+WORD_LIMIT = 15.0
+OTHER_SCRIPT = 50.0
 # Bounds of the sample and of the model that is learned from it.
 TEXTS_PER_LANGUAGE = 2000
 FEATURES_PER_LANGUAGE = 30_000
@@ -90,7 +94,7 @@ class Model:
             for i, x in enumerate(self.likelihood.get(f, self.unseen)):
                 total[i] += x
         best = max(x for x, a in zip(total, allowed) if a)
-        return tuple(max(x - best, -50.0) if a else -50.0 for x, a in zip(total, allowed))
+        return tuple(max(x - best, -WORD_LIMIT) if a else -OTHER_SCRIPT for x, a in zip(total, allowed))
 
 
 def held_out(id_col: str) -> Column:
