@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans import model
+from kerbside.plans import model
 
 ROWS = model.ROWS
 

@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .predicates import between, like
+
 
 def _chain(branches: Iterable[tuple[Column, object]], default: object) -> Column:
     """One CASE expression, first match wins; a null condition falls through to the default."""
@@ -48,12 +50,12 @@ def bucketize(
 
 def slot(col: Column, ranges: Sequence[tuple[int, int, str]], default: str) -> Column:
     """Label of the closed range holding the value, else `default`."""
-    return _chain([(col.between(lo, hi), label) for lo, hi, label in ranges], default)
+    return _chain([(between(col, lo, hi), label) for lo, hi, label in ranges], default)
 
 
 def score(col: Column, rules: Sequence[tuple[str, int]], default: int) -> Column:
     """Ordinal score of the first LIKE pattern that matches."""
-    return _chain([(col.like(pattern), points) for pattern, points in rules], default)
+    return _chain([(like(col, pattern), points) for pattern, points in rules], default)
 
 
 def is_yes(col: Column, yes: str = "Y") -> Column:
@@ -111,7 +113,3 @@ def minutes_between(start: Column, end: Column) -> Column:
     Goes through the interval type, so it does not depend on the session time zone.
     """
     return (end - start).cast("interval minute").cast("bigint")
-
-
-def avg_if(cond: Column, col: Column) -> Column:
-    return F.avg(F.when(cond, col))

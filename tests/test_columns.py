@@ -215,8 +215,6 @@ def test_date_range_is_half_open(spark):
         assert sorted(r["d"] for r in df.filter(cond).collect()) == days[1:3]
 
 
-def test_conditional_average(spark):
-    df = spark.createDataFrame([(1, 10.0), (5, 20.0), (9, None), (None, 99.0)], "n int, x double")
-    assert df.agg(derive.avg_if(F.col("n") >= 3, F.col("x"))).first()[0] == 20.0
-    assert df.agg(derive.avg_if(F.col("n") > 100, F.col("x"))).first()[0] is None
+def test_between_includes_both_ends_and_drops_nulls(spark):
+    df = spark.createDataFrame([(1,), (5,), (9,), (None,)], "n int")
     assert df.filter(predicates.between(F.col("n"), 1, 5)).count() == 2
