@@ -14,6 +14,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,9 @@ from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, St
 from .common import split_words, written
 
 ID_BYTES = 4
-# A worker's memory of encoded words; it is emptied when full, so it bounds memory and loses nothing.
-CACHED_WORDS = 600_000
+# A worker's memory of encoded words, kept from task to task; it is emptied when full, so it bounds
+# memory and loses nothing.
+CACHED_WORDS = 1_500_000
 
 
 class WordEncoder:
@@ -59,6 +61,11 @@ class WordEncoder:
         return b"".join([known[w] for w in words])
 
 
+@lru_cache(maxsize=1)
+def encoder_for(path: str) -> WordEncoder:
+    return WordEncoder(path)
+
+
 def encoded(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
     """(part, start_in_part, doc_id, doc_tokens, ids): every document's ids and its place in its partition."""
     end = np.array([end_id], "<u4").tobytes()
@@ -73,7 +80,7 @@ def encoded(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str)
     )
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, start = WordEncoder(path), TaskContext.get().partitionId(), 0
+        encoder, part, start = encoder_for(path), TaskContext.get().partitionId(), 0
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 piece = batch.slice(at, 256)
