@@ -38,7 +38,8 @@ def local_scratch(spark: SparkSession) -> None:
     For tests, benches and trial runs on one machine. A session whose `spark.checkpoint.dir` is set, or
     that runs on a cluster, is left as it is.
     """
-    if scratch_root(spark) is None and spark.sparkContext.master.startswith("local["):
+    master = spark.sparkContext.master
+    if scratch_root(spark) is None and (master == "local" or master.startswith("local[")):
         folder = tempfile.mkdtemp(prefix="kerbside-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(folder)
