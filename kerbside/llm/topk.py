@@ -8,8 +8,11 @@ terms are no better than the lists' present places (an upper bound). Vectors who
 the k-th best lower bound cannot qualify. Reading stops when few enough are left, or the lists end, and
 the final scores of those left are resolved.
 
-Queries are blocks as well. Every block of queries meets every block of vectors once, by an equi-join on
-the block's number, and keeps k rows per query; the best k of all blocks are found by a grouped merge.
+The queries of a block read together: which terms a stretch adds depends on the vectors' places in the
+lists alone, so the sums of what all queries have read are products of two matrices.
+
+Every block of queries meets every block of vectors once, by an equi-join on the block's number, and keeps
+k rows per query; the best k of all blocks are found by a grouped merge.
 """
 
 from __future__ import annotations
@@ -27,10 +30,12 @@ from .common import written
 
 SCALE = 64
 BLOCK_ROWS = 8192
-QUERY_ROWS = 512
-# A stretch is this share of a list; reading stops at this many survivors per wanted row.
-STRETCHES = 12
+QUERY_ROWS = 256
+# A list is read in this many stretches; reading stops at this many survivors per wanted row.
+STRETCHES = 6
 FEW = 8
+# Pairs of blocks are many times heavier to compute than to move: tasks per core, at most one per pair.
+TASKS_PER_CORE = 64
 
 
 def blocks(vectors: DataFrame, id_col: str, vector_col: str, rows: int) -> DataFrame:
@@ -82,45 +87,58 @@ class SortedLists:
 
     def __init__(self, ids: np.ndarray, values: np.ndarray):
         self.ids, self.values = ids, values
-        self.order = np.argsort(values, axis=0, kind="stable")  # list d: order[:, d], ascending
-
-    def best(self, query: np.ndarray, k: int, skip: int) -> tuple[np.ndarray, np.ndarray]:
-        """Rows of the best k vectors and their scores, ties to the smaller id; `skip` takes no part."""
+        self.real = values.astype(np.float64)
+        order = np.argsort(values, axis=0, kind="stable")
+        self.ascending = np.take_along_axis(values, order, axis=0)
+        # A vector's place in each list, read from the low end; from the high end it is n - 1 - place.
+        self.place = np.empty_like(order)
+        np.put_along_axis(self.place, order, np.arange(len(values))[:, None], axis=0)
+
+    def best(
+        self, queries: np.ndarray, k: int, skip: np.ndarray
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each query the rows of the best k vectors and their scores, ties to the smaller id.
+
+        `skip` holds for each query the row that takes no part, or -1.
+        """
+        for query, alive, out in zip(queries, self.survivors(queries, k, skip), skip):
+            alive = alive[alive != out]
+            scores = self.values[alive] @ query
+            chosen = np.lexsort((self.ids[alive], -scores))[:k]
+            yield alive[chosen], scores[chosen]
+
+    def survivors(self, queries: np.ndarray, k: int, skip: np.ndarray) -> list[np.ndarray]:
+        """For each query the rows that may be among its best k, ascending."""
         n, dims = self.values.shape
-        alive = np.arange(n)
-        if n > k * FEW:
-            alive = self.survivors(query, k, skip)
-        alive = alive[alive != skip]
-        scores = self.values[alive] @ query
-        chosen = np.lexsort((self.ids[alive], -scores))[:k]
-        return alive[chosen], scores[chosen]
-
-    def survivors(self, query: np.ndarray, k: int, skip: int) -> np.ndarray:
-        n, _ = self.values.shape
-        used = np.flatnonzero(query)
-        weights = query[used]
-        known = np.zeros(n, np.int64)  # the terms read so far
-        unread = np.ones((n, len(used)))  # doubles hold these integers exactly
-        ends = np.where(weights > 0, 0, n - 1)
-        worst = weights * self.values[self.order[ends, used], used]
+        result = [np.arange(n)] * len(queries)
+        largest = float(np.abs(self.real).max()) * float(np.abs(queries).max(initial=0)) * dims
+        if n <= k * FEW or largest >= 2**52:  # beyond that doubles do not hold the sums exactly
+            return result
+        up, down = np.maximum(queries, 0).astype(np.float64), np.minimum(queries, 0).astype(np.float64)
+        low, high = self.ascending[0], self.ascending[-1]
+        worst = up * low, down * high
+        reading = np.arange(len(queries))
         for step in range(1, STRETCHES + 1):
-            a, b = n * (step - 1) // STRETCHES, n * step // STRETCHES
-            place = np.empty(len(used), np.int64)  # the next unread term of each list
-            for j, (d, w) in enumerate(zip(used, weights)):
-                stretch = self.order[n - b : n - a, d] if w > 0 else self.order[a:b, d]
-                known[stretch] += w * self.values[stretch, d]
-                unread[stretch, j] = 0
-                at = (n - 1 - b if w > 0 else b) if b < n else (0 if w > 0 else n - 1)
-                place[j] = w * self.values[self.order[at, d], d]
-            lower = known + unread @ worst
-            upper = known + unread @ place
-            if skip >= 0:
-                lower[skip] = -np.inf
-            bar = np.partition(lower, n - k)[n - k]
+            read = n * step // STRETCHES
+            seen_up, seen_down = self.place >= n - read, self.place < read
+            known = (self.real * seen_up) @ up[reading].T + (self.real * seen_down) @ down[reading].T
+            hid_up, hid_down = (~seen_up).astype(np.float64), (~seen_down).astype(np.float64)
+            # The next places of the lists bound what is unread from above, their far ends from below.
+            next_up, next_down = self.ascending[max(n - 1 - read, 0)], self.ascending[min(read, n - 1)]
+            upper = known + hid_up @ (up[reading] * next_up).T + hid_down @ (down[reading] * next_down).T
+            lower = known + hid_up @ worst[0][reading].T + hid_down @ worst[1][reading].T
+            own = np.flatnonzero(skip[reading] >= 0)
+            lower[skip[reading][own], own] = upper[skip[reading][own], own] = -np.inf
+            bar = np.partition(lower, n - k, axis=0)[n - k]
             alive = upper >= bar
-            if alive.sum() <= k * FEW:
+            left = alive.sum(axis=0)
+            done = (left <= k * FEW) | (step == STRETCHES)
+            for j in np.flatnonzero(done):
+                result[reading[j]] = np.flatnonzero(alive[:, j])
+            reading = reading[~done]
+            if not len(reading):
                 break
-        return np.flatnonzero(alive)
+        return result
 
 
 def top_k(
@@ -143,13 +161,17 @@ def top_k(
     number = F.row_number().over(Window.partitionBy("dims").orderBy("block"))
     numbers = written(held.select("block", "dims").withColumn("number", number), "block_numbers")
     counts = numbers.groupBy("dims").agg(F.max("number").alias("blocks"))
-    asked = _questions(held, every).join(counts, "dims").withColumn(
-        "number", F.explode(F.sequence(F.lit(1), "blocks"))
+    asked = written(
+        _questions(held, every).join(counts, "dims").withColumn(
+            "number", F.explode(F.sequence(F.lit(1), "blocks"))
+        ),
+        "questions",
     )
     given = held.join(numbers.select("block", "number"), "block")
+    tasks = min(asked.count(), TASKS_PER_CORE * vectors.sparkSession.sparkContext.defaultParallelism)
     met = given.join(asked, ["dims", "number"]).select(
         "block", "ids", "values", "dims", "q_rows", "q_blocks", "q_ids", "q_values"
-    )
+    ).repartition(max(tasks, 1))
     schema = StructType(
         [StructField(n, LongType()) for n in ("query_block", "query_row", "query_id", "vec_id", "score")]
     )
@@ -163,9 +185,10 @@ def top_k(
                     shaped = np.frombuffer(values, np.int64).reshape(-1, dims)
                     last, lists = block, SortedLists(np.frombuffer(ids, np.int64), shaped)
                 rows, of, names, wanted = (np.frombuffer(x, np.int64) for x in question)
+                skip = np.where(of == block, rows, -1)
                 found = []
-                for row, home, name, query in zip(rows, of, names, wanted.reshape(-1, dims)):
-                    best, scores = lists.best(query, k, int(row) if home == block else -1)
+                answers = lists.best(wanted.reshape(-1, dims), k, skip)
+                for row, home, name, (best, scores) in zip(rows, of, names, answers):
                     found.append((np.full(len(best), home), np.full(len(best), row),
                                   np.full(len(best), name), lists.ids[best], scores))
                 yield pa.RecordBatch.from_arrays(
