@@ -38,10 +38,22 @@ FEW = 8
 TASKS_PER_CORE = 64
 
 
+def packed(values: np.ndarray) -> bytes:
+    largest = int(np.abs(values).max(initial=0))
+    kind = next(k for k in (np.int16, np.int32, np.int64) if largest <= np.iinfo(k).max)
+    return values.astype(kind).tobytes()
+
+
+def unpacked(raw: bytes, rows: int, dims: int) -> np.ndarray:
+    """The values of `rows` vectors; the size tells how wide the integers are."""
+    kind = {2: np.int16, 4: np.int32, 8: np.int64}[len(raw) // (rows * dims)]
+    return np.frombuffer(raw, kind).reshape(rows, dims).astype(np.int64)
+
+
 def blocks(vectors: DataFrame, id_col: str, vector_col: str, rows: int) -> DataFrame:
-    """(block, dims, ids, values): up to `rows` vectors of one length, as bytes of int64, in input order.
+    """(block, dims, ids, values): up to `rows` vectors of one length, as bytes, in input order.
 
-    Components become floor(64 x) of the double x. Vectors that are null, empty, or hold a null or a
+    Ids are 64-bit integers, values the smallest integers that hold them all. Components become floor(64 x) of the double x. Vectors that are null, empty, or hold a null or a
     value that is not finite take no part, nor do rows without an id.
     """
     schema = StructType(
@@ -57,7 +69,7 @@ def blocks(vectors: DataFrame, id_col: str, vector_col: str, rows: int) -> DataF
             nonlocal count
             found, waiting[dims] = waiting[dims], []
             ids = np.array([i for i, _ in found], np.int64).tobytes()
-            values = np.array([v for _, v in found], np.int64).tobytes()
+            values = packed(np.array([v for _, v in found], np.int64))
             count += 1
             return pa.RecordBatch.from_arrays(
                 [pa.array([(part << 32) + count], pa.int64()), pa.array([dims], pa.int32()),
@@ -87,7 +99,7 @@ class SortedLists:
 
     def __init__(self, ids: np.ndarray, values: np.ndarray):
         self.ids, self.values = ids, values
-        self.real = values.astype(np.float64)
+        self.largest = float(np.abs(values).max(initial=0))
         order = np.argsort(values, axis=0, kind="stable")
         self.ascending = np.take_along_axis(values, order, axis=0)
         # A vector's place in each list, read from the low end; from the high end it is n - 1 - place.
@@ -111,20 +123,23 @@ class SortedLists:
         """For each query the rows that may be among its best k, ascending."""
         n, dims = self.values.shape
         result = [np.arange(n)] * len(queries)
-        largest = float(np.abs(self.real).max()) * float(np.abs(queries).max(initial=0)) * dims
-        if n <= k * FEW or largest >= 2**52:  # beyond that doubles do not hold the sums exactly
+        # Sums of integers are exact in floats while they stay below the floats' own precision.
+        largest = self.largest * float(np.abs(queries).max(initial=0)) * dims
+        if n <= k * FEW or largest >= 2**52:
             return result
-        up, down = np.maximum(queries, 0).astype(np.float64), np.minimum(queries, 0).astype(np.float64)
-        low, high = self.ascending[0], self.ascending[-1]
+        kind = np.float32 if largest < 2**23 else np.float64
+        real, ascending = self.values.astype(kind), self.ascending.astype(kind)
+        up, down = np.maximum(queries, 0).astype(kind), np.minimum(queries, 0).astype(kind)
+        low, high = ascending[0], ascending[-1]
         worst = up * low, down * high
         reading = np.arange(len(queries))
         for step in range(1, STRETCHES + 1):
             read = n * step // STRETCHES
             seen_up, seen_down = self.place >= n - read, self.place < read
-            known = (self.real * seen_up) @ up[reading].T + (self.real * seen_down) @ down[reading].T
-            hid_up, hid_down = (~seen_up).astype(np.float64), (~seen_down).astype(np.float64)
+            known = (real * seen_up) @ up[reading].T + (real * seen_down) @ down[reading].T
+            hid_up, hid_down = (~seen_up).astype(kind), (~seen_down).astype(kind)
             # The next places of the lists bound what is unread from above, their far ends from below.
-            next_up, next_down = self.ascending[max(n - 1 - read, 0)], self.ascending[min(read, n - 1)]
+            next_up, next_down = ascending[max(n - 1 - read, 0)], ascending[min(read, n - 1)]
             upper = known + hid_up @ (up[reading] * next_up).T + hid_down @ (down[reading] * next_down).T
             lower = known + hid_up @ worst[0][reading].T + hid_down @ worst[1][reading].T
             own = np.flatnonzero(skip[reading] >= 0)
@@ -182,12 +197,12 @@ def top_k(
             for r in range(batch.num_rows):
                 block, ids, values, dims, *question = (c[r].as_py() for c in batch.columns)
                 if block != last:
-                    shaped = np.frombuffer(values, np.int64).reshape(-1, dims)
-                    last, lists = block, SortedLists(np.frombuffer(ids, np.int64), shaped)
-                rows, of, names, wanted = (np.frombuffer(x, np.int64) for x in question)
+                    names = np.frombuffer(ids, np.int64)
+                    last, lists = block, SortedLists(names, unpacked(values, len(names), dims))
+                rows, of, names = (np.frombuffer(x, np.int64) for x in question[:3])
                 skip = np.where(of == block, rows, -1)
                 found = []
-                answers = lists.best(wanted.reshape(-1, dims), k, skip)
+                answers = lists.best(unpacked(question[3], len(names), dims), k, skip)
                 for row, home, name, (best, scores) in zip(rows, of, names, answers):
                     found.append((np.full(len(best), home), np.full(len(best), row),
                                   np.full(len(best), name), lists.ids[best], scores))
@@ -214,14 +229,14 @@ def _questions(held: DataFrame, every: int) -> DataFrame:
         for batch in batches:
             for r in batch.to_pylist():
                 ids = np.frombuffer(r["ids"], np.int64)
-                values = np.frombuffer(r["values"], np.int64).reshape(-1, r["dims"])
+                values = unpacked(r["values"], len(ids), r["dims"])
                 asked = np.flatnonzero(ids % every == 0)
                 for at in range(0, len(asked), QUERY_ROWS):
                     rows = asked[at : at + QUERY_ROWS]
-                    parts = (rows.astype(np.int64), np.full(len(rows), r["block"]), ids[rows], values[rows])
+                    parts = (rows.astype(np.int64), np.full(len(rows), r["block"]), ids[rows])
+                    raw = [p.tobytes() for p in parts] + [packed(values[rows])]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([r["dims"]], pa.int32())]
-                        + [pa.array([p.tobytes()], pa.binary()) for p in parts],
+                        [pa.array([r["dims"]], pa.int32())] + [pa.array([x], pa.binary()) for x in raw],
                         names=schema.names,
                     )
 
