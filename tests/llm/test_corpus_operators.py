@@ -72,7 +72,7 @@ def test_repeats_equal_brute_force(spark):
 
 
 def test_large_divisions_give_the_same(spark, monkeypatch):
-    """The bound is read on the driver, so a low one sends every division through the longer prefix."""
+    """The bound is read on the driver, so a low one sends every division through longer and longer prefixes."""
     monkeypatch.setattr(repeats, "TREE_ENTRIES", 1)
     check_repeats(spark, repeat_rows())
 
@@ -85,9 +85,9 @@ def test_anchors_depend_on_the_window_alone():
     for before, after in ((0, 0), (7, 90), (61, 3)):
         around = prose(before, 5).encode().split() + common + prose(after, 6).encode().split()
         found = {}
-        for anchor, lo, windows in zip(*anchors(around)):
+        for anchor, lo, windows, mark in zip(*anchors(around)):
             for w in range(lo, lo + windows):
-                found[w - before] = anchor
+                found[w - before] = (anchor, lo + mark - w)
         assert sorted(found) == list(range(-before, len(around) - before - 49))
         marks.append([found[w] for w in range(len(common) - 49)])
     assert marks[0] == marks[1] == marks[2]
@@ -211,17 +211,20 @@ def struct_float(x):
     return float(np.float32(x))
 
 
-def test_survivors_hold_the_best(spark):
+def test_survivors_hold_the_best():
     draw = np.random.default_rng(3)
     values = draw.integers(-40, 40, (3000, 16))
     values[:5] = 30
     lists = topk.SortedLists(np.arange(3000), values)
-    for q in (values[0], values[9], -values[0], np.eye(16, dtype=np.int64)[3]):
-        kept = lists.survivors(q, 10, 0)
+    queries = np.array([values[0], values[9], -values[0], np.eye(16, dtype=np.int64)[3], np.zeros(16, np.int64)])
+    skip = np.array([0, 9, -1, -1, -1])
+    for q, out, kept in zip(queries, skip, lists.survivors(queries, 10, skip)):
         scores = values @ q
-        bar = np.sort(np.delete(scores, 0))[-10]
-        assert set(np.flatnonzero(scores >= bar)) - {0} <= set(kept)
-        assert len(kept) < 3000
+        bar = np.sort(np.delete(scores, out) if out >= 0 else scores)[-10]
+        assert set(np.flatnonzero(scores >= bar)) - {out} <= set(kept)
+        assert len(kept) < 3000 or not q.any()
+    huge = topk.SortedLists(np.arange(300), draw.integers(-(2**30), 2**30, (300, 4)))
+    assert all(len(kept) == 300 for kept in huge.survivors(huge.values[:2], 3, np.array([-1, -1])))
 
 
 def test_top_k_of_an_empty_table(spark):
