@@ -13,7 +13,10 @@ Anchors thin the suffixes out to one entry per about 22 words.
 Most text never reaches a tree. An anchor found in one document only is dropped after counting. Equal
 entries are represented by the one in the smallest document; the other documents' copies are covered
 whole. Trees are built where an anchor has different entries. A division of more than `TREE_ENTRIES`
-entries is divided further, by the longest useful prefix: all `WINDOW` words.
+entries is divided further by longer prefixes: its windows are halved by how far into them the anchor
+lies, and all windows of a half share a longer run of words around the anchor, which is the new prefix.
+Halves that are equal are again represented by one. At the latest when a half is a single window its
+prefix is the whole window, and nothing is left to divide.
 """
 
 from __future__ import annotations
@@ -36,7 +39,8 @@ from .common import split_words, written
 WINDOW = 50
 GRAM = 8
 TREE_ENTRIES = 1000
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
+STRIDE = 20_000
 U = np.uint64
 
 
@@ -62,11 +66,11 @@ class Anchors:
         self.known: dict[bytes, int] = {}
         self.steps = mixed(np.arange(1, GRAM + 1, dtype=U)) | U(1)
 
-    def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Anchor hash, first window and number of windows of each run, in order."""
+    def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each run, in order: anchor hash, first window, number of windows, words before the anchor."""
         n = len(words) - WINDOW + 1
         if n <= 0:
-            return np.empty(0, U), np.empty(0, np.int64), np.empty(0, np.int64)
+            return np.empty(0, U), *[np.empty(0, np.int64)] * 3
         known = self.known
         missing = set(words).difference(known)
         if missing:
@@ -82,12 +86,12 @@ class Anchors:
         grams = mixed(grams)
         held = WINDOW - GRAM + 1
         place = np.empty(n, np.int64)
-        for at in range(0, n, 100_000):
-            view = np.lib.stride_tricks.sliding_window_view(grams[at : at + 100_000 + held - 1], held)
+        for at in range(0, n, STRIDE):
+            view = np.lib.stride_tricks.sliding_window_view(grams[at : at + STRIDE + held - 1], held)
             view = view[: n - at]
             place[at : at + len(view)] = at + np.arange(len(view)) + view.argmin(axis=1)
         first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-        return grams[place[first]], first, np.diff(np.r_[first, n])
+        return grams[place[first]], first, np.diff(np.r_[first, n]), place[first] - first
 
 
 def scanned(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -95,7 +99,7 @@ def scanned(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     schema = StructType(
         _longs("doc_id", "row", "n_words")
         + [StructField("sha", BinaryType())]
-        + _longs("anchor", "digest", "lo", "windows")
+        + _longs("anchor", "digest", "lo", "windows", "mark")
     )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,7 +116,7 @@ def scanned(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     heads.append((row, len(words), hashlib.sha256(joined).digest()))
                     if doc is None or len(words) < WINDOW:
                         continue
-                    anchor, lo, windows = anchors(words)
+                    anchor, lo, windows, mark = anchors(words)
                     ends = np.cumsum([len(w) + 1 for w in words])
                     starts = ends - [len(w) + 1 for w in words]
                     digests = [
@@ -120,20 +124,20 @@ def scanned(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                         for a, b in zip(starts[lo].tolist(), ends[lo + windows + WINDOW - 2].tolist())
                     ]
                     runs.append((np.full(len(lo), doc), np.full(len(lo), row), anchor,
-                                 np.array(digests, U), lo, windows))
+                                 np.array(digests, U), lo, windows, mark))
                 row, n, sha = zip(*heads)
                 none = pa.nulls(len(heads), pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [ids, pa.array(row, pa.int64()), pa.array(n, pa.int64()), pa.array(sha, pa.binary()),
-                     none, none, none, none],
+                     none, none, none, none, none],
                     names=schema.names,
                 )
                 if runs:
-                    doc, row, anchor, digest, lo, windows = map(np.concatenate, zip(*runs))
+                    doc, row, anchor, digest, lo, windows, mark = map(np.concatenate, zip(*runs))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(doc), pa.array(row), pa.nulls(len(doc), pa.int64()),
                          pa.nulls(len(doc), pa.binary()), pa.array(anchor.view(np.int64)),
-                         pa.array(digest.view(np.int64)), pa.array(lo), pa.array(windows)],
+                         pa.array(digest.view(np.int64)), pa.array(lo), pa.array(windows), pa.array(mark)],
                         names=schema.names,
                     )
 
@@ -141,11 +145,11 @@ def scanned(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def entries(firsts: DataFrame, texts: DataFrame) -> DataFrame:
-    """(anchor, digest, doc, words): the words of each entry, cut from the document it is first in.
+    """(anchor, digest, doc, mark, words): the words of each entry, cut from the document it is first in.
 
     A document's entries come as one list, which is no longer than the document.
     """
-    schema = StructType(_longs("anchor", "digest", "doc") + [StructField("words", StringType())])
+    schema = StructType(_longs("anchor", "digest", "doc", "mark") + [StructField("words", StringType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,16 +159,16 @@ def entries(firsts: DataFrame, texts: DataFrame) -> DataFrame:
                     words = r["text"].encode().split()
                     for e in r["found"]:
                         part = words[e["lo"] : e["lo"] + e["windows"] + WINDOW - 1]
-                        rows.append((e["anchor"], e["digest"], r["doc_id"], b" ".join(part).decode()))
+                        rows.append((e["anchor"], e["digest"], r["doc_id"], e["mark"], b" ".join(part).decode()))
                 columns = zip(*rows)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(next(columns), pa.int64()) for _ in range(3)]
+                    [pa.array(next(columns), pa.int64()) for _ in range(4)]
                     + [pa.array(next(columns), pa.string())],
                     names=schema.names,
                 )
 
     listed = firsts.groupBy("doc_id", "row").agg(
-        F.collect_list(F.struct("anchor", "digest", "lo", "windows")).alias("found")
+        F.collect_list(F.struct("anchor", "digest", "lo", "windows", "mark")).alias("found")
     )
     return texts.join(listed, ["doc_id", "row"]).select("doc_id", "text", "found").mapInArrow(cut, schema)
 
@@ -193,11 +197,14 @@ def subtree_repeats(group: list[tuple[int, list[bytes]]]) -> list[tuple[int, int
     return found
 
 
-_COVERED = StructType(_longs("anchor", "digest", "from", "to"))
+_COVERED = StructType(_longs("prefix", "entry", "from", "to"))
 
 
 def tree_repeats(given: DataFrame) -> DataFrame:
-    """(anchor, digest, from, to): words of an entry that repeat a smaller document, by trees in memory."""
+    """(prefix, entry, from, to): words that repeat a smaller document, by one tree per prefix.
+
+    `given` holds the different entries (prefix, entry, doc, words), few enough per prefix for memory.
+    """
 
     def solve(group: list[tuple[int, int, int, list[bytes]]]) -> list[tuple[int, int, int, int]]:
         found: dict[int, list[int]] = {}
@@ -215,17 +222,18 @@ def tree_repeats(given: DataFrame) -> DataFrame:
         group: list = []
         for batch in batches:
             rows = []
-            for r in batch.to_pylist():
-                if group and group[0][0] != r["anchor"]:
-                    rows += solve(group)
-                    group = []
-                group.append((r["anchor"], r["digest"], r["doc"], r["words"].encode().split()))
+            for at in range(0, batch.num_rows, 1000):
+                for r in batch.slice(at, 1000).to_pylist():
+                    if group and group[0][0] != r["prefix"]:
+                        rows += solve(group)
+                        group = []
+                    group.append((r["prefix"], r["entry"], r["doc"], r["words"].encode().split()))
             yield _covered_batch(rows)
         if group:
             yield _covered_batch(solve(group))
 
-    placed = given.repartition("anchor").sortWithinPartitions("anchor")
-    return placed.mapInArrow(scan, _COVERED)
+    placed = given.select("prefix", "entry", "doc", "words").repartition("prefix")
+    return placed.sortWithinPartitions("prefix").mapInArrow(scan, _COVERED)
 
 
 def _covered_batch(rows) -> pa.RecordBatch:
@@ -233,29 +241,66 @@ def _covered_batch(rows) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=_COVERED.names)
 
 
-def window_repeats(given: DataFrame) -> DataFrame:
-    """As `tree_repeats`, for divisions too large for a tree: one division per window of WINDOW words."""
-    schema = StructType(
-        _longs("anchor", "digest", "doc", "at") + [StructField("window", BinaryType())]
-    )
+def halved(given: DataFrame) -> DataFrame:
+    """The two halves of each entry's windows, with a `prefix` and an `entry` (digest) of their own.
+
+    `near` and `far` bound how many words lie before the anchor in a window (`near` included), `mark` is
+    how many do so in the entry; `at` counts words from the start of the entry (anchor, digest)
+    that the half goes back to. The prefix is what all windows between the bounds have in common.
+    """
+    names = ["prefix", "entry", "anchor", "digest", "at", "doc", "mark", "near", "far"]
+    schema = StructType(_longs(*names) + [StructField("words", StringType())])
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def key(words: list[bytes], *bounds: int) -> int:
+        return xxhash.xxh3_64_intdigest(repr(bounds).encode() + b" ".join(words)) - (1 << 63)
+
+    def halve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
-                words = r["words"].encode().split()
-                n = len(words) - WINDOW + 1
-                windows = [xxhash.xxh3_128_digest(b" ".join(words[s : s + WINDOW])) for s in range(n)]
+            for at in range(0, batch.num_rows, 1000):
+                rows = []
+                for r in batch.slice(at, 1000).to_pylist():
+                    words, mark = r["words"].encode().split(), r["mark"]
+                    middle = (r["near"] + r["far"] + 1) // 2
+                    for near, far in ((r["near"], middle), (middle, r["far"])):
+                        a = max(0, mark - far + 1)
+                        b = min(len(words) - WINDOW, mark - near)
+                        if near < far and a <= b:
+                            part = words[a : b + WINDOW]
+                            prefix = words[mark - near : mark - far + 1 + WINDOW]
+                            rows.append((key(prefix, near, far), key(part, near, far), r["anchor"], r["digest"],
+                                         r["at"] + a, r["doc"], mark - a, near, far, b" ".join(part).decode()))
+                columns = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[k]] * n, pa.int64()) for k in ("anchor", "digest", "doc")]
-                    + [pa.array(range(n), pa.int64()), pa.array(windows, pa.binary())],
+                    [pa.array(c, pa.int64()) for c in columns[:-1]] + [pa.array(columns[-1], pa.string())],
                     names=schema.names,
                 )
 
-    spread_out = written(given.mapInArrow(spread, schema), "windows")
-    owners = spread_out.groupBy("window").agg(F.min("doc").alias("owner"))
-    return spread_out.join(owners, "window").where("owner < doc").select(
-        "anchor", "digest", F.col("at").alias("from"), (F.col("at") + WINDOW).alias("to")
-    )
+    return given.select(*names[2:], "words").mapInArrow(halve, schema)
+
+
+def divided_repeats(given: DataFrame) -> list[DataFrame]:
+    """(anchor, digest, from, to) tables for entries of large divisions."""
+    found, key = [], ["prefix", "entry"]
+    while not given.isEmpty():
+        halves = written(halved(given), "halves")
+        owner = written(halves.groupBy(*key).agg(F.min("doc").alias("owner")), "owners")
+        both = halves.join(owner, key)
+        size = F.size(F.split("words", " "))
+        found.append(both.where("owner < doc").select(
+            "anchor", "digest", F.col("at").alias("from"), (F.col("at") + size).alias("to")
+        ))
+        mine = written(both.where("owner = doc").drop("owner"), "own_halves")
+        counts = written(
+            owner.groupBy("prefix").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "divisions"
+        )
+        sized = mine.join(counts, "prefix")
+        small = sized.where(F.col("n") <= TREE_ENTRIES)
+        covered = tree_repeats(small.dropDuplicates(key))
+        found.append(small.join(covered, key).select(
+            "anchor", "digest", (F.col("at") + F.col("from")).alias("from"), (F.col("at") + F.col("to")).alias("to")
+        ))
+        given = sized.where(F.col("n") > TREE_ENTRIES)
+    return found
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -268,16 +313,20 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     found = written(scanned(docs, id_col, text_col), "scan")
     heads = found.where("anchor is null").select("doc_id", "row", "n_words", "sha")
-    runs = found.where("anchor is not null").select("doc_id", "row", "anchor", "digest", "lo", "windows")
+    runs = found.where("anchor is not null").drop("n_words", "sha")
 
-    shared = runs.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
-    runs = written(runs.join(shared.where("a < b").select("anchor"), "anchor"), "runs")
-    own = F.struct("doc_id", "row", "lo", "windows")
+    # Counts are written before they are joined: a join of two plain shuffles can split a hot anchor.
+    ends = runs.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+    shared = written(ends.where("a < b").select("anchor"), "shared")
+    runs = written(runs.join(shared, "anchor"), "runs")
+    own = F.struct("doc_id", "row", "lo", "windows", "mark")
     firsts = written(
         runs.groupBy("anchor", "digest").agg(F.min(own).alias("f")).select("anchor", "digest", "f.*"),
         "firsts",
     )
-    per_anchor = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    per_anchor = written(
+        firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "divisions"
+    )
 
     ids = runs.select("doc_id").distinct()
     numbered = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
@@ -286,9 +335,14 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     given = written(
         entries(firsts.join(per_anchor, "anchor").drop("n"), texts).join(per_anchor, "anchor"), "entries"
     )
-    small = tree_repeats(given.where(F.col("n") <= TREE_ENTRIES).drop("n"))
-    large = window_repeats(given.where(F.col("n") > TREE_ENTRIES).drop("n"))
-    inside = written(small.unionByName(large), "repeats")
+    trees = tree_repeats(
+        given.where(F.col("n") <= TREE_ENTRIES).withColumnsRenamed({"anchor": "prefix", "digest": "entry"})
+    ).withColumnsRenamed({"prefix": "anchor", "entry": "digest"})
+    bounds = {"at": 0, "near": 0, "far": WINDOW - GRAM + 1}
+    large = given.where(F.col("n") > TREE_ENTRIES).withColumns(
+        {name: F.lit(value).cast("bigint") for name, value in bounds.items()}
+    )
+    inside = written(reduce(DataFrame.unionByName, [trees, *divided_repeats(large)]), "repeats")
 
     first = F.col("doc_id") == F.col("first_doc")
     owned = runs.join(
