@@ -4,14 +4,15 @@ A document is the set of its word shingles. Every shingle sets one bit of a sket
 the parity of the shingles that fell on it; a shingle that two sets share cancels out, and the Hamming
 distance of two sketches is at most the size of the sets' symmetric difference.
 
-Two sets with Jaccard similarity of at least t differ in at most d = (a + b) (1 - t) / (1 + t) shingles.
-Sizes are cut into bands so that linked sets lie in the same or in neighbouring bands; a *group* is a
-pair of neighbouring bands with one bound d for all its pairs. Within a group the sketch is cut into
-parts of 64 bits, more than d of them: by the pigeonhole principle at least `parts - d` parts of a linked
-pair are equal. Parts that are zero say little and would be shared by many, so a document offers its first
-d + 1 non-zero parts. That loses nothing: a pair agrees in at least parts - d - (zero parts of either)
-non-zero parts, so the first of these cannot be among the parts left out. Only a document with d or fewer
-non-zero parts offers all its parts, the zero ones too.
+Two sets with Jaccard similarity of at least t differ in at most (a + b) (1 - t) / (1 + t) shingles, so a
+set of size a differs from whatever it is linked with in at most d, given by its own size. Sizes are cut
+into bands so that linked sets lie in the same or in neighbouring bands; a *group* is a pair of
+neighbouring bands. Within a group the sketch is cut into parts of 64 bits, more than any d: by the
+pigeonhole principle at least `parts - d` parts of a linked pair are equal. Parts with no bit or one say
+little and are shared by many (a common line is enough), so a document offers its first d + 1 parts with
+two bits or more. That loses nothing: a pair agrees in at least parts - d - (weak parts of either) strong
+parts, so the first of these cannot be among the parts left out. Only a document with d or fewer strong
+parts offers all its parts, the weak ones too.
 
 Offers are range-partitioned by (part value, document), so that a value shared by a third of all
 documents is spread over tasks. Candidates are verified in two steps. First each shared value links its
@@ -37,9 +38,11 @@ from pyspark.sql.types import (
 
 from .common import components, split_words, written
 
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 STAR_ROWS = 4096
-SKETCH_WORDS = 4
+SKETCH_WORDS = 16
+# So much of the sketch travels with every offer that is looked at in pairs.
+SHORT_WORDS = 4
 U = np.uint64
 
 
@@ -89,10 +92,16 @@ class Bands:
         while edges[-1] <= largest:
             edges.append(edges[-1] * den // num + 1)
         self.edges = np.array(edges, np.int64)
-        # Group g holds the bands g - 1 and g, so its sets are smaller than edges[g + 1].
-        self.differ = [2 * (e - 1) * (den - num) // (den + num) for e in edges[1:]]
-        spare = [max(2, -(-3 * d * (den - num) // (2 * den))) if d else 0 for d in self.differ]
-        self.parts = [d + 1 + s for d, s in zip(self.differ, spare)]
+        self.num, self.den = num, den
+        # Group g holds the bands g - 1 and g, so its sets are smaller than edges[g + 1]. A third more
+        # parts than the largest difference leaves enough strong ones.
+        differ = [2 * (e - 1) * (den - num) // (den + num) for e in edges[1:]]
+        self.parts = [d + 1 + (max(2, -(-7 * d // 20)) if d else 0) for d in differ]
+
+    def difference(self, size: int, group: int) -> int:
+        """How far a set of this size may be from any set of the group that it is linked with."""
+        partner = min(size * self.den // self.num, int(self.edges[group + 1]) - 1)
+        return (size + partner) * (self.den - self.num) // (self.den + self.num)
 
     def groups(self, size: int) -> tuple[int, int]:
         """The groups of a set: the one it closes and the one it opens."""
@@ -111,9 +120,9 @@ def offers(hashes: np.ndarray, bands: Bands) -> np.ndarray:
     """The keys under which a set meets every set it may be linked with."""
     keys = []
     for g in bands.groups(len(hashes)):
-        parts, differ = bands.parts[g], bands.differ[g]
+        parts, differ = bands.parts[g], bands.difference(len(hashes), g)
         sketch = parity(hashes, parts)
-        shown = np.flatnonzero(sketch)
+        shown = np.flatnonzero(np.bitwise_count(sketch) > 1)
         shown = shown[: differ + 1] if len(shown) > differ else np.arange(parts)
         place = mixed((U(g) << U(40)) + shown.astype(U) + U(1))
         keys.append(mixed(sketch[shown] ^ place))
@@ -203,12 +212,12 @@ def shared_offers(offered: DataFrame) -> DataFrame:
     return placed.mapInArrow(scan, schema)
 
 
-def _may_link(num: int, den: int, a: str, b: str):
+def _may_link(num: int, den: int, a: str, b: str, sketch_words: int = SKETCH_WORDS):
     """Sizes and sketches allow the similarity: a cheap, never too strict test of two rows."""
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
     distance = reduce(
         add,
-        [F.bit_count(F.col(f"{a}.s{i}").bitwiseXOR(F.col(f"{b}.s{i}"))) for i in range(SKETCH_WORDS)],
+        [F.bit_count(F.col(f"{a}.s{i}").bitwiseXOR(F.col(f"{b}.s{i}"))) for i in range(sketch_words)],
     )
     return (
         (na * num <= nb * den) & (nb * num <= na * den)
@@ -264,7 +273,10 @@ def near_copies(
     sets = written(signed(docs, k, num, den, id_col, text_col), "sets")
     full = sets.where("n_shingles > 0 and doc_id is not null")
     # Equal sets need no sketch: they are linked with the smallest document that has the set.
-    firsts = full.groupBy("set_hash", "n_shingles").agg(F.min("doc_id").alias("rep"))
+    # Written before it is joined: a join of two plain shuffles can split the copies of a common text.
+    firsts = written(
+        full.groupBy("set_hash", "n_shingles").agg(F.min("doc_id").alias("rep")), "first_of_set"
+    )
     nodes = written(
         full.drop("keys").join(firsts, ["set_hash", "n_shingles"]).drop("set_hash"), "nodes"
     )
@@ -289,12 +301,13 @@ def near_copies(
     star = meetings.where("rep <> center").select(
         F.least("rep", "center").alias("a"), F.greatest("rep", "center").alias("b")
     ).distinct()
-    star = written(
-        star.join(featured("x"), F.col("a") == F.col("x.rep"))
-        .join(featured("y"), F.col("b") == F.col("y.rep"))
-        .where(_may_link(num, den, "x", "y")).select("a", "b"),
-        "star",
-    )
+    def plausible(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(featured("x"), F.col("a") == F.col("x.rep")).join(
+            featured("y"), F.col("b") == F.col("y.rep")
+        )
+        return both.where(_may_link(num, den, "x", "y")).select("a", "b")
+
+    star = written(plausible(star), "star")
     links = verified(star, docs, k, num, den, id_col, text_col)
 
     # What shares a key and is not connected by now: every pair is looked at.
@@ -304,18 +317,18 @@ def near_copies(
         .withColumn("component", F.coalesce("component", "rep")),
         "members",
     )
-    open_keys = members.groupBy("key").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi")
-    ).where("lo <> hi").select("key")
-    open_members = written(members.join(open_keys, "key").join(features, "rep"), "open_members")
+    ends = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    open_keys = written(ends.where("lo <> hi").select("key"), "open_keys")
+    short = features.select("rep", "n", *[f"s{i}" for i in range(SHORT_WORDS)])
+    open_members = written(members.join(open_keys, "key").join(short, "rep"), "open_members")
     rest = (
         open_members.alias("x").join(open_members.alias("y"), F.col("x.key") == F.col("y.key"))
         .where((F.col("x.rep") < F.col("y.rep")) & (F.col("x.component") != F.col("y.component")))
-        .where(_may_link(num, den, "x", "y"))
+        .where(_may_link(num, den, "x", "y", SHORT_WORDS))
         .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
         .join(star, ["a", "b"], "left_anti")
     )
-    more = verified(written(rest, "rest"), docs, k, num, den, id_col, text_col)
+    more = verified(written(plausible(rest), "rest"), docs, k, num, den, id_col, text_col)
 
     label = components(reduce(DataFrame.unionByName, [links, more, equal]))
     return (
