@@ -87,7 +87,7 @@ class Model:
     def word_scores(self, word: str) -> tuple[float, ...]:
         """Log likelihood per language, relative to the best; all 0 if the script is nobody's."""
         allowed = self.scripts.get(script(word))
-        if not allowed:
+        if not allowed or not any(allowed):
             return (0.0,) * len(self.languages)
         total = [0.0] * len(self.languages)
         for f in features(word):

@@ -74,6 +74,19 @@ def test_odd_texts_have_a_defined_language(spark, model, no_docs):
     assert {r.lang_pred for r in langid.identify(df, nothing).collect()} == {"und"}
 
 
+def test_a_rare_script_of_the_sample_is_nobodys(spark):
+    rows = [(sentence(lang, 60, i), lang) for lang in ("aa", "bb", "cc") for i in range(20)]
+    rows += [(f"{sentence('aa', 20, 99)} {sentence('gr', 2, 1)} слово 漢字", "aa")]
+    rare = langid.learn(spark.createDataFrame(rows, "text string, lang string"))
+    assert {s for s, ok in rare.scripts.items() if not any(ok)} == {"greek", "cyrillic", "han"}
+    assert rare.word_scores("λόγος") == (0.0, 0.0, 0.0)
+    texts = [f"{sentence('bb', 9, 1)} λόγος {sentence('bb', 9, 2)}", "слово 漢字"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r for r in langid.identify(df, rare).collect()}
+    assert got[0].lang_pred == "bb" and [s.lang for s in got[0].spans] == ["bb"]
+    assert got[1].lang_pred in rare.languages and got[1].score == 0.0
+
+
 def test_viterbi_equals_trying_everything(model):
     import itertools
 
