@@ -31,8 +31,9 @@ def with_measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     n_words, word_chars (code points in words), n_symbols, n_dup_lines (lines with a word that equal
     an earlier line), n_repeat_words (words inside windows of eight that occur twice or more in the
-    text), n_lines (with a word), n_upper, n_letters, n_exclaim (words ending in two exclamation
-    marks), n_marks (words of one symbol), n_distinct (different words).
+    text), n_lines (with a word), n_upper, n_letters, n_signs (combining marks, such as vowel signs),
+    n_exclaim (words ending in two exclamation marks), n_marks (words of one symbol), n_distinct
+    (different words).
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda x: F.length(F.translate(x, SPACES, "")) > 0)
@@ -96,6 +97,7 @@ def with_measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "n_lines": F.size("_lines"),
         "n_upper": F.length(F.regexp_replace("_text", r"\P{Lu}", "")),
         "n_letters": letters,
+        "n_signs": size - F.length(F.regexp_replace("_text", r"\p{M}+", "")),
         "n_exclaim": F.size(F.filter("_words", lambda w: F.endswith(w, F.lit("!!")))),
         "n_marks": F.size(F.filter("_words", lambda w: (F.length(w) == 1) & w.rlike(r"[^\p{L}\p{N}]"))),
         "n_distinct": F.size(F.array_distinct("_hashes")),
@@ -125,7 +127,7 @@ def votes() -> dict[str, Column]:
     """
     m = {k: F.col("m")[k] for k in (
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper",
-        "n_letters", "n_exclaim", "n_marks", "n_distinct")}
+        "n_letters", "n_signs", "n_exclaim", "n_marks", "n_distinct")}
     n = m["n_words"]
     return {
         "length": _vote(n < 20),
@@ -136,7 +138,7 @@ def votes() -> dict[str, Column]:
         "capitals": _vote(2 * m["n_upper"] > m["n_letters"]),
         "shouting": _vote(10 * m["n_exclaim"] > n),
         "tables": _vote(5 * m["n_marks"] > n),
-        "letters": _vote(10 * m["n_letters"] < 7 * m["word_chars"]),
+        "letters": _vote(10 * (m["n_letters"] + m["n_signs"]) < 7 * m["word_chars"]),
         "variety": _vote(10 * m["n_distinct"] < n, 2 * m["n_distinct"] > n),
     }
 

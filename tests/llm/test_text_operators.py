@@ -1,6 +1,7 @@
 """Operators on single documents: tokens, secrets, quality, packing."""
 
 import hashlib
+import random
 import zlib
 
 import numpy as np
@@ -286,6 +287,33 @@ def test_quality_agrees_with_labels(spark):
     assert sum(bad) <= 0.1 * len(bad)
 
 
+HINDI = (
+    "भारत में कई नदियाँ पहाड़ों से निकलती हैं और मैदानों की ओर बहती हैं किसान उनके पानी से खेतों की सिंचाई करते "
+    "हैं गाँव के बच्चे सुबह विद्यालय जाते समय पुराने पुल पर रुककर मछलियाँ देखते थे शिक्षिका ने उन्हें बताया कि वर्षा "
+    "के बाद मिट्टी उपजाऊ हो जाती है इसलिए त्योहार पर लोग दीपक जलाकर धन्यवाद देते तथा मिठाइयाँ बाँटते"
+).split()
+
+
+def latin(n, seed):
+    draw = random.Random(seed)
+    return ["".join(draw.choices("ka to mi re lu san ver del ung est".split(), k=draw.randint(1, 3))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("n_hindi", [2, 32, 180])
+def test_clean_texts_with_vowel_signs_stay(spark, n_hindi):
+    """At a small, a middle and a large share of 400 documents, every tenth of the others being junk."""
+    rows = [(i, " ".join(random.Random(i).sample(HINDI, 40)) + "।") for i in range(n_hindi)]
+    rows += [
+        (i, " ".join(latin(60, i) if i % 10 else [f"{w.upper()}!!" for w in latin(40, i)]))
+        for i in range(n_hindi, 400)
+    ]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in quality.verdicts(df).collect()}
+    for i in range(400):
+        assert got[i].kept == (i < n_hindi or i % 10 > 0), rows[i]
+    assert all(10 * got[i].m.n_letters < 7 * got[i].m.word_chars for i in range(n_hindi))
+
+
 def test_kept_rows_keep_their_columns(spark, no_docs):
     rows = [(i, t, "k", 1) for i, t in enumerate([*REPEATED, prose(100, 9), None, prose(60, 8), prose(60, 8)])]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, kept string, m int")
