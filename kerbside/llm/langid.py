@@ -108,8 +108,8 @@ def learn(
 ) -> Model:
     """A model from rows (text, language); nulls are skipped.
 
-    Of each language the `texts` rows with the least hash of their text are used, and the `kept` most
-    frequent features, so what reaches the driver is bounded by the number of languages.
+    Of each language the `texts` different texts with the least hash are used, each once, and the `kept`
+    most frequent features, so what reaches the driver is bounded by the number of languages.
     """
     schema = StructType(
         [StructField("lang", StringType()), StructField("feature", StringType()),
@@ -135,8 +135,16 @@ def learn(
         )
 
     picked = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).dropna()
-    least = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
-    sample = picked.withColumn("nth", F.row_number().over(least)).where(F.col("nth") <= texts)
+    picked = picked.withColumn("hash", F.xxhash64("text"))
+
+    def first(rows: DataFrame, *order: str) -> DataFrame:
+        least = Window.partitionBy("lang").orderBy(*order)
+        return rows.withColumn("nth", F.row_number().over(least)).where(F.col("nth") <= texts).drop("nth")
+
+    # The hashes are chosen first, so that only the texts of the sample are moved to drop copies; the
+    # second choice matters only where different texts share a hash.
+    chosen = written(first(picked.select("lang", "hash").distinct(), "hash"), "sample_hashes")
+    sample = first(picked.join(chosen, ["lang", "hash"]).dropDuplicates(["lang", "text"]), "hash", "text")
     counted = sample.select("text", "lang").mapInArrow(count, schema)
     totals = written(counted.groupBy("lang", "feature").agg(F.sum("n").alias("n")), "features")
     common = Window.partitionBy("lang").orderBy(F.desc("n"), "feature")

@@ -87,6 +87,15 @@ def test_a_rare_script_of_the_sample_is_nobodys(spark):
     assert got[1].lang_pred in rare.languages and got[1].score == 0.0
 
 
+def test_copies_take_one_place_of_the_sample(spark):
+    rows = [(c * 4, "aa") for c in "pqxyz" for _ in range(10)] + [("pppp", "bb")]
+    df = spark.createDataFrame(rows, "text string, lang string")
+    learned = langid.learn(df, texts=5)
+    assert {c for c in "pqxyz" if f"={c * 4}" in learned.likelihood} == set("pqxyz")
+    assert learned.likelihood["=xxxx"][0] == learned.likelihood["=zzzz"][0]
+    assert sum(f"={c * 4}" in langid.learn(df.where("lang = 'aa'"), texts=3).likelihood for c in "pqxyz") == 3
+
+
 def test_viterbi_equals_trying_everything(model):
     import itertools
 
