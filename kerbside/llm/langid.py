@@ -58,8 +58,16 @@ _STARTS = [start for start, _ in SCRIPT_STARTS]
 
 
 def script(word: str) -> str:
-    """The script of a word's first letter."""
-    return SCRIPT_STARTS[bisect_right(_STARTS, ord(word[0])) - 1][1]
+    """The script of most of a word's letters, the first one on a tie.
+
+    Han and kana are written together, so against other scripts they count as one.
+    """
+    if word.isascii():
+        return "latin"
+    found = Counter(SCRIPT_STARTS[bisect_right(_STARTS, ord(c)) - 1][1] for c in word)
+    top, n = found.most_common(1)[0]
+    east = max(("han", "kana"), key=found.__getitem__)
+    return east if found["han"] + found["kana"] > n else top
 
 
 def letters_of(word: bytes) -> str:

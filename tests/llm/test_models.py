@@ -96,6 +96,18 @@ def test_copies_take_one_place_of_the_sample(spark):
     assert sum(f"={c * 4}" in langid.learn(df.where("lang = 'aa'"), texts=3).likelihood for c in "pqxyz") == 3
 
 
+def test_a_run_has_the_script_of_most_letters(spark):
+    for word, want in {"api接口返回数据": "han", "latinа": "latin", "äu": "latin", "webで検索するには東京": "kana",
+                       "abcde漢字東かなか": "han", "слово": "cyrillic"}.items():
+        assert langid.script(word) == want, word
+    draw = random.Random(5)
+    run = lambda n: "".join(draw.choices("接口返回的数据格式说明文中国人大学生", k=n))
+    rows = [(sentence("aa", 60, i), "aa") for i in range(20)] + [(f"{run(20)} {run(30)}", "zh") for _ in range(20)]
+    both = langid.learn(spark.createDataFrame(rows, "text string, lang string"))
+    df = spark.createDataFrame([(1, f"API{run(25)}"), (2, f"Kato {run(9)}")], "doc_id bigint, text string")
+    assert [r.lang_pred for r in langid.identify(df, both).orderBy("doc_id").collect()] == ["zh", "zh"]
+
+
 def test_viterbi_equals_trying_everything(model):
     import itertools
 
