@@ -79,7 +79,7 @@ def text_features(block: Block) -> list[str]:
     found.append("links:" + ("0" if share == 0 else "some" if share < 0.5 else "most"))
     if text[-1] in ".!?:;\"')”»。！？…":
         found.append("ends")
-    if "©" in text or "all rights" in text.lower()[:200]:
+    if "©" in text or "all rights" in text.lower():
         found.append("copyright")
     return found
 

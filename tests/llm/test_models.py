@@ -192,6 +192,11 @@ def test_new_layouts_are_decoded(field):
     assert right >= 0.98 * total
 
 
+def test_a_late_copyright_phrase_counts():
+    (block,) = html_blocks.leaf_blocks(f"<div>{'Example Press, Main Street 1, Town. ' * 9}All rights reserved.</div>")
+    assert "copyright" in extraction.text_features(block)
+
+
 def test_training_climbs_the_likelihood():
     """The gradient of the field is that of its likelihood, by finite differences."""
     import numpy as np
