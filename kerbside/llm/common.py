@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +39,17 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def by_bytes(batch: pa.RecordBatch, column: int, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch in slices whose values in a string column take about `limit` bytes; a longer value goes alone."""
+    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy()
+    ends, at = np.cumsum(sizes.astype(np.int64)), 0
+    while at < batch.num_rows:
+        before = int(ends[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component): for each node of the links (a, b), the smallest node reachable from it.
 
