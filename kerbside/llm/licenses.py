@@ -217,8 +217,9 @@ def rules() -> tuple[Rule, ...]:
             add(label, "name", expression, keywords)
             for version, ending in versions.items():
                 of = rf"{expression}{VERSION}{version}(?: only| or later| or any later version)?(?! \d)"
-                add(f"{label}-{ending}", "versioned", of, f"{keywords} {version}")
-                add(f"{label}-{ending}", "notice", rf"{GRANT}{TERMS} {of}", f"{keywords} {version}")
+                # The version may be glued to a letter ("v3"), so it is no keyword.
+                add(f"{label}-{ending}", "versioned", of, keywords)
+                add(f"{label}-{ending}", "notice", rf"{GRANT}{TERMS} {of}", keywords)
         if tag:
             add(label, "tag", rf"spdx licen[cs]e identifier {tag}", f"spdx identifier {tag}")
             for version, ending in versions.items():
@@ -235,8 +236,8 @@ def rules() -> tuple[Rule, ...]:
             long = rf"creative commons {full}(?: international| unported| generic)?(?: public)?{VERSION}{version}"
             add(ending, "versioned", of, f"cc {letters} {version}|creative commons {letters} {version}")
             add(ending, "notice", rf"{GRANT}{TERMS} {of}", f"cc {letters} {version}|creative commons {letters} {version}")
-            add(ending, "versioned", long, f"creative commons {version}")
-            add(ending, "notice", rf"{GRANT}{TERMS} {long}", f"creative commons {version}")
+            add(ending, "versioned", long, "creative commons")
+            add(ending, "notice", rf"{GRANT}{TERMS} {long}", "creative commons")
             add(ending, "notice", rf"creativecommons org licenses {letters} {version}", f"creativecommons licenses {version}")
     return tuple(sorted(found, key=lambda r: -r.priority))
 

@@ -102,7 +102,7 @@ def build(
     )
     bounds = sizes.agg(F.max("n").alias("n"), F.max("tree").alias("last")).first()
     if bounds["n"] is None:
-        return Manifest(_linked(leaves, 0), _no_runs(leaves), None)
+        return Manifest(_linked(leaves, 0), _by_block(_no_runs(leaves)), None)
     groups = bounds["last"] + 1
     tree_level = leaves.select(
         "tree", "node", "n", F.col("leaf").alias("hash"), F.col("place").alias("lo"), F.col("place").alias("hi")
@@ -117,9 +117,7 @@ def build(
         runs += top_runs
     root = reduce(DataFrame.unionByName, tops).where("n > 0").agg(F.max("hash").alias("hash")).first()["hash"]
     table = reduce(DataFrame.unionByName, runs) if runs else _no_runs(leaves)
-    blocks = F.explode(F.sequence(F.shiftright("lo", BLOCK_BITS), F.shiftright("hi", BLOCK_BITS))).alias("block")
-    stored = written(table.select("*", blocks).drop("lo", "hi"), "runs")
-    return Manifest(_linked(leaves, groups), stored, root)
+    return Manifest(_linked(leaves, groups), written(_by_block(table), "runs"), root)
 
 
 def _placed_groups(counts: DataFrame) -> DataFrame:
@@ -184,10 +182,16 @@ def _linked(leaves: DataFrame, groups: int) -> DataFrame:
     ).withColumn("block", F.shiftright("place", BLOCK_BITS))
 
 
+def _by_block(runs: DataFrame) -> DataFrame:
+    """A row for each block of leaves below a run."""
+    blocks = F.sequence(F.shiftright("lo", BLOCK_BITS), F.shiftright("hi", BLOCK_BITS))
+    return runs.select("*", F.explode(blocks).alias("block")).drop("lo", "hi")
+
+
 def _no_runs(leaves: DataFrame) -> DataFrame:
     return leaves.sparkSession.createDataFrame(
-        [], "tree int, level int, node bigint, children binary, up_tree int, up_level int, up_node bigint, "
-        "up_pos int, subroot binary, block bigint",
+        [], "tree int, level int, node bigint, children binary, lo bigint, hi bigint, up_tree int, up_level int, "
+        "up_node bigint, up_pos int, subroot binary",
     )
 
 
