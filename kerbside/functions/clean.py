@@ -43,11 +43,16 @@ def cast_columns(df: DataFrame, types: Mapping[str, str]) -> tuple[DataFrame, li
     return cast, missing
 
 
-def conform(df: DataFrame, types: Mapping[str, str]) -> tuple[DataFrame, list[str]]:
-    """Exactly the columns of `types`, cast leniently; missing ones come back as null and reported."""
+def conform(
+    df: DataFrame, types: Mapping[str, str], keep: Iterable[str] = ()
+) -> tuple[DataFrame, list[str]]:
+    """Exactly the columns of `types`, cast leniently; missing ones come back as null and reported.
+
+    `keep` names further columns that stay as they are.
+    """
     cast, missing = cast_columns(df, types)
     filled = cast.withColumns({name: F.lit(None).cast(types[name]) for name in missing})
-    return filled.select(*types), missing
+    return filled.select(*types, *keep), missing
 
 
 def bad_value_counts(df: DataFrame, types: Mapping[str, str]) -> list[Column]:

@@ -875,6 +875,7 @@ def oracle_sql() -> dict[str, str]:
         "batch_load_taxi": _sql("SELECT * FROM taxi_raw", "taxi_raw"),
         "batch_load_weather": _sql("SELECT * FROM weather_raw", "weather_raw"),
         "batch_load_traffic": _sql(f"SELECT {_TRAFFIC_DAY} FROM traffic_raw", "traffic_raw"),
+        "batch_load_again": _sql(f"SELECT {_TRAFFIC_DAY} FROM traffic_raw", "traffic_raw"),
         "csv_roundtrip": "SELECT * FROM customer",
         "json_roundtrip": "SELECT event_id, ts, user_id, event_type, value FROM events",
         "parquet_partitioned": """

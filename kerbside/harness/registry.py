@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -376,12 +377,45 @@ def corrupt_records(f: Feeds) -> DataFrame:
     f.table("events").select(lines.alias("value")).write.text(landing)
     batch = loads.load_batch(lake, "traffic", "json", landing)
     stream = load_stream(lake, "traffic", "json", landing, f"{lake.root}/checkpoint")
-    found = [("batch", batch["landed"], batch["corrupt"]),
-             ("stream", stream.rows, stream.bad_values["corrupt"])]
-    kept = lake.read_table("raw", "traffic").agg(F.count("id").alias("readable"))
+    found = [("batch", "raw", batch["landed"], batch["corrupt"]),
+             ("stream", LAYER, stream.rows, stream.bad_values["corrupt"])]
+    kept = reduce(DataFrame.unionByName, [
+        lake.read_table(layer, "traffic").select(F.lit(layer).alias("layer"), "id") for _, layer, _, _ in found
+    ]).groupBy("layer").agg(F.count("id").alias("readable"))
     return f.spark.createDataFrame(
-        found, "load string, landed bigint, corrupt bigint"
-    ).join(kept)
+        found, "load string, layer string, landed bigint, corrupt bigint"
+    ).join(kept, "layer").drop("layer")
+
+
+def _land(f: Feeds, rows: DataFrame, folder: str, prefix: str, files: int = 4) -> None:
+    """Rows as JSON files <prefix>-<i>.json of a folder; files of these names are rewritten."""
+    jvm, conf = f.spark._jvm, f.spark._jsc.hadoopConfiguration()
+    staged = jvm.org.apache.hadoop.fs.Path(scratch_dir(f.spark, "staged"))
+    rows.repartition(files).write.json(str(staged))
+    fs, target = staged.getFileSystem(conf), jvm.org.apache.hadoop.fs.Path(folder)
+    fs.mkdirs(target)
+    found = sorted((s.getPath() for s in fs.listStatus(staged) if s.getPath().getName().startswith("part-")), key=str)
+    for i, path in enumerate(found):
+        to = jvm.org.apache.hadoop.fs.Path(target, f"{prefix}-{i}.json")
+        fs.delete(to, False)
+        fs.rename(path, to)
+
+
+def batch_load_again(f: Feeds) -> DataFrame:
+    """One glob loaded after every change of its folder: files, more files, nothing new, some rewritten."""
+    lake = _lake(f, "again")
+    feed, even = f.traffic(), F.pmod(F.hash("id"), F.lit(2)) == 0
+    landing, glob = f"{lake.root}/landing", f"{lake.root}/landing/*.json"
+    _land(f, feed.where(even).withColumn("speed", F.lit("0")), landing, "even")
+    first = loads.load_batch(lake, "traffic", "json", glob)
+    _land(f, feed.where(~even), landing, "odd")
+    second = loads.load_batch(lake, "traffic", "json", glob)
+    nothing = loads.load_batch(lake, "traffic", "json", glob)
+    _land(f, feed.where(even), landing, "even")
+    rewritten = loads.load_batch(lake, "traffic", "json", glob)
+    if [x["files"] for x in (first, second, nothing, rewritten)] != [4, 4, 0, 4] or nothing["rows"]:
+        raise AssertionError("a load took other files than the new and the rewritten ones")
+    return _traffic_day(lake.read_table("raw", "traffic").drop("load_batch"))
 
 
 def run_metrics(f: Feeds) -> DataFrame:
@@ -599,6 +633,7 @@ _QUERIES: dict[str, Callable[[Feeds], DataFrame]] = {
     "batch_load_taxi": lambda f: _batch(f, "taxi", "parquet"),
     "batch_load_weather": batch_load_weather,
     "batch_load_traffic": batch_load_traffic,
+    "batch_load_again": batch_load_again,
     "csv_roundtrip": csv_roundtrip,
     "json_roundtrip": json_roundtrip,
     "parquet_partitioned": parquet_partitioned,

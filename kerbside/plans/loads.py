@@ -6,12 +6,13 @@ import datetime as dt
 import hashlib
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from ..functions.clean import bad_value_counts, conform
 from ..operators.slices import month_bounds, month_slice, slice_end, time_slice, time_slices
 from ..schemas import CASTS
+from ..sources.ledger import enter, literal_path, part_of, pending
 from ..sources.readers import Paths, corrupt_count, read_landing
 from ..sources.runlog import SUCCESS, Run, log_runs, logged_run, now, resume_from
 from ..sources.tables import Lake
@@ -31,30 +32,60 @@ def load_batch(
 ) -> dict:
     """Landing files to the raw table, with a typed parquet archive of the batch.
 
-    The text is parsed once, into the archive; the raw table takes that columnar copy, as a partition
-    named after the batch. By default the name comes from the input files, so that a repeated load
-    of the same files replaces the first. Returns the row count, the unreadable records, the
-    unreadable values per column and the missing columns.
+    Only files that the ledger does not know in their present state are taken, so a folder that keeps
+    filling can be loaded by the same glob again and again. Every file has a partition of its own in the raw
+    table, named after its path: a file that was rewritten replaces its former rows, and a load that was cut
+    off and is repeated replaces its own. Rows of a file that has left the folder stay. Without new files
+    nothing is written but the log.
+
+    With `batch` the files are taken as they are, ledger or not, as the one partition of that name, which a
+    repeated load replaces; don't name batches of files that are also loaded by the ledger.
+
+    The text is parsed once, into the archive; the raw table takes that columnar copy. Returns the row
+    count, the number of files taken, the unreadable records, the unreadable values per column and the
+    missing columns. The names of the files taken pass through the driver, as in any Spark read.
     """
     types = CASTS[dataset]
     with logged_run(lake, f"load-{dataset}") as run:
+        if batch is None:
+            new = pending(lake, dataset, paths)
+            taken = new.collect()
+            if not taken:
+                run.rows = 0
+                return {"rows": 0, "files": 0, "landed": 0, "missing": []}
+            paths = [literal_path(r["path"]) for r in taken]
         landed = read_landing(lake.spark, dataset, fmt, paths, **options)
+        part = F.lit(batch) if batch else part_of(F.col("_metadata.file_path"))
         quality = Observation()
-        checked = landed.observe(
+        checked = landed.withColumn("load_batch", part).observe(
             quality,
             F.count(F.lit(1)).alias("landed"),
             *corrupt_count(landed),
             *bad_value_counts(landed, types),
         )
-        typed, missing = conform(checked, types)
-        name = batch or _named_after(landed.inputFiles())
+        typed, missing = conform(checked, types, keep=["load_batch"])
+        name = batch or _named_after(taken)
         copy, _ = lake.archive(typed, dataset, day or now().date().isoformat(), name)
-        run.rows = _replace(lake, copy, dataset, "load_batch", F.lit(name))
-    return {"rows": run.rows, "missing": missing, **quality.get}
-
-
-def _named_after(files: Sequence[str]) -> str:
-    return "b" + hashlib.sha256("\n".join(sorted(files)).encode()).hexdigest()[:24]
+        run.rows = lake.overwrite(
+            copy, "raw", dataset, ["load_batch"], partitions_only=True, rebalance=False
+        )["rows"]
+        found = {"rows": run.rows, "missing": missing, **quality.get}
+        if not batch:
+            # The files as they were listed: read now, one may have changed since.
+            files = lake.spark.createDataFrame(taken, new.schema)
+            # A file rewritten without rows leaves none behind to replace its former ones.
+            filled = copy.select(F.col("load_batch").alias("part")).distinct()
+            for r in files.join(filled, "part", "left_anti").collect():
+                lake.drop_partition("raw", dataset, "load_batch", r["part"])
+            enter(lake, dataset, files)
+            found["files"] = len(taken)
+    return found
+
+
+def _named_after(files: Sequence[Row]) -> str:
+    """One name for the same files in the same state, whatever their order."""
+    states = sorted(f"{r['path']} {r['size']} {r['modified']}" for r in files)
+    return "b" + hashlib.sha256("\n".join(states).encode()).hexdigest()[:24]
 
 
 def high_water(source: DataFrame, ts: str) -> dt.datetime | None:

@@ -63,6 +63,11 @@ class Lake:
         found = self._write(df, "archive", folder, "overwrite", (), metrics)
         return self.spark.read.schema(df.schema).parquet(self.path("archive", folder)), found
 
+    def drop_partition(self, layer: str, name: str, column: str, value: str) -> None:
+        """Remove one partition of a table, if it is there."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path(layer, name)}/{column}={value}")
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
     def materialize(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
         """Create or replace a prod table from a query, readable by name in SQL."""
         self.overwrite(df, "prod", name, partition_by)

@@ -10,7 +10,7 @@ from kerbside.harness.adapters import Feeds
 from kerbside.plans import loads, transforms
 from kerbside.schemas import RUN_LOG, text_schema
 from kerbside.session import local_scratch, scratch_dir
-from kerbside.sources import readers
+from kerbside.sources import ledger, readers
 from kerbside.sources.runlog import logged_run, read_log
 from kerbside.streaming.load import LAYER, load_stream
 
@@ -109,6 +109,71 @@ def test_repeated_batch_replaces_itself(lake, tmp_path):
     assert sorted(r["count"] for r in raw) == [6, 6, 6]
 
 
+def loaded_ids(lake):
+    return sorted(int(r["id"]) for r in lake.read_table("raw", "traffic").collect())
+
+
+def load_again(lake, glob):
+    found = loads.load_batch(lake, "traffic", "json", glob, "2024-01-05", multiline=True)
+    return found["files"], found["rows"]
+
+
+def test_a_growing_folder_is_loaded_by_one_glob(lake, tmp_path):
+    folder, glob = tmp_path / "in", str(tmp_path / "in" / "*.json")
+    land_json(folder, "a.json", READINGS[:2])
+    assert load_again(lake, glob) == (1, 2)
+    land_json(folder, "b.json", READINGS[2:3])
+    assert load_again(lake, glob) == (1, 1) and load_again(lake, glob) == (0, 0)
+    assert loaded_ids(lake) == [0, 1, 2]
+    # Another path to the same files, and a file that was moved away after its load.
+    assert load_again(lake, str(folder)) == (0, 0)
+    (folder / "a.json").rename(tmp_path / "a.done")
+    land_json(folder, "c d [x].json", READINGS[4:])
+    assert load_again(lake, glob) == (1, 2) and loaded_ids(lake) == [0, 1, 2, 4, 5]
+    assert [r["process_status"] for r in read_log(lake).collect()] == ["Success"] * 5
+
+
+def test_a_rewritten_file_replaces_its_rows(lake, tmp_path):
+    folder, glob = tmp_path / "in", str(tmp_path / "in" / "*.json")
+    land_json(folder, "a.json", READINGS[:2])
+    land_json(folder, "b.json", READINGS[2:4])
+    assert load_again(lake, glob) == (2, 4)
+    land_json(folder, "a.json", READINGS[4:])
+    assert load_again(lake, glob) == (1, 2) and loaded_ids(lake) == [2, 3, 4, 5]
+    land_json(folder, "a.json", [])  # and one without any rows
+    assert load_again(lake, glob) == (1, 0) and loaded_ids(lake) == [2, 3]
+    assert load_again(lake, glob) == (0, 0)
+
+
+def test_a_load_cut_off_before_the_ledger_is_repeated(lake, tmp_path, monkeypatch):
+    folder, glob = tmp_path / "in", str(tmp_path / "in" / "*.json")
+    land_json(folder, "a.json", READINGS[:3])
+    with monkeypatch.context() as broken:
+        broken.setattr(loads, "enter", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            load_again(lake, glob)
+    assert loaded_ids(lake) == [0, 1, 2]
+    land_json(folder, "b.json", READINGS[3:])
+    assert load_again(lake, glob) == (2, 6) and loaded_ids(lake) == [0, 1, 2, 3, 4, 5]
+    assert load_again(lake, glob) == (0, 0)
+
+
+def test_the_ledger_is_kept_per_dataset(lake, spark, tmp_path):
+    folder, glob = tmp_path / "in", str(tmp_path / "in" / "*.json")
+    land_json(folder, "a.json", READINGS)
+    assert load_again(lake, glob) == (1, 6)
+    other = loads.load_batch(lake, "weather", "json", glob, multiline=True)
+    assert other["files"] == 1
+    files = ledger.latest(ledger.read_ledger(lake), "traffic").collect()
+    assert [r["path"].endswith("a.json") for r in files] == [True] and files[0]["size"] > 0
+
+
+def test_listing_files_reads_none(lake, tmp_path):
+    land_json(tmp_path / "in", "a.json", READINGS)
+    text = ledger.landed_files(lake.spark, str(tmp_path / "in"))._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in text
+
+
 def test_parquet_batch_reports_missing_columns(lake, spark, tmp_path):
     spark.createDataFrame([(1, "7.5")], "VendorID int, fare_amount string").write.parquet(str(tmp_path / "in"))
     found = loads.load_batch(lake, "taxi", "parquet", str(tmp_path / "in"))
