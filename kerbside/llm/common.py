@@ -36,7 +36,17 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_dir(spark, label)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.scratch = path
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Remove written tables whose last reader has itself been written."""
+    for table in stored:
+        spark = table.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(table.scratch)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def by_bytes(batch: pa.RecordBatch, column: int, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
@@ -72,11 +82,14 @@ def components(links: DataFrame) -> DataFrame:
         # The links between the present labels, each once in either direction.
         of = labels.select(F.col("node").alias("a"), F.col("component").alias("x"))
         to = labels.select(F.col("node").alias("b"), F.col("component").alias("y"))
+        former = open_links
         open_links = written(
             open_links.join(of, "a").join(to, "b").where("x <> y")
             .select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(),
             "links",
         )
+        if former is not both:
+            discard(former)
         if open_links.isEmpty():
             break
         smallest = open_links.groupBy("a").agg(F.min("b").alias("to"))
@@ -84,7 +97,8 @@ def components(links: DataFrame) -> DataFrame:
         moved = labels.join(hooked, "component", "left").select(
             "node", F.coalesce("to", "component").alias("component")
         )
-        labels = written(_jumped(moved), "labels")
+        former, labels = labels, written(_jumped(moved), "labels")
+        discard(former)
     return _settled(labels)
 
 

@@ -1,24 +1,28 @@
 """N-gram Jaccard join by parity sketches.
 
-A document is the set of its word shingles. Every shingle sets one bit of a sketch by XOR, so a bit holds
-the parity of the shingles that fell on it; a shingle that two sets share cancels out, and the Hamming
-distance of two sketches is at most the size of the sets' symmetric difference.
+A document is the set of its word shingles. Every shingle flips one bit of a sketch, so a bit holds the parity
+of the shingles that fell on it; a shingle that two sets share cancels out, and the Hamming distance of two
+sketches is at most the size of the sets' symmetric difference.
 
 Two sets with Jaccard similarity of at least t differ in at most (a + b) (1 - t) / (1 + t) shingles, so a
 set of size a differs from whatever it is linked with in at most d, given by its own size. Sizes are cut
-into bands so that linked sets lie in the same or in neighbouring bands; a *group* is a pair of
-neighbouring bands. Within a group the sketch is cut into parts of 64 bits, more than any d: by the
-pigeonhole principle at least `parts - d` parts of a linked pair are equal. Parts with no bit or one say
-little and are shared by many (a common line is enough), so a document offers its first d + 1 parts with
-two bits or more. That loses nothing: a pair agrees in at least parts - d - (weak parts of either) strong
-parts, so the first of these cannot be among the parts left out. Only a document with d or fewer strong
-parts offers all its parts, the weak ones too.
-
-Offers are range-partitioned by (part value, document), so that a value shared by a third of all
-documents is spread over tasks. Candidates are verified in two steps. First each shared value links its
-documents with one of them (a star, as many pairs as offers); verified links are merged to components.
-Then all pairs of documents that share a value and are not connected yet are verified as well. So no link
-between components is missed, and the pairs inside a group of near copies are never all built.
+into bands so that linked sets lie in the same or in neighbouring bands. A set is at home in the group of its
+own band and visits the group of the next one; a pair meets in the group of its larger set's band, where at least
+one of the two is at home.
+
+Within a group the sketch has more parts than any d: by the pigeonhole principle at least `parts - d` parts of a
+linked pair are equal. The parts are 2^64 bits wide, so that sets agree in a part only if they hold the same
+shingles there, and are kept as what such a sparse bit string hashes to by XOR. A part with few shingles says
+little and may be shared by many (a common line is enough), so a set offers its d + 1 fullest parts, ties by place.
+That loses nothing: take the fullest part in which a linked pair agrees. Both hold the same shingles in it, so it
+has the same rank for both, and what either holds fuller is among the at most d parts that differ.
+
+Equal sets need no sketch; one document stands for them. Offers are range-partitioned by (part value, document),
+so that a value shared by a third of all documents is spread over tasks. Candidates are verified in steps. Two
+stars come first: each shared value links its documents with one of them, and verified links are merged to components.
+Then every pair that shares a value and is still in different components has its sketches compared, in blocks
+of bounded size within the tasks; only pairs that may be linked become rows and are verified. So no link between
+components is missed, and no pair inside a component is looked at.
 """
 
 from __future__ import annotations
@@ -36,13 +40,14 @@ from pyspark.sql.types import (
     ArrayType, BinaryType, LongType, StructField, StructType,
 )
 
-from .common import components, split_words, written
+from .common import components, discard, split_words, written
 
 CACHED_WORDS = 200_000
 STAR_ROWS = 4096
 SKETCH_WORDS = 16
-# So much of the sketch travels with every offer that is looked at in pairs.
-SHORT_WORDS = 4
+STARS = 2
+# The members of a key that are compared with each other at once; more are dealt over a triangle of cells.
+CELL = 2048
 U = np.uint64
 
 
@@ -117,15 +122,21 @@ def parity(hashes: np.ndarray, parts: int) -> np.ndarray:
 
 
 def offers(hashes: np.ndarray, bands: Bands) -> np.ndarray:
-    """The keys under which a set meets every set it may be linked with."""
-    keys = []
-    for g in bands.groups(len(hashes)):
+    """The keys under which a set meets every other set it may be linked with; odd ones where it is at home.
+
+    A set too small to be linked with any but its equals has none.
+    """
+    keys = [np.empty(0, U)]
+    for g, home in zip(bands.groups(len(hashes)), (1, 0)):
         parts, differ = bands.parts[g], bands.difference(len(hashes), g)
-        sketch = parity(hashes, parts)
-        shown = np.flatnonzero(np.bitwise_count(sketch) > 1)
-        shown = shown[: differ + 1] if len(shown) > differ else np.arange(parts)
+        if not differ:
+            continue
+        at = (hashes % U(parts)).astype(np.int64)
+        digests = np.zeros(parts, U)
+        np.bitwise_xor.at(digests, at, mixed(hashes))
+        shown = np.argsort(-np.bincount(at, minlength=parts), kind="stable")[: differ + 1]
         place = mixed((U(g) << U(40)) + shown.astype(U) + U(1))
-        keys.append(mixed(sketch[shown] ^ place))
+        keys.append(mixed(digests[shown] ^ place) >> U(1) << U(1) | U(home))
     return np.concatenate(keys)
 
 
@@ -165,30 +176,24 @@ def signed(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: s
 
 
 def shared_offers(offered: DataFrame) -> DataFrame:
-    """(key, doc, center) for every key that several documents offer; `center` is one of them.
+    """(key, doc, home) for every key that several documents offer, one of them at home.
 
     The rows arrive range-partitioned and sorted. A key may go on in the next partition, so the first
     and the last key of a partition are returned even if only one document shows here.
     """
-    schema = StructType([StructField(n, LongType()) for n in ("key", "doc", "center")])
+    schema = StructType([StructField("key", LongType()), StructField("doc", LongType())])
 
-    def starred(keys, docs, edge_from, edge_to) -> pa.RecordBatch:
-        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    def shared(keys, docs, edge_from, edge_to) -> pa.RecordBatch:
+        new = np.r_[True, (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1])]
+        keys, docs = keys[new], docs[new]
+        group_key = keys >> 1
+        starts = np.flatnonzero(np.r_[True, group_key[1:] != group_key[:-1]])
         sizes = np.diff(np.r_[starts, len(keys)])
-        group = np.repeat(np.arange(len(starts)), sizes)
-        # Two different orders of the documents, so that a family has few centres, but not just one.
-        draw = mixed(docs.view(U) ^ (keys.view(U) & U(1)) * U(0x9E3779B97F4A7C15))
-        least = np.minimum.reduceat(draw, starts)
-        chosen = np.zeros(len(starts), np.int64)
-        hit = np.flatnonzero(draw == least[group])
-        chosen[group[hit]] = docs[hit]
-        keep = (sizes > 1)
+        keep = (sizes > 1) & (np.bitwise_or.reduceat(keys, starts) & 1 == 1)
         keep[0] |= edge_from
         keep[-1] |= edge_to
-        rows = keep[group]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (keys[rows], docs[rows], chosen[group][rows])], names=schema.names
-        )
+        rows = np.repeat(keep, sizes)
+        return pa.RecordBatch.from_arrays([pa.array(x[rows]) for x in (keys, docs)], names=schema.names)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, docs, first = np.empty(0, np.int64), np.empty(0, np.int64), True
@@ -197,27 +202,113 @@ def shared_offers(offered: DataFrame) -> DataFrame:
             docs = np.concatenate([docs, batch.column(1).to_numpy()])
             if not len(keys):
                 continue
-            cut = int(np.searchsorted(keys, keys[-1], "left"))  # the last key may go on
+            cut = int(np.searchsorted(keys >> 1, keys[-1] >> 1, "left"))  # the last key may go on
             if cut:
-                yield starred(keys[:cut], docs[:cut], first, False)
+                yield shared(keys[:cut], docs[:cut], first, False)
                 keys, docs, first = keys[cut:], docs[cut:], False
             elif len(keys) > STAR_ROWS:
-                # A very common key: a star for what is in hand, kept whatever follows.
-                yield starred(keys, docs, True, True)
+                # A very common key: kept whatever follows.
+                yield shared(keys, docs, True, True)
                 keys, docs, first = keys[:0], docs[:0], True
         if len(keys):
-            yield starred(keys, docs, first, True)
+            yield shared(keys, docs, first, True)
 
     placed = offered.repartitionByRange("key", "doc").sortWithinPartitions("key", "doc")
-    return placed.mapInArrow(scan, schema)
+    return placed.mapInArrow(scan, schema).select(
+        F.shiftright("key", 1).alias("key"), F.col("doc").alias("rep"), (F.col("key") % 2 != 0).alias("home")
+    )
+
+
+def star(members: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of each member of a key with the key's centre, a document at home there.
+
+    Two orders of the documents a turn give a family few centres, but not just one.
+    """
+    order = F.xxhash64("rep", F.lit(turn), F.col("key") % 2)
+    centre = members.where("home").groupBy("key").agg(
+        F.min_by(F.struct("rep", "component"), order).alias("centre")
+    )
+    pairs = members.join(centre, "key").where(
+        (F.col("rep") != F.col("centre.rep")) & (F.col("component") != F.col("centre.component"))
+    )
+    return pairs.select(
+        F.least("rep", "centre.rep").alias("a"), F.greatest("rep", "centre.rep").alias("b")
+    ).distinct()
+
+
+def across(members: DataFrame, features: DataFrame, num: int, den: int) -> DataFrame:
+    """All pairs (a, b) of members of a key, in different components and one at home, that may be linked.
+
+    `features` gives each document's set size and sketch. A key with more than CELL members deals them over blocks,
+    and each pair of blocks is a cell of its own, so a task never holds more than about two blocks of a key.
+    """
+    schema = StructType([StructField("a", LongType()), StructField("b", LongType())])
+    counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > CELL)
+    blocks = F.coalesce(F.ceil(F.col("_c") / CELL).cast("int"), F.lit(1))
+    dealt = members.join(counts, "key", "left").withColumn("blocks", blocks).withColumn(
+        "block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    )
+    cell = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda j: F.least("block", j) * F.col("blocks") + F.greatest("block", j),
+    )
+    celled = dealt.select("key", "rep", "home", "component", "block", "blocks", F.explode(cell).alias("cell"))
+    celled = celled.withColumn("alone", F.col("cell") == F.col("block") * (F.col("blocks") + 1))
+    names = ["key", "cell", "component", "rep", "block", "alone", "home", "n", *[f"s{i}" for i in range(SKETCH_WORDS)]]
+    rows = celled.join(features, "rep").select(*names)
+
+    def compare(columns: list[np.ndarray]) -> pa.RecordBatch:
+        key, cell, component, rep, block, alone, home, n = columns[:8]
+        sketch = np.stack(columns[8:], 1).view(U)
+        size = len(key)
+        new = np.r_[True, (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])]
+        end = np.r_[np.flatnonzero(new)[1:], size][np.cumsum(new) - 1]
+        new |= np.r_[True, component[1:] != component[:-1]]
+        # The first row behind the own component: all from there to the end of the cell are other components.
+        other = np.r_[np.flatnonzero(new)[1:], size][np.cumsum(new) - 1]
+        found, step = [], 0
+        left = np.flatnonzero(other < end)
+        while len(left):
+            right = other[left] + step
+            ok = (home[left] | home[right]) & (rep[left] != rep[right])
+            ok &= (n[left] * num <= n[right] * den) & (n[right] * num <= n[left] * den)
+            ok &= (block[left] != block[right]) | alone[left]
+            a, b = left[ok], right[ok]
+            distance = np.zeros(len(a), np.int64)
+            for words in (slice(0, 4), slice(4, SKETCH_WORDS)):
+                distance += np.bitwise_count(sketch[a, words] ^ sketch[b, words]).sum(1, dtype=np.int64)
+                ok = (den + num) * distance <= (den - num) * (n[a] + n[b])
+                a, b, distance = a[ok], b[ok], distance[ok]
+            found.append(np.stack([rep[a], rep[b]], 1))
+            step += 1
+            left = left[other[left] + step < end[left]]
+        pairs = np.concatenate(found) if found else np.empty((0, 2), np.int64)
+        pairs = np.unique(np.sort(pairs, 1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=schema.names)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            held = columns if held is None else [np.concatenate(x) for x in zip(held, columns)]
+            # The last cell may go on in the next batch.
+            last = np.flatnonzero((held[0] != held[0][-1]) | (held[1] != held[1][-1])) if len(held[0]) else ()
+            if len(last):
+                yield compare([c[: last[-1] + 1] for c in held])
+                held = [c[last[-1] + 1 :] for c in held]
+        if held is not None and len(held[0]):
+            yield compare(held)
 
+    placed = rows.repartition("key", "cell").sortWithinPartitions("key", "cell", "component")
+    return placed.mapInArrow(scan, schema).distinct()
 
-def _may_link(num: int, den: int, a: str, b: str, sketch_words: int = SKETCH_WORDS):
+
+def _may_link(num: int, den: int, a: str, b: str):
     """Sizes and sketches allow the similarity: a cheap, never too strict test of two rows."""
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
     distance = reduce(
         add,
-        [F.bit_count(F.col(f"{a}.s{i}").bitwiseXOR(F.col(f"{b}.s{i}"))) for i in range(sketch_words)],
+        [F.bit_count(F.col(f"{a}.s{i}").bitwiseXOR(F.col(f"{b}.s{i}"))) for i in range(SKETCH_WORDS)],
     )
     return (
         (na * num <= nb * den) & (nb * num <= na * den)
@@ -251,7 +342,9 @@ def verified(
     a = needed.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     b = needed.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
     joined = pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
-    return written(joined.mapInArrow(check, schema).distinct(), "links")
+    links = written(joined.mapInArrow(check, schema).distinct(), "links")
+    discard(needed)
+    return links
 
 
 def near_copies(
@@ -272,65 +365,47 @@ def near_copies(
     """
     sets = written(signed(docs, k, num, den, id_col, text_col), "sets")
     full = sets.where("n_shingles > 0 and doc_id is not null")
-    # Equal sets need no sketch: they are linked with the smallest document that has the set.
+    # Equal sets are linked with the smallest document that has the set, which alone offers anything.
     # Written before it is joined: a join of two plain shuffles can split the copies of a common text.
     firsts = written(
         full.groupBy("set_hash", "n_shingles").agg(F.min("doc_id").alias("rep")), "first_of_set"
     )
-    nodes = written(
-        full.drop("keys").join(firsts, ["set_hash", "n_shingles"]).drop("set_hash"), "nodes"
+    narrow = full.select("doc_id", "set_hash", "n_shingles")
+    equal = written(
+        narrow.join(firsts, ["set_hash", "n_shingles"]).where("doc_id <> rep")
+        .select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct(),
+        "equal",
     )
-    equal = nodes.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    features = nodes.where("doc_id = rep").select(
-        "rep", F.col("n_shingles").alias("n"), *[f"s{i}" for i in range(SKETCH_WORDS)]
+    # A document with several texts may stand for one set and not for another.
+    standing = full.withColumnRenamed("doc_id", "rep").join(
+        firsts, ["rep", "set_hash", "n_shingles"], "left_semi"
     )
+    chosen = written(standing, "chosen")
+    features = chosen.select("rep", F.col("n_shingles").alias("n"), *[f"s{i}" for i in range(SKETCH_WORDS)])
 
-    offered = full.select(F.explode("keys").alias("key"), F.col("doc_id").alias("doc"))
+    offered = chosen.select(F.explode("keys").alias("key"), F.col("rep").alias("doc"))
     shared = written(shared_offers(offered), "shared")
-    rep_of = nodes.select(F.col("doc_id").alias("doc"), "rep")
-    met = shared.join(rep_of, "doc").select("key", "center", "rep")
-    meetings = written(
-        met.join(rep_of.withColumnsRenamed({"doc": "center", "rep": "center_rep"}), "center")
-        .select("key", "rep", F.col("center_rep").alias("center")).distinct(),
-        "meetings",
-    )
+    discard(firsts)
 
-    def featured(name: str) -> DataFrame:
-        return features.alias(name)
-
-    star = meetings.where("rep <> center").select(
-        F.least("rep", "center").alias("a"), F.greatest("rep", "center").alias("b")
-    ).distinct()
     def plausible(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(featured("x"), F.col("a") == F.col("x.rep")).join(
-            featured("y"), F.col("b") == F.col("y.rep")
+        both = pairs.join(features.alias("x"), F.col("a") == F.col("x.rep")).join(
+            features.alias("y"), F.col("b") == F.col("y.rep")
         )
-        return both.where(_may_link(num, den, "x", "y")).select("a", "b")
-
-    star = written(plausible(star), "star")
-    links = verified(star, docs, k, num, den, id_col, text_col)
-
-    # What shares a key and is not connected by now: every pair is looked at.
-    label = components(links).withColumnRenamed("node", "rep")
-    members = written(
-        meetings.select("key", "rep").distinct().join(label, "rep", "left")
-        .withColumn("component", F.coalesce("component", "rep")),
-        "members",
-    )
-    ends = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    open_keys = written(ends.where("lo <> hi").select("key"), "open_keys")
-    short = features.select("rep", "n", *[f"s{i}" for i in range(SHORT_WORDS)])
-    open_members = written(members.join(open_keys, "key").join(short, "rep"), "open_members")
-    rest = (
-        open_members.alias("x").join(open_members.alias("y"), F.col("x.key") == F.col("y.key"))
-        .where((F.col("x.rep") < F.col("y.rep")) & (F.col("x.component") != F.col("y.component")))
-        .where(_may_link(num, den, "x", "y", SHORT_WORDS))
-        .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-        .join(star, ["a", "b"], "left_anti")
-    )
-    more = verified(written(plausible(rest), "rest"), docs, k, num, den, id_col, text_col)
-
-    label = components(reduce(DataFrame.unionByName, [links, more, equal]))
+        return both.where(_may_link(num, den, "x", "y")).select("a", "b").distinct()
+
+    members, links, tried = shared.withColumn("component", F.col("rep")), [], []
+    for turn in range(STARS + 1):
+        pairs = plausible(star(members, turn)) if turn < STARS else across(members, features, num, den)
+        for former in tried:
+            pairs = pairs.join(former, ["a", "b"], "left_anti")
+        tried.append(written(pairs, "candidates"))
+        links.append(verified(tried[-1], docs, k, num, den, id_col, text_col))
+        if turn < STARS:
+            label = components(reduce(DataFrame.unionByName, links)).withColumnRenamed("node", "rep")
+            members = _open_members(shared, label)
+    discard(shared, chosen, *tried)
+
+    label = components(reduce(DataFrame.unionByName, [*links, equal]))
     return (
         sets.select("doc_id", "n_shingles")
         .join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
@@ -338,6 +413,17 @@ def near_copies(
     )
 
 
+def _open_members(shared: DataFrame, label: DataFrame) -> DataFrame:
+    """The members of keys that more than one component shares, with their components."""
+    labelled = written(
+        shared.join(label, "rep", "left").withColumn("component", F.coalesce("component", "rep")), "labelled"
+    )
+    ends = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    found = written(labelled.join(ends.where("lo <> hi").select("key"), "key", "left_semi"), "open_members")
+    discard(labelled)
+    return found
+
+
 def one_of_each(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
 ) -> DataFrame:

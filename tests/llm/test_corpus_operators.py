@@ -139,6 +139,58 @@ def test_common_offers_are_split_without_loss(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got if r.doc_id is not None} == want
 
 
+def family(n, seed, base=60):
+    """n texts that differ from a common one in one word each."""
+    words_of = words(prose(base, seed, 10**6))
+    return [" ".join(w if j != i % base else f"x{i}" for j, w in enumerate(words_of)) for i in range(n)]
+
+
+def with_features(spark, reps, sketch=lambda r: 0, size=lambda r: 50):
+    names = [f"s{i}" for i in range(jaccard.SKETCH_WORDS)]
+    rows = [(r, size(r), *[sketch(r)] * len(names)) for r in reps]
+    return spark.createDataFrame(rows, "rep bigint, n bigint, " + ", ".join(f"{x} bigint" for x in names))
+
+
+MEMBERS = "key bigint, rep bigint, home boolean, component bigint"
+
+
+def test_an_outsider_under_the_key_of_a_large_family_makes_no_square(spark):
+    """2,000 near copies and one other document share a key: only pairs with the outsider are formed."""
+    n = 2000
+    members = spark.createDataFrame(
+        [(1, i, True, 0) for i in range(n)] + [(1, n, True, n), (2, 1, True, 0), (2, 2, False, 0), (3, 5, False, 0), (3, n, False, n)],
+        MEMBERS,
+    )
+    pairs = jaccard.across(members, with_features(spark, range(n + 1)), 90, 100)
+    assert sorted(map(tuple, pairs.collect())) == [(i, n) for i in range(n)]
+
+
+@pytest.mark.parametrize("cell", [2048, 3])
+def test_pairs_across_components_are_complete(spark, monkeypatch, cell):
+    """Also where a key's members are dealt over many cells."""
+    monkeypatch.setattr(jaccard, "CELL", cell)
+    draw = random.Random(5)
+    rows = list({(draw.randrange(8), draw.randrange(40)) for _ in range(150)})
+    home = {row: draw.random() < 0.6 for row in rows}
+    members = frame(spark, [(k, r, home[k, r], r % 7) for k, r in rows], MEMBERS)
+    # Every third sketch is far from the others, and every eleventh set too large.
+    features = with_features(spark, range(40), lambda r: -1 if r % 3 == 0 else 0, lambda r: 70 if r % 11 == 0 else 50)
+    want = {tuple(sorted((a, b))) for k, a in rows for j, b in rows
+            if k == j and a % 7 != b % 7 and (home[k, a] or home[j, b])
+            and (a % 3 == 0) == (b % 3 == 0) and (a % 11 == 0) == (b % 11 == 0)}
+    assert sorted(map(tuple, jaccard.across(members, features, 90, 100).collect())) == sorted(want)
+
+
+def test_large_families_equal_brute_force(spark):
+    rows = list(enumerate(family(120, 1) + family(90, 2) + [prose(60, 3)]))
+    # Two families that share a passage, joined by nothing; and a chain from one family to a third text.
+    rows += [(1000 + i, t + " " + prose(14, 9)) for i, t in enumerate(family(60, 4) + family(60, 5))]
+    for num in (90, 80):
+        want = plain_components(rows, 3, num, 100)
+        got = jaccard.near_copies(frame(spark, rows), 3, num, 100).collect()
+        assert {r.doc_id: r.component_id for r in got} == want
+
+
 def test_linked_sets_always_share_an_offer():
     """The pigeonhole argument, on sets at the very threshold and of all small sizes."""
     draw = random.Random(1)
@@ -153,7 +205,10 @@ def test_linked_sets_always_share_an_offer():
             b = np.unique(np.array(union[spare - cut :], np.uint64))
             both = len(np.intersect1d(a, b))
             assert den * both >= num * (len(a) + len(b) - both)
-            assert set(jaccard.offers(a, bands).tolist()) & set(jaccard.offers(b, bands).tolist())
+            # Equal sets are linked before any offer; of others that meet, one is at home (an odd key).
+            mine, theirs = (set(jaccard.offers(x, bands).tolist()) for x in (a, b))
+            met = {x >> 1 for x in mine} & {x >> 1 for x in theirs}
+            assert list(a) == list(b) or any(x % 2 and x >> 1 in met for x in mine | theirs)
 
 
 def test_hamming_distance_is_a_lower_bound():
