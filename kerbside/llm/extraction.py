@@ -312,11 +312,14 @@ def trained(pages: DataFrame, html_col: str = "html") -> Field:
 
     The sampled pages are those with the least hash that name their own main text.
     """
-    sample = (
-        pages.select(F.col(html_col).alias("html")).where(F.col("html").rlike("(?i)<(article|main)[ >]"))
-        .select(F.xxhash64("html").alias("h"), "html").orderBy("h", "html").limit(SAMPLED_PAGES)
+    named = pages.select(F.xxhash64(html_col).alias("h"), F.col(html_col).alias("html")).where(
+        F.col("html").rlike("(?i)<(article|main)[ >]")
     )
-    marked = [labelled_by_markup(r["html"]) for r in sample.collect()]
+    # The hashes are chosen first, so that no task sends pages that are not among them.
+    hashes = [r["h"] for r in named.select("h").orderBy("h").limit(SAMPLED_PAGES).collect()]
+    found = named.where(F.col("h").isin(*hashes)).groupBy("h").agg(F.min("html").alias("html"))
+    page_of = dict(found.collect()) if hashes else {}
+    marked = [labelled_by_markup(page_of[h]) for h in hashes]
     made = [laid_out(seed) for seed in range(LAID_OUT_PAGES)]
     return train([p for p in marked if p] + made)
 

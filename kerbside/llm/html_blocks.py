@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 from html import unescape
 
@@ -39,12 +40,17 @@ MARKUP = re.compile(
     r"|<[!?/][^>]*+>",
     re.S,
 )
+COMMENT = re.compile(r"<!--.*\Z", re.S)
 ATTRIBUTE = re.compile(r"(class|id|role|data-keep)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++))", re.I)
 
 
+# So many of the innermost open elements describe a block.
+DEPTH = 64
+
+
 @dataclass(slots=True)
 class Block:
-    """`path` holds (tag, attributes) of the open elements, outermost first."""
+    """`path` holds (tag, attributes) of the DEPTH innermost open elements, outermost first."""
 
     path: tuple[tuple[str, str], ...]
     text: str
@@ -65,7 +71,9 @@ def leaf_blocks(page: str | None) -> list[Block]:
     path: list[tuple[str, str]] = []
     pieces: list[str] = []
     linked, in_link, start_path = 0, 0, ()
-    at, end = 0, len(page)
+    # How many elements of a name are open: a name that is not need not be looked for.
+    opened = Opened()
+    at, end, last = 0, len(page), page.rfind(">")
 
     def flush() -> None:
         nonlocal linked
@@ -81,19 +89,22 @@ def leaf_blocks(page: str | None) -> list[Block]:
         if not pieces:
             if text.isspace():
                 return
-            start_path = tuple(path)
+            start_path = tuple(path[-DEPTH:])
         pieces.append(text)
         if in_link:
             linked += len(text)
 
     while at < end:
-        m = MARKUP.search(page, at)
+        # Where no ">" follows there is no tag, only a comment that may still be open.
+        m = MARKUP.search(page, at) if at <= last else COMMENT.search(page, at)
         if m is None:
             add(page[at:])
             break
         if m.start() > at:
             add(page[at : m.start()])
         at = m.end()
+        if m.re is COMMENT:
+            continue
         name = m[2] or m[5]
         if name is None:
             continue
@@ -103,9 +114,9 @@ def leaf_blocks(page: str | None) -> list[Block]:
                 flush()
             elif name == "br" and pieces:
                 pieces.append(" ")
-            for i in range(len(path) - 1, -1, -1):
+            for i in range(len(path) - 1, -1, -1) if opened[name] else ():
                 if path[i][0] == name:
-                    del path[i:]
+                    _cut(path, i, opened)
                     if name == "a":
                         in_link = 0
                     break
@@ -127,10 +138,10 @@ def leaf_blocks(page: str | None) -> list[Block]:
         if name in BLOCK:
             flush()
             if name not in ("option", "html", "head", "body"):
-                _close(path, {"p"}, FENCES)
+                _close(path, {"p"}, FENCES, opened, opened.paragraphs[-1])
             if name in ENDS:
-                _close(path, *ENDS[name])
-            in_link = any(tag == "a" for tag, _ in path)
+                _close(path, *ENDS[name], opened)
+            in_link = opened["a"] > 0
         if name in VOID:
             if name == "img" and pieces:
                 pieces.append(" ")
@@ -138,17 +149,54 @@ def leaf_blocks(page: str | None) -> list[Block]:
         if name == "a":
             in_link = 1
         path.append((name, attributes(rest)))
+        opened.add(name)
     flush()
     return blocks
 
 
-def _close(path: list[tuple[str, str]], names: set[str], fences) -> None:
-    """End the innermost open element of these names, with all inside it, unless a fence comes first."""
-    cut = None
-    for i in range(len(path) - 1, -1, -1):
+class Opened(Counter):
+    """How many elements of each name are open, and of paragraphs inside each fence that is."""
+
+    def __init__(self):
+        super().__init__()
+        self.paragraphs = [0]
+
+    def add(self, name: str) -> None:
+        self[name] += 1
+        if name in FENCES:
+            self.paragraphs.append(0)
+        elif name == "p":
+            self.paragraphs[-1] += 1
+
+    def remove(self, name: str) -> None:
+        self[name] -= 1
+        if name in FENCES:
+            self.paragraphs.pop()
+        elif name == "p":
+            self.paragraphs[-1] -= 1
+
+
+def _cut(path: list[tuple[str, str]], at: int, opened: Opened) -> None:
+    """End the open elements from a place on."""
+    for tag, _ in reversed(path[at:]):
+        opened.remove(tag)
+    del path[at:]
+
+
+def _close(
+    path: list[tuple[str, str]], names: set[str], fences, opened: Opened, most: int | None = None
+) -> None:
+    """End the outermost open element of these names, with all inside it, that no fence separates from here.
+
+    `most` is how many there can be.
+    """
+    left = sum(opened[name] for name in names) if most is None else most
+    cut, i = None, len(path)
+    while left and i:
+        i -= 1
         if path[i][0] in names:
-            cut = i
+            cut, left = i, left - 1
         elif path[i][0] in fences:
             break
     if cut is not None:
-        del path[cut:]
+        _cut(path, cut, opened)

@@ -12,7 +12,6 @@ odd word does not break a span. The text's language is the one with most letters
 from __future__ import annotations
 
 import math
-import re
 from bisect import bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -20,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -39,7 +39,8 @@ FEATURES_PER_LANGUAGE = 30_000
 SCRIPT_SHARE = 0.02
 CACHED_WORDS = 400_000
 STEP_WORDS = 400_000
-LETTERS = re.compile(r"[^\W\d_]+")
+# Letters by category: other number characters (½, ②, Ⅷ) are word characters to `re`, but no letters.
+LETTERS = regex.compile(r"\p{L}+")
 
 # First code point of a range and its script; ranges run to the next entry.
 SCRIPT_STARTS = (

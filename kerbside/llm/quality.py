@@ -1,9 +1,12 @@
 """Quality rules combined by weak supervision, with DataFrame operations only.
 
 Each rule looks at a document and votes good (1), bad (-1) or abstains (0). Instead of asking that
-all rules pass, a generative model is fitted: a document is good with some probability, and each rule votes
-with accuracies of its own on good and on bad documents. Expectation-maximisation estimates both from how the rules
-agree, without any label, and a document is kept if the posterior probability of good is at least a half.
+all rules pass, a generative model is fitted: a document is good or bad in one of a few ways (its letter case, its
+marks, its repetitions, its length), and each rule votes with accuracies of its own on each of these classes.
+Expectation-maximisation estimates the accuracies and the shares of the classes from how the rules agree, without any
+label, and a document is kept if the posterior probability of good is at least a half. One class for everything bad would
+not do: rules that object to the same kind of junk agree with each other, and a single class could explain only
+one such agreement.
 
 EM does not need the documents, only how often each combination of votes occurs; with k rules that is
 at most 3^k rows, however large the corpus. One pass counts them, the iterations run on the counts, and
@@ -113,104 +116,132 @@ def base_failed() -> Column:
     return (m["n_words"] < 20) | (100 * m["n_repeat_words"] > 30 * m["n_words"])
 
 
-def _vote(bad: Column, good: Column | None = None) -> Column:
-    vote = F.when(bad, -1)
-    if good is not None:
-        vote = vote.when(good, 1)
-    return vote.otherwise(0).cast("tinyint")
+def _vote(bad: Column, good: Column) -> Column:
+    return F.when(bad, -1).when(good, 1).otherwise(0).cast("tinyint")
 
 
 def votes() -> dict[str, Column]:
     """The rules as votes on the struct `m`; shares are compared without division.
 
-    Most rules know one kind of bad text and abstain on all else: a text without symbols need not be good.
+    Every rule knows one kind of bad text and what is normal for a clean one of any length, and abstains in
+    between. A text without words has nothing normal.
     """
     m = {k: F.col("m")[k] for k in (
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper",
         "n_letters", "n_signs", "n_exclaim", "n_marks", "n_distinct")}
-    n = m["n_words"]
-    return {
-        "length": _vote(n < 20),
-        "word_length": _vote((m["word_chars"] < 2 * n) | (m["word_chars"] > 12 * n)),
-        "symbols": _vote(5 * m["n_symbols"] > n),
-        "repeated_lines": _vote(2 * m["n_dup_lines"] > m["n_lines"]),
-        "repeated_words": _vote(10 * m["n_repeat_words"] > 3 * n, m["n_repeat_words"] == 0),
-        "capitals": _vote(2 * m["n_upper"] > m["n_letters"]),
-        "shouting": _vote(10 * m["n_exclaim"] > n),
-        "tables": _vote(5 * m["n_marks"] > n),
-        "letters": _vote(10 * (m["n_letters"] + m["n_signs"]) < 7 * m["word_chars"]),
-        "variety": _vote(10 * m["n_distinct"] < n, 2 * m["n_distinct"] > n),
+    n, chars, letters, distinct = m["n_words"], m["word_chars"], m["n_letters"] + m["n_signs"], m["n_distinct"]
+    rules = {
+        "length": (n < 20, n >= 40),
+        "word_length": ((chars < 2 * n) | (chars > 12 * n), (chars >= 3 * n) & (chars <= 9 * n)),
+        "symbols": (5 * m["n_symbols"] > n, 50 * m["n_symbols"] <= n),
+        "repeated_lines": (2 * m["n_dup_lines"] > m["n_lines"], m["n_dup_lines"] == 0),
+        "repeated_words": (10 * m["n_repeat_words"] > 3 * n, 20 * m["n_repeat_words"] <= n),
+        "capitals": (2 * m["n_upper"] > m["n_letters"], 5 * m["n_upper"] <= m["n_letters"]),
+        "shouting": (10 * m["n_exclaim"] > n, m["n_exclaim"] == 0),
+        "tables": (5 * m["n_marks"] > n, 20 * m["n_marks"] <= n),
+        "letters": (10 * letters < 7 * chars, 20 * letters >= 17 * chars),
+        # The number of different words grows slower than the text, but faster than its root.
+        "variety": (distinct * distinct < n, distinct * distinct > 4 * n),
     }
-
-
-# P(vote | class) for the votes 1, 0, -1 before anything is seen: rules are mostly silent or right.
-GOOD_STARTS, BAD_STARTS = (0.2, 0.795, 0.005), (0.2, 0.6, 0.2)
+    return {k: _vote(bad, good & (n > 0)) for k, (bad, good) in rules.items()}
+
+
+# The kinds of bad text, each with the rules that are written to find it.
+KINDS = {
+    "case": ("capitals", "shouting"),
+    "marks": ("symbols", "tables", "letters", "word_length"),
+    "repeats": ("repeated_lines", "repeated_words", "variety"),
+    "short": ("length",),
+}
+# What is believed before anything is seen, and as so many documents' worth: P(vote | class) for the votes
+# 1, 0, -1 of a rule on good documents, on those it is written to find and on other bad ones, and the share of
+# good documents. This ties the classes to their meaning; the data outweigh it as soon as there are more of them.
+ON_GOOD, ON_ITS_KIND, ON_OTHERS = (0.83, 0.15, 0.02), (0.3, 0.2, 0.5), (0.7, 0.2, 0.1)
+GOOD_SHARE = 0.8
+PRIOR_DOCS = 10
 VALUES = (1, 0, -1)
-# What the rules are written to be, and what ties the model's two classes to good and bad: a rule may
-# well miss bad texts, but votes against at most this share of the good ones.
-FALSE_ALARMS = 0.01
+Table = tuple[float, ...]
 
 
 @dataclass(frozen=True)
 class Model:
-    """Share of good documents, and for each rule P(vote | good) and P(vote | bad) in the order of VALUES."""
+    """For each class, good first, its share and for each rule P(vote | class) in the order of VALUES."""
 
-    good: float
-    rules: dict[str, tuple[tuple[float, ...], tuple[float, ...]]]
+    shares: Table
+    rules: dict[str, tuple[Table, ...]]
 
     def numbers(self) -> list[float]:
-        return [self.good, *(x for pair in self.rules.values() for side in pair for x in side)]
+        return [*self.shares, *(x for tables in self.rules.values() for table in tables for x in table)]
 
-    def posterior(self) -> Column:
-        """P(good | votes): prior log odds plus what each vote adds."""
+    def odds(self) -> list[Column]:
+        """P(class | votes) / P(good | votes) of each bad class: what the shares and each vote say, in logarithms."""
 
-        def adds(rule, pair):
-            added = [math.log(g / b) for g, b in zip(*pair)]
-            return F.when(F.col(rule) == 1, added[0]).when(F.col(rule) == -1, added[2]).otherwise(added[1])
+        def says(rule, bad, good):
+            said = [math.log(b / g) for b, g in zip(bad, good)]
+            return F.when(F.col(rule) == 1, said[0]).when(F.col(rule) == -1, said[2]).otherwise(said[1])
 
-        prior = F.lit(math.log(self.good / (1 - self.good)))
-        return 1 / (1 + F.exp(-reduce(add, [adds(*x) for x in self.rules.items()], prior)))
+        return [
+            F.exp(reduce(
+                add, [says(rule, tables[c], tables[0]) for rule, tables in self.rules.items()],
+                F.lit(math.log(self.shares[c] / self.shares[0])),
+            ))
+            for c in range(1, len(self.shares))
+        ]
+
+    def posterior(self) -> Column:
+        """P(good | votes)."""
+        return 1 / (1 + reduce(add, self.odds(), F.lit(0.0)))
 
 
-def _few_alarms(table: list[float]) -> tuple[float, ...]:
-    """P(vote | good) with the share of false alarms held down, the rest scaled up to add to one."""
-    alarm = min(table[2], FALSE_ALARMS)
-    scale = (1 - alarm) / (table[0] + table[1])
-    return table[0] * scale, table[1] * scale, alarm
+def start(kinds: dict[str, tuple[str, ...]], names: list[str]) -> Model:
+    """The model before any document; `kinds` maps each kind of bad text to the rules that find it."""
+    share = (1 - GOOD_SHARE) / len(kinds)
+    return Model(
+        (GOOD_SHARE, *[share] * len(kinds)),
+        {r: (ON_GOOD, *[ON_ITS_KIND if r in found else ON_OTHERS for found in kinds.values()]) for r in names},
+    )
 
 
-def fit(patterns: DataFrame, names: list[str], rounds: int = 30) -> Model:
+def fit(
+    patterns: DataFrame, names: list[str], kinds: dict[str, tuple[str, ...]], rounds: int = 60
+) -> Model:
     """EM over (votes, n), n being how often a combination of votes occurs.
 
-    A rule's accuracy is a table of its own for either class, so a rule that is silent on most bad
-    documents still counts fully where it speaks. Each table starts with the weight of one document
-    at the values above, which settles rules that never vote and an empty corpus; the share of good
-    documents stays within [0.5, 0.95]. One row of sums is fetched a round.
+    A rule's accuracy is a table of its own for every class, so a rule that is silent on most bad
+    documents still counts fully where it speaks, and one that objects to many good documents is learned to
+    err. Tables and shares begin at `start` and keep it as PRIOR_DOCS documents' worth of evidence a class, which
+    settles rules that never vote, classes without documents and an empty corpus; nothing else binds them.
+    One row of sums is fetched a round.
     """
-    model = Model(0.8, dict.fromkeys(names, (GOOD_STARTS, BAD_STARTS)))
-    p, n = F.col("p"), F.col("n")
-    sums = [F.sum(n).alias("n"), F.sum(n * p).alias("good")]
+    prior = model = start(kinds, names)
+    classes = range(len(prior.shares))
+    weights = [F.col(f"w{c}") for c in classes]
+    sums = [F.sum(w).alias(f"{c}") for c, w in zip(classes, weights)]
     for k in names:
-        for i, value in enumerate(VALUES):
-            spoke = F.when(F.col(k) == value, n).otherwise(0)
-            sums += [F.sum(spoke).alias(f"{k}_{i}"), F.sum(spoke * p).alias(f"{k}_{i}_good")]
+        for value in (1, -1):
+            sums += [F.sum(F.when(F.col(k) == value, w).otherwise(0.0)).alias(f"{k}_{value}_{c}") for c, w in zip(classes, weights)]
     for _ in range(rounds):
-        found = patterns.withColumn("p", model.posterior()).agg(*sums).first()
-        if not found["n"]:
+        odds = model.odds()
+        shared = patterns.withColumns({f"o{c}": o for c, o in zip(classes[1:], odds)}).withColumn(
+            "w0", F.col("n") / (1 + reduce(add, [F.col(f"o{c}") for c in classes[1:]]))
+        )
+        found = shared.withColumns({f"w{c}": F.col("w0") * F.col(f"o{c}") for c in classes[1:]}).agg(*sums).first()
+        if found["0"] is None:
             break
-        good, bad = found["good"], found["n"] - found["good"]
-        rules = {
-            k: (
-                _few_alarms([(found[f"{k}_{i}_good"] + GOOD_STARTS[i]) / (good + 1) for i in range(3)]),
-                tuple(
-                    (found[f"{k}_{i}"] - found[f"{k}_{i}_good"] + BAD_STARTS[i]) / (bad + 1)
-                    for i in range(3)
-                ),
-            )
-            for k in names
-        }
-        before, model = model, Model(min(max(good / found["n"], 0.5), 0.95), rules)
-        if max(abs(a - b) for a, b in zip(before.numbers(), model.numbers())) < 1e-4:
+        total = [found[str(c)] for c in classes]
+        rules = {}
+        for k in names:
+            tables = []
+            for c in classes:
+                yes, no = found[f"{k}_1_{c}"], found[f"{k}_-1_{c}"]
+                counts = (yes, max(total[c] - yes - no, 0.0), no)
+                tables.append(tuple(
+                    (x + PRIOR_DOCS * p) / (total[c] + PRIOR_DOCS) for x, p in zip(counts, prior.rules[k][c])
+                ))
+            rules[k] = tuple(tables)
+        shares = tuple((t + PRIOR_DOCS * p) / (sum(total) + PRIOR_DOCS) for t, p in zip(total, prior.shares))
+        before, model = model, Model(shares, rules)
+        if max(abs(a - b) for a, b in zip(before.numbers(), model.numbers())) < 1e-3:
             break
     return model
 
@@ -221,7 +252,8 @@ def _voted(measured: DataFrame, names: list[str]) -> DataFrame:
 
 def _fitted(voted: DataFrame, names: list[str]) -> Model:
     counted = voted.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
-    return fit(written(counted.coalesce(1), "votes"), names)
+    kinds = {kind: tuple(f"_vote_{r}" for r in found) for kind, found in KINDS.items()}
+    return fit(written(counted.coalesce(1), "votes"), names, kinds)
 
 
 def _verdict(voted: DataFrame, names: list[str], model: Model, least: float) -> DataFrame:
@@ -243,7 +275,7 @@ def verdicts(
     """One row per document: doc_id, `m` (the measures), `base_failed`, `posterior`, `kept`.
 
     The texts are read once. Null and empty texts have no words, fail the base rule and are not kept.
-    Ties of the votes leave the prior; a posterior of exactly `least` keeps. Repeated rows are judged
+    Where all rules abstain the prior decides; a posterior of exactly `least` keeps. Repeated rows are judged
     alike, each in its own row; other columns are ignored; an empty table gives no rows.
     """
     names = _vote_names()
@@ -256,13 +288,12 @@ def verdicts(
 def kept_rows(docs: DataFrame, text_col: str = "text", least: float = 0.5) -> DataFrame:
     """The rows of `docs` that the verdict keeps, with their columns.
 
-    The texts are read twice, once to fit and once to judge, and never shuffled. As in `verdicts` for
-    nulls, ties and repeated rows; columns named m, base_failed, posterior or kept are safe, names that
-    begin with an underscore are used in between.
+    The texts are measured once: rows are written with their votes, and never shuffled. As in `verdicts` for
+    nulls, ties and repeated rows; columns may have any names.
     """
     names = _vote_names()
-    only = docs.select(F.col(text_col).alias("text"))
-    model = _fitted(_voted(with_measures(only, "text").select("m"), names), names)
-    packed = docs.select(F.col(text_col).alias("_t"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    judged = _verdict(_voted(with_measures(packed, "_t"), names), names, model, least)
-    return judged.where("kept").select("_row.*")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    measured = with_measures(docs.select(F.col(f"`{text_col}`").alias("_t"), row), "_t")
+    voted = written(_voted(measured, names).select("_row", base_failed().alias("base_failed"), *names), "voted_rows")
+    model = _fitted(voted, names)
+    return voted.where(~F.col("base_failed") & (model.posterior() >= least)).select("_row.*")

@@ -16,10 +16,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StructField, StructType
 
 
+LONG_RUN = regex.compile(r"\p{White_Space}{1000,}")
+
+
 class SpanEncoder:
     """Character spans of a text's tokens under a byte-level BPE given as ranks."""
 
@@ -35,9 +39,30 @@ class SpanEncoder:
         for token, rank in ranks.items():
             self.lengths[rank] = len(token)
 
+    def ids(self, text: str) -> np.ndarray:
+        """The tokens of a text.
+
+        The pattern's alternatives for white space try one character less until they fit, which fails on long
+        runs. Such a run is one piece up to its last character, which goes with what follows, or up to the end
+        of the text; so it is taken out and encoded as the piece it is.
+        """
+        pieces, at = [], 0
+        for run in LONG_RUN.finditer(text):
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            if run.start() > at:
+                pieces.append(self.encoding.encode_to_numpy(text[at : run.start()], disallowed_special=()))
+            pieces.append(self._piece(text[run.start() : end]))
+            at = end
+        if at < len(text) or not pieces:
+            pieces.append(self.encoding.encode_to_numpy(text[at:], disallowed_special=()))
+        return np.concatenate(pieces)
+
+    def _piece(self, text: str) -> np.ndarray:
+        return np.array(self.encoding._core_bpe.encode_single_piece(text.encode()), np.uint32)
+
     def spans(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Start and end character of each token; part of a character counts as the whole."""
-        ids = self.encoding.encode_to_numpy(text, disallowed_special=())
+        ids = self.ids(text)
         ends = np.cumsum(self.lengths[ids])
         starts = ends - self.lengths[ids]
         raw = text.encode()

@@ -234,45 +234,81 @@ def test_measures_equal_plain_counts(spark):
         assert r.kept == (not failed and r.posterior >= 0.5)
 
 
-def plain_em(patterns, names, rounds=30):
-    """The same estimates by plain loops over [(votes, n)]."""
-    good_share, tables = 0.8, {k: (quality.GOOD_STARTS, quality.BAD_STARTS) for k in names}
-    index = {1: 0, 0: 1, -1: 2}
+def plain_em(patterns, names, kinds, rounds=60):
+    """The same estimates by plain loops over [(votes, n)]: shares and tables[rule][class][vote]."""
+    starts = quality.start(kinds, names)
+    shares, tables = list(starts.shares), {k: [list(t) for t in starts.rules[k]] for k in names}
+    index, weight = {1: 0, 0: 1, -1: 2}, quality.PRIOR_DOCS
 
     def posterior(votes):
-        g, b = good_share, 1 - good_share
+        p = list(shares)
         for k, v in zip(names, votes):
-            g, b = g * tables[k][0][index[v]], b * tables[k][1][index[v]]
-        return g / (g + b)
+            p = [x * tables[k][c][index[v]] for c, x in enumerate(p)]
+        return [x / sum(p) for x in p]
 
     for _ in range(rounds):
-        weighed = [(v, n, posterior(v)) for v, n in patterns]
-        total, good = sum(n for _, n, _ in weighed), sum(n * p for _, n, p in weighed)
+        weighed = [(v, [n * x for x in posterior(v)]) for v, n in patterns]
+        total = [sum(w[c] for _, w in weighed) for c in range(len(shares))]
         new = {}
         for j, k in enumerate(names):
-            sides = []
-            for side, size, start in ((0, good, quality.GOOD_STARTS), (1, total - good, quality.BAD_STARTS)):
-                sums = [start[i] for i in range(3)]
-                for votes, n, p in weighed:
-                    sums[index[votes[j]]] += n * (p if side == 0 else 1 - p)
-                sides.append([x / (size + 1) for x in sums])
-            alarm = min(sides[0][2], quality.FALSE_ALARMS)
-            scale = (1 - alarm) / (sides[0][0] + sides[0][1])
-            sides[0] = [sides[0][0] * scale, sides[0][1] * scale, alarm]
-            new[k] = tuple(map(tuple, sides))
-        tables, good_share = new, min(max(good / total, 0.5), 0.95)
-    return good_share, tables
+            new[k] = [[
+                (sum(w[c] for v, w in weighed if index[v[j]] == i) + weight * starts.rules[k][c][i]) / (total[c] + weight)
+                for i in range(3)] for c in range(len(shares))]
+        tables = new
+        shares = [(t + weight * s) / (sum(total) + weight) for t, s in zip(total, starts.shares)]
+    return shares, tables, posterior
 
 
 def test_em_equals_plain_loops(spark):
     patterns = [((0, 0, 1), 80), ((-1, 0, 0), 9), ((-1, -1, 0), 8), ((0, -1, 1), 3), ((0, 0, 0), 40)]
-    names = ["a", "b", "c"]
+    names, kinds = ["a", "b", "c"], {"x": ("a", "b"), "y": ("c",)}
     df = spark.createDataFrame([(*v, n) for v, n in patterns], "a int, b int, c int, n bigint")
-    model = quality.fit(df, names, rounds=6)
-    share, tables = plain_em(patterns, names, rounds=6)
-    assert model.good == pytest.approx(share, abs=1e-9)
+    model = quality.fit(df, names, kinds, rounds=3)
+    shares, tables, posterior = plain_em(patterns, names, kinds, rounds=3)
+    assert np.allclose(model.shares, shares, atol=1e-9)
     for k in names:
         assert np.allclose(model.rules[k], tables[k], atol=1e-9)
+    got = {tuple(r[:3]): r.p for r in df.select(*names, model.posterior().alias("p")).collect()}
+    assert all(got[v] == pytest.approx(posterior(v)[0], abs=1e-9) for v, _ in patterns)
+
+
+def kept_of(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    return {r.doc_id: r for r in quality.verdicts(df).collect()}
+
+
+@pytest.mark.parametrize("junk", [0, 5])
+def test_a_rule_that_errs_on_all_clean_texts_rejects_none(spark, junk):
+    """The words hold digits, so the rule `letters` objects to every one of them."""
+    got = kept_of(spark, [prose(60, i) for i in range(50 + 10 * junk)] + ["p | q | r | s | " * 30] * junk)
+    clean = [r for i, r in got.items() if i < 50 + 10 * junk]
+    assert all(r.kept for r in clean) and all(10 * r.m.n_letters < 7 * r.m.word_chars for r in clean)
+    assert not any(r.kept for i, r in got.items() if i >= 50 + 10 * junk)
+
+
+@pytest.mark.parametrize("percent", [5, 30, 60, 80])
+def test_junk_is_told_apart_at_any_share(spark, percent):
+    """Three kinds of junk against 300 clean texts, one in ten of which has a bad vote of its own."""
+    texts = [
+        " ".join(latin(60, i)) if i % 10 else " ".join(w[: len(w) // 2] + "7" * (len(w) - len(w) // 2) for w in latin(60, i))
+        for i in range(300)
+    ]
+    for i in range(300 * percent // (100 - percent)):
+        w = latin(50, 9000 + i)
+        texts.append([
+            " ".join(x.upper() + "!!" for x in w), " | ".join(w[:30]) + " | % $ # |" * 10,
+            "\n".join([" ".join(w[:6])] * 8 + [" ".join(w)])][i % 3])
+    got = kept_of(spark, texts)
+    objected = [r for r in got.values() if r.doc_id < 300 and 10 * r.m.n_letters < 7 * r.m.word_chars]
+    assert len(objected) == 30  # kept by their good votes
+    assert [i for i, r in got.items() if r.kept != (i < 300)] == []
+
+
+def test_measuring_takes_little_time_on_long_texts(spark):
+    for text in ("a" * 1_000_000, "a " * 500_000, "\n" * 1_000_000, "é! " * 300_000, " ".join(map(str, range(150_000)))):
+        df = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+        row = quality.with_measures(df).first()
+        assert row.m.n_words == len(text.split()) and row.m.n_dup_lines == 0
 
 
 def test_quality_agrees_with_labels(spark):
@@ -325,7 +361,8 @@ def test_kept_rows_keep_their_columns(spark, no_docs):
     assert quality.kept_rows(no_docs).collect() == [] and quality.verdicts(no_docs).collect() == []
 
 
-def test_quality_runs_no_python(spark, docs):
-    for df in (quality.verdicts(docs), quality.kept_rows(docs)):
+def test_quality_runs_no_python(spark):
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    for df in (quality.verdicts(table), quality.kept_rows(table)):
         text = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in text and "Arrow" not in text and "Exchange" not in text
