@@ -34,12 +34,13 @@ from pyspark.sql.types import (
     BinaryType, LongType, StringType, StructField, StructType,
 )
 
-from .common import split_words, written
+from .common import by_bytes, written
 
 WINDOW = 50
 GRAM = 8
 TREE_ENTRIES = 1000
-CACHED_WORDS = 200_000
+HASHED_BYTES = 1 << 18
+BATCH_BYTES = 1 << 20
 STRIDE = 20_000
 U = np.uint64
 
@@ -59,27 +60,44 @@ def row_key(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode()) - (1 << 63)
 
 
+def word_bounds(joined: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a text begin and end, if single blanks join them."""
+    blanks = np.flatnonzero(np.frombuffer(joined, np.uint8) == 0x20)
+    return np.r_[0, blanks + 1], np.r_[blanks, len(joined)]
+
+
+def word_hashes(joined: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each word's bytes, worked out for about HASHED_BYTES of text at once."""
+    result, at = np.empty(len(starts), U), 0
+    while at < len(starts):
+        to = max(at + 1, int(np.searchsorted(ends, starts[at] + HASHED_BYTES, "right")))
+        first = int(starts[at])
+        raw = np.frombuffer(joined, np.uint8, int(ends[to - 1]) - first, first)
+        # A byte counts by its place in its word; the blank behind a word adds nothing.
+        place = np.arange(len(raw)) - np.repeat(starts[at:to] - first, np.diff(np.r_[starts[at:to] - first, len(raw)]))
+        worth = mixed((raw.astype(U) << U(32)) + place.astype(U)) * (raw != 0x20)
+        result[at:to] = np.add.reduceat(worth, starts[at:to] - first)
+        at = to
+    return result
+
+
 class Anchors:
     """Cuts a document's windows into runs with one anchor each."""
 
     def __init__(self):
-        self.known: dict[bytes, int] = {}
         self.steps = mixed(np.arange(1, GRAM + 1, dtype=U)) | U(1)
 
     def __call__(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of each run, in order: anchor hash, first window, number of windows, words before the anchor."""
-        n = len(words) - WINDOW + 1
+        joined = b" ".join(words)
+        return self.runs(word_hashes(joined, *word_bounds(joined)) if words else np.empty(0, U))
+
+    def runs(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """As above, from the words' hashes."""
+        n = len(hashes) - WINDOW + 1
         if n <= 0:
             return np.empty(0, U), *[np.empty(0, np.int64)] * 3
-        known = self.known
-        missing = set(words).difference(known)
-        if missing:
-            if len(known) + len(missing) > CACHED_WORDS:
-                known.clear()
-                missing = set(words)
-            known.update((w, xxhash.xxh3_64_intdigest(w)) for w in missing)
-        hashes = np.fromiter((known[w] for w in words), U, len(words))
-        count = len(words) - GRAM + 1
+        count = len(hashes) - GRAM + 1
         grams = np.zeros(count, U)
         for i in range(GRAM):
             grams += hashes[i : i + count] * self.steps[i]
@@ -105,22 +123,20 @@ def scanned(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors = Anchors()
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                piece = batch.slice(at, 500)
+            for piece in by_bytes(batch, 1, BATCH_BYTES):
                 ids = piece.column(0).cast(pa.int64())
                 heads, runs = [], []
-                for doc, text in zip(ids.to_pylist(), piece.column(1).to_pylist()):
-                    words = split_words(text)
-                    joined = b" ".join(words)
-                    row = row_key(text or "")
-                    heads.append((row, len(words), hashlib.sha256(joined).digest()))
-                    if doc is None or len(words) < WINDOW:
+                for doc, text in zip(ids.to_pylist(), piece.column(1)):
+                    raw = text.as_py() or ""
+                    joined = b" ".join(raw.encode().split())
+                    row = row_key(raw)
+                    starts, ends = word_bounds(joined) if joined else (np.empty(0, np.int64),) * 2
+                    heads.append((row, len(starts), hashlib.sha256(joined).digest()))
+                    if doc is None or len(starts) < WINDOW:
                         continue
-                    anchor, lo, windows, mark = anchors(words)
-                    ends = np.cumsum([len(w) + 1 for w in words])
-                    starts = ends - [len(w) + 1 for w in words]
+                    anchor, lo, windows, mark = anchors.runs(word_hashes(joined, starts, ends))
                     digests = [
-                        xxhash.xxh3_64_intdigest(joined[a : b - 1])
+                        xxhash.xxh3_64_intdigest(joined[a:b])
                         for a, b in zip(starts[lo].tolist(), ends[lo + windows + WINDOW - 2].tolist())
                     ]
                     runs.append((np.full(len(lo), doc), np.full(len(lo), row), anchor,
@@ -153,9 +169,9 @@ def entries(firsts: DataFrame, texts: DataFrame) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 200):
+            for piece in by_bytes(batch, batch.schema.get_field_index("text"), BATCH_BYTES):
                 rows = []
-                for r in batch.slice(at, 200).to_pylist():
+                for r in piece.to_pylist():
                     words = r["text"].encode().split()
                     for e in r["found"]:
                         part = words[e["lo"] : e["lo"] + e["windows"] + WINDOW - 1]
@@ -173,12 +189,41 @@ def entries(firsts: DataFrame, texts: DataFrame) -> DataFrame:
     return texts.join(listed, ["doc_id", "row"]).select("doc_id", "text", "found").mapInArrow(cut, schema)
 
 
+def common_words(a: bytes, b: bytes) -> int:
+    """How many words two suffixes have in common at their start, words being four bytes each."""
+    low, high = 0, min(len(a), len(b)) // 4
+    while low < high:
+        middle = (low + high + 1) // 2
+        if a[4 * low : 4 * middle] == b[4 * low : 4 * middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
+def internal_nodes(depths: list[int]) -> list[tuple[int, int, int, int]]:
+    """(depth, first leaf, end, depth of the parent) of the inner nodes of a suffix tree.
+
+    `depths` holds, for each leaf but the first in sorted order, the words it has in common with the one
+    before. A stack holds the path to the last leaf; a leaf that has less in common closes the nodes below.
+    """
+    nodes, path = [], [(0, 0)]
+    for leaf, depth in enumerate([*depths, 0], 1):
+        first = leaf - 1
+        while path[-1][0] > depth:
+            closed, first = path.pop()
+            nodes.append((closed, first, leaf, max(depth, path[-1][0])))
+        if path[-1][0] < depth:
+            path.append((depth, first))
+    return nodes
+
+
 def subtree_repeats(group: list[tuple[int, list[bytes]]]) -> list[tuple[int, int]]:
     """(entry, window) of each window of a group of entries that starts in a smaller document as well.
 
-    The suffixes are sorted, which puts the leaves of every node of their tree side by side; two
-    neighbours lie below a node of depth WINDOW or more if their first WINDOW words are equal.
-    Such a run of leaves is one deep node, and its smallest document owns the text.
+    The suffixes are sorted, and the words that neighbours have in common give the inner nodes of their
+    tree. The highest nodes of depth WINDOW or more stand for the repeats of that length and, with the
+    nodes below them, of any greater one; the smallest document among a node's leaves owns its text.
     """
     ids: dict[bytes, int] = {}
     leaves = []
@@ -186,14 +231,12 @@ def subtree_repeats(group: list[tuple[int, list[bytes]]]) -> list[tuple[int, int
         coded = np.array([ids.setdefault(w, len(ids)) for w in words], ">u4").tobytes()
         leaves += [(coded[4 * s :], entry, s) for s in range(len(words) - WINDOW + 1)]
     leaves.sort()
-    depth, found, start = 4 * WINDOW, [], 0
-    for i in range(1, len(leaves) + 1):
-        if i < len(leaves) and leaves[i][0][:depth] == leaves[start][0][:depth]:
-            continue
-        if i - start > 1:
-            owner = min(group[entry][0] for _, entry, _ in leaves[start:i])
-            found += [(e, s) for _, e, s in leaves[start:i] if group[e][0] > owner]
-        start = i
+    depths = [common_words(a[0], b[0]) for a, b in zip(leaves, leaves[1:])]
+    found = []
+    for depth, first, end, above in internal_nodes(depths):
+        if depth >= WINDOW > above:
+            owner = min(group[entry][0] for _, entry, _ in leaves[first:end])
+            found += [(e, s) for _, e, s in leaves[first:end] if group[e][0] > owner]
     return found
 
 
@@ -389,8 +432,7 @@ def _cut(covered: DataFrame) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                piece = batch.slice(at, 500)
+            for piece in by_bytes(batch, batch.schema.get_field_index("text"), BATCH_BYTES):
                 removed, shas = [], []
                 for text, spans in zip(piece.column("text").to_pylist(), piece.column("spans").to_pylist()):
                     words = text.encode().split()

@@ -77,6 +77,45 @@ def test_large_divisions_give_the_same(spark, monkeypatch):
     check_repeats(spark, repeat_rows())
 
 
+def naive_nodes(suffixes):
+    """(depth, leaves below, depth of the parent) of a suffix tree, from all common prefixes of all suffixes."""
+    prefixes = {}
+    for i, suffix in enumerate(suffixes):
+        for n in range(len(suffix) + 1):
+            prefixes.setdefault(tuple(suffix[:n]), set()).add(i)
+    branching = {p for p, below in prefixes.items() if p and len(below) > 1 and all(
+        prefixes.get((*p, w)) != below for w in {suffixes[i][len(p)] for i in below if len(suffixes[i]) > len(p)})}
+    found = []
+    for p in branching:
+        above = max((n for n in range(len(p)) if p[:n] in branching), default=0)
+        found.append((len(p), frozenset(prefixes[p]), above))
+    return sorted(found, key=str)
+
+
+def test_nodes_equal_those_of_a_naive_suffix_tree():
+    draw = random.Random(7)
+    for _ in range(60):
+        words_of = [[draw.choice("abc") for _ in range(draw.randint(1, 14))] for _ in range(draw.randint(1, 4))]
+        suffixes = sorted(
+            (np.array([ord(c) for c in w[i:]], ">u4").tobytes(), w[i:]) for w in words_of for i in range(len(w)))
+        depths = [repeats.common_words(a[0], b[0]) for a, b in zip(suffixes, suffixes[1:])]
+        got = [(d, frozenset(range(a, b)), up) for d, a, b, up in repeats.internal_nodes(depths)]
+        assert sorted(got, key=str) == naive_nodes([x for _, x in suffixes])
+
+
+def test_word_hashes_depend_on_the_word_alone(monkeypatch):
+    text = ("aa b aa ccc " + "é" * 40 + " b a a aa").encode()
+    words_of = text.split()
+    want = None
+    for size in (1 << 18, 5, 1):
+        monkeypatch.setattr(repeats, "HASHED_BYTES", size)
+        got = repeats.word_hashes(text, *repeats.word_bounds(text)).tolist()
+        want = want or got
+        assert got == want
+        assert [got[i] == got[j] for i in range(9) for j in range(9)] == [
+            words_of[i] == words_of[j] for i in range(9) for j in range(9)]
+
+
 def test_anchors_depend_on_the_window_alone():
     """Equal windows have their anchor at the same place, whatever surrounds them."""
     anchors = repeats.Anchors()
