@@ -396,7 +396,7 @@ _TRAFFIC_DAY = """id, speed, travel_time, status,
 
 def oracle_sql() -> dict[str, str]:
     month, year = _MONTH.format("crash_date"), _YEAR.format("crash_date")
-    return {
+    found = {
         # ---- enrichment, row by row
         "crash_enrich": _sql("SELECT * FROM crashes", "crashes"),
         "person_enrich": _sql("SELECT * FROM persons", "persons"),
@@ -546,15 +546,24 @@ def oracle_sql() -> dict[str, str]:
             "SELECT * FROM crash_weather WHERE year(crash_date) = 2020 AND month(crash_date) = 3",
             "crash_weather",
         ),
-        "crash_traffic_rows": _sql(
-            "SELECT * FROM crash_traffic WHERE year(crash_date) = 2020", "crash_traffic"
-        ),
-        "traffic_weather_rows": _sql(
+        "crash_weather_all": _sql(
             """
-            SELECT * FROM traffic_weather
-            WHERE year(crash_timestamp) = 2020 AND month(crash_timestamp) = 3""",
-            "traffic_weather",
+            SELECT collision_id, count(*) AS view_rows, min(crash_date) AS first_day, max(crash_date) AS last_day,
+              min(standardized_borough) AS place, sum(number_of_persons_injured) AS injured,
+              sum(vehicle_year::BIGINT) AS vehicle_years, sum(person_age::BIGINT) AS ages,
+              count(DISTINCT vehicle_type) AS vehicle_types, min(state_registration) AS first_state,
+              max(vehicle_contributing_factor) AS last_factor, count(DISTINCT person_type) AS person_types,
+              min(safety_equipment) AS first_equipment, count(ejection) AS ejections,
+              round(min(temperature_2m), 6) AS coldest, round(max(temperature_2m), 6) AS warmest,
+              round(min(pressure_msl), 6) AS lowest_pressure, round(max(wind_speed_10m), 6) AS strongest_wind,
+              count(DISTINCT relative_humidity_2m) AS humidities, count(sunshine_duration) AS sunshine,
+              min(rainfall_category) AS first_rain, max(snowfall_category) AS last_snow
+            FROM crash_weather GROUP BY collision_id""",
+            "crash_weather",
         ),
+        "crash_traffic_rows": _sql("SELECT * FROM crash_traffic", "crash_traffic"),
+        "traffic_weather_rows": _sql("SELECT * FROM traffic_weather", "traffic_weather"),
+        # ---- the model as counts
         "unified_model": _sql(
             """
             SELECT collision_id, borough, standardized_borough, crash_date, count(*) AS model_rows
@@ -889,3 +898,7 @@ def oracle_sql() -> dict[str, str]:
             "vehicles",
         ),
     }
+    # Stored models answer as the model does.
+    found |= {f"{q}_stored": found[q] for q in ("model_rows", "q02", "q08", "q09", "q10", "q13", "p3")}
+    found["model_refresh"] = found["model_rows"]
+    return found

@@ -7,14 +7,16 @@ with the inputs, not with the number of joined pairs.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.derive import canonicalize
-from ..functions.predicates import dated_in_year, in_year
+from ..functions.predicates import date_range, dated_in_year, in_year
 from ..operators.eager import counted, measured
 from ..operators.joins import COLUMN, HOT_ROWS, ROW, cold, deal, hot_grid, key_counts, repeat
 from ..operators.joins import COLUMNS as COLUMNS_AXIS
@@ -64,7 +66,11 @@ WEATHER_SIDE = [
 ]
 TRAFFIC_SIDE = ["speed", "status", "travel_time"]
 
+Dates = tuple[str | dt.date, str | dt.date]
 ROWS = "model_rows"
+# Partition column of stored models: the year of the crash, on crashes, vehicles and persons alike.
+CRASH_YEAR = "crash_year"
+NO_YEAR = -1
 DAY = ["_place", "_day"]
 
 
@@ -72,6 +78,22 @@ def standardize_boroughs(crashes: DataFrame) -> DataFrame:
     return crashes.withColumn("standardized_borough", canonicalize(F.col("borough"), BOROUGH_ALIASES))
 
 
+def crash_year(day: Column) -> Column:
+    return F.coalesce(F.year(day), F.lit(NO_YEAR))
+
+
+def of_years(df: DataFrame, dates: Dates | None) -> DataFrame:
+    """Where a table is laid out by the year of the crash, only the years of a range of dates."""
+    if dates is None or CRASH_YEAR not in df.columns:
+        return df
+    first, after = (dt.date.fromisoformat(d) if isinstance(d, str) else d for d in dates)
+    return df.filter(F.col(CRASH_YEAR).between(first.year, (after - dt.timedelta(days=1)).year))
+
+
+def dated_rows(crashes: DataFrame, dates: Dates | None) -> DataFrame:
+    return crashes if dates is None else of_years(crashes, dates).filter(date_range(F.col("crash_date"), *dates))
+
+
 def _renamed(df: DataFrame, names: dict[str, str], wanted: Sequence[str]) -> DataFrame:
     return df.select("collision_id", *[F.col(names[c]).alias(c) for c in wanted])
 
@@ -115,6 +137,7 @@ class CrashModel:
         distinct: bool = False,
         vehicles_where: Column | None = None,
         vehicles_when: Column | None = None,
+        dates: Dates | None = None,
     ) -> DataFrame:
         """The wanted columns and how many model rows stand behind each combination.
 
@@ -125,19 +148,20 @@ class CrashModel:
         A condition on vehicles that asks for fixed values need not become a wanted column, which
         would shuffle the vehicles twice: `vehicles_where` drops the others, `vehicles_when` counts the
         matching ones only, perhaps none. `distinct` counts each collision (and combination of wanted
-        vehicle and person columns) once instead of once per vehicle and person.
+        vehicle and person columns) once instead of once per vehicle and person. `dates` keeps the
+        crashes from a day up to before another, and on stored models the partitions of their years alone.
         """
         vehicle = [c for c in columns if c in VEHICLE_SIDE]
         person = [c for c in columns if c in PERSON_SIDE]
         crash = [c for c in columns if c not in VEHICLE_SIDE and c not in PERSON_SIDE]
         key = ["collision_id"]
-        crashes = standardize_boroughs(self.crashes).select(*dict.fromkeys(key + crash))
-        asked = _renamed(self.vehicles, VEHICLE_SIDE, list(VEHICLE_SIDE))
+        crashes = standardize_boroughs(dated_rows(self.crashes, dates)).select(*dict.fromkeys(key + crash))
+        asked = _renamed(of_years(self.vehicles, dates), VEHICLE_SIDE, list(VEHICLE_SIDE))
         if vehicles_where is not None:
             asked = asked.filter(vehicles_where)
         matching = F.lit(1) if vehicles_when is None else F.when(vehicles_when, 1)
         vehicles = asked.groupBy(*key, *vehicle).agg(F.count(matching).alias("_v"))
-        persons = counted(_renamed(self.persons, PERSON_SIDE, person), key + person, "_p")
+        persons = counted(_renamed(of_years(self.persons, dates), PERSON_SIDE, person), key + person, "_p")
         rows = F.least(F.col("_v"), F.lit(1)) if distinct else F.col("_v") * F.col("_p")
         return crashes.join(vehicles, key).join(persons, key).select(*columns, rows.alias(ROWS))
 
@@ -157,9 +181,11 @@ class ModelTable:
         distinct: bool = False,
         vehicles_where: Column | None = None,
         vehicles_when: Column | None = None,
+        dates: Dates | None = None,
     ) -> DataFrame:
         """As `CrashModel.counted`."""
-        table = self.table if vehicles_where is None else self.table.filter(vehicles_where)
+        table = dated_rows(self.table, dates)
+        table = table if vehicles_where is None else table.filter(vehicles_where)
         matching = F.lit(True) if vehicles_when is None else vehicles_when
         if not distinct:
             return table.groupBy(*columns).agg(F.count(F.when(matching, 1)).alias(ROWS))
@@ -169,7 +195,21 @@ class ModelTable:
         return once.select(*columns, ROWS)
 
 
-Model = CrashModel | ModelTable
+@dataclass(frozen=True)
+class PartedModel:
+    """Models of different collisions that answer as one."""
+
+    parts: tuple[CrashModel, ...]
+
+    def rows(self) -> DataFrame:
+        return reduce(DataFrame.unionByName, [p.rows() for p in self.parts])
+
+    def counted(self, *columns: str, **options) -> DataFrame:
+        """As `CrashModel.counted`."""
+        return reduce(DataFrame.unionByName, [p.counted(*columns, **options) for p in self.parts])
+
+
+Model = CrashModel | ModelTable | PartedModel
 
 
 @dataclass(frozen=True)
@@ -219,9 +259,9 @@ class DayView:
 
     def days(self, *columns: str, **options) -> DataFrame:
         """Model rows per (place, day) and wanted columns, as `_model`."""
-        counts = self.model.counted(*dict.fromkeys([*columns, self.place, "crash_date"]), **options)
         if self.year is not None:
-            counts = counts.filter(in_year(F.col("crash_date"), self.year))
+            options["dates"] = (dt.date(self.year, 1, 1), dt.date(self.year + 1, 1, 1))
+        counts = self.model.counted(*dict.fromkeys([*columns, self.place, "crash_date"]), **options)
         return self._keyed(counts).groupBy(*DAY, *columns).agg(F.sum(ROWS).alias("_model"))
 
     def _keyed(self, df: DataFrame) -> DataFrame:
@@ -261,8 +301,8 @@ class TrafficTable:
     def rows(self) -> DataFrame:
         return self.traffic.withColumn("crash_date", F.col("crash_timestamp"))
 
-    def counted(self, *columns: str) -> DataFrame:
-        return counted(self.rows(), columns, ROWS)
+    def counted(self, *columns: str, dates: Dates | None = None) -> DataFrame:
+        return counted(dated_rows(self.rows(), dates), columns, ROWS)
 
 
 def traffic_weather(traffic: DataFrame, weather: DataFrame, year: int | None = None) -> DayView:

@@ -9,10 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.predicates import date_range, dated, in_list, known, not_in
+from ..functions.predicates import dated, in_list, known, not_in
 from ..operators.eager import counted, pair_average, weighted_average
 from ..operators.grouping import by_period, share_of, top_k_per_group
-from .model import ROWS, DayView, Model
+from .model import ROWS, Dates, DayView, Model, dated_rows
 
 # ---- Fixed values: the categories and dates the questions name. ----
 
@@ -79,8 +79,8 @@ def q02(
     """
     rows = model.counted(
         "crash_date", "borough", "was_fatal",
-        vehicles_where=in_list(F.col("high_impact_crash"), ["Yes"]), distinct=distinct,
-    ).filter(date_range(F.col("crash_date"), *dates))
+        vehicles_where=in_list(F.col("high_impact_crash"), ["Yes"]), distinct=distinct, dates=dates,
+    )
     return by_period(
         rows, "crash_date", "month", ["borough", "was_fatal"], [_total("collisions")], "crash_month"
     ).orderBy(F.desc("collisions"))
@@ -148,8 +148,8 @@ def q08(
 ) -> DataFrame:
     """High-impact crashes per month."""
     rows = model.counted(
-        "crash_date", vehicles_where=in_list(F.col("high_impact_crash"), ["Yes"]), distinct=distinct
-    ).filter(date_range(F.col("crash_date"), *dates))
+        "crash_date", vehicles_where=in_list(F.col("high_impact_crash"), ["Yes"]), distinct=distinct, dates=dates
+    )
     return by_period(rows, "crash_date", "month", [], [_total("collisions")], "crash_month")
 
 
@@ -158,9 +158,7 @@ def q09(
 ) -> DataFrame:
     """Persons injured per month."""
     injured = "number_of_persons_injured"
-    rows = model.counted("crash_date", injured, distinct=distinct).filter(
-        date_range(F.col("crash_date"), *dates)
-    )
+    rows = model.counted("crash_date", injured, distinct=distinct, dates=dates)
     total = F.sum(F.col(injured) * F.col(ROWS)).alias("persons_injured")
     return by_period(rows, "crash_date", "month", [], [total], "crash_month")
 
@@ -339,8 +337,8 @@ class _Prepared:
     def __init__(self, counts: DataFrame):
         self._counts = counts
 
-    def counted(self, *columns: str) -> DataFrame:
-        return self._counts.select(*columns, ROWS)
+    def counted(self, *columns: str, dates: Dates | None = None) -> DataFrame:
+        return dated_rows(self._counts, dates).select(*columns, ROWS)
 
 
 def _total(name: str):
