@@ -869,6 +869,10 @@ def oracle_sql() -> dict[str, str]:
               AND ts < TIMESTAMP '2024-01-01' + to_days(CAST(15 * (i + 1) AS INTEGER))
             GROUP BY i""",
         "incremental_late_rows": "SELECT * FROM events",
+        "late_merge": "SELECT * FROM events",
+        "band_stats_kept": """
+            SELECT round(avg(value) + 1e-9, 6) AS mean_value, round(stddev_samp(value) + 1e-9, 6) AS stddev_value
+            FROM events""",
         "monthly_load": """
             SELECT o_orderkey, o_orderdate, o_orderpriority,
               CAST(year(o_orderdate) AS INTEGER) AS data_file_year,

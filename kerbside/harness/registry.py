@@ -507,6 +507,42 @@ def incremental_late_rows(f: Feeds) -> DataFrame:
     return lake.read_table("raw", "traffic").drop("window_start")
 
 
+def late_merge(f: Feeds) -> DataFrame:
+    """Windows closed with rows missing or outdated; late rows come out of order, twice, and are merged again."""
+    lake, events = _lake(f, "late-merge"), f.table("events").withColumn("version", F.lit(2))
+    id_ = F.col("event_id")
+    early = events.where(id_ % 5 != 0).withColumns({
+        "value": F.when(id_ % 7 == 0, -1.0).otherwise(F.col("value")),
+        "version": F.when(id_ % 7 == 0, 1).otherwise(2),
+    })
+    runs = loads.catch_up(lake, early, "traffic", "ts", EVENTS_START)
+    late = events.where((id_ % 5 == 0) | (id_ % 7 == 0))
+    stale = late.where(id_ % 2 == 0).withColumns({"value": F.lit(-2.0), "version": F.lit(1)})
+    for rows in (stale.unionByName(late), late, stale):
+        loads.merge_late(lake, rows, "traffic", "ts", EVENTS_START, ["event_id"], "version")
+    # The open window is left to the load, which now finds the source complete.
+    loads.catch_up(lake, events, "traffic", "ts", EVENTS_START)
+    if not runs:
+        raise AssertionError("no window was loaded")
+    return lake.read_table("raw", "traffic").drop("window_start", "version")
+
+
+def band_stats_kept(f: Feeds) -> DataFrame:
+    """Statistics of all events, kept by window: half the windows first, then the others, then one that changed."""
+    lake, events = _lake(f, "moments"), f.table("events")
+    changed = dt.datetime(2024, 1, 16)
+    within = (F.col("ts") >= F.lit(changed)) & (F.col("ts") < F.lit(changed + dt.timedelta(days=15)))
+    wrong = F.when(within, 0.0).otherwise(F.col("value"))
+    loads.catch_up(lake, events.withColumn("value", wrong), "traffic", "ts", EVENTS_START)
+    windows = sorted(r[0] for r in lake.read_table("raw", "traffic").select("window_start").distinct().collect())
+    for part in (windows[::2], windows[1::2]):
+        loads.update_moments(lake, "traffic", ["value"], part)
+    again = events.where(within).withColumn("window_start", F.lit(changed.date()))
+    lake.overwrite(again, "raw", "traffic", ["window_start"], partitions_only=True)
+    loads.update_moments(lake, "traffic", ["value"], [changed.date()])
+    return _rounded(loads.kept_stats(lake, "traffic", ["value"]), {"mean_value": 6, "stddev_value": 6})
+
+
 def monthly_load(f: Feeds) -> DataFrame:
     """The first two months of the orders, each loaded as a month."""
     lake = _lake(f, "months")
@@ -682,6 +718,8 @@ _QUERIES: dict[str, Callable[[Feeds], DataFrame]] = {
     "incremental_load": incremental_load,
     "incremental_runs": incremental_runs,
     "incremental_late_rows": incremental_late_rows,
+    "late_merge": late_merge,
+    "band_stats_kept": band_stats_kept,
     "monthly_load": monthly_load,
     "corrupt_records": corrupt_records,
     "batch_load_crashes": lambda f: _batch(f, "crashes", "csv"),

@@ -34,14 +34,45 @@ def band_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*aggregates)
 
 
-def add_bands(df: DataFrame, bands: Sequence[Band]) -> DataFrame:
-    """Label every row against the statistics of the whole frame.
+def moments(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """Per group n_<c>, mean_<c> and m2_<c> (the squared deviations summed): parts that `merged_stats` can put together."""
+    aggregates = []
+    for c in columns:
+        n = F.count(c)
+        aggregates += [
+            n.alias(f"n_{c}"), F.avg(c).alias(f"mean_{c}"), (F.var_pop(c) * n).alias(f"m2_{c}")
+        ]
+    return df.groupBy(*by).agg(*aggregates)
+
+
+def merged_stats(parts: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """As `band_stats` of all rows behind the parts, from their moments alone.
+
+    The deviations of the parts' means are taken from the overall mean, not from zero, so nothing large cancels out.
+    """
+    means = parts.agg(*[
+        F.try_divide(F.sum(F.col(f"n_{c}") * F.col(f"mean_{c}")), F.sum(f"n_{c}")).alias(c) for c in columns
+    ])
+    overall = means.select(F.struct(*columns).alias("means")).scalar()
+    aggregates = []
+    for c in columns:
+        off = F.col(f"mean_{c}") - overall[c]
+        spread = F.sum(F.col(f"m2_{c}") + F.col(f"n_{c}") * off * off)
+        aggregates += [
+            F.max(overall[c]).alias(f"mean_{c}"),
+            F.sqrt(F.try_divide(spread, F.nullif(F.sum(f"n_{c}") - 1, F.lit(0)))).alias(f"stddev_{c}"),
+        ]
+    return parts.agg(*aggregates)
+
+
+def add_bands(df: DataFrame, bands: Sequence[Band], stats: DataFrame | None = None) -> DataFrame:
+    """Label every row against the statistics of the whole frame, or against a row of `stats` kept elsewhere.
 
     The statistics are one struct-valued scalar subquery: a column-pruned aggregate that runs once,
     is reused by every band, and returns a single row, so nothing is joined and no driver code waits.
     """
     names = list(dict.fromkeys(b.column for b in bands))
-    stats = band_stats(df, names)
+    stats = band_stats(df, names) if stats is None else stats
     one_row = stats.select(F.struct(*stats.columns).alias("stats")).scalar()
     return df.withColumns({b.output: _label(b, one_row) for b in bands})
 

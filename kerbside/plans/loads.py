@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from ..functions.clean import bad_value_counts, conform
+from ..operators.bands import merged_stats, moments
 from ..operators.slices import month_bounds, month_slice, slice_end, time_slice, time_slices
 from ..schemas import CASTS
 from ..sources.ledger import enter, literal_path, part_of, pending
@@ -185,6 +186,65 @@ def catch_up(
     return runs
 
 
+def merge_late(
+    lake: Lake,
+    late: DataFrame,
+    name: str,
+    ts: str,
+    default_start: dt.datetime,
+    keys: Sequence[str],
+    version: str,
+    days: int | None = None,
+) -> dict:
+    """Bring rows that came after their window was closed into the raw table.
+
+    Of rows with the same keys in a window the one with the greatest version stays, of equal versions the one
+    that is greatest column by column, so a row may come twice and in any order, and a rerun changes nothing.
+    Only the windows that `late` has rows of are rewritten. Rows of windows that are still open are left to
+    the next load, which takes these windows anew. Returns the windows rewritten, their rows, and the rows left.
+    """
+    with logged_run(lake, f"late-{name}") as run:
+        length = days or WINDOW_DAYS[name]
+        point = run.last_timestamp = resume_from(lake, f"ingest-{name}", default_start)
+        tagged = time_slices(late, ts, default_start, length, "_window", "left")
+        day = F.date_add(F.lit(default_start.date()), F.col("_window") * length)
+        placed = tagged.withColumn("window_start", day).drop("_window")
+        closed = placed.where(F.col("window_start") < F.lit(point.date()))
+        counts = {r["window_start"]: r["count"] for r in placed.groupBy("window_start").count().collect()}
+        windows = sorted(w for w in counts if w < point.date())
+        run.rows = 0
+        if windows:
+            kept = lake.read_table("raw", name)
+            both = kept.where(F.col("window_start").isin(windows)).unionByName(closed.select(*kept.columns))
+            value = F.struct(version, *[c for c in kept.columns if c not in (*keys, "window_start", version)])
+            best = both.groupBy("window_start", *keys).agg(F.max(value).alias("_best"))
+            merged = best.select("window_start", *keys, "_best.*").select(*kept.columns)
+            run.rows = lake.overwrite(merged, "raw", name, ["window_start"], partitions_only=True)["rows"]
+    return {"windows": windows, "rows": run.rows, "open": sum(n for w, n in counts.items() if w not in windows)}
+
+
+def update_moments(
+    lake: Lake, name: str, columns: Sequence[str], windows: Sequence[dt.date]
+) -> None:
+    """Keep the moments of a raw table's windows: those given are scanned, all others stay as they are.
+
+    Call it with the windows that a load or a late merge wrote; a window without rows loses its moments.
+    """
+    windows = sorted(set(windows))
+    rows = lake.read_table("raw", name).where(F.col("window_start").isin(windows))
+    found = moments(rows, columns, ["window_start"])
+    lake.overwrite(found, "moments", name, ["window_start"], partitions_only=True)
+    present = {r["window_start"] for r in lake.read_table("moments", name).select("window_start").distinct().collect()}
+    filled = {r["window_start"] for r in rows.select("window_start").distinct().collect()}
+    for window in present & set(windows) - filled:
+        lake.drop_partition("moments", name, "window_start", window.isoformat())
+
+
+def kept_stats(lake: Lake, name: str, columns: Sequence[str]) -> DataFrame:
+    """`band_stats` of a whole raw table, from its kept moments: one small row a window is read."""
+    return merged_stats(lake.read_table("moments", name), columns)
+
+
 def run_transform(
     lake: Lake,
     dataset: str,

@@ -2,11 +2,13 @@
 
 import datetime as dt
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from kerbside.harness.adapters import Feeds
+from kerbside.operators import bands
 from kerbside.plans import loads, transforms
 from kerbside.schemas import RUN_LOG, text_schema
 from kerbside.session import local_scratch, scratch_dir
@@ -244,6 +246,68 @@ def test_late_rows_of_an_open_month_are_loaded(lake, spark):
     assert loaded_numbers(lake, "taxi") == [0, 5, 9]
 
 
+def versioned(spark, rows):
+    return spark.createDataFrame(
+        [(START + dt.timedelta(days=d), k, v, n) for d, k, v, n in rows], "ts timestamp_ntz, k int, v int, n int")
+
+
+def merged(lake, rows):
+    return loads.merge_late(lake, rows, "traffic", "ts", START, ["k"], "v")
+
+
+def test_late_rows_of_closed_windows_are_merged_by_version(lake, spark):
+    loads.catch_up(lake, versioned(spark, [(0, 1, 1, 10), (1, 2, 2, 20), (16, 3, 1, 30), (31, 4, 1, 40)]), "traffic", "ts", START)
+    kept = lake.read_table("raw", "traffic").where("window_start = '2024-01-16'").inputFiles()
+    late = versioned(spark, [(0, 1, 2, 11), (1, 2, 1, 19), (2, 5, 1, 50), (2, 5, 1, 49), (32, 6, 1, 60)])
+    for _ in range(2):
+        found = merged(lake, late)
+        assert (found["windows"], found["rows"], found["open"]) == ([START.date()], 3, 1)
+        assert loaded_numbers(lake) == [11, 20, 30, 40, 50]
+    untouched = lake.read_table("raw", "traffic").where("window_start = '2024-01-16'").inputFiles()
+    assert [f for f in kept if "2024-01-16" in f] == [f for f in untouched if "2024-01-16" in f]
+    # A row older than all windows has no place, and an empty batch changes nothing.
+    assert merged(lake, versioned(spark, [(-3, 7, 9, 70)]))["windows"] == []
+    assert merged(lake, late.where("false"))["rows"] == 0 and loaded_numbers(lake) == [11, 20, 30, 40, 50]
+
+
+def test_a_late_row_in_a_window_that_was_empty(lake, spark):
+    loads.catch_up(lake, versioned(spark, [(0, 1, 1, 10), (46, 2, 1, 20)]), "traffic", "ts", START)
+    assert merged(lake, versioned(spark, [(17, 3, 1, 30)]))["windows"] == [dt.date(2024, 1, 16)]
+    assert loaded_numbers(lake) == [10, 20, 30]
+
+
+def test_kept_moments_equal_a_full_pass(lake, spark):
+    rows = [(d, d % 7, 1, 1_000_000 + (d * 37) % 11) for d in range(0, 200, 3)]
+    df = versioned(spark, rows).withColumn("x", F.when(F.col("k") > 0, F.col("n") + F.col("k") / 7))
+    loads.catch_up(lake, df, "traffic", "ts", START)
+    raw = lake.read_table("raw", "traffic")
+    windows = [r[0] for r in raw.select("window_start").distinct().collect()]
+    loads.update_moments(lake, "traffic", ["n", "x"], windows)
+    whole = bands.band_stats(df, ["n", "x"]).first()
+    kept = loads.kept_stats(lake, "traffic", ["n", "x"]).first()
+    assert all(abs(a - b) <= 1e-9 * abs(a) for a, b in zip(whole, kept))
+    # Rows that came later: the windows given are scanned alone, and statistics follow.
+    more = versioned(spark, [(1, 1, 1, 7)]).withColumn("x", F.lit(2.0)).withColumn("window_start", F.lit(START.date()))
+    lake.overwrite(more, "raw", "traffic", ["window_start"], partitions_only=True)
+    loads.update_moments(lake, "traffic", ["n", "x"], [START.date()])
+    whole = bands.band_stats(lake.read_table("raw", "traffic"), ["n", "x"]).first()
+    assert all(abs(a - b) <= 1e-9 * abs(a) for a, b in zip(whole, loads.kept_stats(lake, "traffic", ["n", "x"]).first()))
+    labelled = bands.add_bands(df, [bands.Band("n", "b", "lo", "mid", "hi")], loads.kept_stats(lake, "traffic", ["n"]))
+    assert "Scan" in labelled._jdf.queryExecution().executedPlan().toString() and labelled.count() == len(rows)
+
+
+def test_moments_of_new_windows_scan_them_alone(lake, spark):
+    loads.catch_up(lake, source(spark, [0, 16, 31]), "traffic", "ts", START)
+    rows = lake.read_table("raw", "traffic").where(F.col("window_start").isin([dt.date(2024, 1, 16)]))
+    text = bands.moments(rows, ["n"], ["window_start"])._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*window_start#\d+ = 2024-01-16", text), text
+    loads.update_moments(lake, "traffic", ["n"], [dt.date(2024, 1, 1), dt.date(2024, 1, 16)])
+    lake.drop_partition("raw", "traffic", "window_start", "2024-01-16")
+    loads.update_moments(lake, "traffic", ["n"], [dt.date(2024, 1, 16)])
+    one = loads.kept_stats(lake, "traffic", ["n"]).first()
+    assert one["mean_n"] == 0 and one["stddev_n"] is None
+
+
 def test_repeated_window_replaces_its_rows(lake, spark):
     df = source(spark, [0, 1])
     loads.load_increment(lake, df, "traffic", "ts", START)
