@@ -89,7 +89,7 @@ def plans(lake: Lake, by_rows: bool) -> dict:
         "p1": lambda: answers.p1(weather_view()),
         "p2": lambda: answers.p2(traffic_view()),
         "p3": lambda: reports.p3(crash_model()),
-        "p4": lambda: answers.p4(weather_view(), prod("vehicles")),
+        "p4": lambda: answers.p4(weather_view(), *([prod("vehicles")] if by_rows else [])),
         "q01": lambda: reports.q01(prod("weather")),
         "q05": lambda: reports.q05(prod("persons")),
         "q11": lambda: reports.q11(prod("persons")),

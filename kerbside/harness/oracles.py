@@ -903,6 +903,7 @@ def oracle_sql() -> dict[str, str]:
         ),
     }
     # Stored models answer as the model does.
-    found |= {f"{q}_stored": found[q] for q in ("model_rows", "q02", "q08", "q09", "q10", "q13", "p3")}
+    found |= {f"{q}_stored": found[q] for q in (
+        "model_rows", "q02", "q03", "q06", "q08", "q09", "q10", "q13", "p3", "p4")}
     found["model_refresh"] = found["model_rows"]
     return found

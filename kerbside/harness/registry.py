@@ -354,8 +354,8 @@ def p2(f: Feeds, distinct: bool = False) -> DataFrame:
     return _rounded(reports.p2(_crash_traffic(f), distinct), {"average_speed": 6})
 
 
-def p4(f: Feeds) -> DataFrame:
-    answer = reports.p4(_crash_weather(f), _vehicles(f))
+def p4(f: Feeds, view: model.DayView | None = None) -> DataFrame:
+    answer = reports.p4(view or _crash_weather(f))
     return _rounded(answer, {c: 6 for c in answer.columns if c.startswith("average_")})
 
 
@@ -712,6 +712,9 @@ _QUERIES: dict[str, Callable[[Feeds], DataFrame]] = {
     "q10_stored": lambda f: reports.q10(_stored_model(f)),
     "q13_stored": lambda f: reports.q13(_stored_model(f)),
     "p3_stored": lambda f: reports.p3(_stored_model(f)),
+    "p4_stored": lambda f: p4(f, model.crash_weather(_stored_model(f), _weather(f))),
+    "q03_stored": lambda f: reports.q03(model.crash_weather(_stored_model(f), _weather(f))),
+    "q06_stored": lambda f: reports.q06(model.crash_weather(_stored_model(f), _weather(f))),
     "model_refresh": model_refresh,
     "file_stream_load": file_stream_load,
     "run_metrics": run_metrics,

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.derive import canonicalize
@@ -166,6 +166,25 @@ class CrashModel:
         return crashes.join(vehicles, key).join(persons, key).select(*columns, rows.alias(ROWS))
 
 
+    def with_vehicles(self, columns: Sequence[str], vehicle_columns: Sequence[str]) -> DataFrame:
+        """Crash columns next to the vehicles of the collision's own date, in one pass over the vehicles.
+
+        Per collision and combination of vehicle columns: `model_rows` (of the collision, all vehicles) times
+        the vehicles of that combination. The date is compared, not joined on, so that the sides meet by the
+        collision alone and nothing is shuffled for it again.
+        """
+        key = ["collision_id"]
+        crashes = standardize_boroughs(self.crashes).select(*dict.fromkeys([*key, "crash_date", *columns]))
+        vehicles = self.vehicles.groupBy(*key, F.col("crash_date").alias("_day_of"), *vehicle_columns).agg(
+            F.count(F.lit(1)).alias("_again")
+        ).withColumn("_v", F.sum("_again").over(Window.partitionBy(*key)))
+        persons = counted(self.persons.select(*key), key, "_p")
+        same_day = (F.col("_day_of") >= F.col("crash_date")) & (F.col("_day_of") <= F.col("crash_date"))
+        return crashes.join(vehicles, key).where(same_day).join(persons, key).select(
+            *crashes.columns, *vehicle_columns, (F.col("_v") * F.col("_p") * F.col("_again")).alias(ROWS)
+        )
+
+
 @dataclass(frozen=True)
 class ModelTable:
     """The same questions asked of a model that is already stored as a table."""
@@ -208,6 +227,10 @@ class PartedModel:
         """As `CrashModel.counted`."""
         return reduce(DataFrame.unionByName, [p.counted(*columns, **options) for p in self.parts])
 
+    def with_vehicles(self, columns: Sequence[str], vehicle_columns: Sequence[str]) -> DataFrame:
+        """As `CrashModel.with_vehicles`."""
+        return reduce(DataFrame.unionByName, [p.with_vehicles(columns, vehicle_columns) for p in self.parts])
+
 
 Model = CrashModel | ModelTable | PartedModel
 

@@ -279,21 +279,23 @@ def p3(model: Model, k: int = TOP_FACTORS, distinct: bool = False) -> DataFrame:
     )
 
 
-def p4(view: DayView, vehicles: DataFrame) -> DataFrame:
+def p4(view: DayView, vehicles: DataFrame | None = None) -> DataFrame:
     """Vehicle age per borough and vehicle type, overall and in severe crashes, with the weather.
 
     The vehicles are joined to the model a second time (on collision and date), so the type and age
-    are theirs, and every model row of the collision counts once per such vehicle.
+    are theirs, and every model row of the collision counts once per such vehicle. Without `vehicles` they
+    are the model's own, which are then read once for both.
     """
     crash_columns = ["borough", "number_of_persons_injured", "number_of_persons_killed"]
-    key = ["collision_id", "crash_date"]
-    crashes = view.model.counted(*key, view.place, *crash_columns)
-    repeated = counted(
-        vehicles.select(*key, "vehicle_type", "vehicle_year"),
-        [*key, "vehicle_type", "vehicle_year"],
-        "_again",
-    )
-    aged = crashes.join(repeated, key).select(
+    own = ["vehicle_type", "vehicle_year"]
+    if vehicles is None:
+        met = view.model.with_vehicles([view.place, *crash_columns], own)
+    else:
+        key = ["collision_id", "crash_date"]
+        crashes = view.model.counted(*key, view.place, *crash_columns)
+        repeated = counted(vehicles.select(*key, *own), [*key, *own], "_again")
+        met = crashes.join(repeated, key).withColumn(ROWS, F.col(ROWS) * F.col("_again"))
+    aged = met.select(
         view.place,
         "crash_date",
         "borough",
@@ -301,7 +303,7 @@ def p4(view: DayView, vehicles: DataFrame) -> DataFrame:
         (F.year("crash_date") - F.col("vehicle_year")).alias("vehicle_age"),
         (F.col("number_of_persons_injured") >= MANY_INJURED).alias("many_injured"),
         (F.col("number_of_persons_killed") > 0).alias("fatal"),
-        (F.col(ROWS) * F.col("_again")).alias(ROWS),
+        ROWS,
     )
     collapsed = DayView(
         _Prepared(aged), view.side, view.side_place, view.side_day, view.side_columns,
