@@ -15,7 +15,7 @@ from ..operators.eager import pair_average
 from ..plans import loads, model, reports, storage, transforms
 from ..session import local_scratch, scratch_dir
 from ..sources import readers
-from ..sources.runlog import logged_run, read_log
+from ..sources.runlog import compact_log, logged_run, read_log
 from ..sources.tables import Lake
 from ..streaming.load import LAYER, load_stream
 from .adapters import Feeds
@@ -496,6 +496,23 @@ def incremental_runs(f: Feeds) -> DataFrame:
     return log.select(nth.alias("run"), "last_timestamp_loaded", "processed_rows")
 
 
+def compacted_runs(f: Feeds) -> DataFrame:
+    """The runs of window-by-window loads, the log compacted whenever it has three files."""
+    lake, events = _lake(f, "compacted"), f.table("events")
+    newest = loads.high_water(events, "ts")
+    gathered, at = 0, EVENTS_START
+    while at <= newest:
+        run = loads.load_increment(lake, events, "traffic", "ts", EVENTS_START)
+        gathered += compact_log(lake, at_least=3)
+        if run.last_timestamp == at:
+            break
+        at = run.last_timestamp
+    if not gathered:
+        raise AssertionError("the log was never compacted")
+    nth = F.row_number().over(Window.orderBy("insert_ts"))  # one row per window
+    return read_log(lake).select(nth.alias("run"), "last_timestamp_loaded", "processed_rows")
+
+
 def incremental_late_rows(f: Feeds) -> DataFrame:
     """A source loaded twice, the second time with rows that came late inside the open window."""
     lake = _lake(f, "late")
@@ -720,6 +737,7 @@ _QUERIES: dict[str, Callable[[Feeds], DataFrame]] = {
     "run_metrics": run_metrics,
     "incremental_load": incremental_load,
     "incremental_runs": incremental_runs,
+    "compacted_runs": compacted_runs,
     "incremental_late_rows": incremental_late_rows,
     "late_merge": late_merge,
     "band_stats_kept": band_stats_kept,

@@ -9,10 +9,10 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .compaction import compact, read_compacted
 from .tables import Lake
 
 LEDGER_TABLE = "load_ledger"
@@ -40,12 +40,12 @@ def literal_path(path: str) -> str:
 
 def read_ledger(lake: Lake) -> DataFrame:
     """All entries; none before the first load."""
-    try:
-        return lake.spark.read.schema(LEDGER).parquet(lake.path("catalog", LEDGER_TABLE))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return lake.spark.createDataFrame([], LEDGER)
+    return read_compacted(lake, "catalog", LEDGER_TABLE, LEDGER)
+
+
+def compact_ledger(lake: Lake, at_least: int = 100) -> int:
+    """Gather the ledger's files, one a load, once there are so many."""
+    return compact(lake, "catalog", LEDGER_TABLE, LEDGER, at_least)
 
 
 def latest(ledger: DataFrame, dataset: str) -> DataFrame:

@@ -8,11 +8,11 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 from decimal import Decimal
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 
 from ..operators.slices import resume_point
 from ..schemas import RUN_LOG
+from .compaction import compact, read_compacted
 from .tables import Lake
 
 SUCCESS = "Success"
@@ -37,12 +37,12 @@ def now() -> dt.datetime:
 
 def read_log(lake: Lake) -> DataFrame:
     """All logged runs; none before the first one has been logged."""
-    try:
-        return lake.spark.read.schema(RUN_LOG).parquet(lake.path("catalog", LOG_TABLE))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return lake.spark.createDataFrame([], RUN_LOG)
+    return read_compacted(lake, "catalog", LOG_TABLE, RUN_LOG)
+
+
+def compact_log(lake: Lake, at_least: int = 100) -> int:
+    """Gather the log's files, one a run, once there are so many; returns how many were gathered."""
+    return compact(lake, "catalog", LOG_TABLE, RUN_LOG, at_least)
 
 
 def log_runs(lake: Lake, runs: Sequence[Run]) -> None:
