@@ -497,13 +497,13 @@ def incremental_runs(f: Feeds) -> DataFrame:
 
 
 def compacted_runs(f: Feeds) -> DataFrame:
-    """The runs of window-by-window loads, the log compacted whenever it has three files."""
+    """The runs of window-by-window loads, the log compacted whenever it has two files."""
     lake, events = _lake(f, "compacted"), f.table("events")
     newest = loads.high_water(events, "ts")
     gathered, at = 0, EVENTS_START
     while at <= newest:
         run = loads.load_increment(lake, events, "traffic", "ts", EVENTS_START)
-        gathered += compact_log(lake, at_least=3)
+        gathered += compact_log(lake, at_least=2)
         if run.last_timestamp == at:
             break
         at = run.last_timestamp
