@@ -889,6 +889,18 @@ def oracle_sql() -> dict[str, str]:
         "batch_load_weather": _sql("SELECT * FROM weather_raw", "weather_raw"),
         "batch_load_traffic": _sql(f"SELECT {_TRAFFIC_DAY} FROM traffic_raw", "traffic_raw"),
         "batch_load_again": _sql(f"SELECT {_TRAFFIC_DAY} FROM traffic_raw", "traffic_raw"),
+        "header_drift": _sql(
+            f"""
+            SELECT load, {_TRAFFIC_DAY} FROM (
+              SELECT * REPLACE (
+                CASE WHEN id % 3 <> 1 THEN owner END AS owner, CASE WHEN id % 3 <> 1 THEN link_name END AS link_name)
+              FROM traffic_raw), (VALUES ('batch'), ('stream')) t(load)""",
+            "traffic_raw",
+        ),
+        "json_array_load": """
+            SELECT CAST(event_id AS INTEGER) AS id, value AS speed, '}"],[{' || event_type ||
+              CASE WHEN event_id % 5 = 0 THEN '\\' ELSE chr(10) || '\\"' END AS link_name
+            FROM events""",
         "csv_roundtrip": "SELECT * FROM customer",
         "json_roundtrip": "SELECT event_id, ts, user_id, event_type, value FROM events",
         "parquet_partitioned": """

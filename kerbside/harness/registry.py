@@ -17,6 +17,7 @@ from ..session import local_scratch, scratch_dir
 from ..sources import readers
 from ..sources.runlog import compact_log, logged_run, read_log
 from ..sources.tables import Lake
+from ..streaming.drift import load_stream_drift
 from ..streaming.load import LAYER, load_stream
 from .adapters import Feeds
 
@@ -600,6 +601,50 @@ def batch_load_traffic(f: Feeds) -> DataFrame:
     return _traffic_day(_batch(f, "traffic", "json"))
 
 
+def header_drift(f: Feeds) -> DataFrame:
+    """Readings whose files changed: the feed's columns, later two fewer and one more, then another order."""
+    lake = _lake(f, "drift")
+    feed, third = f.traffic(), F.col("id") % 3
+    landing = f"{lake.root}/landing"
+    for i, rows in enumerate((
+        feed, feed.drop("owner", "link_name").withColumn("source", F.lit("b")), feed.select(*feed.columns[::-1])
+    )):
+        rows.where(third == i).write.option("header", True).csv(f"{landing}/part={i}")
+    batch = loads.load_batch(lake, "traffic", "csv", f"{landing}/*/*.csv", drift=True)
+    stream = load_stream_drift(lake, "traffic", landing, f"{lake.root}/checkpoint", pattern="*.csv")
+    if batch["rows"] != stream.rows or batch["corrupt"]:
+        raise AssertionError("batch and stream differ")
+    return reduce(DataFrame.unionByName, [
+        _traffic_day(lake.read_table(layer, "traffic").drop("load_batch")).withColumn("load", F.lit(name))
+        for name, layer in (("batch", "raw"), ("stream", LAYER))
+    ])
+
+
+def json_array_load(f: Feeds) -> DataFrame:
+    """Events as four JSON arrays, one a file, with quotes, brackets and backslashes inside their strings."""
+    lake = _lake(f, "arrays")
+    event = F.col("event_type")
+    rows = f.table("events").select(
+        F.col("event_id").alias("id"), F.col("value").alias("speed"),
+        F.concat(F.lit('}"],[{'), event, F.when(F.col("event_id") % 5 == 0, F.lit("\\")).otherwise(F.lit("\n\\\""))).alias("link_name"),
+    )
+    in_file = Window.partitionBy("file").orderBy("id")
+    nth, size = F.row_number().over(in_file), F.count(F.lit(1)).over(Window.partitionBy("file"))
+    lines = rows.withColumn("file", F.pmod(F.hash("id"), F.lit(4))).select(
+        "file", "id", F.concat(
+            F.when(nth == 1, "[").otherwise(""),
+            F.to_json(F.struct("id", "speed", "link_name")),
+            F.when(nth == size, "]").otherwise(","),
+        ).alias("value"),
+    )
+    landing = f"{lake.root}/landing"
+    lines.sortWithinPartitions("file", "id").select("file", "value").write.partitionBy("file").text(landing)
+    found = loads.load_batch(lake, "traffic", "json", f"{landing}/*/*.txt", arrays=True)
+    if found["corrupt"]:
+        raise AssertionError(f"records were not read: {found}")
+    return lake.read_table("raw", "traffic").select("id", "speed", "link_name")
+
+
 def csv_roundtrip(f: Feeds) -> DataFrame:
     path = f"{scratch_dir(f.spark, 'csv')}/customer"
     source = f.table("customer")
@@ -750,6 +795,8 @@ _QUERIES: dict[str, Callable[[Feeds], DataFrame]] = {
     "batch_load_weather": batch_load_weather,
     "batch_load_traffic": batch_load_traffic,
     "batch_load_again": batch_load_again,
+    "header_drift": header_drift,
+    "json_array_load": json_array_load,
     "csv_roundtrip": csv_roundtrip,
     "json_roundtrip": json_roundtrip,
     "parquet_partitioned": parquet_partitioned,

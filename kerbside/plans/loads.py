@@ -13,8 +13,10 @@ from ..functions.clean import bad_value_counts, conform
 from ..operators.bands import merged_stats, moments
 from ..operators.slices import month_bounds, month_slice, slice_end, time_slice, time_slices
 from ..schemas import CASTS
-from ..sources.ledger import enter, literal_path, part_of, pending
-from ..sources.readers import Paths, corrupt_count, read_landing
+from ..sources.files import literal_path, part_of
+from ..sources.landing import file_path, read_landing
+from ..sources.ledger import enter, pending
+from ..sources.readers import Paths, corrupt_count
 from ..sources.runlog import SUCCESS, Run, log_runs, logged_run, now, resume_from
 from ..sources.tables import Lake
 
@@ -40,7 +42,8 @@ def load_batch(
     nothing is written but the log.
 
     With `batch` the files are taken as they are, ledger or not, as the one partition of that name, which a
-    repeated load replaces; don't name batches of files that are also loaded by the ledger.
+    repeated load replaces; don't name batches of files that are also loaded by the ledger. `options` are those
+    of `read_landing`: headers that differ from file to file, JSON arrays read by many tasks.
 
     The text is parsed once, into the archive; the raw table takes that columnar copy. Returns the row
     count, the number of files taken, the unreadable records, the unreadable values per column and the
@@ -56,7 +59,7 @@ def load_batch(
                 return {"rows": 0, "files": 0, "landed": 0, "missing": []}
             paths = [literal_path(r["path"]) for r in taken]
         landed = read_landing(lake.spark, dataset, fmt, paths, **options)
-        part = F.lit(batch) if batch else part_of(F.col("_metadata.file_path"))
+        part = F.lit(batch) if batch else part_of(file_path(landed))
         quality = Observation()
         checked = landed.withColumn("load_batch", part).observe(
             quality,

@@ -6,38 +6,19 @@ under the name of the partition that holds the file's rows; the newest row of a
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .compaction import compact, read_compacted
+from .files import landed_files
 from .tables import Lake
 
 LEDGER_TABLE = "load_ledger"
 LEDGER = "dataset string, path string, size bigint, modified timestamp, part string, loaded_ts timestamp"
 
 
-def part_of(path: Column) -> Column:
-    """The name of the partition that takes a file's rows, from its path alone: a rewritten file keeps it."""
-    return F.concat(F.lit("f"), F.substring(F.sha2(path, 256), 1, 24))
-
-
-def landed_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """(path, size, modified, part) of the files behind paths or globs; no file is opened."""
-    listed = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths))
-    return listed.select(
-        "path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"),
-        part_of(F.col("_metadata.file_path")).alias("part"),
-    )
-
-
-def literal_path(path: str) -> str:
-    """A path as a glob that matches itself alone."""
-    return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
-
-
 def read_ledger(lake: Lake) -> DataFrame:
     """All entries; none before the first load."""
     return read_compacted(lake, "catalog", LEDGER_TABLE, LEDGER)

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.clean import cast_columns
-from ..schemas import text_schema
 
 Paths = str | Sequence[str]
 
@@ -74,22 +73,6 @@ def read_parquet(spark: SparkSession, paths: Paths, casts: dict[str, str] | None
     return cast_columns(df, casts)[0] if casts else df
 
 
-def read_landing(
-    spark: SparkSession, dataset: str, fmt: str, paths: Paths, **options: bool
-) -> DataFrame:
-    """A dataset's landing files in any of the three formats, before casting.
-
-    CSV files bring the columns their header names, in any order, with whatever more they hold.
-    """
-    if fmt == "csv":
-        return read_csv(spark, paths)
-    if fmt == "json":
-        return read_json(spark, paths, text_schema(dataset), **options)
-    if fmt == "parquet":
-        return read_parquet(spark, paths)
-    raise ValueError(f"unknown landing format {fmt!r}")
-
-
 def corrupt_count(df: DataFrame) -> list[Column]:
     """The number of records that could not be read, where the format can have such."""
     return [F.count(CORRUPT).alias("corrupt")] if CORRUPT in df.columns else []
