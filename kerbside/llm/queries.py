@@ -42,13 +42,14 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens of each line of each document, from encodings of whole documents."""
+    """Tokens of each line and of each sentence of each document, from encodings of whole documents."""
     import public_tokenizers
 
     return token_counts.section_tokens(
         read_table(spark, sf_dir, "documents"),
         tokenizer_file("byte_bpe_50k.tiktoken"),
         public_tokenizers.PATTERN,
+        kinds=("line", "sentence"),
     )
 
 

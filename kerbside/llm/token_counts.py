@@ -4,6 +4,10 @@ A document is encoded once, as a whole; every token then has a span of character
 interval-joined with the document's sections, so that no section is encoded out of its context and
 the counts of all sections add up to the document's.
 
+Sections are the lines of a document, its sentences, or spans that a column gives. Most tokenizers put the blank
+before a word into the word's token, while a sentence keeps the blank behind it: nearly every sentence starts
+within a token, and the rule below decides whose it is.
+
 Allocation rule: a token that lies in several sections counts for the one that holds most of its
 characters, for the earliest of these on a tie. `n_crossing` says how many of a section's tokens reach
 beyond it. Tokens in no section are counted as `unattributed` on the document's rows.
@@ -18,9 +22,11 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 
+# A sentence ends behind its marks, closing quotes or brackets and the white space after them, or with a line.
+SENTENCE_END = regex.compile(r"""[.!?…。！？]["'”’)\]]*\p{White_Space}+|\n\p{White_Space}*""")
 LONG_RUN = regex.compile(r"\p{White_Space}{1000,}")
 
 
@@ -81,6 +87,17 @@ def line_sections(text: str) -> tuple[np.ndarray, np.ndarray]:
     return ends - lengths, ends
 
 
+def sentence_sections(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end character of each sentence, the white space behind it included; one empty one for no text."""
+    ends = [m.end() for m in SENTENCE_END.finditer(text)]
+    if not ends or ends[-1] < len(text):
+        ends.append(len(text))
+    return np.array([0, *ends[:-1]], np.int64), np.array(ends, np.int64)
+
+
+SECTIONS = {"line": line_sections, "sentence": sentence_sections}
+
+
 def attribute(
     starts: np.ndarray, ends: np.ndarray, lefts: np.ndarray, rights: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, int]:
@@ -96,7 +113,15 @@ def attribute(
     first = np.searchsorted(right, starts, "right")
     last = np.searchsorted(left, ends, "left") - 1
     counts[full] += np.bincount(first[first == last], minlength=len(full))
-    for t in np.flatnonzero(first < last):
+    # A token over two sections: the later one only if it holds more, as the earlier wins a tie.
+    two = np.flatnonzero(last - first == 1)
+    a, b = first[two], last[two]
+    early = np.minimum(right[a], ends[two]) - np.maximum(left[a], starts[two])
+    late = np.minimum(right[b], ends[two]) - np.maximum(left[b], starts[two])
+    chosen = full[np.where(late > early, b, a)]
+    np.add.at(counts, chosen, 1)
+    np.add.at(crossing, chosen, 1)
+    for t in np.flatnonzero(last - first > 1):
         among = np.arange(first[t], last[t] + 1)
         held = np.minimum(right[among], ends[t]) - np.maximum(left[among], starts[t])
         chosen = full[among[np.argmax(held)]]
@@ -113,19 +138,21 @@ def section_tokens(
     ranks_path: str,
     pattern: str,
     sections_col: str | None = None,
+    kinds: tuple[str, ...] = ("line",),
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """One row per section: doc_id, section (from 0), start, end, n_tokens, n_crossing, doc_tokens, unattributed.
+    """One row per section: doc_id, kind, section (from 0), start, end, n_tokens, n_crossing, doc_tokens, unattributed.
 
-    `sections_col` holds an array of structs (start, end) in characters, in order and without overlap;
-    without it the sections are the lines. A null text is an empty one; a document without sections
+    `sections_col` holds an array of structs (start, end) in characters, in order and without overlap, and
+    the kind is "given"; without it the sections are those of `kinds`, each kind covering the whole document, which
+    is encoded once for all. A null text is an empty one; a document without sections
     has one empty section, so every row of `docs` is in the result. Repeated rows and doc_ids are
     counted row by row; other columns are ignored; an empty table gives no rows.
     """
     names = ["section", "start", "end", "n_tokens", "n_crossing", "doc_tokens", "unattributed"]
     schema = StructType(
-        [StructField("doc_id", docs.schema[id_col].dataType)]
+        [StructField("doc_id", docs.schema[id_col].dataType), StructField("kind", StringType())]
         + [StructField(n, LongType()) for n in names]
     )
 
@@ -135,28 +162,30 @@ def section_tokens(
             for at in range(0, batch.num_rows, 512):
                 piece = batch.slice(at, 512)
                 given = piece.column(2).to_pylist() if sections_col else [None] * piece.num_rows
-                rows, columns = [], [[] for _ in names]
-                for text, spans in zip(piece.column(1).to_pylist(), given):
+                rows, labels, columns = [], [], [[] for _ in names]
+                for row, (text, spans) in enumerate(zip(piece.column(1).to_pylist(), given)):
                     text = text or ""
                     if sections_col:
                         spans = np.array(
                             [(s["start"], s["end"]) for s in spans or []] or [(0, 0)], np.int64
                         )
-                        lefts, rights = spans[:, 0], spans[:, 1]
+                        cuts = {"given": (spans[:, 0], spans[:, 1])}
                     else:
-                        lefts, rights = line_sections(text)
+                        cuts = {kind: SECTIONS[kind](text) for kind in kinds}
                     starts, ends = encoder.spans(text)
-                    counts, crossing, rest = attribute(starts, ends, lefts, rights)
-                    n = len(lefts)
-                    rows.append(n)
-                    for column, values in zip(
-                        columns,
-                        (np.arange(n), lefts, rights, counts, crossing,
-                         np.full(n, len(starts)), np.full(n, rest)),
-                    ):
-                        column.append(values)
+                    for kind, (lefts, rights) in cuts.items():
+                        counts, crossing, rest = attribute(starts, ends, lefts, rights)
+                        n = len(lefts)
+                        rows.append(np.full(n, row))
+                        labels += [kind] * n
+                        for column, values in zip(
+                            columns,
+                            (np.arange(n), lefts, rights, counts, crossing,
+                             np.full(n, len(starts)), np.full(n, rest)),
+                        ):
+                            column.append(values)
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column(0).take(pa.array(np.repeat(np.arange(len(rows)), rows)))]
+                    [piece.column(0).take(pa.array(np.concatenate(rows))), pa.array(labels, pa.string())]
                     + [pa.array(np.concatenate(c).astype(np.int64)) for c in columns],
                     names=schema.names,
                 )

@@ -9,6 +9,7 @@ import public_tokenizers
 import pytest
 from corpus import ODD_TEXTS, documents, plain_measures, plain_secrets, prose
 from kerbside.llm import packing, quality, queries, secrets, token_counts
+from pyspark.sql import functions as F
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 BYTES = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -116,6 +117,39 @@ def test_sections_are_attributed_by_the_rule(docs):
         assert sum(counts) + rest == rows[0].doc_tokens and rest == 0
 
 
+def test_sentences_cut_tokens_and_the_rule_decides(docs):
+    encoder = token_counts.SpanEncoder(BYTES, public_tokenizers.PATTERN)
+    texts = {d: t or "" for d, t, *_ in documents()}
+    got, kinds = {}, ("line", "sentence")
+    for r in token_counts.section_tokens(docs, BYTES, public_tokenizers.PATTERN, kinds=kinds).collect():
+        got.setdefault((r.doc_id, r.kind), []).append(r)
+    assert set(got) == {(d, k) for d in texts for k in kinds}
+    for (doc, _), rows in got.items():
+        rows.sort(key=lambda r: r.section)
+        spans = [(r.start, r.end) for r in rows]
+        assert "".join(texts[doc][a:b] for a, b in spans) == texts[doc]
+        counts, crossing, rest = plain_sections(encoder, texts[doc], spans)
+        assert [r.n_tokens for r in rows] == counts and [r.n_crossing for r in rows] == crossing
+        assert sum(counts) == rows[0].doc_tokens and rest == 0
+    assert sum(r.n_crossing for rows in got.values() for r in rows) > 0
+
+
+def test_sentences():
+    def cut(text):
+        return [text[a:b] for a, b in zip(*token_counts.sentence_sections(text))]
+
+    assert cut("") == [""] and cut("one") == ["one"]
+    assert cut('He said "no." Then 3.14 left! \n\n Why?  ') == ['He said "no." ', "Then 3.14 left! \n\n ", "Why?  "]
+    assert cut("a\n\nb") == ["a\n\n", "b"]
+
+
+def test_the_query_meets_tokens_over_sections(spark, sf_dir):
+    found = queries.op4_token_counts(spark, sf_dir)
+    by_doc = found.groupBy("doc_id", "kind").agg(F.sum("n_tokens").alias("n"), F.first("doc_tokens").alias("all"))
+    assert by_doc.where("n <> all").isEmpty()
+    assert found.where("kind = 'sentence'").agg(F.sum("n_crossing")).first()[0] > 0
+
+
 def test_given_sections_with_gaps_and_crossings(spark):
     text = "internationalization of tokenization, naturally   spaced"
     sections = [(0, 5), (5, 9), (12, 30), (30, 30), (31, 48)]
