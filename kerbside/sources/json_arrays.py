@@ -28,9 +28,8 @@ def _sum_before(column: str, rows: tuple[list[str], str]) -> Column:
 
 
 def _depth(outside: Column) -> Column:
-    """Opening brackets less closing ones."""
-    opened = F.length(F.regexp_replace(outside, r"[^\[{]+", ""))
-    return opened - F.length(F.regexp_replace(outside, r"[^\]}]+", ""))
+    """Opening brackets less closing ones, of text that holds nothing else."""
+    return F.length(F.translate(outside, "]}", "")) - F.length(F.translate(outside, "[{", ""))
 
 
 def _pieces(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -41,18 +40,21 @@ def _pieces(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     closing brace included. No escape reaches across a closing brace, as none is written with one.
     """
     text = spark.read.option("lineSep", "}").text(paths if isinstance(paths, str) else list(paths))
+    # Quotes and brackets are all that is looked at; they are picked out once, before the text moves.
+    signs = F.regexp_replace("value", r'(?s)\\.|[^"\\\[\]{}]+', "")
     pieces = text.select(
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_block_start").alias("_start"),
         F.col("_metadata.file_size").alias("_size"),
         F.monotonically_increasing_id().alias("_nth"),
+        F.octet_length("value").alias("_length"),
+        signs.alias("_signs"),
         F.col("value").alias("_text"),
-    )
-    plain = F.regexp_replace("_text", r"(?s)\\.", "")
-    quotes = F.pmod(F.length(F.regexp_replace(plain, r'[^"]+', "")), F.lit(2)).cast("int")
+    ).repartition(*_BLOCK)
+    quotes = F.pmod(F.length(F.translate("_signs", "[]{}", "")), F.lit(2)).cast("int")
     string = r'"[^"]*("|\z)'
-    outside = F.regexp_replace(plain, string, "")
-    rest = F.regexp_replace(F.regexp_replace(plain, r'^[^"]*("|\z)', ""), string, "")
+    outside = F.regexp_replace("_signs", string, "")
+    rest = F.regexp_replace(F.regexp_replace("_signs", r'^[^"]*("|\z)', ""), string, "")
     # The closing brace counts where the piece ends outside a string.
     return pieces.withColumns({
         "_quotes": quotes,
@@ -74,7 +76,7 @@ def _placed(pieces: DataFrame) -> DataFrame:
     })
     blocks = both.groupBy(*_BLOCK, "_size").agg(
         F.sum("_quotes").alias("_q"), F.sum("_if_out").alias("_o"), F.sum("_if_in").alias("_i"),
-        F.sum(F.octet_length("_text") + 1).alias("_bytes"), F.max("_nth").alias("_newest"),
+        F.sum(F.col("_length") + 1).alias("_bytes"), F.max("_nth").alias("_newest"),
     )
     started = blocks.withColumn("_block_in", F.pmod(_sum_before("_q", _BLOCKS), F.lit(2)))
     started = started.withColumn("_d", F.when(F.col("_block_in") == 0, F.col("_o")).otherwise(F.col("_i")))
