@@ -40,27 +40,28 @@ def _pieces(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     closing brace included. No escape reaches across a closing brace, as none is written with one.
     """
     text = spark.read.option("lineSep", "}").text(paths if isinstance(paths, str) else list(paths))
-    # Quotes and brackets are all that is looked at; they are picked out once, before the text moves.
+    # Quotes and brackets are all that is looked at; they are picked out and counted before the text moves.
     signs = F.regexp_replace("value", r'(?s)\\.|[^"\\\[\]{}]+', "")
-    pieces = text.select(
+    signed = text.select(
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_block_start").alias("_start"),
         F.col("_metadata.file_size").alias("_size"),
         F.monotonically_increasing_id().alias("_nth"),
         F.octet_length("value").alias("_length"),
-        signs.alias("_signs"),
         F.col("value").alias("_text"),
-    ).repartition(*_BLOCK)
-    quotes = F.pmod(F.length(F.translate("_signs", "[]{}", "")), F.lit(2)).cast("int")
+        signs.alias("_signs"),
+    )
     string = r'"[^"]*("|\z)'
     outside = F.regexp_replace("_signs", string, "")
     rest = F.regexp_replace(F.regexp_replace("_signs", r'^[^"]*("|\z)', ""), string, "")
+    quotes = F.pmod(F.length(F.translate("_signs", "[]{}", "")), F.lit(2)).cast("int")
     # The closing brace counts where the piece ends outside a string.
-    return pieces.withColumns({
+    counted = signed.withColumns({
         "_quotes": quotes,
         "_depth_out": _depth(outside) - F.when(quotes == 0, 1).otherwise(0),
         "_depth_in": _depth(rest) - F.when(quotes == 1, 1).otherwise(0),
     })
+    return counted.drop("_signs").repartition(*_BLOCK)
 
 
 def _placed(pieces: DataFrame) -> DataFrame:
@@ -102,8 +103,9 @@ def _placed(pieces: DataFrame) -> DataFrame:
 def record_texts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """(_path, _text): the elements of every file's array as text.
 
-    The pieces of a record are gathered where they lie; only what a block begins or ends with, the parts of a
-    record that reaches over blocks, meets in a second, small exchange. Text after the last closing brace is a
+    The pieces of a record are gathered where they lie; then what a block begins or ends with, the parts of a
+    record that reaches over blocks, meets in a second exchange, which whole records pass through rather than being
+    made twice. Text after the last closing brace is a
     row of its own unless it just closes the array, so a file that was cut off shows.
     """
     placed = _placed(_pieces(spark, paths))
@@ -116,16 +118,16 @@ def record_texts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
     # The first record of a block may have begun before it, the last may go on after it.
     whole = (F.col("_record") > 0) & (F.col("_ends") == 1)
-    edges = parts.where(~whole)
-    carried = edges.groupBy(*_BLOCK).agg(
-        F.sum("_ends").alias("_closed"), F.count(F.lit(1)).alias("_parts")
-    )
-    # An edge that ends no record belongs to the one that the next block with an end closes.
+    carried = parts.where(~whole).groupBy(*_BLOCK).agg(F.sum("_ends").alias("_closed"))
     carried = carried.select(*_BLOCK, _sum_before("_closed", _BLOCKS).alias("_closed_before"))
-    spanning = (
-        edges.join(carried, _BLOCK)
-        .withColumn("_record_of", F.col("_closed_before") + F.when(F.col("_record") == 0, 0).otherwise(1))
-        .groupBy("_path", "_record_of")
+    # An edge that ends no record belongs to the one that the next block with an end closes.
+    edge = F.col("_closed_before") + F.when(F.col("_record") == 0, 0).otherwise(1)
+    key = F.when(whole, F.struct("_start", "_record")).otherwise(
+        F.struct(F.lit(-1).cast("bigint").alias("_start"), edge.alias("_record"))
+    )
+    found = (
+        parts.join(carried, _BLOCK, "left")
+        .groupBy("_path", key.alias("_key"))
         .agg(
             F.array_join(
                 F.transform(
@@ -136,9 +138,6 @@ def record_texts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
             F.max("_ends").alias("_ends"),
         )
     )
-    found = parts.where(whole).select("_path", "_text", "_ends").unionByName(
-        spanning.select("_path", "_text", "_ends")
-    )
     # Elements follow a bracket or a comma; the brace that ends one was taken by the split.
     bare = F.regexp_replace("_text", r"^\s*[\[,]?\s*", "")
     text = F.when(F.col("_ends") == 1, F.concat(bare, F.lit("}"))).otherwise(bare)
@@ -153,7 +152,7 @@ def read_json_array(spark: SparkSession, paths: str | Sequence[str], schema: str
     row. A record that is no object of this shape, text between or after the records, and the rest of a file
     after a quote or brace too few are unreadable records; the last holds that rest whole, as Spark's own
     reading would hold the file. A file that ends right after a record, its bracket missing, has all its records.
-    Files must be UTF-8 and not compressed to be split. All text is shuffled once, by block.
+    Files must be UTF-8 and not compressed to be split. All text is shuffled twice, by block and by record.
     """
     fields = f"{schema}, `{CORRUPT}` string"
     parsed = F.from_json("_text", fields, {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"})
