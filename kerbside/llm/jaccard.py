@@ -18,10 +18,11 @@ That loses nothing: take the fullest part in which a linked pair agrees. Both ho
 has the same rank for both, and what either holds fuller is among the at most d parts that differ.
 
 Equal sets need no sketch; one document stands for them. Offers are range-partitioned by (part value, document),
-so that a value shared by a third of all documents is spread over tasks. Candidates are verified in steps. Two
-stars come first: each shared value links its documents with one of them, and verified links are merged to components.
-Then every pair that shares a value and is still in different components has its sketches compared, in blocks
-of bounded size within the tasks; only pairs that may be linked become rows and are verified. So no link between
+so that a value shared by a third of all documents is spread over tasks. Candidates are verified in steps, and verified
+links are merged to components after each. A star comes first: each shared value links its documents with one of them.
+Then all pairs that share a value and are still in different components have their sketches compared, in blocks
+of bounded size within the tasks: at first every document takes its nearest one alone, which joins what is left of a
+family by few rows, and then every pair that still may be linked becomes a row and is verified. So no link between
 components is missed, and no pair inside a component is looked at.
 """
 
@@ -45,7 +46,6 @@ from .common import components, discard, split_words, written
 CACHED_WORDS = 200_000
 STAR_ROWS = 4096
 SKETCH_WORDS = 16
-STARS = 2
 # The members of a key that are compared with each other at once; more are dealt over a triangle of cells.
 CELL = 2048
 U = np.uint64
@@ -219,12 +219,12 @@ def shared_offers(offered: DataFrame) -> DataFrame:
     )
 
 
-def star(members: DataFrame, turn: int) -> DataFrame:
+def star(members: DataFrame) -> DataFrame:
     """Pairs (a, b) of each member of a key with the key's centre, a document at home there.
 
-    Two orders of the documents a turn give a family few centres, but not just one.
+    Two orders of the documents give a family few centres, but not just one.
     """
-    order = F.xxhash64("rep", F.lit(turn), F.col("key") % 2)
+    order = F.xxhash64("rep", F.col("key") % 2)
     centre = members.where("home").groupBy("key").agg(
         F.min_by(F.struct("rep", "component"), order).alias("centre")
     )
@@ -236,9 +236,12 @@ def star(members: DataFrame, turn: int) -> DataFrame:
     ).distinct()
 
 
-def across(members: DataFrame, features: DataFrame, num: int, den: int) -> DataFrame:
+def across(members: DataFrame, features: DataFrame, num: int, den: int, nearest: bool = False) -> DataFrame:
     """All pairs (a, b) of members of a key, in different components and one at home, that may be linked.
 
+    With `nearest` only those of a member with the one in its cell whose sketch is relatively closest, so that
+    there are no more pairs than members in cells.
+
     `features` gives each document's set size and sketch. A key with more than CELL members deals them over blocks,
     and each pair of blocks is a cell of its own, so a task never holds more than about two blocks of a key.
     """
@@ -267,6 +270,7 @@ def across(members: DataFrame, features: DataFrame, num: int, den: int) -> DataF
         # The first row behind the own component: all from there to the end of the cell are other components.
         other = np.r_[np.flatnonzero(new)[1:], size][np.cumsum(new) - 1]
         found, step = [], 0
+        best, partner = np.full(size, np.inf), np.full(size, -1)
         left = np.flatnonzero(other < end)
         while len(left):
             right = other[left] + step
@@ -279,9 +283,19 @@ def across(members: DataFrame, features: DataFrame, num: int, den: int) -> DataF
                 distance += np.bitwise_count(sketch[a, words] ^ sketch[b, words]).sum(1, dtype=np.int64)
                 ok = (den + num) * distance <= (den - num) * (n[a] + n[b])
                 a, b, distance = a[ok], b[ok], distance[ok]
-            found.append(np.stack([rep[a], rep[b]], 1))
+            if nearest:
+                apart = distance / (n[a] + n[b])
+                order = np.argsort(-apart, kind="stable")  # of several at one row the closest is written last
+                for x, y in ((a[order], b[order]), (b[order], a[order])):
+                    closer = apart[order] < best[x]
+                    best[x[closer]], partner[x[closer]] = apart[order][closer], y[closer]
+            else:
+                found.append(np.stack([rep[a], rep[b]], 1))
             step += 1
             left = left[other[left] + step < end[left]]
+        if nearest:
+            having = np.flatnonzero(partner >= 0)
+            found.append(np.stack([rep[having], rep[partner[having]]], 1))
         pairs = np.concatenate(found) if found else np.empty((0, 2), np.int64)
         pairs = np.unique(np.sort(pairs, 1), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=schema.names)
@@ -381,11 +395,14 @@ def near_copies(
         firsts, ["rep", "set_hash", "n_shingles"], "left_semi"
     )
     chosen = written(standing, "chosen")
-    features = chosen.select("rep", F.col("n_shingles").alias("n"), *[f"s{i}" for i in range(SKETCH_WORDS)])
-
+    # The offers take most of the disk, so what holds them goes as soon as the next table is written.
+    sizes = written(sets.select("doc_id", "n_shingles"), "sizes")
+    discard(sets, firsts)
     offered = chosen.select(F.explode("keys").alias("key"), F.col("rep").alias("doc"))
     shared = written(shared_offers(offered), "shared")
-    discard(firsts)
+    sketches = [f"s{i}" for i in range(SKETCH_WORDS)]
+    features = written(chosen.select("rep", F.col("n_shingles").alias("n"), *sketches), "features")
+    discard(chosen)
 
     def plausible(pairs: DataFrame) -> DataFrame:
         both = pairs.join(features.alias("x"), F.col("a") == F.col("x.rep")).join(
@@ -394,21 +411,25 @@ def near_copies(
         return both.where(_may_link(num, den, "x", "y")).select("a", "b").distinct()
 
     members, links, tried = shared.withColumn("component", F.col("rep")), [], []
-    for turn in range(STARS + 1):
-        pairs = plausible(star(members, turn)) if turn < STARS else across(members, features, num, den)
-        for former in tried:
-            pairs = pairs.join(former, ["a", "b"], "left_anti")
-        tried.append(written(pairs, "candidates"))
-        links.append(verified(tried[-1], docs, k, num, den, id_col, text_col))
-        if turn < STARS:
+    for step in ("star", "nearest", "all"):
+        if step == "star":
+            pairs = written(plausible(star(members)), "candidates")
+        else:
+            # Written first: a pair is found under many keys, and the anti join would be moved below the distinct.
+            found = written(across(members, features, num, den, step == "nearest"), "found")
+            untried = reduce(lambda left, former: left.join(former, ["a", "b"], "left_anti"), tried, found)
+            pairs = written(untried, "candidates")
+            discard(found, members)
+        tried.append(pairs)
+        links.append(verified(pairs, docs, k, num, den, id_col, text_col))
+        if step != "all":
             label = components(reduce(DataFrame.unionByName, links)).withColumnRenamed("node", "rep")
             members = _open_members(shared, label)
-    discard(shared, chosen, *tried)
+    discard(shared, features, *tried)
 
     label = components(reduce(DataFrame.unionByName, [*links, equal]))
     return (
-        sets.select("doc_id", "n_shingles")
-        .join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        sizes.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
         .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     )
 

@@ -220,6 +220,16 @@ def test_pairs_across_components_are_complete(spark, monkeypatch, cell):
     assert sorted(map(tuple, jaccard.across(members, features, 90, 100).collect())) == sorted(want)
 
 
+def test_what_the_star_leaves_of_a_family_takes_few_pairs(spark):
+    """300 members in components of their own make 22,350 pairs; nearest ones are one a member, and none is left out."""
+    sketches = with_features(spark, range(300), lambda r: r % 2)
+    members = spark.createDataFrame([(1, i, True, i) for i in range(300)], MEMBERS)
+    assert jaccard.across(members, sketches, 80, 100).count() == 2 * 150 * 149 // 2
+    pairs = [tuple(p) for p in jaccard.across(members, sketches, 80, 100, nearest=True).collect()]
+    assert len(pairs) <= 300 and {i for p in pairs for i in p} == set(range(300))
+    assert all(a % 2 == b % 2 for a, b in pairs)
+
+
 def test_large_families_equal_brute_force(spark):
     rows = list(enumerate(family(120, 1) + family(90, 2) + [prose(60, 3)]))
     # Two families that share a passage, joined by nothing; and a chain from one family to a third text.
