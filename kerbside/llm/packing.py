@@ -12,6 +12,7 @@ per-partition totals is gathered anywhere, and no row is shuffled.
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -48,17 +49,18 @@ class WordEncoder:
     def ids(self, text: str | None) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
         words, known = split_words(text), self.known
-        missing = [w for w in dict.fromkeys(words) if w not in known]
+        missing = list(set(words).difference(known))
         if missing:
             if len(known) + len(missing) > CACHED_WORDS:
                 known.clear()
-                missing = list(dict.fromkeys(words))
+                missing = list(set(words))
             found = self.tokenizer.encode_batch_fast(
                 [w.decode() for w in missing], add_special_tokens=False
             )
             for word, encoding in zip(missing, found):
-                known[word] = np.array(encoding.ids, "<u4").tobytes()
-        return b"".join([known[w] for w in words])
+                ids = encoding.ids
+                known[word] = struct.pack(f"<{len(ids)}I", *ids)
+        return b"".join(map(known.__getitem__, words))
 
 
 @lru_cache(maxsize=1)
