@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.predicates import in_list, known
-from ..operators.distinct import distinct_bits, distinct_counts
+from ..operators.distinct import distinct_words, word_counts
 from ..sources.tables import Lake
 from .model import Model
 from .reports import INJURED_STATES, TURNING, UNTOLD_INJURIES
@@ -44,27 +44,44 @@ def keep_distinct(
 ) -> None:
     """Keep the ids of every group and month; with `months` (first days) only these are read and replaced.
 
-    A month that has lost its rows loses its bitmaps. Rows without a date are a month of their own, renewed by a
-    full run alone. Months must be whole: give all rows of a month, not those of one load.
+    A month that has lost its rows is removed. Rows without a date are a month of their own, renewed by a
+    full run alone. Months must be whole: give all rows of a month, not those of one load. A table that holds bitmaps, as
+    earlier versions kept them, needs a full run first.
     """
     month = F.trunc(F.col(date_col).cast("date"), "month")
     if months is not None:
+        months = sorted(set(months))
         start = F.col(date_col).cast("date")
-        within = [(start >= F.lit(m)) & (start < F.add_months(F.lit(m), 1)) for m in sorted(set(months))]
+        within = [(start >= F.lit(first)) & (start < F.lit(after)) for first, after in _ranges(months)]
         rows = rows.where(reduce(lambda a, b: a | b, within, F.lit(False)))
-    bits = distinct_bits(rows, [*keys, month.alias(MONTH)], id_col)
-    lake.overwrite(bits, LAYER, name, [MONTH], partitions_only=months is not None)
-    if months is not None:
-        kept = lake.read_table(LAYER, name).where(F.col(MONTH).isin(list(months)))
-        filled = {r[0] for r in rows.select(month).distinct().collect()}
-        for gone in {r[0] for r in kept.select(MONTH).distinct().collect()} - filled:
-            lake.drop_partition(LAYER, name, MONTH, gone.isoformat())
+    words = distinct_words(rows, [*keys, month.alias(MONTH)], id_col)
+    # Which months still have rows is counted by the write itself.
+    by_month = [F.count(F.when(F.col(MONTH) == F.lit(m), 1)).alias(f"_{i}") for i, m in enumerate(months or ())]
+    found = lake.overwrite(words, LAYER, name, [MONTH], by_month, partitions_only=months is not None)
+    for i, m in enumerate(months or ()):
+        if not found[f"_{i}"]:
+            lake.drop_partition(LAYER, name, MONTH, m.isoformat())
+
+
+def _ranges(months: Sequence[dt.date]) -> list[tuple[dt.date, dt.date]]:
+    """Sorted first days of months as ranges up to before another month; months in a row make one.
+
+    The date may be a costly expression, which each comparison computes anew.
+    """
+    ranges: list[tuple[dt.date, dt.date]] = []
+    for first in months:
+        after = dt.date(first.year + first.month // 12, first.month % 12 + 1, 1)
+        if ranges and ranges[-1][1] == first:
+            ranges[-1] = (ranges[-1][0], after)
+        else:
+            ranges.append((first, after))
+    return ranges
 
 
 def count_distinct(
     lake: Lake, name: str, keys: Sequence[str] = (), units: Sequence[str] = UNITS
 ) -> DataFrame:
-    """(keys, unit, period, distinct_collisions) from the kept bitmaps alone, `keys` among those kept.
+    """(keys, unit, period, distinct_collisions) from the kept words alone, `keys` among those kept.
 
     The period is the first day of the month or year, null over all time and for rows without a date.
     """
@@ -72,6 +89,6 @@ def count_distinct(
     parts = []
     for unit in units:
         period = F.lit(None).cast("date") if unit == "all" else F.trunc(MONTH, unit)
-        counted = distinct_counts(kept, [*keys, period.alias("period")], "distinct_collisions")
+        counted = word_counts(kept, [*keys, period.alias("period")], "distinct_collisions")
         parts.append(counted.withColumn("unit", F.lit(unit)))
     return reduce(DataFrame.unionByName, parts)

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from kerbside.operators.distinct import distinct_bits, distinct_counts
+from kerbside.operators.distinct import distinct_bits, distinct_counts, distinct_words, word_counts
 from kerbside.plans import rollups
 
 IDS = [None, 0, 1, 1, -1, -32768, -32769, 32767, 32768, 32769, 65536, 65537, 2**40, -(2**40), 7]
@@ -51,3 +51,36 @@ def test_only_changed_months_are_read_and_replaced(lake, spark):
     assert ("b", "year", day(2023, 1, 1)) not in got and got["b", "all", None] == 2
     rollups.keep_distinct(lake, "t", spark.createDataFrame(later, schema), ["k"], months=[])
     assert counts() == got
+
+
+def test_words_count_as_distinct_does(spark):
+    rows = [(g, h, i) for n, i in enumerate([*IDS, 63, 64, -64, -65] * 3) for g, h in [("ab"[n % 2], n % 3)]]
+    rows += [("none", 0, None), (None, 1, 5), (None, None, 5)]
+    df = spark.createDataFrame(rows, "g string, h int, id bigint")
+    words = distinct_words(df, ["g", "h"], "id")
+    for keys in (["g", "h"], ["g"], ["h"], []):
+        got = word_counts(words, keys, "n").collect()
+        want = df.groupBy(*keys).agg(F.count_distinct("id").alias("n")).collect()
+        assert sorted(map(str, got)) == sorted(map(str, want))
+    assert word_counts(words.limit(0), [], "n").first()["n"] == 0
+
+
+def test_kept_ids_are_small_rows_united_by_hashing(lake, spark):
+    """Ids of a run dealt over months and groups: a bitmap each would hold one id in 4 kB, and be sorted."""
+    rows = spark.range(0, 20_000, 1, 4).select(
+        F.col("id").alias("collision_id"), (F.col("id") % 7).alias("k"),
+        F.add_months(F.lit(dt.date(2020, 1, 1)), (F.col("id") % 11).cast("int")).alias("crash_date"),
+    )
+    rollups.keep_distinct(lake, "t", rows, ["k"])
+    kept = lake.read_table(rollups.LAYER, "t")
+    assert "binary" not in dict(kept.dtypes).values()
+    plan = rollups.count_distinct(lake, "t", ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "Sort [" not in plan
+    assert rollups.count_distinct(lake, "t").where("unit = 'all'").first()["distinct_collisions"] == 20_000
+
+
+def test_months_in_a_row_are_one_range():
+    day = dt.date
+    assert rollups._ranges([day(2019, 3, 1), *[day(2020, m, 1) for m in range(11, 13)], day(2021, 1, 1)]) == [
+        (day(2019, 3, 1), day(2019, 4, 1)), (day(2020, 11, 1), day(2021, 2, 1))]
+    assert rollups._ranges([]) == []
