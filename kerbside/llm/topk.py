@@ -11,8 +11,9 @@ the final scores of those left are resolved.
 The queries of a block read together: which terms a stretch adds depends on the vectors' places in the
 lists alone, so the sums of what all queries have read are products of two matrices.
 
-Every block of queries meets every block of vectors once, by an equi-join on the block's number, and keeps
-k rows per query; the best k of all blocks are found by a grouped merge.
+Every block of queries meets every block of vectors once, in a cell of a grid: some blocks of vectors by some
+blocks of queries, both moved there by the cell's number. Each pair keeps k rows per query; the best k of all
+blocks are found by a grouped merge.
 """
 
 from __future__ import annotations
@@ -34,19 +35,26 @@ QUERY_ROWS = 256
 # A list is read in this many stretches; reading stops at this many survivors per wanted row.
 STRETCHES = 6
 FEW = 8
-# Pairs of blocks are many times heavier to compute than to move: tasks per core, at most one per pair.
+# Cells of the grid per core: a cell's blocks are moved once for all its pairs, so few cells move little.
+CELLS_PER_CORE = 16
+# A cell holds at most this many blocks of vectors and of queries, however many there are.
+CELL_BLOCKS = 4
+CELL_QUESTIONS = 64
+# Cells are dealt by hash: with more tasks than cells seldom two meet in one.
+TASKS_PER_CELL = 4
 TASKS_PER_CORE = 64
+CELL = ["dims", "row", "column"]
 
 
 def packed(values: np.ndarray) -> bytes:
     largest = int(np.abs(values).max(initial=0))
-    kind = next(k for k in (np.int16, np.int32, np.int64) if largest <= np.iinfo(k).max)
+    kind = next(k for k in (np.int8, np.int16, np.int32, np.int64) if largest <= np.iinfo(k).max)
     return values.astype(kind).tobytes()
 
 
 def unpacked(raw: bytes, rows: int, dims: int) -> np.ndarray:
     """The values of `rows` vectors; the size tells how wide the integers are."""
-    kind = {2: np.int16, 4: np.int32, 8: np.int64}[len(raw) // (rows * dims)]
+    kind = {1: np.int8, 2: np.int16, 4: np.int32, 8: np.int64}[len(raw) // (rows * dims)]
     return np.frombuffer(raw, kind).reshape(rows, dims).astype(np.int64)
 
 
@@ -172,45 +180,30 @@ def top_k(
     Other columns are ignored; an empty table gives no rows.
     """
     held = written(blocks(vectors, id_col, vector_col, block_rows), "blocks")
-    # Blocks are numbered from 1 within their length: one small row per block in this sort.
-    number = F.row_number().over(Window.partitionBy("dims").orderBy("block"))
-    numbers = written(held.select("block", "dims").withColumn("number", number), "block_numbers")
-    counts = numbers.groupBy("dims").agg(F.max("number").alias("blocks"))
-    asked = written(
-        _questions(held, every).join(counts, "dims").withColumn(
-            "number", F.explode(F.sequence(F.lit(1), "blocks"))
-        ),
-        "questions",
-    )
-    given = held.join(numbers.select("block", "number"), "block")
-    tasks = min(asked.count(), TASKS_PER_CORE * vectors.sparkSession.sparkContext.defaultParallelism)
-    met = given.join(asked, ["dims", "number"]).select(
-        "block", "ids", "values", "dims", "q_rows", "q_blocks", "q_ids", "q_values"
-    ).repartition(max(tasks, 1))
+    asked = written(_questions(held, every), "questions")
+    given, met, tasks = _cells(held, asked, block_rows)
     schema = StructType(
         [StructField(n, LongType()) for n in ("query_block", "query_row", "query_id", "vec_id", "score")]
     )
 
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, lists = None, None
-        for batch in batches:
-            for r in range(batch.num_rows):
-                block, ids, values, dims, *question = (c[r].as_py() for c in batch.columns)
-                if block != last:
-                    names = np.frombuffer(ids, np.int64)
-                    last, lists = block, SortedLists(names, unpacked(values, len(names), dims))
-                rows, of, names = (np.frombuffer(x, np.int64) for x in question[:3])
-                skip = np.where(of == block, rows, -1)
-                found = []
-                answers = lists.best(unpacked(question[3], len(names), dims), k, skip)
+    def answer(blocks_of: pa.Table, questions_of: pa.Table) -> pa.Table:
+        found = [[np.zeros(0, np.int64)] * len(schema.names)]
+        for block, dims, ids, values in zip(*(blocks_of[c] for c in ("block", "dims", "ids", "values"))):
+            names = np.frombuffer(ids.as_py(), np.int64)
+            lists = SortedLists(names, unpacked(values.as_py(), len(names), dims.as_py()))
+            for question in zip(*(questions_of[c] for c in ("q_rows", "q_blocks", "q_ids", "q_values"))):
+                *places, raw = (x.as_py() for x in question)
+                rows, of, names = (np.frombuffer(x, np.int64) for x in places)
+                skip = np.where(of == block.as_py(), rows, -1)
+                answers = lists.best(unpacked(raw, len(names), dims.as_py()), k, skip)
                 for row, home, name, (best, scores) in zip(rows, of, names, answers):
-                    found.append((np.full(len(best), home), np.full(len(best), row),
-                                  np.full(len(best), name), lists.ids[best], scores))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c)) for c in zip(*found)], names=schema.names
-                )
+                    found.append([np.full(len(best), home), np.full(len(best), row),
+                                  np.full(len(best), name), lists.ids[best], scores])
+        return pa.table([pa.array(np.concatenate(c)) for c in zip(*found)], names=schema.names)
 
-    scored = met.mapInArrow(answer, schema)
+    # The tasks are given on both sides: what is moved is small beside the work, and must not be gathered by its size.
+    sides = [side.repartition(tasks, *CELL).groupBy(*CELL) for side in (given, met)]
+    scored = sides[0].cogroup(sides[1]).applyInArrow(answer, schema)
     best = Window.partitionBy("query_block", "query_row").orderBy(F.desc("score"), "vec_id")
     return (
         scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
@@ -218,10 +211,64 @@ def top_k(
     )
 
 
+def _cells(held: DataFrame, asked: DataFrame, block_rows: int) -> tuple[DataFrame, DataFrame, int]:
+    """The blocks of vectors and those of queries, each once for every cell it belongs to, and how many tasks to take.
+
+    A block of vectors lies in one row of its length's grid and goes to all columns, a block of queries the other way
+    round. The grid has about so many cells as keep the cores busy, and such a shape that little is moved.
+    """
+    cores = held.sparkSession.sparkContext.defaultParallelism
+
+    def numbered(df: DataFrame, key: list[str], name: str) -> DataFrame:
+        # Numbers from 0 within a length: one small row per block in this sort.
+        nth = F.row_number().over(Window.partitionBy("dims").orderBy(*key)) - 1
+        return written(df.select("dims", *key).withColumn("number", nth), name)
+
+    block_numbers = numbered(held, ["block"], "block_numbers")
+    question_numbers = numbered(asked, ["q_block", "q_at"], "question_numbers")
+    n, m = F.col("blocks"), F.col("questions")
+    wanted = F.lit(CELLS_PER_CORE * cores)
+    # Moved are columns x blocks + rows x questions, a question being smaller by the rows it holds.
+    columns = F.greatest(F.lit(1), F.least(m, F.ceil(F.sqrt(wanted * m * QUERY_ROWS / (n * block_rows)))))
+    rows = F.least(n, F.ceil(wanted / columns))
+    columns = F.least(m, F.ceil(wanted / rows))
+    shape = written(
+        block_numbers.groupBy("dims").agg(F.count(F.lit(1)).alias("blocks"))
+        .join(question_numbers.groupBy("dims").agg(F.count(F.lit(1)).alias("questions")), "dims")
+        .select(
+            "dims", "blocks", "questions",
+            F.least(F.ceil(n / rows), F.lit(CELL_BLOCKS)).alias("high"),
+            F.least(F.ceil(m / columns), F.lit(CELL_QUESTIONS)).alias("wide"),
+        )
+        .withColumns({"rows": F.ceil(n / F.col("high")), "columns": F.ceil(m / F.col("wide"))}),
+        "grid",
+    )
+    cells = shape.agg(F.sum(F.col("rows") * F.col("columns"))).first()[0] or 1
+
+    def placed(df: DataFrame, numbers: DataFrame, key: list[str], size: str, own: str, other: str, along: str) -> DataFrame:
+        return (
+            df.join(numbers, ["dims", *key]).join(shape.select("dims", size, along), "dims")
+            .withColumn(own, F.floor(F.col("number") / F.col(size)))
+            .withColumn(other, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(along) - 1)))
+        )
+
+    given = placed(held, block_numbers, ["block"], "high", "row", "column", "columns")
+    met = placed(asked, question_numbers, ["q_block", "q_at"], "wide", "column", "row", "rows")
+    tasks = min(TASKS_PER_CELL * cells, TASKS_PER_CORE * cores)
+    return (
+        given.select(*CELL, "block", "ids", "values"),
+        met.select(*CELL, "q_rows", "q_blocks", "q_ids", "q_values"),
+        int(tasks),
+    )
+
+
 def _questions(held: DataFrame, every: int) -> DataFrame:
-    """(dims, q_rows, q_blocks, q_ids, q_values): the query rows of each block, QUERY_ROWS at a time."""
+    """(dims, q_block, q_at, q_rows, q_blocks, q_ids, q_values): the query rows of each block, QUERY_ROWS at a time.
+
+    A question is named by its block and the place in it.
+    """
     schema = StructType(
-        [StructField("dims", IntegerType())]
+        [StructField("dims", IntegerType()), StructField("q_block", LongType()), StructField("q_at", IntegerType())]
         + [StructField(n, BinaryType()) for n in ("q_rows", "q_blocks", "q_ids", "q_values")]
     )
 
@@ -236,7 +283,8 @@ def _questions(held: DataFrame, every: int) -> DataFrame:
                     parts = (rows.astype(np.int64), np.full(len(rows), r["block"]), ids[rows])
                     raw = [p.tobytes() for p in parts] + [packed(values[rows])]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([r["dims"]], pa.int32())] + [pa.array([x], pa.binary()) for x in raw],
+                        [pa.array([r["dims"]], pa.int32()), pa.array([r["block"]], pa.int64()), pa.array([at], pa.int32())]
+                        + [pa.array([x], pa.binary()) for x in raw],
                         names=schema.names,
                     )
 

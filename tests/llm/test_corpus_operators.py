@@ -2,6 +2,7 @@
 
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -335,6 +336,31 @@ def test_top_k_of_an_empty_table(spark):
     assert topk.top_k(spark.createDataFrame([], "vec_id bigint, embedding array<float>")).collect() == []
 
 
+def test_top_k_sends_no_vectors_to_the_driver(spark):
+    """The queries, once per block of vectors, were broadcast: dictionary pages made their files look small."""
+    df = spark.range(4000).selectExpr("id AS vec_id", "transform(sequence(1, 12), i -> float(cos(id * i))) AS embedding")
+    found = topk.top_k(df.repartition(5), k=3, every=4, block_rows=50)
+    text = found._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    sent = [x for x in text.split("\n\n") if "BroadcastExchange" in x.partition("\n")[0]]
+    assert not any("values" in x for x in sent), sent
+
+
+def test_cells_hold_every_pair_once(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CELLS_PER_CORE", 1)
+    df = spark.range(1500).selectExpr(
+        "id AS vec_id", "transform(sequence(1, IF(id < 100, 2, 3)), i -> float(sin(id * i))) AS embedding")
+    held = topk.blocks(df.repartition(3), "vec_id", "embedding", 40)
+    held = topk.written(held, "blocks")
+    asked = topk.written(topk._questions(held, 2), "questions")
+    given, met, _ = topk._cells(held, asked, 40)
+    pairs = Counter((r.block, r.q_blocks, r.q_rows) for r in given.join(met, topk.CELL).collect())
+    blocks, questions = Counter(r.dims for r in held.collect()), Counter(r.dims for r in asked.collect())
+    assert set(pairs.values()) == {1} and len(pairs) == sum(blocks[d] * questions[d] for d in blocks)
+    sizes = given.groupBy(*topk.CELL).count().agg({"count": "max"}).first()[0]
+    assert 1 < sizes <= topk.CELL_BLOCKS
+
+
 # ---- mixing --------------------------------------------------------------------------------------
 
 
