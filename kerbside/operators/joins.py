@@ -51,6 +51,14 @@ def cold(df: DataFrame, grid: DataFrame, on: Sequence[str]) -> DataFrame:
     return df.join(grid.select(*on), list(on), "left_anti")
 
 
+def hot(df: DataFrame, grid: DataFrame, on: Sequence[str]) -> DataFrame:
+    """The rows of the hot keys, with the size of their grid.
+
+    They are picked out as the cold ones are, by a join that keeps or drops rows, so that one shuffle of `df` serves both.
+    """
+    return df.join(grid.select(*on), list(on), "left_semi").join(grid, list(on))
+
+
 def _reals(df: DataFrame) -> list[str]:
     """The floating columns; a column that cannot be grouped without changing it is an error.
 
@@ -71,7 +79,7 @@ def deal(df: DataFrame, grid: DataFrame, on: Sequence[str], axis: str, copies: s
     reals = _reals(df)
     signs = {f"_minus_{c}": F.coalesce(F.col(c).cast("string") == "-0.0", F.lit(False)) for c in reals}
     packs = (
-        df.join(grid, list(on))
+        hot(df, grid, on)
         .withColumns(signs)
         .groupBy(*df.columns, *signs, ROWS, COLUMNS)
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -127,5 +135,5 @@ def split_join(
     usual = cold(left, grid, on).join(cold(right, grid, on), on)
     spread_left = repeat(deal(left, grid, on, ROWS, "_left_copies"), COLUMNS)
     spread_right = repeat(deal(right, grid, on, COLUMNS, "_right_copies"), ROWS).drop(ROWS, COLUMNS)
-    hot = spread_left.join(spread_right, [*on, ROW, COLUMN])
-    return usual.unionByName(unpack(hot, "_left_copies", "_right_copies"))
+    spread = spread_left.join(spread_right, [*on, ROW, COLUMN])
+    return usual.unionByName(unpack(spread, "_left_copies", "_right_copies"))
