@@ -3,7 +3,8 @@
 Spark parses a multi-line JSON file in one task. Here a file is split like any text, at closing braces, and the
 starts of the records are found in parallel: whether a piece begins inside a string depends on the quotes before
 it, and how deep it lies on the brackets before it that are outside strings. Both are prefix sums, over the pieces
-of a block in the block's task and over the few blocks of a file among themselves.
+of a block in the block's task and over the blocks of a file among themselves. A block is a stretch of a split with so many
+pieces at most, so what a task holds of one at a time does not grow with the splits.
 """
 
 from __future__ import annotations
@@ -15,15 +16,20 @@ from pyspark.sql import functions as F
 
 from .readers import CORRUPT
 
-_BLOCK = ["_path", "_start"]
-_PIECES = (_BLOCK, "_nth")  # pieces of a block
-_BLOCKS = (["_path"], "_start")  # blocks of a file
+_BLOCK = ["_path", "_start", "_part"]
+_PIECES = (_BLOCK, ["_nth"])  # pieces of a block
+_BLOCKS = (["_path"], ["_start", "_part"])  # blocks of a file
 
+# Pieces of a block, at most.
+BLOCK_PIECES = 8192
+# A task of either shuffle takes about this much of the files.
+TASK_BYTES = 8 << 20
 
-def _sum_before(column: str, rows: tuple[list[str], str]) -> Column:
+
+def _sum_before(column: str, rows: tuple[list[str], list[str]]) -> Column:
     """The sum of a column over the rows before this one."""
     group, order = rows
-    before = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return F.coalesce(F.sum(column).over(before), F.lit(0))
 
 
@@ -32,14 +38,26 @@ def _depth(outside: Column) -> Column:
     return F.length(F.translate(outside, "]}", "")) - F.length(F.translate(outside, "[{", ""))
 
 
-def _pieces(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def _listed(paths: str | Sequence[str]) -> str | list[str]:
+    return paths if isinstance(paths, str) else list(paths)
+
+
+def _tasks(spark: SparkSession, paths: str | Sequence[str]) -> int:
+    """Tasks for a shuffle of the text. Its size as shuffled, packed to a tenth, would let too much into one."""
+    sizes = spark.read.format("binaryFile").load(_listed(paths)).agg(F.sum("length"), F.count(F.lit(1)))
+    size = sizes.first()[0] or 0
+    cores = spark.sparkContext.defaultParallelism
+    return max(-(-size // TASK_BYTES), min(cores, -(-size // (TASK_BYTES // 8))), 1)
+
+
+def _pieces(spark: SparkSession, paths: str | Sequence[str], tasks: int | None = None) -> DataFrame:
     """The text between closing braces, in order within its block of a file.
 
     `_quotes` is 1 where a piece holds an odd number of quotes, so that its end is in a string if its start is
     not; `_depth_out` and `_depth_in` are its change of depth if it starts outside or inside a string, its
     closing brace included. No escape reaches across a closing brace, as none is written with one.
     """
-    text = spark.read.option("lineSep", "}").text(paths if isinstance(paths, str) else list(paths))
+    text = spark.read.option("lineSep", "}").text(_listed(paths))
     # Quotes and brackets are all that is looked at; they are picked out and counted before the text moves.
     signs = F.regexp_replace("value", r'(?s)\\.|[^"\\\[\]{}]+', "")
     signed = text.select(
@@ -47,6 +65,7 @@ def _pieces(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
         F.col("_metadata.file_block_start").alias("_start"),
         F.col("_metadata.file_size").alias("_size"),
         F.monotonically_increasing_id().alias("_nth"),
+        F.floor(F.monotonically_increasing_id() / BLOCK_PIECES).alias("_part"),
         F.octet_length("value").alias("_length"),
         F.col("value").alias("_text"),
         signs.alias("_signs"),
@@ -61,7 +80,7 @@ def _pieces(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
         "_depth_out": _depth(outside) - F.when(quotes == 0, 1).otherwise(0),
         "_depth_in": _depth(rest) - F.when(quotes == 1, 1).otherwise(0),
     })
-    return counted.drop("_signs").repartition(*_BLOCK)
+    return counted.drop("_signs").repartition(tasks or _tasks(spark, paths), *_BLOCK)
 
 
 def _placed(pieces: DataFrame) -> DataFrame:
@@ -84,7 +103,9 @@ def _placed(pieces: DataFrame) -> DataFrame:
     # The last piece of a file has no brace behind it unless the file ends there; a byte order mark is not read.
     whole = Window.partitionBy("_path")
     open_end = ~(F.sum("_bytes").over(whole) - F.col("_size")).isin(0, -3)
-    last = F.when(open_end & (F.col("_start") == F.max("_start").over(whole)), F.col("_newest"))
+    last = F.when(
+        open_end & (F.struct("_start", "_part") == F.max(F.struct("_start", "_part")).over(whole)), F.col("_newest")
+    )
     started = started.select(
         *_BLOCK, "_block_in", _sum_before("_d", _BLOCKS).alias("_block_depth"), last.alias("_unended")
     )
@@ -108,7 +129,8 @@ def record_texts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     made twice. Text after the last closing brace is a
     row of its own unless it just closes the array, so a file that was cut off shows.
     """
-    placed = _placed(_pieces(spark, paths))
+    tasks = _tasks(spark, paths)
+    placed = _placed(_pieces(spark, paths, tasks))
     local = placed.withColumn("_record", _sum_before("_ends", _PIECES))
     parts = local.groupBy(*_BLOCK, "_record").agg(
         F.array_join(
@@ -122,16 +144,18 @@ def record_texts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     carried = carried.select(*_BLOCK, _sum_before("_closed", _BLOCKS).alias("_closed_before"))
     # An edge that ends no record belongs to the one that the next block with an end closes.
     edge = F.col("_closed_before") + F.when(F.col("_record") == 0, 0).otherwise(1)
-    key = F.when(whole, F.struct("_start", "_record")).otherwise(
-        F.struct(F.lit(-1).cast("bigint").alias("_start"), edge.alias("_record"))
+    key = F.when(whole, F.struct("_start", "_part", "_record")).otherwise(
+        F.struct(F.lit(-1).cast("bigint").alias("_start"), F.lit(-1).cast("bigint").alias("_part"), edge.alias("_record"))
     )
     found = (
         parts.join(carried, _BLOCK, "left")
-        .groupBy("_path", key.alias("_key"))
+        .withColumn("_key", key)
+        .repartition(tasks, "_path", "_key")
+        .groupBy("_path", "_key")
         .agg(
             F.array_join(
                 F.transform(
-                    F.array_sort(F.collect_list(F.struct("_start", "_record", "_text"))), lambda p: p["_text"]
+                    F.array_sort(F.collect_list(F.struct("_start", "_part", "_record", "_text"))), lambda p: p["_text"]
                 ),
                 "}",
             ).alias("_text"),

@@ -57,6 +57,20 @@ def test_arrays_are_read_at_any_split(spark, tmp_path, small_splits, size, inden
     assert plain(same) == plain(got)
 
 
+def test_blocks_of_an_array_are_small_in_large_splits(spark, tmp_path, monkeypatch):
+    """A split of 128 MB was one block, which the windows of one task held whole."""
+    rows = [{"id": i} for i in range(20_000)]
+    (tmp_path / "a.json").write_text(json.dumps(rows))
+    pieces = json_arrays._pieces(spark, str(tmp_path))
+    assert pieces.groupBy(*json_arrays._BLOCK).count().agg({"count": "max"}).first()[0] <= 8192
+    monkeypatch.setattr(json_arrays, "BLOCK_PIECES", 3)
+    rows = odd_rows(80)
+    (tmp_path / "a.json").write_text(json.dumps(rows[:50], indent=1))
+    (tmp_path / "b.json").write_text(json.dumps(rows[50:]))
+    found = json_arrays.read_json_array(spark, str(tmp_path), SCHEMA).collect()
+    assert plain(found) == plain(rows) and all(r[readers.CORRUPT] is None for r in found)
+
+
 def test_arrays_with_odd_ends(spark, tmp_path):
     for name, text in {
         "empty": "", "none": "[]", "space": " [ \n ] \n", "one": ' [ {"id": 1} ] ', "bare": '[{"id": 2}',
